@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.common import table
 from wardline.llm.minhash import near_duplicates
+from wardline.llm.suffix_dedup import drop_repeats
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash,)}
+    return {f.__name__: f for f in (op1_minhash, op9_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
