@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm.common import table
 from wardline.llm.minhash import near_duplicates
+from wardline.llm.packing import pack
 from wardline.llm.suffix_dedup import drop_repeats
 
 
@@ -19,8 +20,14 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=50)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op9_suffix_dedup)}
+    return {f.__name__: f for f in (op1_minhash, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
