@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm.common import table
+from wardline.llm.common import crc_fold, table
+from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
 from wardline.llm.packing import pack
 from wardline.llm.suffix_dedup import drop_repeats
@@ -16,6 +17,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_lengths(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=50)
 
@@ -27,7 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op9_suffix_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op5_lm_scoring, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
