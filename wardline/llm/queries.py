@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wardline.llm import toxicity
 from wardline.llm.common import crc_fold, table
 from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
@@ -21,6 +23,18 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_lengths(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learned from the labelled rows outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(crc_fold("doc_id", 4) != 2)
+    return toxicity.fit(toxicity.training_rows(docs, labels))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(True))
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted", "n_terms")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), length=50)
 
@@ -32,7 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op5_lm_scoring, op9_suffix_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op5_lm_scoring, op6_toxicity, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
