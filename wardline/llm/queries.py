@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import toxicity
+from wardline.llm import pii, toxicity
 from wardline.llm.common import crc_fold, table
 from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
@@ -19,6 +19,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_lengths(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
 
@@ -46,8 +50,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op5_lm_scoring, op6_toxicity, op9_suffix_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op2_pii, op5_lm_scoring, op6_toxicity, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_pii": pii.sql()}
