@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import fingerprint, pii, toxicity
+from wardline.llm import decontaminate, fingerprint, pii, toxicity
 from wardline.llm.common import crc_fold, table
 from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
@@ -39,6 +39,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted", "n_terms")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.find_leaks(docs, decontaminate.build_index(docs, table(spark, sf_dir, "benchmark")))
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_edits(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_pii, op5_lm_scoring, op6_toxicity, op8_fingerprint, op9_suffix_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op2_pii, op5_lm_scoring, op6_toxicity, op7_decontaminate, op8_fingerprint, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,7 +38,7 @@ from wardline.llm.common import Scratch, input_bytes, text_or_empty
 
 GRAM = 18
 BASE = 0x5DEECE66D1CE4E5B  # odd, so that it has an inverse modulo 2**64
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -251,6 +251,15 @@ def _from_planes(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
+def _steps(x: np.ndarray) -> bytes:
+    """Byte planes of the differences of integers that mostly go up by one."""
+    return _planes(np.diff(x, prepend=0))
+
+
+def _from_steps(blob: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(blob))
+
+
 def _flags_of(back: pa.Table, keys: np.ndarray, count: int) -> np.ndarray:
     """Flags of the keys that a block has sent, in their order."""
     flags, parts = np.zeros(len(keys), np.uint8), dict(_parts(keys, count))
@@ -369,7 +378,7 @@ def _resolve(length: int, count: int):
                 off = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
                 pos = np.repeat(block.s0[more], w) + off
                 own = classes[np.repeat(first_of[block.entry[more]], w) + off]
-                rows.append(("open", number, None, None, None, None, i, text, np.r_[s, e].astype("<i8").tobytes(), _planes(pos), _planes(own), *pad))
+                rows.append(("open", number, None, None, None, None, i, text, _planes(np.r_[s, e]), _steps(pos), _steps(own), *pad))
             else:
                 rows.append(("done", number, None, None, None, None, i, None, None, None, None, *_cut(text, s, e)))
         return _table(rows, PENDING)
@@ -396,8 +405,8 @@ def _finish(length: int):
         rows = []
         for i, kind in enumerate(lists["kind"]):
             if kind == "open":
-                doc, pos, own = lists["doc_id"][i], _from_planes(lists["starts"][i]), _from_planes(lists["classes"][i])
-                old = np.frombuffer(lists["spans"][i], "<i8").reshape(2, -1)
+                doc, pos, own = lists["doc_id"][i], _from_steps(lists["starts"][i]), _from_steps(lists["classes"][i])
+                old = _from_planes(lists["spans"][i]).reshape(2, -1)
                 hit = pos[seen[own] | (least[own] < (NO_ID if doc is None else doc))]
                 rows.append((doc, *_cut(lists["text"][i], np.r_[old[0], hit], np.r_[old[1], hit + length])))
         return _table(rows, DONE)
@@ -405,7 +414,7 @@ def _finish(length: int):
     return run
 
 
-def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length: int = 50, block_bytes: int = 12 << 20) -> DataFrame:
+def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length: int = 50, block_bytes: int = 6 << 20) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each input row."""
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
