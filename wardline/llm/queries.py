@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import decontaminate, fingerprint, pii, toxicity
+from wardline.llm import decontaminate, fingerprint, html_text, licenses, pii, toxicity
 from wardline.llm.common import crc_fold, table
 from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
@@ -23,6 +23,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_lengths(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
 
@@ -59,8 +67,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_pii, op5_lm_scoring, op6_toxicity, op7_decontaminate, op8_fingerprint, op9_suffix_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op2_pii, op3_html_extraction, op4_licenses, op5_lm_scoring, op6_toxicity, op7_decontaminate, op8_fingerprint, op9_suffix_dedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_pii": pii.sql()}
+    return {"op2_pii": pii.sql(), "op4_licenses": licenses.sql()}
