@@ -149,16 +149,17 @@ def redact(docs: DataFrame, *, text_column: str = "text", kinds: tuple[Kind, ...
     text = F.col(text_column)
     for k in kinds:
         pieces, matches = F.split(text, k.pattern, -1), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
+        docs = docs.withColumn(text_column, F.when(text.rlike(k.guard), F.array_join(F.zip_with(pieces, matches, _replacer(k)), "")).otherwise(text))
+    return docs
 
-        def both(before: Column, m: Column, k: Kind = k) -> Column:
-            near = F.lower(F.substring(before, -NEAR, NEAR)).rlike(context_pattern(k.context))
-            ok = F.coalesce(k.valid(m), F.lit(False)) & (F.lit(k.base) | (F.lit(k.score) + F.when(near, BONUS).otherwise(0.0) >= LEAST))
-            return F.concat(before, F.when(m.isNull(), "").when(ok, F.lit(f"<{k.name}>")).otherwise(m))
 
-        text = F.when(F.col(text_column).rlike(k.guard), F.array_join(F.zip_with(pieces, matches, both), "")).otherwise(F.col(text_column))
-        docs = docs.withColumn(text_column, text)
-        text = F.col(text_column)
-    return docs
+def _replacer(k: Kind):
+    def both(before: Column, m: Column) -> Column:
+        near = F.lower(F.substring(before, -NEAR, NEAR)).rlike(context_pattern(k.context))
+        ok = F.coalesce(k.valid(m), F.lit(False)) & (F.lit(k.base) | (F.lit(k.score) + F.when(near, BONUS).otherwise(0.0) >= LEAST))
+        return F.concat(before, F.when(m.isNull(), "").when(ok, F.lit(f"<{k.name}>")).otherwise(m))
+
+    return both
 
 
 def sql(kinds: tuple[Kind, ...] = KINDS) -> str:
