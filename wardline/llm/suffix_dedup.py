@@ -11,13 +11,16 @@ Sorting all suffixes of a corpus would shuffle every position. Instead:
    anchor, so equal strings have equal anchors at equal offsets. A run of strings with one anchor is
    an entry: its anchor's hash, the hash of the run's whole context, and its smallest document.
 2. Entries meet by anchor hash. An entry whose context occurs in a smaller document is removed whole. One
-   that shares its anchor only with the same context, or with none, is settled. What remains
-   (contexts that differ around a shared anchor) is open.
-3. Within a block, suffixes of open entries are sorted in groups of one anchor and offset, which gives classes
-   of equal strings. Classes meet over blocks by a 128-bit fingerprint and learn their smallest document.
+   that shares its anchor only with the same context, or with none, is settled; so is one whose halves on both sides
+   of the anchor no other context has, since equal strings agree in one of them. What remains is open.
+3. Contexts of open entries meet by anchor. There, suffixes that start at the strings are grouped by anchor and offset,
+   equal ones collapse (verified byte by byte), and the others are sorted as above; neighbours whose common extension
+   reaches ``length`` are one class, whose smallest document decides.
+4. An anchor with more than ``CROWD`` contexts in one block, or ``HOT`` in all, would crowd one task. Its suffixes are
+   sorted within their blocks, and classes of equal strings meet by their own 128-bit fingerprint instead.
 
 Blocks hold a bounded number of bytes; entries and classes are single per block, so a passage that a third of
-all documents share sends one row a block. Equality over blocks rests on 80 to 128 hash bits.
+all documents share sends a few rows a block. Equality of whole contexts rests on 80 hash bits.
 
 Edge cases: null texts are empty; texts under ``length`` bytes lose nothing; equal ids are never smaller
 than one another; null ids sort after all others and are not smaller than each other; repeated rows are
@@ -36,11 +39,14 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import Scratch, input_bytes, text_or_empty
 
-GRAM = 18
+GRAM = 14
+NONE = 255  # no side, or one that no string reaches over
 BASE = 0x5DEECE66D1CE4E5B  # odd, so that it has an inverse modulo 2**64
 CHUNK = 1 << 19
+CROWD, HOT = 32, 4096
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
+MARK = _U((1 << 40) - 1)  # instead of a context: a crowd of them
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -165,6 +171,7 @@ class Block:
         pick = lambda k: np.concatenate([c[k] for c in self.chunks]) if self.chunks else np.zeros(0, np.int64)
         self.doc, self.s0, self.s1, self.offset = pick(2), pick(3), pick(4), pick(5)
         self.anchor, self.context = pick(6).astype(np.uint64), pick(7).astype(np.uint64)
+        self.left, self.right = pick(8).astype(np.uint8), pick(9).astype(np.uint8)
         # the smallest document of each (anchor, context); ids may repeat
         key = mix(self.anchor, 1) + self.context
         by = np.lexsort((self.doc, key))
@@ -174,6 +181,19 @@ class Block:
         self.entry[by] = number
         self.entry_run = by[new]
         self.key = key[by][new]
+        # what the block sends: its entries, but one mark for an anchor with a crowd of them
+        anchors, which, times = np.unique(self.anchor[self.entry_run], return_inverse=True, return_counts=True)
+        crowd = times[which] > CROWD
+        lone, marks = np.flatnonzero(~crowd), np.flatnonzero(times > CROWD)
+        place = np.empty(len(times), np.int64)
+        place[marks] = len(lone) + np.arange(len(marks))
+        self.sent = np.where(crowd, place[which], 0)
+        self.sent[lone] = np.arange(len(lone))
+        self.sent_anchor = np.r_[self.anchor[self.entry_run][lone], anchors[marks]]
+        self.sent_key = np.r_[mix(self.key[lone], 3) >> _U(24), np.full(len(marks), MARK)]
+        self.sent_rank = np.r_[self.ranks[self.doc[self.entry_run[lone]]], np.full(len(marks), NO_ID)]
+        none = np.full(len(marks), NONE, np.uint8)
+        self.sent_sides = np.stack([np.r_[self.left[self.entry_run][lone], none], np.r_[self.right[self.entry_run][lone], none]])
 
     def _cuts(self):
         lo, size = 0, 0
@@ -194,7 +214,7 @@ class Block:
     def _runs(self, lo: int, hi: int):
         data, begin, end = self.buffer(lo, hi)
         n = len(data) - self.length + 1
-        none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
+        none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.uint8)] * 2
         if n <= 0:
             return none
         poly = PolyHash(data)
@@ -216,7 +236,13 @@ class Block:
         s0, s1 = np.flatnonzero(new), np.flatnonzero(last)
         a, d = at[s0], doc[s0]
         context = mix(poly.of(s0, s1 + self.length) + mix((a - s0).astype(np.uint64) * _U(1000003) + (s1 - s0).astype(np.uint64), 5), 7)
-        return d + lo, s0 - begin[d], s1 - begin[d], a - s0, grams[a], context
+        # a string over the anchor has half of its other bytes on the left or on the right
+        half = (self.length - GRAM) // 2
+        reach = a - s0 >= half
+        left = np.where(reach, mix(poly.of(np.where(reach, a - half, a), a), 31) % _U(NONE), NONE)
+        reach, end = s1 + self.length - a - GRAM >= half, a + GRAM
+        right = np.where(reach, mix(poly.of(end, np.where(reach, end + half, end)), 37) % _U(NONE), NONE)
+        return d + lo, s0 - begin[d], s1 - begin[d], a - s0, grams[a], context, left.astype(np.uint8), right.astype(np.uint8)
 
 
 def _pack(x: np.ndarray, width: int) -> bytes:
@@ -230,7 +256,7 @@ def _unpack(blob: bytes, width: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-_SENT = "block int, bucket int, a binary, b binary, ranks binary"
+_SENT = "block int, bucket int, a binary, b binary, ranks binary, sides binary"
 _BACK = "block int, bucket int, flags binary"
 
 
@@ -272,7 +298,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
 
 
-SENT = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ranks", pa.binary())])
+SENT = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ranks", pa.binary()), ("sides", pa.binary())])
 BACK = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
 
 
@@ -280,7 +306,7 @@ def _meet(widths: tuple[int, int], open_too: bool):
     """For each entry of a bucket: 1 if a smaller document has it; 2 if its first half occurs with another second half."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "a", "b", "ranks")), strict=True))
+        rows = list(zip(*(table.column(c).to_pylist() for c in (("block", "bucket", "a", "b", "ranks", "sides") if open_too else ("block", "bucket", "a", "b", "ranks"))), strict=True))
         a = np.concatenate([_unpack(r[2], widths[0]) for r in rows])
         b = np.concatenate([_unpack(r[3], widths[1]) for r in rows])
         rank = np.concatenate([_from_planes(r[4]) for r in rows])
@@ -292,10 +318,19 @@ def _meet(widths: tuple[int, int], open_too: bool):
         least = rank[order][new][number]
         flag = (rank[order] > least).astype(np.uint8)
         if open_too:
-            group = np.cumsum(new_a) - 1
-            kinds = np.bincount(group, weights=new)
-            # one entry a context sends its strings on: the smallest
-            flag |= ((kinds[group] > 1) & (flag == 0)).astype(np.uint8) * 2
+            # of contexts around one anchor, those that may share a string: equal on one side of it; the
+            # smallest entry of each sends its strings on
+            group = (np.cumsum(new_a) - 1)[new]
+            sides = np.concatenate([np.frombuffer(r[5], np.uint8).reshape(2, -1) for r in rows], axis=1)[:, order][:, new]
+            may = np.zeros(len(group), bool)
+            for side in sides:
+                _, where, times = np.unique(group * 256 + side, return_inverse=True, return_counts=True)
+                may |= (times[where] > 1) & (side != NONE)
+            flag |= (may[number] & (flag == 0)).astype(np.uint8) * 2
+            crowded = np.zeros(group[-1] + 1, bool)
+            crowded[group[y[new] == MARK]] = True
+            crowded |= np.bincount(group) > HOT
+            flag[crowded[group][number] & (flag != 1)] = 3
         flags = np.empty(len(order), np.uint8)
         flags[order] = flag
         out, at = [], 0
@@ -310,9 +345,8 @@ def _meet(widths: tuple[int, int], open_too: bool):
 
 def _entries(length: int, count: int):
     def run(table: pa.Table) -> pa.Table:
-        block, number = Block(table, length), table.column("block")[0].as_py()
-        anchor, context, ranks = block.anchor[block.entry_run], mix(block.key, 3), block.ranks[block.doc[block.entry_run]]
-        return _table([(number, k, _pack(anchor[p] // _U(count), 5), _pack(context[p], 5), _planes(ranks[p])) for k, p in _parts(anchor, count)], SENT)
+        b, number = Block(table, length), table.column("block")[0].as_py()
+        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
 
     return run
 
@@ -336,51 +370,114 @@ def _cut(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, i
     return len(text), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()
 
 
+def _windows(width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of so many strings: the run and the place in it of each string."""
+    run = np.repeat(np.arange(len(width)), width)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(width) - width, width)
+
+
+def _classes(data: np.ndarray, at: np.ndarray, groups: np.ndarray, length: int) -> np.ndarray:
+    """Class of each suffix by its group and first ``length`` bytes: equal ones collapse, the rest are sorted."""
+    poly = PolyHash(data)
+    _, one, of = np.unique(mix(poly.of(at, at + length), 41) + mix(groups.astype(np.uint64), 43), return_index=True, return_inverse=True)
+    span, same = np.arange(length), np.ones(len(at), bool)
+    for i in range(0, len(at), 1 << 15):  # collision verification
+        a, b = at[i : i + (1 << 15)], at[one[of[i : i + (1 << 15)]]]
+        more = np.flatnonzero(a != b)
+        same[i + more] = (data[a[more][:, None] + span] == data[b[more][:, None] + span]).all(axis=1) & (groups[i + more] == groups[one[of[i + more]]])
+    apart = np.flatnonzero(~same)
+    heads = np.r_[one, apart]
+    classes = sorted_classes(data, poly, at[heads], groups[heads], length)
+    out = classes[of]
+    out[apart] = classes[len(one) :]
+    return out
+
+
+def _decide(length: int):
+    """For each string of the contexts of a bucket: whether a smaller document has it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "a", "b", "ranks", "text")), strict=True))
+        anchor = np.concatenate([_unpack(r[2], 5) for r in rows])
+        shape = np.concatenate([np.frombuffer(r[3], np.uint8).reshape(2, -1) for r in rows], axis=1).astype(np.int64)
+        rank = np.concatenate([_from_planes(r[4]) for r in rows])
+        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+        offset, width = shape[0], shape[1] + 1
+        of, step = _windows(width)
+        ends = np.cumsum(width + length - 1)
+        at = (ends - (width + length - 1))[of] + step
+        groups = np.unique((anchor[of] << _U(8)) + (offset[of] - step).astype(np.uint64), return_inverse=True)[1]
+        classes = _classes(data, at, groups, length)
+        least = np.full(classes.max() + 1, NO_ID)
+        np.minimum.at(least, classes, rank[of])
+        flags = (rank[of] > least[classes]).astype(np.uint8)
+        out, lo, hi = [], 0, 0
+        for r in rows:
+            n = len(r[3]) // 2
+            size = int(width[lo : lo + n].sum())
+            out.append((r[0], r[1], flags[hi : hi + size].tobytes()))
+            lo, hi = lo + n, hi + size
+        return _table(out, BACK)
+
+    return run
+
+
 def _resolve(length: int, count: int):
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _table([], PENDING)
         number = table.column("block")[0].as_py()
         block = Block(table, length)
-        flags = _flags_of(back, block.anchor[block.entry_run], count)
+        flags = _flags_of(back, block.sent_anchor, count)[block.sent]
         first = block.ranks[block.doc[block.entry_run]]
         gone = (flags[block.entry] == 1) | (block.ranks[block.doc] > first[block.entry])
-        still = np.flatnonzero((flags[block.entry] == 2) & ~gone)
+        still = np.flatnonzero((flags[block.entry] > 1) & ~gone)
         lone = still[np.isin(still, block.entry_run)]  # other runs of an entry have the same strings
+        hot = flags[block.entry[lone]] == 3
+        lone = np.r_[lone[~hot], lone[hot]]
+        n_open = int((~hot).sum())
         width = (block.s1 - block.s0 + 1)[lone]
-        run_of = np.repeat(lone, width)
-        step = np.arange(len(run_of)) - np.repeat(np.cumsum(width) - width, width)
-        classes, rows, pad = np.zeros(0, np.int64), [], (None,) * 4
-        if len(lone):
-            fine = mix(block.anchor[run_of] + mix((block.offset[run_of] - step).astype(np.uint64), 11), 13)
-            data = np.frombuffer(b"".join(block.texts[block.doc[r]][block.s0[r] : block.s1[r] + length] for r in lone), np.uint8)
-            ends = np.cumsum(width + length - 1)
-            at, poly = np.repeat(ends - (width + length - 1), width) + step, PolyHash(data)
-            classes = sorted_classes(data, poly, at, np.unique(fine, return_inverse=True)[1], length)
-            ranks = block.ranks[block.doc[run_of]]
-            by = np.lexsort((ranks, classes))
+        text = lambda r: block.texts[block.doc[r]][block.s0[r] : block.s1[r] + length]
+        rows, pad = [], (None,) * 4
+        anchor, ranks = block.anchor[lone], block.ranks[block.doc[lone]]
+        begin = np.cumsum(width) - width
+        # questions: the strings of open runs, then the classes of strings of hot runs
+        n_strings = int(width[:n_open].sum())
+        question = np.arange(int(width.sum()))
+        for k, p in _parts(anchor[:n_open], count):
+            shape = np.stack([block.offset[lone[p]], width[p] - 1]).astype(np.uint8).tobytes()
+            of, step = _windows(width[p])
+            rows.append(("open", number, k, _pack(anchor[p] // _U(count), 5), shape, _planes(ranks[p]), None, b"".join(text(r) for r in lone[p]), None, None, _steps(begin[p][of] + step), *pad))
+        if n_open < len(lone):
+            part = lone[n_open:]
+            of, step = _windows(width[n_open:])
+            fine = mix(anchor[n_open:][of] + mix((block.offset[part][of] - step).astype(np.uint64), 11), 13)
+            data = np.frombuffer(b"".join(map(text, part)), np.uint8)
+            ends = np.cumsum(width[n_open:] + length - 1)
+            at = (ends - (width[n_open:] + length - 1))[of] + step
+            classes = _classes(data, at, np.unique(fine, return_inverse=True)[1], length)
+            by = np.lexsort((ranks[n_open:][of], classes))
             head = by[np.r_[True, classes[by][1:] != classes[by][:-1]]]  # of class 0, 1, ...
-            strings = poly.of(at[head], at[head] + length)
-            a, b, ranks = mix(strings, 17), mix(strings, 23) ^ mix(fine[head], 29), ranks[head]
-            rows = [("class", number, k, _pack(a[p] // _U(count), 8), _pack(b[p], 8), _planes(ranks[p]), None, None, None, None, p.astype("<i8").tobytes(), *pad) for k, p in _parts(a, count)]
+            strings = PolyHash(data).of(at[head], at[head] + length)
+            a, b = mix(strings, 17), mix(strings, 23) ^ mix(fine[head], 29)
+            rows += [("hot", number, k, _pack(a[p] // _U(count), 8), _pack(b[p], 8), _planes(ranks[n_open:][of[head[p]]]), None, None, None, None, _steps(n_strings + p), *pad) for k, p in _parts(a, count)]
+            question[n_strings:] = n_strings + classes
         first_of = np.full(len(flags), -1)
-        first_of[block.entry[lone]] = np.cumsum(width) - width
+        first_of[block.entry[lone]] = begin
         by_doc = np.argsort(block.doc, kind="stable")
         cut = np.searchsorted(block.doc[by_doc], np.arange(len(block.ids) + 1))
         is_open = np.zeros(len(block.doc), bool)
         is_open[still] = True
-        for d, (i, text) in enumerate(zip(block.ids, block.texts, strict=True)):
+        for d, (i, body) in enumerate(zip(block.ids, block.texts, strict=True)):
             mine = by_doc[cut[d] : cut[d + 1]]
             out, more = mine[gone[mine]], mine[is_open[mine]]
             s, e = block.s0[out], block.s1[out] + length
             if len(more):
-                w = block.s1[more] - block.s0[more] + 1
-                off = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
-                pos = np.repeat(block.s0[more], w) + off
-                own = classes[np.repeat(first_of[block.entry[more]], w) + off]
-                rows.append(("open", number, None, None, None, None, i, text, _planes(np.r_[s, e]), _steps(pos), _steps(own), *pad))
+                of, step = _windows(block.s1[more] - block.s0[more] + 1)
+                own = question[first_of[block.entry[more]][of] + step]
+                rows.append(("doc", number, None, None, None, None, i, body, _planes(np.r_[s, e]), _steps(block.s0[more][of] + step), _steps(own), *pad))
             else:
-                rows.append(("done", number, None, None, None, None, i, None, None, None, None, *_cut(text, s, e)))
+                rows.append(("done", number, None, None, None, None, i, None, None, None, None, *_cut(body, s, e)))
         return _table(rows, PENDING)
 
     return run
@@ -390,21 +487,23 @@ DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 
 
 def _finish(length: int):
-    """Cuts the documents with open strings, given the classes that a smaller document has."""
+    """Cuts the documents with open strings, given the answers to their block's questions."""
 
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
         lists = {c: table.column(c).to_pylist() for c in table.column_names}
-        flags = dict(zip(back.column("bucket").to_pylist(), back.column("flags").to_pylist(), strict=True))
-        at = [i for i, kind in enumerate(lists["kind"]) if kind == "class"]
-        places = {i: np.frombuffer(lists["classes"][i], "<i8") for i in at}
-        size = sum(map(len, places.values()))
-        seen, least = np.zeros(size, bool), np.full(size, NO_ID)
-        for i, p in places.items():
-            seen[p] = np.frombuffer(flags[lists["bucket"][i]], np.uint8).astype(bool)
-            least[p] = _from_planes(lists["ranks"][i])
+        flags = {(kind, k): f for kind, k, f in zip(*(back.column(c).to_pylist() for c in ("kind", "bucket", "flags")), strict=True)}
+        asked = [(kind, k, _from_steps(c)) for kind, k, c in zip(lists["kind"], lists["bucket"], lists["classes"], strict=True) if kind != "doc"]
+        seen = np.zeros(max((int(p[-1]) + 1 for _, _, p in asked), default=0), bool)
+        for kind, k, p in asked:
+            seen[p] = np.frombuffer(flags[kind, k], np.uint8).astype(bool)
+        # a class of hot strings may have a smaller document in this very block
+        least = np.full(len(seen), NO_ID)
+        for i, (kind, p) in enumerate((a[0], a[2]) for a in asked):
+            if kind == "hot":
+                least[p] = _from_planes([r for x, r in zip(lists["kind"], lists["ranks"], strict=True) if x != "doc"][i])
         rows = []
         for i, kind in enumerate(lists["kind"]):
-            if kind == "open":
+            if kind == "doc":
                 doc, pos, own = lists["doc_id"][i], _from_steps(lists["starts"][i]), _from_steps(lists["classes"][i])
                 old = _from_planes(lists["spans"][i]).reshape(2, -1)
                 hit = pos[seen[own] | (least[own] < (NO_ID if doc is None else doc))]
@@ -426,8 +525,11 @@ def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     back = blocked.groupBy("block").applyInArrow(_entries(length, count), _SENT).groupBy("bucket").applyInArrow(_meet((5, 5), True), _BACK)
     met = blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_resolve(length, count), _PENDING)
     met = scratch.save(met)
-    classes = met.where("kind = 'class'")
-    seen = classes.select("block", "bucket", "a", "b", "ranks").groupBy("bucket").applyInArrow(_meet((8, 8), False), _BACK)
-    waiting = met.where("kind <> 'done'").select("kind", "block", "bucket", "ranks", "doc_id", "text", "spans", "starts", "classes")
-    cut = waiting.groupBy("block").cogroup(seen.groupBy("block")).applyInArrow(_finish(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    answer = [
+        met.where(f"kind = '{kind}'").select("block", "bucket", "a", "b", "ranks", "text").groupBy("bucket").applyInArrow(task, _BACK).withColumn("kind", F.lit(kind))
+        for kind, task in (("open", _decide(length)), ("hot", _meet((8, 8), False)))
+    ]
+    waiting = met.where("kind <> 'done'").select("kind", "block", "bucket", "ranks", "doc_id", F.when(F.col("kind") == "doc", F.col("text")).alias("text"), "spans", "starts", "classes")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    cut = waiting.groupBy("block").cogroup(answer[0].union(answer[1]).groupBy("block")).applyInArrow(_finish(length), schema)
     return met.where("kind = 'done'").select(*DONE.names).union(cut)
