@@ -9,19 +9,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked(df: DataFrame, by: Sequence[str], y: str, score: str, weight: Column) -> DataFrame:
-    """Cumulative positives and negatives by falling score, one row for each distinct score."""
-    g = df.groupBy(*by, score).agg(F.sum(weight * F.col(y)).alias("p"), F.sum(weight * (1 - F.col(y))).alias("n"))
-    # score bins first, so that no window reads all scores in one task
-    w = Window.partitionBy(*by).orderBy(F.desc(score)) if by else Window.partitionBy("_one").orderBy(F.desc(score))
-    g = g.withColumn("_one", F.lit(1))
-    out = g.withColumn("tp", F.sum("p").over(w)).withColumn("fp", F.sum("n").over(w))
-    return out.withColumn("tp0", out["tp"] - out["p"]).withColumn("fp0", out["fp"] - out["n"])
+BINS = 4096
+
 
+def running_sums(g: DataFrame, by: Sequence[str], key: str, columns: Sequence[str], *, falling: bool = False) -> DataFrame:
+    """Sums of columns over the rows up to and with each one, in order of a numeric key without ties, as <column>_run.
 
-def rounded_scores(df: DataFrame, score: str, bins: int = 10_000) -> DataFrame:
-    """Scores in [0, 1] rounded to a bounded number of bins, which bounds the ranking of a huge table."""
-    return df.withColumn(score, F.round(F.col(score) * bins) / bins)
+    Rows are cut into ranges of the key; a window within each range and one over the sums of ranges (at most
+    ``BINS`` a group) replace one that reads a whole group.
+    """
+    span = g.groupBy(*by).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    g = g.join(span, list(by)) if by else g.crossJoin(F.broadcast(span))
+    g = g.withColumn("_bin", F.coalesce(F.floor((F.col(key) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0)) * (BINS - 1)), F.lit(0))).drop("_lo", "_hi")
+    sort = F.desc if falling else F.asc
+    bins = g.groupBy(*by, "_bin").agg(*(F.sum(c).alias(f"_b_{c}") for c in columns)).withColumn("_one", F.lit(1))
+    w = Window.partitionBy("_one", *by).orderBy(sort("_bin"))
+    before = bins.select(*by, "_bin", *((F.sum(f"_b_{c}").over(w) - F.col(f"_b_{c}")).alias(f"_before_{c}") for c in columns))
+    inside = Window.partitionBy(*by, "_bin").orderBy(sort(key))
+    out = g.select("*", *(F.sum(c).over(inside).alias(f"_in_{c}") for c in columns)).join(before, [*by, "_bin"])
+    return out.select(*g.columns, *((F.col(f"_before_{c}") + F.col(f"_in_{c}")).alias(f"{c}_run") for c in columns)).drop("_bin")
 
 
 def binary_metrics(df: DataFrame, *, y: str, score: str, by: Sequence[str] = (), threshold: float | None = None, weight: Column | None = None) -> DataFrame:
@@ -30,16 +36,17 @@ def binary_metrics(df: DataFrame, *, y: str, score: str, by: Sequence[str] = (),
     Without a threshold, the first one of greatest tpr - fpr (Youden) is taken.
     """
     weight = F.lit(1.0) if weight is None else weight
-    totals = df.groupBy(*by).agg(F.sum(weight * F.col(y)).alias("P"), F.sum(weight * (1 - F.col(y))).alias("N"))
-    r = _ranked(df, by, y, score, weight)
+    g = df.groupBy(*by, score).agg(F.sum(weight * F.col(y)).alias("p"), F.sum(weight * (1 - F.col(y))).alias("n"))
+    totals = g.groupBy(*by).agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
+    r = running_sums(g, by, score, ["p", "n"], falling=True)
     r = r.join(totals, list(by)) if by else r.crossJoin(F.broadcast(totals))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy("_one")).orderBy(F.desc(score))
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    r = r.withColumn("prec", precision).withColumn("prec0", F.coalesce(F.lag("prec").over(w), F.lit(1.0)))
+    tp, fp = F.col("p_run"), F.col("n_run")
+    tp0, fp0 = tp - F.col("p"), fp - F.col("n")
+    precision, precision0 = tp / (tp + fp), F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(1.0)
     curve = r.groupBy(*by).agg(
-        (F.sum((F.col("fp") - F.col("fp0")) * (F.col("tp") + F.col("tp0")) / 2) / (F.first("P") * F.first("N"))).alias("auroc"),
-        F.sum((F.col("tp") - F.col("tp0")) / F.col("P") * (F.col("prec") + F.col("prec0")) / 2).alias("auprc"),
-        F.max(F.struct((F.col("tp") / F.col("P") - F.col("fp") / F.col("N")).alias("j"), F.col(score).alias("t"))).getField("t").alias("youden"),
+        (F.sum(F.col("n") * (tp + tp0) / 2) / (F.first("all_p") * F.first("all_n"))).alias("auroc"),
+        F.sum(F.col("p") / F.col("all_p") * (precision + precision0) / 2).alias("auprc"),
+        F.max(F.struct((tp / F.col("all_p") - fp / F.col("all_n")).alias("j"), F.col(score).alias("t"))).getField("t").alias("youden"),
     )
     joined = df.join(curve, list(by)) if by else df.crossJoin(F.broadcast(curve))
     t = F.lit(threshold) if threshold is not None else F.col("youden")
@@ -128,9 +135,8 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
     Average ranks come from counts of distinct values, so a value that many rows share is one row.
     """
     v = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    ties = v.groupBy(value).agg(F.count("*").alias("t")).withColumn("_one", F.lit(1))
-    w = Window.partitionBy("_one").orderBy(value)
-    ranks = ties.withColumn("rank", F.sum("t").over(w) - F.col("t") + (F.col("t") + 1) / 2).select(F.col(value).alias("_v"), "t", "rank")
+    ties = v.groupBy(value).agg(F.count("*").alias("t"))
+    ranks = running_sums(ties, [], value, ["t"]).select(F.col(value).alias("_v"), "t", (F.col("t_run") - F.col("t") + (F.col("t") + 1) / 2).alias("rank"))
     ranked = v.groupBy(group, value).count().join(ranks, F.col(value) == F.col("_v"))
     groups = ranked.groupBy(group).agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("rank")).alias("s"))
     correction = ranks.agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"))

@@ -1,0 +1,190 @@
+"""Queries of feature preparation, evaluation, comparison, quality, sources and sinks."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wardline.operators import prep, quality, stats, typing_ops
+from wardline.plans.cdm import Tables
+from wardline.plans.registry import query
+from wardline.sources import io
+
+c = F.col
+
+
+def _scratch(t: Tables) -> str:
+    """A new folder for tables written by a query, shared by all executors where the session names one."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wardline-")
+    return f"{root.rstrip('/')}/wardline-{uuid.uuid4().hex}"
+
+
+# --- preparation ------------------------------------------------------------------------------------------------
+
+_TRAIN = "c_custkey % 5 <> 0"
+
+
+def _fit(t: Tables) -> prep.Standardizer:
+    return prep.fit_standardizer(t.customer.where(_TRAIN), numeric=["c_acctbal"], categorical=["c_mktsegment"])
+
+
+query("e1_standardize", "", f"""f as (select quantile_cont(c_acctbal, 0.01) lo, quantile_cont(c_acctbal, 0.99) hi, avg(c_acctbal) m, stddev_pop(c_acctbal) s from customer where {_TRAIN})
+SELECT c_custkey, (greatest(lo, least(hi, c_acctbal)) - m) / s c_acctbal, case when c_acctbal is null then 1 else 0 end c_acctbal_missing_ind, case when c_mktsegment = 'AUTOMOBILE' then 1 else 0 end as auto, case when c_mktsegment = 'BUILDING' then 1 else 0 end as building from customer, f""", "c_acctbal")(
+    lambda t: prep.apply_standardizer(t.customer, _fit(t), key="c_custkey").select("c_custkey", "c_acctbal", "c_acctbal_missing_ind", c("c_mktsegment_automobile").alias("auto"), c("c_mktsegment_building").alias("building"))
+)
+query("e2_normalise_text", "", "SELECT n_nationkey, case when n_nationkey % 6 = 0 then null else lower(n_name) end name from nation")(lambda t: t.nation.select("n_nationkey", prep.normalise_text(F.when(c("n_nationkey") % 6 == 0, F.lit(" NA ")).otherwise(F.concat(F.lit("  "), c("n_name"), F.lit(" ")))).alias("name")))
+query("e3_drop_rules", "", "SELECT 'constant' as \"column\", 1 dropped union all select 'empty', 1 union all select 'p_size', 0")(
+    lambda t: (lambda f, s: s.createDataFrame([(k, int(v.drop)) for k, v in f.numeric.items()], "column string, dropped int"))(
+        prep.fit_standardizer(t.part.select("p_size", F.lit(1.0).alias("constant"), F.lit(None).cast("double").alias("empty")), numeric=["p_size", "constant", "empty"]), t.spark)
+)
+query("e4_e5_rare_levels_index", "", """k as (select p_brand, count(*) n from part where p_partkey % 2 = 0 group by 1), l as (select lower(p_brand) level from k where n >= 3 union select 'other'), i as (select level, row_number() over (order by level) - 1 i from l)
+SELECT p_partkey, cast(i as int) p_brand from part left join i on level = case when lower(p_brand) in (select level from l) then lower(p_brand) else 'other' end""")(
+    lambda t: prep.apply_standardizer(t.part, prep.fit_standardizer(t.part.where("p_partkey % 2 = 0"), categorical=["p_brand"], least_count=3), key="p_partkey", one_hot=False).select("p_partkey", "p_brand")
+)
+query("e6_midpoint_quantiles", "", """r as (select event_type, value, row_number() over (partition by event_type order by value) r, count(*) over (partition by event_type) n from events)
+SELECT event_type, avg(value) filter (r = floor((n - 1) * 0.01 + 1e-9) + 1 or r = ceil((n - 1) * 0.01 - 1e-9) + 1) q1, avg(value) filter (r = floor((n - 1) * 0.99 + 1e-9) + 1 or r = ceil((n - 1) * 0.99 - 1e-9) + 1) q99 from r group by 1""", "q1 q99")(lambda t: prep.midpoint_quantiles(t.events, ["event_type"], "value", [0.01, 0.99]))
+query("e6_redraw_outliers")(lambda t: (lambda f: t.customer.select("c_custkey", prep.clip_or_redraw(c("c_acctbal"), f.numeric["c_acctbal"], c("c_custkey"), redraw=True).alias("x")))(_fit(t)))
+query("e7_impute", "", f"""f as (select avg(c_acctbal) m, median(c_acctbal) d from customer where {_TRAIN} and c_custkey % 7 <> 0)
+SELECT c_custkey, case when c_custkey % 7 = 0 then m else c_acctbal end by_mean, case when c_custkey % 7 = 0 then d else c_acctbal end by_median, case when c_custkey % 7 = 0 then -1 else c_acctbal end by_constant from customer, f""", "by_mean by_median by_constant")(
+    lambda t: (lambda df: (lambda f: df.select("c_custkey", *(prep.impute(c("x"), f, how, c("c_custkey"), constant=-1.0).alias(f"by_{how}") for how in ("mean", "median", "constant"))))(prep.fit_standardizer(df.where(_TRAIN), numeric=["x"]).numeric["x"]))(
+        t.customer.select("c_custkey", F.when(c("c_custkey") % 7 != 0, c("c_acctbal")).alias("x")))
+)
+query("e7_impute_draws")(lambda t: (lambda f: t.customer.select("c_custkey", *(prep.impute(F.lit(None).cast("double"), f.numeric["c_acctbal"], how, c("c_custkey")).alias(how) for how in ("uniform", "normal", "normal_mad"))))(_fit(t)))
+query("e8_zscore", "", "f as (select avg(value) m, stddev_pop(value) s from events where event_id % 2 = 0) SELECT event_id, (value - m) / s z from events, f", "z")(
+    lambda t: t.events.crossJoin(F.broadcast(t.events.where("event_id % 2 = 0").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s")))).select("event_id", ((c("value") - c("m")) / c("s")).alias("z"))
+)
+query("e11_robust_outliers", "", """m as (select event_type, median(value) m, mad(value) d from events group by 1)
+SELECT event_id, 0.6745 * (value - m) / d modified_z, case when abs(0.6745 * (value - m) / d) > 3.5 then 1 else 0 end outlier from events join m using (event_type)""", "modified_z")(lambda t: prep.robust_outliers(t.events, ["event_type"], "value").select("event_id", "modified_z", "outlier"))
+query("e12_target_encode", "", "m as (select p_brand, avg(p_retailprice) e from part where p_partkey % 10 = 0 group by 1), a as (select avg(p_retailprice) e from part where p_partkey % 10 = 0) SELECT p_partkey, coalesce(m.e, a.e) encoded from part left join m using (p_brand), a", "encoded")(
+    lambda t: prep.target_encode(t.part, t.part.where("p_partkey % 10 = 0"), "p_brand", "p_retailprice").select("p_partkey", "encoded")
+)
+query("e13_hierarchical_encode", "", """k as (select * from part where p_partkey % 50 = 0), a as (select p_type, avg(p_retailprice) e from k group by 1), b as (select p_brand, avg(p_retailprice) e from k group by 1), o as (select avg(p_retailprice) e from k)
+SELECT p_partkey, coalesce(a.e, b.e, o.e) encoded from part left join a using (p_type) left join b using (p_brand), o""", "encoded")(lambda t: prep.hierarchical_encode(t.part, t.part.where("p_partkey % 50 = 0"), ["p_type", "p_brand"], "p_retailprice").select("p_partkey", "encoded"))
+query("e14_min_max", "", "SELECT p_partkey, (p_retailprice - min(p_retailprice) over ()) / (max(p_retailprice) over () - min(p_retailprice) over ()) p_retailprice from part", "p_retailprice")(lambda t: prep.min_max(t.part, ["p_retailprice"]).select("p_partkey", "p_retailprice"))
+
+# --- evaluation and comparison -----------------------------------------------------------------------------------
+
+_SCORED = "x as (select doc_id, quality y, least(1.0, n_chars / 5000.0) score from labels join documents using (doc_id))"
+_scored = lambda t: t.labels.join(t.documents, "doc_id").select("doc_id", c("quality").alias("y"), F.least(F.lit(1.0), c("n_chars") / 5000.0).alias("score"))
+query("k1_binary_metrics", "", _SCORED + """, tot as (select sum(y) p, sum(1 - y) n from x), g as (select score, sum(y) p, sum(1 - y) n from x group by 1),
+r as (select score, sum(p) over w tp, sum(n) over w fp, p dp, n dn from g window w as (order by score desc)),
+q as (select *, tp / (tp + fp) as prec, coalesce(lag(tp / (tp + fp)) over (order by score desc), 1) prec0 from r),
+m as (select sum(dn * (tp + tp - dp) / 2.0) / (any_value(tot.p) * any_value(tot.n)) auroc, sum(dp / tot.p * (prec + prec0) / 2.0) auprc, max((tp / tot.p - fp / tot.n, score))[2] threshold from q, tot),
+k as (select count(*) filter (score >= threshold and y = 1) tp, count(*) filter (score >= threshold and y = 0) fp, count(*) filter (score < threshold and y = 1) fn, count(*) filter (score < threshold and y = 0) tn from x, m)
+SELECT auroc, auprc, threshold, tp / (tp + fn) sensitivity, tn / (tn + fp) specificity, tp / (tp + fp) ppv, tn / (tn + fn) npv, (tp + tn) / (tp + tn + fp + fn) accuracy, 2 * tp / (2 * tp + fp + fn) f1 from m, k""", "auroc auprc threshold sensitivity specificity ppv npv accuracy f1")(
+    lambda t: stats.binary_metrics(_scored(t), y="y", score="score")
+)
+query("k2_bootstrap_ci")(lambda t: stats.bootstrap_ci(_scored(t), key="doc_id", y="y", score="score", replicates=30))
+query("k3_calibration", "", _SCORED + " SELECT avg((score - y) * (score - y)) brier, count(*) n from x", "brier")(lambda t: _scored(t).agg(stats.brier(c("y"), c("score")).alias("brier"), F.count("*").alias("n")))
+query("k4_chi_square", "", """o as (select o_orderstatus a, o_orderpriority b, count(*) k from orders group by all), r as (select a, sum(k) r from o group by 1), q as (select b, sum(k) c from o group by 1), t as (select sum(k) t from o)
+SELECT sum((coalesce(k, 0) - r * c / t) ** 2 / (r * c / t)) statistic, (count(distinct r.a) - 1) * (count(distinct q.b) - 1) dof from r cross join q cross join t left join o on o.a = r.a and o.b = q.b""", "statistic")(lambda t: stats.chi_square(t.orders, "o_orderstatus", "o_orderpriority"))
+query("k6_kruskal_wallis", "", """v as (select value, count(*) t from events group by 1), r as (select value, t, sum(t) over (order by value) - t + (t + 1) / 2.0 as rank from v), e as (select event_type, count(*) n, sum(rank) s from events join r using (value) group by 1),
+z as (select sum(cast(t as double) ** 3 - t) ties from v), h as (select cast(sum(n) as double) nn, sum(s * s / n) q, count(*) k from e)
+SELECT (12 / (nn * (nn + 1)) * q - 3 * (nn + 1)) / (1 - ties / (nn ** 3 - nn)) h, k - 1 dof from h, z""", "h")(lambda t: stats.kruskal_wallis(t.events, "value", "event_type"))
+query("k7_anova", "", """g as (select event_type, count(*) n, avg(value) m, var_pop(value) v from events group by 1), s as (select sum(n) nn, count(*) k, sum(n * m) t, sum(n * m * m) q, sum(n * v) w from g)
+SELECT ((q - t * t / nn) / (k - 1)) / (w / (nn - k)) f, cast(k - 1 as bigint) dof_between, cast(nn - k as bigint) dof_within from s""", "f")(lambda t: stats.anova_oneway(t.events, "value", "event_type"))
+query("k8_summarize_groups", "", """s as (select o_orderstatus, count(*) z from orders group by 1)
+SELECT 'o_totalprice' as variable, '' as level, o_orderstatus, count(o_totalprice) n, cast(null as double) as share, median(o_totalprice) median, quantile_cont(o_totalprice, 0.25) q1, quantile_cont(o_totalprice, 0.75) q3 from orders group by o_orderstatus
+union all select 'o_orderpriority', o_orderpriority, o_orderstatus, count(*), count(*) / any_value(z), null, null, null from orders join s using (o_orderstatus) group by o_orderpriority, o_orderstatus""", "share median q1 q3")(
+    lambda t: stats.summarize_groups(t.orders, "o_orderstatus", ["o_totalprice"], ["o_orderpriority"])
+)
+query("k9_class_weights", "", "SELECT toxic, (select count(*) from labels) / (2.0 * count(*)) weight from labels group by 1", "weight")(lambda t: stats.class_weights(t.labels, "toxic"))
+query("k9_oversample", "", "SELECT toxic, count(*) * case when toxic = 1 then 3 else 1 end n from labels group by 1")(lambda t: stats.oversample(t.labels, "toxic", 3).groupBy("toxic").agg(F.count("*").alias("n")))
+query("k9_k_fold")(lambda t: stats.k_fold(t.labels, "doc_id", 5).groupBy("fold").agg(F.count("*").alias("n")))
+
+
+def _forest(t: Tables) -> DataFrame:
+    """Univariate selection and a class-balanced forest, over folds of parameters; out-of-fold scores of one model."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    rows = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select("o_orderkey", c("o_totalprice").alias("a"), c("c_acctbal").alias("b"), F.dayofyear("o_orderdate").cast("double").alias("d"), (c("o_orderstatus") == "F").cast("double").alias("y"))
+    weights = stats.class_weights(rows, "y")
+    data = VectorAssembler(inputCols=["a", "b", "d"], outputCol="all").transform(rows.join(F.broadcast(weights), "y"))
+    chosen = UnivariateFeatureSelector(featuresCol="all", outputCol="features", labelCol="y", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(2).fit(data).transform(data)
+    model = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=10, maxDepth=4, seed=1).fit(chosen.where("o_orderkey % 5 <> 0"))
+    return model.transform(chosen.where("o_orderkey % 5 = 0")).select("o_orderkey", vector_to_array("probability")[1].alias("score"))
+
+
+query("k10_random_forest")(_forest)
+
+# --- quality -----------------------------------------------------------------------------------------------------
+
+query("d1_audit_variables", "measurements", "SELECT variable, count(distinct person_id) persons, count(distinct unit) visits, count(*) observations, count(value) with_value, quantile_cont(value, 0.15) p15, quantile_cont(value, 0.85) p85, avg(value) mean from measurements group by 1", "p15 p85 mean")(
+    lambda t: quality.audit(t.measurements, variable="variable", person="person_id", visit="unit", value="value")
+)
+query("d2_completeness_check", "", "SELECT c_custkey, y from customer, (select unnest([1995, 1996, 1997]) y) where (c_custkey, y) not in (select o_custkey, year(o_orderdate) from orders)")(
+    lambda t: quality.completeness(t.customer.select("c_custkey", F.explode(F.array(*(F.lit(y) for y in (1995, 1996, 1997)))).alias("y")), t.orders.select(c("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("y")), ["c_custkey", "y"])
+)
+query("d4_lookup_mapping_audit", "", "SELECT l_partkey, count(*) n from lineitem where l_partkey not in (select p_partkey from part where p_partkey % 3 <> 0) group by 1")(lambda t: quality.unmapped(t.lineitem, t.part.where("p_partkey % 3 <> 0").select(c("p_partkey").alias("l_partkey")), "l_partkey"))
+query("d4_multiply_mapped", "", "SELECT l_partkey, count(distinct l_returnflag) n_variables, string_agg(distinct l_returnflag, ',' order by l_returnflag) variables from lineitem group by 1 having count(distinct l_returnflag) > 1")(lambda t: quality.multiply_mapped(t.lineitem, "l_partkey", "l_returnflag"))
+query("d5_range_assertions", "", "SELECT 'positive' as rule, count(*) filter (not value > 0) broken from events union all select 'small', count(*) filter (not value <= 100) from events")(lambda t: quality.violations(t.events, {"positive": c("value") > 0, "small": c("value") <= 100}))
+query("d6_load_log", "", "SELECT 'orders' as \"table\", min(o_orderkey) first_id, max(o_orderkey) last_id, count(*) n from orders union all select 'events', min(event_id), max(event_id), count(*) from events")(
+    lambda t: t.orders.agg(F.lit("orders").alias("table"), F.min("o_orderkey").alias("first_id"), F.max("o_orderkey").alias("last_id"), F.count("*").alias("n")).union(t.events.agg(F.lit("events"), F.min("event_id"), F.max("event_id"), F.count("*")))
+)
+
+# --- sources and sinks ---------------------------------------------------------------------------------------------
+
+
+def _csv_round_trip(t: Tables) -> DataFrame:
+    path = _scratch(t)
+    io.write_table(t.nation.withColumn("note", F.when(c("n_nationkey") % 4 == 0, "NULL").otherwise(c("n_name"))), path, fmt="csv")
+    return io.read_delimited(t.spark, path, columns=["n_nationkey", "note", "absent"]).select(c("n_nationkey").cast("int").alias("n_nationkey"), "note")
+
+
+query("s1_read_delimited", "", "SELECT n_nationkey, case when n_nationkey % 4 <> 0 then n_name end note from nation")(_csv_round_trip)
+query("s2_read_parquet", "", "SELECT o_orderkey, o_totalprice from orders")(lambda t: io.read_parquet(t.spark, f"{t.dir}/orders.parquet", ["o_orderkey", "o_totalprice", "absent"], intersect=True))
+
+
+def _many(t: Tables) -> DataFrame:
+    path = _scratch(t)
+    for name, part in (("a", t.nation.where("n_nationkey < 10")), ("b", t.nation.where("n_nationkey >= 10"))):
+        io.write_table(part, f"{path}/{name}")
+    return io.read_many(t.spark, path, tag="source_file").select("n_nationkey", "n_name", c("source_file").endswith(".parquet").alias("tagged"))
+
+
+query("s3_read_many", "", "SELECT n_nationkey, n_name, true tagged from nation")(_many)
+query("s5_sql_template", "", "SELECT o_custkey, count(*) n from orders where o_totalprice > 100000 group by 1")(
+    lambda t: (t.orders.createOrReplaceTempView("wardline_orders"), io.run_template(t.spark, "select o_custkey, count(*) n from identifier(:orders) where o_totalprice > :least group by 1", {"orders": "wardline_orders"}, least=100000))[1]
+)
+query("s6_query_folder", "", "SELECT r_name, count(*) n from nation join region on n_regionkey = r_regionkey group by 1")(lambda t: io.query_folder(t.spark, "select r_name, count(*) n from nation join region on n_regionkey = r_regionkey group by 1", t.dir, ["nation", "region"]))
+
+
+def _written(t: Tables) -> DataFrame:
+    path = _scratch(t)
+    io.write_table(t.orders.select("o_custkey", "o_orderstatus"), path, rows_per_file=5000, unique=True, partition_by=["o_orderstatus"])
+    return t.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+query("s7_write_table", "", "SELECT o_orderstatus, count(distinct o_custkey) n from orders group by 1")(_written)
+_TARGET = {"id": ("int", None, False), "name": ("string", 6, True), "size": ("int", None, True)}
+_raw = lambda t: t.part.select(F.when(c("p_partkey") % 9 != 0, c("p_partkey").cast("string")).alias("id"), c("p_brand").alias("name"), F.when(c("p_partkey") % 7 == 0, "many").otherwise(c("p_size").cast("string")).alias("size"))
+query("s8_conform", "", "SELECT case when p_partkey % 9 = 0 or p_partkey % 7 = 0 then 'rejected' else 'kept' end side, count(*) n from part group by 1")(
+    lambda t: (lambda kept, bad: kept.agg(F.lit("kept").alias("side"), F.count("*").alias("n")).union(bad.agg(F.lit("rejected"), F.count("*"))).where("n > 0"))(*io.conform(_raw(t), _TARGET, truncate=True))
+)
+query("s9_bucket_by_id", "", "SELECT count(distinct o_custkey) ids, count(distinct o_custkey) pairs from orders")(lambda t: io.bucket_by_id(t.orders, "o_custkey", 16).agg(F.count_distinct("o_custkey").alias("ids"), F.count_distinct("o_custkey", "batch").alias("pairs")))
+query("s11_effective_dated_reference", "", "SELECT p_partkey, 1997 as release, p_size concept from part where p_partkey % 4 <> 0")(
+    lambda t: io.load_effective_dated(t.spark.createDataFrame([(1996,)], "release int"), t.part.select("p_partkey", F.explode(F.array(F.lit(1996), F.lit(1997))).alias("release"), F.when(c("p_partkey") % 4 == 0, "TC").alias("modifier")), t.part.select("p_partkey", c("p_size").alias("concept")), code="p_partkey", release="release", modifier="modifier").select("p_partkey", "release", "concept")
+)
+query("s12_zip_rank_reference", "", "SELECT lpad(cast(s_suppkey as varchar), 9, '0') zip, s_acctbal as rank from supplier union all select lpad(cast(900000000 + c_custkey as varchar), 9, '0'), c_acctbal from customer")(
+    lambda t: io.zip_ranks([t.supplier.select(F.concat(F.lit("G"), F.lpad(c("s_suppkey").cast("string"), 9, "0")).alias("ZIPID"), c("s_acctbal").alias("RANK_A")), t.customer.select((c("c_custkey") + 900000000).cast("string").alias("zip_4"), c("c_acctbal").alias("rank_b"))], key="zip", columns={"ZIPID": "zip", "zip_4": "zip", "RANK_A": "rank", "rank_b": "rank"})
+)
+
+
+def _packaged(t: Tables) -> DataFrame:
+    split = t.customer.select(c("c_custkey").alias("id"), F.when(c("c_custkey") % 5 == 0, "Test").otherwise("Development").alias("split"))
+    frames = {"static": t.customer.select(c("c_custkey").alias("id"), "c_acctbal"), "series": t.events.groupBy(c("user_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("xs"))}
+    y = t.orders.groupBy(c("o_custkey").alias("id")).agg(F.max(F.when(c("o_orderstatus") == "P", 1).otherwise(0)).alias("y"))
+    out = io.package_dataset(frames, split, y, key="id")
+    return out["series"].groupBy("split").agg(F.count("*").alias("n"), F.sum(F.size("xs")).alias("steps"))
+
+
+query("s13_package_dataset", "", "SELECT case when user_id % 5 = 0 then 'Test' else 'Development' end split, count(distinct user_id) n, count(*) steps from events where user_id in (select o_custkey from orders) and user_id in (select c_custkey from customer) group by 1")(_packaged)
+query("s14_populate_cohort", "visits", "SELECT 8 cohort_definition_id, person_id subject_id, start_at cohort_start_date, end_at cohort_end_date from visits where status = 'P'")(
+    lambda t: io.populate_cohort(t.visits.where("status = 'P'"), t.spark.createDataFrame([(7,)], "cohort_definition_id int"), definition_name="pending", subject="person_id", start="start_at", end="end_at")[0]
+)
+query("p3_sanitize_columns", "", "SELECT n_nationkey nation_key, n_name nation_name from nation")(lambda t: typing_ops.sanitize_columns(t.nation.select(c("n_nationkey").alias("NationKey"), c("n_name").alias("nation Name%"))))
