@@ -120,7 +120,7 @@ def clip_or_redraw(column: Column, fit: NumericFit, key: Column, *, redraw: bool
     """Numbers beyond the fitted 1 and 99 percent quantiles are clipped, or drawn anew in the outer band."""
     lo, hi = F.lit(fit.low), F.lit(fit.high)
     if not redraw:
-        return F.greatest(lo, F.least(hi, column))
+        return F.when(column.isNotNull(), F.greatest(lo, F.least(hi, column)))  # least and greatest skip nulls
     band = 0.14 * (fit.high - fit.low)
     u = uniform(key, seed)
     return F.when(column < lo, lo + u * band).when(column > hi, hi - u * band).otherwise(column)
