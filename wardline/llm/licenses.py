@@ -49,7 +49,7 @@ SENTENCES: dict[str, str] = {
     "BSD2_LICENSED": "licensed under the bsd 2 clause license",
     "BSD_REDISTRIBUTION": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "BSD_NEITHER": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-    "MPL_NOTICE": "this source code form is subject to the terms of the mozilla public license v. 2.0",
+    "MPL_NOTICE": "this source code form is subject to the terms of the mozilla public license v",
     "MPL_SHORT": "licensed under the mozilla public license version 2.0",
     "CCBY_WORK": "this work is licensed under a creative commons attribution 4.0 international license",
     "CCBY_SHORT": "licensed under cc by 4.0",
@@ -127,7 +127,7 @@ def known_sentences(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order, with nulls for others."""
     table = F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (s, i)))
     pieces = F.split(F.regexp_replace(text, LINE, ". $1"), BREAK, -1)
-    plain = lambda s: F.trim(F.regexp_replace(F.lower(s), r"[^a-z0-9.]+", " "))
+    plain = lambda s: F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9.]+", " "), r"^[ .]+|[ .]+$", "")
     return F.transform(pieces, lambda s: F.try_element_at(table, plain(s)))
 
 
@@ -149,7 +149,7 @@ def sql() -> str:
     return f"""with known(s, id) as (values {known}), rules(seq, name) as (values {rules}),
 d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
 cut as (select r, unnest(p) s, generate_subscripts(p, 1) i from (select r, string_split_regex(regexp_replace(t, '{LINE}', '. \\1', 'g'), '{BREAK}') p from d)),
-ids as (select r, string_agg(id, ' ' order by i) ids, count(*) n from cut join known on known.s = trim(regexp_replace(lower(cut.s), '[^a-z0-9.]+', ' ', 'g')) group by r),
+ids as (select r, string_agg(id, ' ' order by i) ids, count(*) n from cut join known on known.s = regexp_replace(regexp_replace(lower(cut.s), '[^a-z0-9.]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g') group by r),
 hits as (select r, unnest(m) seq, generate_subscripts(m, 1) k from (select r, regexp_extract_all(ids || ' ', '{RULE}') m from ids)),
 named as (select r, string_agg(name, ',' order by k) names from hits join rules using (seq) group by r)
 select doc_id, coalesce(ids, '') sentence_ids, coalesce(names, '') licenses, coalesce(n, 0)::bigint n_sentences from d left join ids using (r) left join named using (r)"""
