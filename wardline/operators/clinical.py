@@ -249,3 +249,32 @@ def counts_with_totals(df: DataFrame, rows: Sequence[str], column: str, values:
     cells = [F.count(F.when(c(column) == v, 1)).alias(v) for v in values]
     each = df.groupBy(*rows).agg(*cells, F.count("*").alias("total"))
     return each.unionByName(df.agg(*cells, F.count("*").alias("total")).select(*(F.lit("Total").alias(r) for r in rows), *values, "total"))
+
+
+def describe_injury(stages: DataFrame, *, by: Sequence[str], at: str, stage: str) -> DataFrame:
+    """Each value as AKI (first two days of an episode), Persistent AKI (to seven), AKD (later), Recovery or none.
+
+    Recovery is a value without injury within seven days of the last one with it; a pause of over two days
+    ends an episode.
+    """
+    w = Window.partitionBy(*by).orderBy(at)
+    last = F.last(F.when(c(stage) > 0, c(at)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = (c(stage) > 0) & (last.isNull() | (F.unix_micros(at) - F.unix_micros(last) > 2 * windows.DAY))
+    begun = stages.withColumn("_last", last).withColumn("_new", fresh).withColumn("_begin", F.last(F.when(c("_new"), c(at)), ignorenulls=True).over(w))
+    days = (F.unix_micros(at) - F.unix_micros("_begin")) / windows.DAY
+    label = F.when(c(stage) > 0, F.when(days <= 2, "AKI").when(days <= 7, "Persistent AKI").otherwise("AKD")).when(F.unix_micros(at) - F.unix_micros("_last") <= 7 * windows.DAY, "Recovery")
+    return begun.withColumn("description", label).drop("_last", "_new", "_begin")
+
+
+def filter_creatinine(labs: DataFrame, encounters: DataFrame, *, value: str, unit: str, factors: Mapping[str, float]) -> DataFrame:
+    """Positive values in the standard unit, of persons with an admissible encounter; units without factor go."""
+    fixed = labs.withColumn(value, S.convert_unit(c(value), c(unit), dict(factors)))
+    return fixed.where(c(value) > 0).join(encounters.select("person_id").distinct(), "person_id", "left_semi")
+
+
+def merge_outputs(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Results of several batches as one table; a row that several batches hold stands once."""
+    out = batches[0]
+    for b in batches[1:]:
+        out = out.unionByName(b, allowMissingColumns=True)
+    return out.dropDuplicates(list(keys))

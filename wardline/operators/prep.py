@@ -176,3 +176,11 @@ def robust_outliers(df: DataFrame, by: Sequence[str], value: str, limit: float =
     mad = near.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_mad"))
     z = 0.6745 * (F.col(value) - F.col("_m")) / F.col("_mad")
     return near.join(mad, list(by)).withColumn("modified_z", F.when(F.col("_mad") > 0, z)).withColumn("outlier", F.coalesce((F.abs("modified_z") > limit).cast("int"), F.lit(0))).drop("_m", "_mad")
+
+
+def columns_by_kind(df: DataFrame) -> DataFrame:
+    """Rows (kind, column): which columns are numeric, text, time or other."""
+    kinds = {"string": "text", "boolean": "flag", "date": "time", "timestamp": "time", "timestamp_ntz": "time"}
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    rows = [(kinds.get(t, "numeric" if t in numeric or t.startswith("decimal") else "other"), c) for c, t in df.dtypes]
+    return df.limit(1).select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column")) for k, c in rows))).alias("x")).select("x.*")

@@ -113,6 +113,17 @@ g as (select person_id, cast(episode as bigint) episode, min(day) begin_day, max
 SELECT g.*, case when length > 7 then 'acute disease' when length > 2 then 'persistent' else 'rapid reversal' end kind, case when end_day < last_day then 1 else 0 end recovered from g join (select person_id, max(day) last_day from d group by 1) using (person_id)""")(
     lambda t: C.aki_trajectory(_aki(t).groupBy("person_id", F.to_date("taken_at").alias("day")).agg(F.max("stage").alias("stage")), by=["person_id"], day="day", stage="stage")
 )
+query("c17_aki_description", "measurements", _AKI + """, d as (select *, max(case when stage > 0 then taken_at end) over (partition by person_id order by taken_at rows between unbounded preceding and 1 preceding) prev from s),
+b as (select *, last_value(case when stage > 0 and (prev is null or taken_at > prev + interval 2 day) then taken_at end ignore nulls) over (partition by person_id order by taken_at) bg from d)
+SELECT measurement_id, case when stage > 0 then case when taken_at <= bg + interval 2 day then 'AKI' when taken_at <= bg + interval 7 day then 'Persistent AKI' else 'AKD' end when taken_at <= prev + interval 7 day then 'Recovery' end description from b""")(
+    lambda t: C.describe_injury(_aki(t), by=["person_id"], at="taken_at", stage="stage").select("measurement_id", "description")
+)
+query("c19_creatinine_filter", "measurements visits", "SELECT measurement_id, case unit when 'mg/dl' then value else value * 100 end as value from measurements where value > 0 and unit is not null and person_id in (select person_id from visits where status = 'P')", "value")(
+    lambda t: C.filter_creatinine(t.measurements, t.visits.where("status = 'P'"), value="value", unit="unit", factors={"mg/dl": 1.0, "g/l": 100.0}).select("measurement_id", "value")
+)
+query("c20_kidney_outputs", "visits", "SELECT visit_id, status from visits where status in ('F', 'P') or visit_id % 2 = 0")(
+    lambda t: C.merge_outputs([t.visits.where("status = 'F'"), t.visits.where("status = 'P'"), t.visits.where("visit_id % 2 = 0")], ["visit_id"]).select("visit_id", "status")
+)
 query("c21_ckd_at_anchor", "visits measurements", _LABS + """, a as (select person_id, min(start_at) + interval 5 day anchor from visits group by 1)
 SELECT a.person_id, case when cr >= 3 then 'severe' when cr is not null then 'mild' end class, taken_at matched_at from a asof left join labs l on l.person_id = a.person_id and anchor > taken_at""")(
     lambda t: joins.asof_join(t.visits.groupBy("person_id").agg((F.min("start_at") + F.expr("interval 5 days")).alias("anchor")), _labs(t), on="anchor", right_on="taken_at", by=["person_id"], values=["cr"], strict=True, tie=["measurement_id"]).select("person_id", F.when(c("cr") >= 3, "severe").when(c("cr").isNotNull(), "mild").alias("class"), "matched_at")

@@ -329,10 +329,10 @@ query("p19_map_values", "", "SELECT o_orderkey, case when o_orderkey % 6 = 0 the
     lambda t: t.orders.select("o_orderkey", typing_ops.map_values(F.when(c("o_orderkey") % 6 != 0, c("o_orderstatus")), {"F": "final", "O": "open"}, default="none", other="rest").alias("status"))
 )
 _TEXTS = "case event_id % 8 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' else 'trace' end"
-_texts = F.expr("case event_id % 8 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' else 'trace' end")
+_texts = lambda: F.expr("case event_id % 8 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' else 'trace' end")
 query("f1_f2_f3_result_text", "", f"""x as (select event_id, user_id, {_TEXTS} t from events)
 SELECT event_id, cast(case event_id % 8 when 0 then user_id when 1 then user_id + 2 when 2 then user_id when 5 then 1200 + 10 + user_id % 80 end as double) number, case when t like '<%' then '<' end sign, case when event_id % 8 = 7 then 'Small' when event_id % 8 = 2 then 'Negative' end grade from x""")(
-    lambda t: t.events.select("event_id", S.extract_number(_texts).alias("number"), S.extract_operator(_texts).alias("sign"), S.grade_text(_texts).alias("grade"))
+    lambda t: t.events.select("event_id", S.extract_number(_texts()).alias("number"), S.extract_operator(_texts()).alias("sign"), S.grade_text(_texts()).alias("grade"))
 )
 query("f4_postal_code", "", "SELECT c_custkey, lpad(cast(c_custkey * 7919 % 100000 as varchar), 5, '0') zip5, case when c_custkey % 2 = 0 then lpad(cast(c_custkey * 7919 % 100000 as varchar), 5, '0') || '1234' end zip9 from customer")(
     lambda t: t.customer.withColumn("z", F.concat(F.lpad((c("c_custkey") * 7919 % 100000).cast("string"), 5, "0"), F.when(c("c_custkey") % 2 == 0, "-1234").otherwise(""))).select("c_custkey", S.postal_code(c("z")).alias("zip5"), S.postal_code(c("z"), 9).alias("zip9"))

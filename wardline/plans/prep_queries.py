@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions import hooks
 from wardline.operators import prep, quality, stats, typing_ops
 from wardline.plans.cdm import Tables
 from wardline.plans.registry import query
@@ -188,3 +189,37 @@ query("s14_populate_cohort", "visits", "SELECT 8 cohort_definition_id, person_id
     lambda t: io.populate_cohort(t.visits.where("status = 'P'"), t.spark.createDataFrame([(7,)], "cohort_definition_id int"), definition_name="pending", subject="person_id", start="start_at", end="end_at")[0]
 )
 query("p3_sanitize_columns", "", "SELECT n_nationkey nation_key, n_name nation_name from nation")(lambda t: typing_ops.sanitize_columns(t.nation.select(c("n_nationkey").alias("NationKey"), c("n_name").alias("nation Name%"))))
+
+
+# --- user functions -------------------------------------------------------------------------------------------------
+
+
+def _gap_rule(g):
+    """Islands by a pause of over two hours since the latest end."""
+    latest = g["loc_end"].cummax().shift()
+    return ((g["loc_start"] - latest).dt.total_seconds() > 7200).cumsum()
+
+
+query("xu1_aggregate_by_name", "", "SELECT user_id, max(value) - min(value) as value, count(distinct event_type) event_type from events group by 1", "value")(lambda t: hooks.aggregate_by(t.events, ["user_id"], {"value": "range", "event_type": F.count_distinct}))
+query("xu2_custom_overlap", "locations", """a as (select *, case when loc_start > max(loc_end + interval 2 hour) over (partition by person_id order by loc_start, loc_end rows between unbounded preceding and 1 preceding) then 1 else 0 end n from locations),
+b as (select *, sum(n) over (partition by person_id order by loc_start, loc_end rows unbounded preceding) island from a)
+SELECT person_id, min(loc_start) loc_start, max(loc_end) loc_end, count(*) n_merged from b group by person_id, island""")(lambda t: hooks.condense_custom(t.locations, by=["person_id"], start="loc_start", end="loc_end", islands=_gap_rule))
+query("xu3_interval_preparation", "locations", "SELECT person_id, count(*) n from locations where label <> 'view' group by 1")(lambda t: hooks.steps(t.locations, lambda d: d.where("label <> 'view'"), lambda d: d.groupBy("person_id").agg(F.count("*").alias("n"))))
+query("k5_fisher_counts", "", "SELECT count(*) filter (quality = 1 and toxic = 1) a, count(*) filter (quality = 1 and toxic = 0) b, count(*) filter (quality = 0 and toxic = 1) c, count(*) filter (quality = 0 and toxic = 0) d from labels")(
+    lambda t: t.labels.agg(*(F.count_if((c("quality") == q) & (c("toxic") == x)).alias(n) for n, q, x in (("a", 1, 1), ("b", 1, 0), ("c", 0, 1), ("d", 0, 0))))
+)
+query("e10_split_by_dtype", "", "SELECT 'numeric' kind, 'value' as \"column\" union all select 'numeric', 'event_id' union all select 'numeric', 'user_id' union all select 'text', 'event_type' union all select 'text', 'props' union all select 'time', 'ts'")(
+    lambda t: prep.columns_by_kind(t.events)
+)
+query("e15_lab_ratio_to_baseline", "measurements", "b as (select person_id, min(value) m from measurements where value > 0 group by 1) SELECT measurement_id, value / m ratio from measurements join b using (person_id)", "ratio")(
+    lambda t: t.measurements.join(t.measurements.where("value > 0").groupBy("person_id").agg(F.min("value").alias("m")), "person_id").select("measurement_id", (c("value") / c("m")).alias("ratio"))
+)
+
+
+def _preflight(t: Tables) -> DataFrame:
+    t.orders.createOrReplaceTempView("wardline_preflight")
+    missing = quality.preflight(t.spark, {"wardline_preflight": ["o_orderkey", "o_absent"], "wardline_no_table": []})
+    return t.orders.agg(F.count("*").alias("n")).withColumn("missing", F.lit(",".join(missing)))
+
+
+query("d3_source_preflight", "", "SELECT count(*) n, 'wardline_preflight.o_absent,wardline_no_table' missing from orders")(_preflight)
