@@ -12,11 +12,11 @@ c = F.col
 
 # --- windowed facts -------------------------------------------------------------------------------------------
 
-query("w1_most_recent_measurement", "visits measurements", """a as (select person_id, max(start_at) anchor from visits group by 1),
+query("w1_most_recent_measurement", "visits measurements", """a as (select person_id, min(start_at) + interval 15 day anchor from visits group by 1),
 r as (select m.*, anchor, row_number() over (partition by m.person_id, variable order by taken_at desc, measurement_id desc) rn from measurements m join a using (person_id) where taken_at between anchor - interval 365 day and anchor)
 SELECT person_id, variable, taken_at, value, anchor from r where rn = 1""", "value")(
     lambda t: windows.nth_row(
-        t.measurements.join(t.visits.groupBy("person_id").agg(F.max("start_at").alias("anchor")), "person_id").where(typing_ops.window_filter(c("taken_at"), c("anchor"), c("anchor"), before="365 DAYS")),
+        t.measurements.join(t.visits.groupBy("person_id").agg((F.min("start_at") + F.expr("interval 15 days")).alias("anchor")), "person_id").where(typing_ops.window_filter(c("taken_at"), c("anchor"), c("anchor"), before="365 DAYS")),
         ["person_id", "variable"], [c("taken_at").desc(), c("measurement_id").desc()],
     ).select("person_id", "variable", "taken_at", "value", "anchor")
 )
