@@ -249,7 +249,7 @@ def _send(depth: int, count: int):
     return run
 
 
-ANSWER = pa.schema([("kind", pa.string()), ("block", pa.int32()), ("bucket", pa.int32()), ("values", pa.binary())])
+ANSWER = pa.schema([("kind", pa.string()), ("block", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
 
 def _answer(depth: int, chance: np.ndarray, left: np.ndarray):
@@ -257,7 +257,7 @@ def _answer(depth: int, chance: np.ndarray, left: np.ndarray):
         kind, keys, counts, inverse, sizes = _merged(table)
         values = (Trees(keys, counts, depth).log10(chance, left) if kind == "gram" else counts)[inverse]
         cut = np.split(values.astype("<f8"), np.cumsum(sizes)[:-1])
-        return pa.Table.from_arrays([table.column("kind").combine_chunks(), table.column("block").combine_chunks(), table.column("bucket").combine_chunks(), pa.array([c.tobytes() for c in cut], pa.binary())], schema=ANSWER)
+        return pa.Table.from_arrays([table.column("kind").combine_chunks(), table.column("block").combine_chunks(), table.column("keys").combine_chunks(), pa.array([c.tobytes() for c in cut], pa.binary())], schema=ANSWER)
 
     return run
 
@@ -268,25 +268,21 @@ SCORES = pa.schema(
 )
 
 
-def _score(depth: int, count: int, tokens: int, vocabulary: int):
+def _score(depth: int, tokens: int, vocabulary: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         import pandas as pd
 
         cols: list[list] = [[] for _ in SCORES]
         if table.num_rows:
             texts, training = table.column("text").cast(pa.binary()).to_pylist(), table.column("training").to_pylist()
-            got = Gathered(depth)
-            got.add(texts, training)
-            mine, log10 = got.by_bucket(count), math.log10(tokens + vocabulary + 1)
-            known, keys, values = {}, [], []
-            for kind, k, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "values")), strict=True):
+            log10 = math.log10(tokens + vocabulary + 1)
+            worth, keys, values = {}, [], []
+            for kind, blob, got in zip(*(answers.column(c).to_pylist() for c in ("kind", "keys", "values")), strict=True):
                 if kind == "gram":
-                    keys.append(mine[kind, k][0])
-                    values.append(np.frombuffer(blob, "<f8"))
+                    keys.append(_from_planes(blob))
+                    values.append(np.frombuffer(got, "<f8"))
                 else:
-                    known.update(zip(mine[kind, k][0], np.frombuffer(blob, "<f8").tolist(), strict=True))
-            worth = {w: math.log10(c + 1) - log10 for w, c in known.items()}
-            seen = {w: c > 0 for w, c in known.items()}
+                    worth.update(zip(blob.split(b" "), (np.log10(np.frombuffer(got, "<f8") + 1) - log10).tolist(), strict=True))
             index, values = pd.Index(np.concatenate(keys)), np.concatenate(values)
             lo = 0
             while lo < len(texts):
@@ -299,7 +295,8 @@ def _score(depth: int, count: int, tokens: int, vocabulary: int):
                 for i, learn, text, s in zip(table.column("doc_id")[lo:hi].to_pylist(), training[lo:hi], texts[lo:hi], scores.tolist(), strict=True):
                     words = text.lower().split()
                     words.append(b"")
-                    row = (i, not learn, len(words), sum(map(seen.__getitem__, words)), tokens, math.fsum(map(worth.__getitem__, words)), s, -s * math.log2(10) / (len(text) + 1))
+                    each = list(map(worth.__getitem__, words))
+                    row = (i, not learn, len(words), len(each) - each.count(-log10), tokens, math.fsum(each), s, -s * math.log2(10) / (len(text) + 1))
                     for c, v in zip(cols, row, strict=True):
                         c.append(v)
                 lo = hi
@@ -308,7 +305,7 @@ def _score(depth: int, count: int, tokens: int, vocabulary: int):
     return run
 
 
-def code_lengths(docs: DataFrame, training: Column, *, id_column: str = "doc_id", text_column: str = "text", depth: int = 5, block_bytes: int = 24 << 20) -> DataFrame:
+def code_lengths(docs: DataFrame, training: Column, *, id_column: str = "doc_id", text_column: str = "text", depth: int = 5, block_bytes: int = 16 << 20) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte), one for each input row.
 
     training: which rows the model learns from. Scores are log10 probabilities of whole texts and their ends.
@@ -324,6 +321,6 @@ def code_lengths(docs: DataFrame, training: Column, *, id_column: str = "doc_id"
     chance, left = upper_levels([r for r in rows if r[0] >= 0])
     blocked = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     sent = blocked.groupBy("block").applyInArrow(_send(depth, count), _SENT)
-    answers = sent.groupBy("kind", "bucket").applyInArrow(_answer(depth, chance, left), "kind string, block int, bucket int, values binary")
+    answers = sent.groupBy("kind", "bucket").applyInArrow(_answer(depth, chance, left), "kind string, block int, keys binary, values binary")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(depth, count, tokens, vocabulary), schema)
+    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(depth, tokens, vocabulary), schema)
