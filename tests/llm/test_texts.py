@@ -278,6 +278,25 @@ def test_planted_items_are_found_and_others_not(spark):
     assert decontaminate.find_leaks(frame(spark, data), decontaminate.build_index(frame(spark, data), benchmark.limit(0))).count() == 0
 
 
+def test_the_most_widespread_item_is_found(spark):
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(4, 9))) for _ in range(6000)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    own = [f"leak{k}" for k in range(16)]
+    thin = own[:3] + ["other"] + own[4:7] + ["one"] + own[8:12] + own[13:]  # three of sixteen words changed or left out
+    data = []
+    for i in range(1200):  # short documents, over 50,000 words in all
+        w = prose(r.randrange(35, 60)).split()
+        k = r.randrange(len(w))
+        data.append((i, " ".join(w[:k] + (own if i % 6 == 0 else thin if i % 6 == 3 else []) + w[k:])))
+    benchmark = spark.createDataFrame([(7, " ".join(own)), *((k + 10, prose(20)) for k in range(5))], "item_id long, text string")
+    index = decontaminate.build_index(frame(spark, data), benchmark, dimensions=32)
+    assert not any(index.space.rare[decontaminate._Feature()[w.encode()]] for w in own)
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(frame(spark, data), index).collect()}
+    assert got == {(i, 7) for i in range(0, 1200, 3)}
+    assert decontaminate.drop_leaks(frame(spark, data), index).count() == 800
+
+
 # --- packing -------------------------------------------------------------------------------------------------------------------
 
 
