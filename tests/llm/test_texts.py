@@ -120,6 +120,61 @@ def test_each_known_sentence_is_hinted_and_ruled():
     assert {i for _, ids in licenses.RULES for i in ids} <= set(licenses.SENTENCES)
 
 
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def test_public_notices_as_they_stand(spark):
+    comment = lambda text: "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in text.splitlines()) + " */\nint main;"
+    want = {
+        APACHE: "Apache-2.0",
+        comment(APACHE): "Apache-2.0",
+        GPL: "GPL-3.0-or-later",
+        comment(GPL): "GPL-3.0-or-later",
+        GPL.replace("software: you", "software; you").replace("version 3", "version 2"): "GPL-2.0-or-later",
+        "// SPDX-License-Identifier: MIT\n// Copyright (c) 2020 Someone": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-or-later\n\nimport os": "GPL-2.0-or-later",
+        "/* SPDX-License-Identifier: Apache-2.0 */": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0+": "GPL-2.0",
+        "Some prose.\nLicensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-SA 4.0. Licensed under CC BY-NC-ND 4.0.": "CC-BY-SA-4.0,CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+        "Licensed under the\nBSD 3-Clause License.": "BSD-3-Clause",
+        "Unlicense. MIT. Work with: mit": "",
+    }
+    rows = licenses.scan(frame(spark, list(enumerate(want)))).collect()
+    assert [r["licenses"] for r in sorted(rows, key=lambda r: r["doc_id"])] == list(want.values())
+    assert rows[0]["n_sentences"] == 6
+    duckdb = pytest.importorskip("duckdb")
+    documents = pa.table({"doc_id": list(range(len(want))), "text": list(want)})  # noqa: F841
+    assert sorted(duckdb.sql(licenses.sql()).fetchall()) == sorted(tuple(r) for r in rows)
+
+
 # --- language model -------------------------------------------------------------------------------------------------------
 
 

@@ -63,10 +63,38 @@ SENTENCES: dict[str, str] = {
     "SPDX_APACHE": "spdx license identifier apache 2.0",
     "SPDX_GPL3": "spdx license identifier gpl 3.0",
     "SPDX_BSD3": "spdx license identifier bsd 3 clause",
+    # the public texts as the splitter cuts them
+    "APACHE_HEADER": "licensed under the apache license version 2.0 the license",
+    "APACHE_AT": "you may obtain a copy of the license at",
+    "APACHE_URL": "http www.apache.org licenses license 2.0",
+    "APACHE_URLS": "https www.apache.org licenses license 2.0",
+    "APACHE_COPYS": "you may obtain a copy of the license at https www.apache.org licenses license 2.0",
+    "FREE_PROGRAM": "this program is free software",
+    "FREE_V3": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "FREE_V2": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "HOPE_USEFUL": "this program is distributed in the hope that it will be useful but without any warranty",
+    "HOPE_IMPLIED": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "SPDX_TAG": "spdx license identifier",
 }
+#: Licences by SPDX identifier; a line 'SPDX-License-Identifier: MIT' is cut at its colon.
+SPDX: tuple[str, ...] = (
+    "MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0",
+)
+#: Older identifiers; normalising drops a closing +, so they name the version only.
+SPDX_OLD = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+_named = lambda name: name.upper().replace("-", "_").replace(".", "_") + "_NAMED"
+SENTENCES |= {_named(n): n.lower().replace("-", " ") for n in (*SPDX, *SPDX_OLD)}
+#: Creative Commons licences besides CC BY: short and long names.
+CC = {"SA": "sharealike", "NC": "noncommercial", "ND": "noderivatives", "NC-SA": "noncommercial sharealike", "NC-ND": "noncommercial noderivatives"}
+SENTENCES |= {f"CC_{k.replace('-', '_')}_SHORT": f"licensed under cc by {k.lower().replace('-', ' ')} 4.0" for k in CC}
+SENTENCES |= {f"CC_{k.replace('-', '_')}_WORK": f"this work is licensed under a creative commons attribution {v} 4.0 international license" for k, v in CC.items() if k not in ("SA", "NC")}
 
 #: Ordered rules: the first that matches at a place takes its sentences.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+    *(("Apache-2.0", (notice, "APACHE_MAY_NOT", *copy, *rest)) for rest in (("APACHE_AS_IS", "APACHE_SEE"), ()) for notice in ("APACHE_HEADER", "APACHE_NOTICE") for copy in (("APACHE_AT", "APACHE_URL"), ("APACHE_AT", "APACHE_URLS"), ("APACHE_COPY",), ("APACHE_COPYS",)) if (notice, copy) != ("APACHE_NOTICE", ("APACHE_COPY",))),
+    *((f"GPL-{v}.0-or-later", ("FREE_PROGRAM", f"FREE_V{v}", *rest)) for v in (3, 2) for rest in (("HOPE_USEFUL", "HOPE_IMPLIED", "GPL_SEE", "GPL_COPY"), ("HOPE_USEFUL", "HOPE_IMPLIED"), ())),
+    *((n, ("SPDX_TAG", _named(n))) for n in (*SPDX, *SPDX_OLD)),
     ("Apache-2.0", ("APACHE_NOTICE", "APACHE_MAY_NOT", "APACHE_COPY", "APACHE_AS_IS", "APACHE_SEE")),
     ("Apache-2.0", ("APACHE_NOTICE", "APACHE_MAY_NOT", "APACHE_COPY")),
     ("MIT", ("MIT_TITLE", "MIT_GRANT", "MIT_NOTICE", "AS_IS")),
@@ -81,6 +109,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("BSD-2-Clause", ("BSD_REDISTRIBUTION",)),
     ("ISC", ("ISC_GRANT", "AS_IS")),
     ("ISC", ("ISC_GRANT",)),
+    ("Apache-2.0", ("APACHE_HEADER",)),
     ("Apache-2.0", ("APACHE_NOTICE",)),
     ("Apache-2.0", ("APACHE_ANY",)),
     ("Apache-2.0", ("SPDX_APACHE",)),
@@ -110,14 +139,15 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", ("CCBY_SHORT",)),
     ("CC-BY-SA-4.0", ("CCBYSA_WORK",)),
     ("CC-BY-NC-4.0", ("CCBYNC_WORK",)),
+    *((f"CC-BY-{k}-4.0", (f"CC_{k.replace('-', '_')}_{form}",)) for k in CC for form in ("SHORT", "WORK") if (k, form) not in (("SA", "WORK"), ("NC", "WORK"))),
     ("CC0-1.0", ("CC0_WORK",)),
     ("Unlicense", ("UNLICENSE",)),
     ("Proprietary", ("RESERVED",)),
 )
 #: Each known sentence has one of these, so other texts need no cutting.
-HINT = "(?i)licen|redistribut|warrant|copyright|public domain|permission|rights reserved|free software"
+HINT = r"(?i)licen|redistribut|warrant|copyright|public[^a-z0-9]+domain|permission|rights[^a-z0-9]+reserved|free[^a-z0-9]+software|apache|gpl|bsd|cc0|cc[^a-z0-9]+by|mpl[^a-z0-9]+2|(?:^|[^a-z0-9])(?:mit|isc)(?:$|[^a-z0-9])"
 #: Lines that begin like a known sentence begin a sentence, whatever stands before.
-STARTS = sorted({" ".join(s.split()[:2]) for s in SENTENCES.values()})
+STARTS = sorted({" ".join(s.split()[:2]) for i, s in SENTENCES.items() if not i.endswith("_NAMED")} | {"copyright c", "copyright 19", "copyright 20"})
 LINE = r"\n([^A-Za-z0-9\n]*(?i:" + "|".join(s.replace(" ", r"[^A-Za-z0-9\n]+") for s in STARTS) + "))"
 BREAK = r"[.!?:;](?:\s+|$)|\n\s*\n"
 RULE = "|".join(f"(?:{' '.join(ids)}) " for _, ids in RULES)
