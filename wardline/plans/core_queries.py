@@ -248,6 +248,9 @@ SELECT person_id, cast(min(s) as timestamp) loc_start, cast(max(e) as timestamp)
 query("i5_expand_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits where visit_id % 5 = 0")(
     lambda t: intervals.expand_to_grid(t.visits.where("visit_id % 5 = 0"), start="start_at", end="end_at", step="1 DAY").select("visit_id", "at")
 )
+query("i5_expand_all_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits")(
+    lambda t: intervals.expand_to_grid(t.visits, start="start_at", end="end_at", step="1 DAY").select("visit_id", "at")
+)
 query("i6_trim_to_bounds", "visits exposures", "SELECT e.visit_id, drug_id, greatest(exp_start, start_at) exp_start, least(exp_end, end_at) exp_end from exposures e join visits v using (visit_id) where exp_end >= start_at and exp_start <= end_at")(
     lambda t: intervals.trim_to_bounds(t.exposures.select("visit_id", "drug_id", "exp_start", "exp_end"), t.visits.select("visit_id", "start_at", "end_at"), key="visit_id", start="exp_start", end="exp_end", low="start_at", high="end_at")
 )
