@@ -68,6 +68,18 @@ def test_components_are_those_of_all_pairs(spark, texts, size, percent):
         assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(sets[i]), find(i), find(i) == i)
 
 
+def test_both_ways_to_compare_open_buckets_agree(spark):
+    r, base = random.Random(31), [f"w{k}" for k in range(60)]
+    data = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(r.randrange(12)):
+            words[r.randrange(60)] = f"v{r.randrange(40)}"
+        data.append((i, " ".join(words)))
+    got = [sorted(map(tuple, minhash.near_duplicates(frame(spark, data), small_bucket=n).collect())) for n in (0, 16, 10**9)]
+    assert got[0] == got[1] == got[2] and 1 < len({x[2] for x in got[0]}) < 150
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = frame(spark, [(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "q r s t"), (2, "a b c d")])
     got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in minhash.near_duplicates(df, shingle=3, percent=85).collect())
@@ -107,14 +119,14 @@ def removed(data, length):
     return {i: sorted(v) for i, v in out.items()}
 
 
-@pytest.mark.parametrize("block_bytes", [2_000, 1 << 20])
-def test_repeats_are_those_of_all_windows(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes,crowd,hot", [(2_000, 32, 4096), (1 << 20, 32, 4096), (2_000, 1, 1), (4_000, 10**9, 10**9), (4_000, 10**9, 1)])
+def test_repeats_are_those_of_all_windows(spark, block_bytes, crowd, hot):
     r = random.Random(8)
     shared, line = prose(r, 30), "é" * 40 + prose(r, 6)
     data = [(i, prose(r, r.randrange(1, 40)) + (" " + shared if i % 3 == 0 else "") + (line if i % 7 == 0 else "") + prose(r, r.randrange(3))) for i in range(150)]
     data += [(500, data[3][1]), (501, data[3][1] * 3), (502, None), (503, ""), (504, "z" * 5000), (505, "z" * 300), (506, "short"), (507, data[5][1]), (507, data[5][1]), (None, data[9][1]), (None, data[9][1])]
     got = {}
-    for x in suffix_dedup.drop_repeats(frame(spark, data), length=50, block_bytes=block_bytes).collect():
+    for x in suffix_dedup.drop_repeats(frame(spark, data), length=50, block_bytes=block_bytes, crowd=crowd, hot=hot).collect():
         got.setdefault(x["doc_id"], []).append((x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]))
     assert {i: sorted(v) for i, v in got.items()} == removed(data, 50)
     assert suffix_dedup.drop_repeats(frame(spark, data).limit(0)).count() == 0

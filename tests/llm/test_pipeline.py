@@ -68,3 +68,40 @@ def test_all_documents_are_packed(stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, P.run(spark, DATA).drop("sequence_id", "offset").collect())) == sorted(map(tuple, stages["packing"].drop("sequence_id", "offset").collect()))
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, spans string, score double"
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Documents with nulls, empty texts, a long text, repeated and clashing ids, and columns named like results."""
+    clean = "the morning train left the old station and everyone on board was quietly reading a newspaper about distant towns"
+    other = "a gardener planted seven rows of beans beside the stone wall before the rain came over the hills from the west"
+    rows = [
+        (1, clean, "en", "a", 1, "s", 0.5), (2, clean, None, None, None, None, None), (2, other, "en", "b", 2, "s", 0.1), (2, other, "en", "b", 2, "s", 0.1),
+        (3, None, None, "a", None, None, None), (4, "", "en", "a", 0, None, None), (None, clean, "en", "a", 1, None, None), (None, None, None, None, None, None, None),
+        (5, "alpha beta gamma delta " * 40_000 + "write to someone@mail.example.org", "en", "a", 3, None, None),
+    ]
+    root = tmp_path_factory.mktemp("odd")
+    spark.createDataFrame(rows, COLUMNS).write.parquet(str(root / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(str(root / f"{name}.parquet"))
+    return str(root)
+
+
+def test_stages_on_odd_rows(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, odd)
+        assert out.columns == docs.columns, name
+        rows = sorted((str(r["doc_id"]), str(r["text"])[:20]) for r in out.collect())
+        if name == "minhash":
+            assert rows == sorted([("1", "the morning train le"), ("2", "a gardener planted s"), ("3", "None"), ("4", ""), ("5", "alpha beta gamma del"), ("None", "the morning train le"), ("None", "None")])
+        else:
+            assert len(rows) == docs.count(), name
+        if name == "pii":
+            assert out.where("doc_id = 5").first()["text"].endswith("write to <email>")
+        assert stage(spark, docs.limit(0), odd).count() == 0
+    assert P.run(spark, odd).select("doc_id").distinct().count() == 6
+    assert P.pack_sequences(spark, docs, odd).count() > docs.count() and P.pack_sequences(spark, docs.limit(0), odd).count() == 0

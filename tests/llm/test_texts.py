@@ -1,11 +1,13 @@
 """Personal data, pages, licences, language model, toxicity, benchmark, packing: against plain versions and fixed cases."""
 
 import hashlib
+import itertools
 import math
 import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm import ctw, decontaminate, html_text, licenses, packing, pii, toxicity
 
-BPE = "/opt/tokenizers/byte_bpe_50k.json"
+BPE, SMALL = "/opt/tokenizers/byte_bpe_50k.json", "/root/testdata/sf0.001"
 
 
 def frame(spark, data):
@@ -285,6 +287,24 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.score(frame(spark, test[:1]), toxicity.fit(rows.limit(0))).first()["predicted"] == 1  # the smoothed share is a half
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    if not os.path.isdir(SMALL):
+        pytest.skip("no test tables")
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    models = [toxicity.fit(toxicity.training_rows(docs.repartition(n, "text"), labels.repartition(n))) for n in (1, 3, 7)]
+    assert all((m.words, m.stems, m.exceptions) == (models[0].words, models[0].stems, models[0].exceptions) and (m.beta == models[0].beta).all() for m in models)
+    text = "you utter moron, he said \"stupid\""
+    assert len({m.scorer().score(text) for m in models}) == 1
+
+
+def test_short_and_long_words_can_be_terms(spark):
+    bad = ["xq", "z" * 45]
+    rows = spark.createDataFrame([(int(k % 3 == 0), f"word{k % 50} some text number{k} {bad[k % 2] if k % 3 == 0 else ''}") for k in range(300)], "y int, text string")
+    model = toxicity.fit(rows)
+    assert set(bad) <= set(model.words) | {"z" * 4} and model.scorer().score("an xq here")[0] > 0.5 > model.scorer().score("a clean text")[0]
+    assert model.scorer().score("so " + "z" * 45)[0] > 0.5
+
+
 # --- benchmark ---------------------------------------------------------------------------------------------------------------
 
 
@@ -352,6 +372,50 @@ def test_the_most_widespread_item_is_found(spark):
     assert decontaminate.drop_leaks(frame(spark, data), index).count() == 800
 
 
+def test_short_items_blocks_and_long_texts(spark, monkeypatch):
+    r = random.Random(21)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9))) for _ in range(1500)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    items = [(k, prose(r.randrange(14, 50)) + ".") for k in range(30)] + [(50, "zeta yota xeno wavy"), (51, "one two"), (52, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    data = [(i, prose(60) + " " + items[i][1] + " " + prose(500)) for i in range(30)] + [(100, "so: Zeta yota, xeno wavy!"), (101, "zeta yota xeno and wavy"), (102, "one two")]
+    want = {(i, i) for i in range(30)} | {(100, 50)}
+    docs = frame(spark, data)
+    for block_items, part in ((2_000, decontaminate.PART), (7, decontaminate.PART), (2_000, 16 * decontaminate.BLOCK)):
+        monkeypatch.setattr(decontaminate, "PART", part)
+        index = decontaminate.build_index(docs, benchmark, dimensions=64, block_items=block_items)
+        found = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs, index).collect()}
+        assert found == want, (block_items, part)
+        assert {x["doc_id"] for x in decontaminate.drop_leaks(docs, index).collect()} == {101, 102}
+
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(MIDDLE), reason="no test tables")
+def test_recall_against_exact_search(spark):
+    """All windows of all documents by subsequence and answer, without any index: nothing is missed, nothing is added."""
+    docs, benchmark = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = decontaminate.read_items([tuple(x) for x in benchmark.select("item_id", "text").collect()], 8)
+    want = set()
+    for doc in docs.collect():
+        words = [decontaminate.plain(w) for w in (doc["text"] or "").encode().lower().split()]
+        present = set(words)
+        for item in items:
+            n = len(item.words)
+            if sum(w in present for w in item.words) < 0.6 * n:
+                continue
+            for k in range(0, max(1, len(words) - n // 2), max(1, n // 4)):
+                part = words[max(0, k - n // 4) : k + n + n // 2]
+                lcs = subsequence(item.words, part) if len(present & set(item.words) & set(part)) else 0
+                answer = sum((Counter(part) & item.answer).values()) / item.answer.total()
+                if lcs >= 0.75 * n or lcs >= 0.6 * n and answer >= 0.8:
+                    want.add((doc["doc_id"], item.item_id))
+                    break
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs, decontaminate.build_index(docs, benchmark)).collect()}
+    assert want and len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.02 * len(want), (len(want), want - got, got - want)
+
+
 # --- packing -------------------------------------------------------------------------------------------------------------------
 
 
@@ -362,6 +426,13 @@ def test_ids_are_those_of_tokenizers():
         assert packing.token_ids(t, BPE).tolist() == packing.tokenizer(BPE).encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.skipif(not (os.path.exists(BPE) and os.path.isdir(MIDDLE)), reason="no vocabulary file or tables")
+def test_ids_of_all_documents(spark):
+    for (text,) in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("text").collect():
+        if text:
+            assert packing.token_ids(text, BPE).tolist() == packing.tokenizer(BPE).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.skipif(not os.path.exists(BPE), reason="no vocabulary file")
 def test_packing_round_trip(spark):
     r = random.Random(9)
@@ -401,8 +472,8 @@ def test_bin_completion_is_no_worse_than_best_fit_and_exact_where_small():
     for trial in range(60):
         sizes = [r.randrange(1, 101) for _ in range(r.randrange(1, 10 if trial < 40 else 80))]
         counts = {s: sizes.count(s) for s in sizes}
-        plan = packing.bin_completion(counts, 100)
-        used = {}
+        packed = packing.bin_completion(counts, 100)
+        plan, used = packed.plan, {}
         for pattern, times in plan:
             assert sum(pattern) <= 100
             for s in pattern:
@@ -411,3 +482,37 @@ def test_bin_completion_is_no_worse_than_best_fit_and_exact_where_small():
         n = sum(t for _, t in plan)
         assert n <= sum(t for _, t in packing.best_fit(counts, 100))
         assert len(sizes) > 9 or n == fewest(sizes, 100)
+        assert packed.bound <= n == packed.sequences and (len(sizes) > 9 or packed.bound <= fewest(sizes, 100))
+
+
+def test_bin_completion_branches_where_best_fit_is_not_enough():
+    r, better, met = random.Random(12), 0, 0
+    for _ in range(12):
+        sizes = [r.randrange(200, 1001) for _ in range(240)]
+        counts = {s: sizes.count(s) for s in sizes}
+        assert len(counts) > 64
+        packed, plain = packing.bin_completion(counts, 2048), sum(t for _, t in packing.best_fit(counts, 2048))
+        assert packed.sequences <= plain
+        better, met = better + (packed.sequences < plain), met + packed.optimal
+    assert better >= 6 and met >= 5
+
+
+def test_fillings_are_all_undominated_ones():
+    r = random.Random(13)
+    for _ in range(40):
+        sizes = sorted((r.randrange(5, 60) for _ in range(9)), reverse=True)
+        counts = packing._Sizes({s: sizes.count(s) for s in sizes})
+        rest, room = sizes[1:], 100 - sizes[0]
+        sets = {tuple(sorted((x for k, x in enumerate(rest) if m >> k & 1), reverse=True)) for m in range(1 << len(rest))}
+        fit = {s for s in sets if sum(s) <= room}
+        full = {s for s in fit if not any(x <= room - sum(s) for x in _without(rest, s))}
+        stands_in = lambda s: any(sum(part) < x <= sum(part) + room - sum(s) for n in (1, 2) for part in itertools.combinations(s, n) for x in _without(rest, s))
+        want = {s for s in full if not stands_in(s)}
+        assert {p[1:] for p in packing.fillings(counts, sizes[0], 100, 100, [10**6])} == want
+
+
+def _without(pieces, some):
+    rest = list(pieces)
+    for x in some:
+        rest.remove(x)
+    return rest

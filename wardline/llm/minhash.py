@@ -11,7 +11,9 @@
    probability of the wanted similarity, given the matches so far, falls below ``miss``.
 5. Survivors are verified on their full shingle sets; links are contracted to components.
 
-No bucket is capped, and no bucket is collected into one task.
+No bucket is capped, and no bucket is collected into one task: its rows are dealt over cells, and a document with many
+candidates is copied to each part of them. Shingles are counted by 64-bit hashes and word sequences are equal by a
+128-bit digest; links are confirmed on the shingles themselves.
 
 Edge cases: null and empty texts have an empty set and link with nothing; texts with fewer words
 than a shingle have their whole sequence as one shingle; rows with a repeated id stand for one
@@ -26,13 +28,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import Scratch, text_or_empty
+from wardline.llm.common import Scratch, slices, text_or_empty
 from wardline.llm.components import connected_components
 
-SMALL_BUCKET = 16
+CELLS = 64
+PARTNERS = 256  # of one document in one task
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -60,7 +63,7 @@ class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -115,7 +118,7 @@ def _sign(shingle: int, bands: int, rows: int, checks: int, seed: int):
 
         seeds = np.random.default_rng(seed).integers(0, 2**32, bands * rows + checks, dtype=np.uint32)
         known = _WordHash()
-        for batch in batches:
+        for batch in slices(batches, 1):
             keys, sizes, banded, checked = [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = words_of(text)
@@ -153,7 +156,8 @@ def _bayes(similarity: float, miss: float, batch: int):
                 part = slice(k * batch, (k + 1) * batch)
                 matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1, dtype=np.int32)
                 alive = alive[matches[alive] >= least]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(alive)), b.column(1).take(pa.array(alive))], names=["a", "b"])
+            rest = [i for i in range(b.num_columns) if i not in (2, 3)]
+            yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(alive)) for i in rest], names=[b.schema.names[i] for i in rest])
 
     return run
 
@@ -161,7 +165,7 @@ def _bayes(similarity: float, miss: float, batch: int):
 def _verify(shingle: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_text, last = None, set()
-        for b in batches:
+        for b in slices(batches, 2, 3):
             keep = []
             for i, (s, t) in enumerate(zip(b.column(2).cast(pa.binary()).to_pylist(), b.column(3).cast(pa.binary()).to_pylist(), strict=True)):
                 if t != last_text:
@@ -178,7 +182,7 @@ def _verify(shingle: int, num: int, den: int):
 def _hash_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHash()
-        for b in batches:
+        for b in slices(batches, 1):
             sets = [shingle_hashes(words_of(t), shingle, known).view(np.int64) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "hashes"])
 
@@ -197,11 +201,13 @@ def near_duplicates(
     checks: int = 128,
     batch: int = 16,
     miss: float = 1e-6,
+    small_bucket: int = 16,
     seed: int = 20,
 ) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each input row.
 
-    Linked: 100 * |intersection| >= percent * |union| of the shingle sets.
+    Linked: 100 * |intersection| >= percent * |union| of the shingle sets. ``small_bucket`` chooses between two exact
+    ways to compare what a bucket has left open, and changes no result.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
@@ -212,43 +218,63 @@ def near_duplicates(
     # One id may stand for several texts; a node of the graph is then a text, and ids tie them below.
     marks = scratch.save(reps.select(F.col("doc_id").alias("id"), "key", F.col("n_shingles").alias("n"), "bands", "checks"))
 
-    banded = marks.select("id", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = scratch.save(banded.join(shared, "bucket"))
+    # A bucket's rows are dealt over cells, so that a crowded one takes no single task.
+    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).cast("int")
+    banded = marks.select("id", F.explode("bands").alias("bucket"), cell.alias("cell"))
+    counts = banded.groupBy("bucket", "cell").agg(F.count("*").alias("n"))
+    sized = counts.withColumn("size", F.sum("n").over(Window.partitionBy("bucket"))).where("size > 1")
+    cells = scratch.save(sized.select("bucket", "cell", "size"))
+    members = scratch.save(banded.join(cells, ["bucket", "cell"]))
+
+    def beside(buckets: DataFrame, rows: DataFrame) -> DataFrame:
+        """Members with the columns of their bucket."""
+        return rows.join(cells.select("bucket", "cell").join(buckets, "bucket"), ["bucket", "cell"])
+
     central = members.groupBy("id").agg(F.sum("size").alias("weight"))
     pivots = members.join(central, "id").groupBy("bucket").agg(F.max(F.struct("weight", "id")).alias("top")).select("bucket", F.col("top.id").alias("pivot"))
-    star = members.join(pivots, "bucket").where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    star = beside(pivots, members).where("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.max("size").alias("crowd"))
 
     sign_a = marks.select(F.col("id").alias("a"), F.col("checks").alias("ca"), F.col("n").alias("na"))
     sign_b = marks.select(F.col("id").alias("b"), F.col("checks").alias("cb"), F.col("n").alias("nb"))
     reps_text = texts.join(marks.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        sized = pairs.join(sign_a, "a").join(sign_b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        alive = scratch.save(sized.select("a", "b", "ca", "cb").mapInArrow(_bayes(percent / 100, miss, batch), "a long, b long").distinct())
+        """The linked ones of pairs (a, b, crowd). The side of b is copied to each part of its crowd of partners."""
+        parts = F.greatest(F.lit(1), F.ceil(F.col("crowd") / PARTNERS)).cast("long")
+        pairs = pairs.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts"))).drop("crowd")
+        place = ["b", "parts", "part"]
+        sized = pairs.join(sign_a, "a").join(pairs.select(place).distinct().join(sign_b, "b"), place).where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        alive = scratch.save(sized.select("a", "b", "ca", "cb", "parts", "part").mapInArrow(_bayes(percent / 100, miss, batch), "a long, b long, parts long, part long"))
         wanted = reps_text.join(alive.select(F.col("a").alias("doc_id")).union(alive.select("b")).distinct(), "doc_id", "left_semi")
         left = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         right = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        ready = alive.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+        ready = alive.join(left, "a").join(alive.select(place).distinct().join(right, "b"), place).select("a", "b", "ta", "tb")
         return scratch.save(ready.mapInArrow(_verify(shingle, percent, 100), "a long, b long"))
 
     links = verified(star)
     found = connected_components(links, scratch)
 
     # What the stars left open: buckets whose members are in several components.
-    placed = members.join(found, "id", "left").select("id", "bucket", "size", F.coalesce("component", "id").alias("component"))
+    placed = members.join(found, "id", "left").select("id", "bucket", "cell", "size", F.coalesce("component", "id").alias("component"))
     open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    open_members = scratch.save(placed.join(open_buckets, "bucket"))
-    small = open_members.where(F.col("size") <= SMALL_BUCKET)
+    open_members = scratch.save(beside(open_buckets, placed))
+    small = open_members.where(F.col("size") <= small_bucket)
     one = small.select("bucket", F.col("id").alias("a"), F.col("component").alias("pa"))
     two = small.select("bucket", F.col("id").alias("b"), F.col("component").alias("pb"))
     rest = one.join(two, "bucket").where("a < b and pa <> pb").select("a", "b")
-    large = open_members.where(F.col("size") > SMALL_BUCKET)
-    rest = rest.union(_prefix_pairs(large, reps_text, members, pivots, shingle, percent, scratch)).distinct()
+    large = open_members.where(F.col("size") > small_bucket)
+    if not large.isEmpty():
+        heads = beside(pivots.withColumnRenamed("pivot", "head"), large)
+        main = heads.where("id = head").select("bucket", F.col("component").alias("main"))
+        loose = beside(main, large).where("component <> main").select("id").distinct()
+        rest = rest.union(_prefix_pairs(large, loose, reps_text, shingle, percent, scratch))
+    rest = rest.groupBy("a", "b").agg(F.lit(1).alias("one"))
+    # of the pairs that remain, a document with many partners is the copied side's crowd
+    crowds = rest.groupBy("b").agg(F.count("*").alias("crowd"))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(rest.join(tried, ["a", "b"], "left_anti"))
+    more = verified(rest.join(tried, ["a", "b"], "left_anti").join(crowds, "b").select("a", "b", "crowd"))
 
-    joined = connected_components(links.union(more), scratch)
+    joined = found if more.isEmpty() else connected_components(links.union(more), scratch)
     by_key = full.select("doc_id", "key").join(classes.select("key", "rep"), "key").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # Copies hang on their class; ids with several texts tie classes together, which is rare.
     repeated = full.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("a"))
@@ -262,18 +288,15 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _prefix_pairs(large: DataFrame, texts: DataFrame, members: DataFrame, pivots: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+def _prefix_pairs(large: DataFrame, loose: DataFrame, texts: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of members of large buckets in different components that can still be linked.
 
     With shingles ordered from rare to frequent, two sets of similarity t share one of the first
     n - ceil(t n) + 1 shingles of each (the prefix), and at the first shared shingle the
     positions bound the similarity from above. Both tests are exact. One side of each pair is
-    outside the largest component of its bucket.
+    ``loose``: outside the component of its bucket's most central member.
     """
     ids = scratch.save(large.groupBy("id").agg(F.min("component").alias("component")))
-    heads = large.join(pivots.withColumnRenamed("pivot", "head"), "bucket")
-    head_of = heads.where("id = head").select("bucket", F.col("component").alias("main"))
-    loose = large.join(head_of, "bucket").where("component <> main").select("id").distinct()
     sets = texts.withColumnRenamed("doc_id", "id").join(ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_hash_sets(shingle), "id long, hashes array<long>")
     sets = scratch.save(sets)
     flat = sets.select("id", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))

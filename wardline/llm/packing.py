@@ -4,7 +4,8 @@ Only lengths matter for packing, and there are at most ``capacity`` of them, so
 on the histogram of lengths: a bounded table, however many documents there are. It fills one sequence around
 the longest piece left at a time: it enumerates the undominated fillings of the space beside
 that piece, applies each as often as the counts allow, prunes branches whose waste exceeds what a better solution may
-waste, and keeps a best-fit packing as the first incumbent. The plan (patterns of lengths with how often each is used)
+waste, and keeps a best-fit packing as the first incumbent. It ends when a lower bound is met (on large tables best fit
+mostly meets it at once), when all branches are pruned, or after ``nodes`` sets of pieces. The plan (patterns of lengths with how often each is used)
 then goes back to the pieces: Spark ranks the pieces of each length, in salted groups, and each task looks up the
 sequence and offset of its pieces.
 
@@ -21,6 +22,7 @@ import bisect
 import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import Scratch, text_or_empty
+from wardline.llm.common import Scratch, slices, text_or_empty
 
 
 @lru_cache
@@ -66,8 +68,8 @@ def token_ids(text: str, path: str) -> np.ndarray:
     if ranked is not None:
         try:
             return ranked.encode_to_numpy(text, allowed_special="all").astype("<u4")
-        except BaseException as error:  # its regular expressions give up on extreme runs
-            if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+        except BaseException as error:  # its regular expressions give up on extreme runs, in a Rust panic, which has no class to import
+            if type(error).__name__ != "PanicException":
                 raise
     return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4")
 
@@ -80,15 +82,17 @@ def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def _tokenize(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols: list[list] = [[] for _ in range(5)]
+        number = 0
+        for batch in slices(batches, 1):
+            cols: list[list] = [[] for _ in range(6)]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(token_ids(text, path), np.uint32(end)).astype("<u4")
                 for k, (s, n) in enumerate(pieces_of(len(ids), capacity)):
-                    for c, v in zip(cols, (i, k, s, n, zlib.crc32(ids[s : s + n].tobytes())), strict=True):
+                    for c, v in zip(cols, (i, k, s, n, zlib.crc32(ids[s : s + n].tobytes()), number), strict=True):
                         c.append(v)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    number += 1
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "number"])
 
     return run
 
@@ -120,6 +124,14 @@ class _Sizes:
                 del self.counts[s]
                 self.left.pop(bisect.bisect_left(self.left, s))
 
+    def give(self, pattern: tuple[int, ...], times: int) -> None:
+        """Undo ``take``."""
+        for s in set(pattern):
+            if s not in self.counts:
+                self.counts[s] = 0
+                bisect.insort(self.left, s)
+            self.counts[s] += times * pattern.count(s)
+
     def times(self, pattern: tuple[int, ...]) -> int:
         return min(self.counts[s] // pattern.count(s) for s in set(pattern))
 
@@ -139,80 +151,117 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return plan
 
 
-def fillings(sizes: _Sizes, first: int, capacity: int, keep: int) -> list[tuple[int, ...]]:
-    """Undominated fillings around ``first``, least waste first.
-
-    A single piece dominates every set it is at least as long as; of sets with all but one
-    piece in common only the one with the longest last piece stays.
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """At least so many sequences are needed: for any k, pieces over capacity - k stand alone, pieces over a half apart."""
+    if not counts:
+        return 0
+    n, total = np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
+    for s, c in counts.items():
+        n[s], total[s] = c, s * c
+    upto_n, upto = np.cumsum(n), np.cumsum(total)
+    half, best = capacity // 2, 0
+    for k in range(half + 1):
+        alone = int(upto_n[-1] - upto_n[capacity - k])
+        apart = int(upto_n[capacity - k] - upto_n[half])
+        small = int(upto[half] - (upto[k - 1] if k else 0))
+        room = apart * capacity - int(upto[capacity - k] - upto[half])
+        best = max(best, alone + apart + max(0, -(-(small - room) // capacity)))
+    return best
+
+
+def fillings(sizes: _Sizes, first: int, capacity: int, most_waste: int, budget: list[int]) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings around ``first`` that waste at most ``most_waste``, best-fit ones first.
+
+    A filling is dominated where another piece still fits, or where one longer piece could stand in for one or two of
+    its pieces. ``budget[0]`` counts down by each set looked at, and ends the search at zero.
     """
-    rest = sizes.copy()
-    rest.take((first,), 1)
-    room = capacity - first
-    top = rest.best(room)
-    if not top:
-        return [(first,)]
-    found = {(first, top): room - top}
-    if top < room:
-        for a in reversed(rest.left[: bisect.bisect_right(rest.left, room)]):
-            b = rest.best(min(a, room - a))
-            if b == a and rest.counts[a] < 2:
-                i = bisect.bisect_left(rest.left, a)
-                b = rest.left[i - 1] if i else 0
-            if not b:
-                continue
-            used, set_ = a + b, (a, b)
-            if used < room and (c := rest.best(min(b, room - used))):
-                trial = rest.copy()
-                trial.take(set_, 1) if a != b else trial.take((a, a), 1)
-                while used < room and (c := trial.best(min(set_[-1], room - used))):
-                    set_ += (c,)
-                    trial.take((c,), 1)
-                    used += c
-            if used > top:
-                found[(first, *set_)] = room - used
-                if used == room and len(found) > keep:
-                    break
-    return sorted(found, key=lambda p: (found[p], len(p)))[:keep]
-
-
-def bin_completion(counts: dict[int, int], capacity: int, *, keep: int = 3, nodes: int = 4000) -> Plan:
+    left = sizes.left
+
+    def self_fits(taken: tuple[int, ...], room: int) -> bool:
+        return any(sizes.counts[left[i]] > taken.count(left[i]) for i in range(bisect.bisect_right(left, room)))
+
+    def dominated(taken: tuple[int, ...], room: int) -> bool:
+        if not room:
+            return False
+        inner = taken[1:]
+        sums = {x for x in inner} | {x + y for i, x in enumerate(inner) for y in inner[i + 1 :]} if len(inner) <= 32 else set(inner)
+        for x in sums:
+            i = bisect.bisect_right(left, x + room) - 1
+            if i >= 0 and left[i] > x and sizes.counts[left[i]] > taken.count(left[i]):
+                return True
+        return False
+
+    def from_top(top: int) -> int:
+        return bisect.bisect_right(left, top) - 1
+
+    # sets under construction, each with its room and the place of the next length to try
+    stack = [[(first,), capacity - first, from_top(min(first, capacity - first))]]
+    while stack and budget[0] > 0:
+        entry = stack[-1]
+        taken, room, i = entry
+        while i >= 0 and (sizes.counts[left[i]] <= taken.count(left[i]) or most_waste < room - left[i] < left[0]):
+            i -= 1
+        entry[2] = i - 1
+        if i < 0:
+            stack.pop()
+        else:
+            budget[0] -= 1
+            taken, room = (*taken, left[i]), room - left[i]
+            stack.append([taken, room, from_top(min(left[i], room))])
+        if (i >= 0 or taken == (first,)) and room <= most_waste and not self_fits(taken, room) and not dominated(taken, room):
+            yield taken
+
+
+@dataclass
+class Packing:
+    plan: Plan
+    sequences: int
+    bound: int  # no packing has fewer
+
+    @property
+    def optimal(self) -> bool:
+        return self.sequences == self.bound
+
+
+def bin_completion(counts: dict[int, int], capacity: int, *, nodes: int = 50_000) -> Packing:
     """A packing with as few sequences as the search finds; the best-fit one at worst.
 
-    ``nodes`` bounds how many fillings the search applies beyond its first descent.
+    The search goes depth first and branches at every sequence, over all undominated fillings around the longest
+    piece left. ``nodes`` bounds the sets of pieces that it looks at; best fit does not count.
     """
     incumbent = best_fit(counts, capacity)
     used = lambda plan: sum(t for _, t in plan)
-    total = sum(s * c for s, c in counts.items())
-    over_half = sum(c for s, c in counts.items() if 2 * s > capacity)
-    least = max(math.ceil(total / capacity), over_half)
-    best, budget = used(incumbent), nodes
-    stack: list[tuple[_Sizes, Plan, int, tuple[int, ...] | None]] = [(_Sizes(counts), [], 0, None)]
-    descended = False
-    while stack and best > least and (budget > 0 or not descended):
-        sizes, plan, waste, pattern = stack.pop()
-        sizes, plan = sizes.copy(), list(plan)
-        branch = True
-        while True:
-            if pattern is not None:
-                times = sizes.times(pattern)
-                waste += times * (capacity - sum(pattern))
-                sizes.take(pattern, times)
-                plan.append((pattern, times))
-                budget -= 1
-            if waste > (best - 1) * capacity - total:
-                descended = True
-                break  # no better solution may waste as much
-            if not sizes.left:
-                descended = True
-                if used(plan) < best:
-                    best, incumbent = used(plan), plan
-                break
-            options = fillings(sizes, sizes.left[-1], capacity, keep)
-            if branch and len(sizes.left) <= 64:
-                stack.extend((sizes, plan, waste, o) for o in reversed(options[1:]))
-                sizes, plan = sizes.copy(), list(plan)
-            pattern = options[0]
-    return incumbent
+    total, least = sum(s * c for s, c in counts.items()), lower_bound(counts, capacity)
+    best, budget = used(incumbent), [nodes]
+    sizes, plan, waste = _Sizes(counts), [], 0
+    frames: list[Iterator[tuple[int, ...]]] = []
+    slack = lambda: (best - 1) * capacity - total - waste  # noqa: E731  # what a better packing may still waste
+    if best > least and sizes.left:
+        frames.append(fillings(sizes, sizes.left[-1], capacity, slack(), budget))
+    while frames and budget[0] > 0 and best > least:
+        pattern = next(frames[-1], None)
+        if pattern is None:
+            frames.pop()
+            if plan:
+                pattern, times = plan.pop()
+                waste -= times * (capacity - sum(pattern))
+                sizes.give(pattern, times)
+            continue
+        wasted = capacity - sum(pattern)
+        times = sizes.times(pattern)
+        if wasted:
+            times = min(times, slack() // wasted)
+        if times <= 0:
+            continue
+        plan.append((pattern, times))
+        waste += times * wasted
+        sizes.take(pattern, times)
+        if not sizes.left:
+            best, incumbent = used(plan), list(plan)
+            frames.append(iter(()))  # back up from here
+        else:
+            frames.append(fillings(sizes, sizes.left[-1], capacity, slack(), budget))
+    return Packing(incumbent, best, least)
 
 
 def slots_of(plan: Plan) -> dict[str, np.ndarray]:
@@ -248,18 +297,19 @@ def _place(slots: dict[str, np.ndarray]):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", text_column: str = "text", capacity: int = 2048, end: int = 0, nodes: int = 4000, group: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", text_column: str = "text", capacity: int = 2048, end: int = 0, nodes: int = 50_000, group: int = 20_000) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece."""
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    cut = scratch.save(texts.mapInArrow(_tokenize(tokenizer_path, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long"))
+    cut = scratch.save(texts.mapInArrow(_tokenize(tokenizer_path, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long, number long"))
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    slots = slots_of(bin_completion(counts, capacity, nodes=nodes))
+    slots = slots_of(bin_completion(counts, capacity, nodes=nodes).plan)
     salts = max(16, math.ceil(sum(counts.values()) / group))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    # ``number`` counts the pieces of a task, so that repeated rows are dealt out too
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "number"), F.lit(salts)))
     sums = salted.groupBy("length", "salt").count()
     before = sums.select("length", "salt", (F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")).alias("before"))
-    own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
+    own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "number")) - 1
     ranked = salted.withColumn("own", own).join(before, ["length", "salt"]).withColumn("rank", (F.col("own") + F.col("before")).cast("long"))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     return ranked.mapInArrow(_place(slots), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -16,11 +16,12 @@ Sorting all suffixes of a corpus would shuffle every position. Instead:
 3. Contexts of open entries meet by anchor. There, suffixes that start at the strings are grouped by anchor and offset,
    equal ones collapse (verified byte by byte), and the others are sorted as above; neighbours whose common extension
    reaches ``length`` are one class, whose smallest document decides.
-4. An anchor with more than ``CROWD`` contexts in one block, or ``HOT`` in all, would crowd one task. Its suffixes are
+4. An anchor with more than ``crowd`` contexts in one block, or ``hot`` in all, would crowd one task. Its suffixes are
    sorted within their blocks, and classes of equal strings meet by their own 128-bit fingerprint instead.
 
 Blocks hold a bounded number of bytes; entries and classes are single per block, so a passage that a third of
-all documents share sends a few rows a block. Equality of whole contexts rests on 80 hash bits.
+all documents share sends a few rows a block. Equality of whole contexts rests on 96 bits of two independent hashes, beside
+the 40 bits of the anchor: among ten million contexts of one anchor a false pair has a chance under 1e-14.
 
 Edge cases: null texts are empty; texts under ``length`` bytes lose nothing; equal ids are never smaller
 than one another; null ids sort after all others and are not smaller than each other; repeated rows are
@@ -41,9 +42,8 @@ from wardline.llm.common import Scratch, input_bytes, text_or_empty
 
 GRAM = 14
 NONE = 255  # no side, or one that no string reaches over
-BASE = 0x5DEECE66D1CE4E5B  # odd, so that it has an inverse modulo 2**64
+BASE, OTHER = 0x5DEECE66D1CE4E5B, 0x27BB2EE687B0B0FD  # odd, so that they have inverses modulo 2**64
 CHUNK = 1 << 19
-CROWD, HOT = 32, 4096
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
 MARK = _U((1 << 40) - 1)  # instead of a context: a crowd of them
@@ -65,16 +65,16 @@ def _powers(base: int, n: int) -> np.ndarray:
 class PolyHash:
     """Prefix polynomial hashes of a byte buffer."""
 
-    _tables: dict[str, np.ndarray] = {}
+    _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, base: int = BASE):
         n = len(data) + 1
-        if len(self._tables.get("up", ())) < n:
-            size = max(n, CHUNK + (1 << 20))
-            self._tables.update(up=_powers(BASE, size), down=_powers(pow(BASE, -1, 1 << 64), size))
-        self.up = self._tables["up"]
+        if base not in self._tables or len(self._tables[base][0]) < n:
+            size = max(n, CHUNK + (1 << 17))
+            self._tables[base] = _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
+        self.up, down = self._tables[base]
         self.prefix = np.zeros(n, np.uint64)
-        np.cumsum((data.astype(np.uint64) + _U(1)) * self._tables["down"][: n - 1], out=self.prefix[1:])
+        np.cumsum((data.astype(np.uint64) + _U(1)) * down[: n - 1], out=self.prefix[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of data[start:end], equal for equal strings wherever they stand."""
@@ -158,7 +158,7 @@ def sorted_classes(data: np.ndarray, poly: PolyHash, starts: np.ndarray, groups:
 class Block:
     """Documents of one block, by id, with the entries of their strings."""
 
-    def __init__(self, table: pa.Table, length: int):
+    def __init__(self, table: pa.Table, length: int, most: int):
         ids = table.column("doc_id").to_pylist()
         texts = table.column("text").cast(pa.binary()).to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i]))
@@ -172,10 +172,12 @@ class Block:
         self.doc, self.s0, self.s1, self.offset = pick(2), pick(3), pick(4), pick(5)
         self.anchor, self.context = pick(6).astype(np.uint64), pick(7).astype(np.uint64)
         self.left, self.right = pick(8).astype(np.uint8), pick(9).astype(np.uint8)
+        self.second = pick(10).astype(np.uint64)
         # the smallest document of each (anchor, context); ids may repeat
         key = mix(self.anchor, 1) + self.context
-        by = np.lexsort((self.doc, key))
-        new = np.r_[True, key[by][1:] != key[by][:-1]] if len(by) else np.zeros(0, bool)
+        by = np.lexsort((self.doc, self.second, key))
+        second = self.second[by]
+        new = np.r_[True, (key[by][1:] != key[by][:-1]) | (second[1:] != second[:-1])] if len(by) else np.zeros(0, bool)
         number = np.cumsum(new) - 1
         self.entry = np.empty(len(by), np.int64)
         self.entry[by] = number
@@ -183,14 +185,15 @@ class Block:
         self.key = key[by][new]
         # what the block sends: its entries, but one mark for an anchor with a crowd of them
         anchors, which, times = np.unique(self.anchor[self.entry_run], return_inverse=True, return_counts=True)
-        crowd = times[which] > CROWD
-        lone, marks = np.flatnonzero(~crowd), np.flatnonzero(times > CROWD)
+        crowd = times[which] > most
+        lone, marks = np.flatnonzero(~crowd), np.flatnonzero(times > most)
         place = np.empty(len(times), np.int64)
         place[marks] = len(lone) + np.arange(len(marks))
         self.sent = np.where(crowd, place[which], 0)
         self.sent[lone] = np.arange(len(lone))
         self.sent_anchor = np.r_[self.anchor[self.entry_run][lone], anchors[marks]]
         self.sent_key = np.r_[mix(self.key[lone], 3) >> _U(24), np.full(len(marks), MARK)]
+        self.sent_more = np.r_[self.second[self.entry_run][lone] >> _U(8), np.zeros(len(marks), np.uint64)]
         self.sent_rank = np.r_[self.ranks[self.doc[self.entry_run[lone]]], np.full(len(marks), NO_ID)]
         none = np.full(len(marks), NONE, np.uint8)
         self.sent_sides = np.stack([np.r_[self.left[self.entry_run][lone], none], np.r_[self.right[self.entry_run][lone], none]])
@@ -214,7 +217,7 @@ class Block:
     def _runs(self, lo: int, hi: int):
         data, begin, end = self.buffer(lo, hi)
         n = len(data) - self.length + 1
-        none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.uint8)] * 2
+        none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.uint8)] * 2 + [np.zeros(0, np.uint64)]
         if n <= 0:
             return none
         poly = PolyHash(data)
@@ -236,13 +239,14 @@ class Block:
         s0, s1 = np.flatnonzero(new), np.flatnonzero(last)
         a, d = at[s0], doc[s0]
         context = mix(poly.of(s0, s1 + self.length) + mix((a - s0).astype(np.uint64) * _U(1000003) + (s1 - s0).astype(np.uint64), 5), 7)
+        second = mix(PolyHash(data, OTHER).of(s0, s1 + self.length), 9)
         # a string over the anchor has half of its other bytes on the left or on the right
         half = (self.length - GRAM) // 2
         reach = a - s0 >= half
         left = np.where(reach, mix(poly.of(np.where(reach, a - half, a), a), 31) % _U(NONE), NONE)
         reach, end = s1 + self.length - a - GRAM >= half, a + GRAM
         right = np.where(reach, mix(poly.of(end, np.where(reach, end + half, end)), 37) % _U(NONE), NONE)
-        return d + lo, s0 - begin[d], s1 - begin[d], a - s0, grams[a], context, left.astype(np.uint8), right.astype(np.uint8)
+        return d + lo, s0 - begin[d], s1 - begin[d], a - s0, grams[a], context, left.astype(np.uint8), right.astype(np.uint8), second
 
 
 def _pack(x: np.ndarray, width: int) -> bytes:
@@ -302,18 +306,21 @@ SENT = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary
 BACK = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
 
 
-def _meet(widths: tuple[int, int], open_too: bool):
+def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
     """For each entry of a bucket: 1 if a smaller document has it; 2 if its first half occurs with another second half."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = list(zip(*(table.column(c).to_pylist() for c in (("block", "bucket", "a", "b", "ranks", "sides") if open_too else ("block", "bucket", "a", "b", "ranks"))), strict=True))
         a = np.concatenate([_unpack(r[2], widths[0]) for r in rows])
-        b = np.concatenate([_unpack(r[3], widths[1]) for r in rows])
+        # entries have a second part of their key behind the first
+        parts = [(r[3][: len(r[4]) // 8 * widths[1]], r[3][len(r[4]) // 8 * widths[1] :]) for r in rows]
+        b = np.concatenate([_unpack(x, widths[1]) for x, _ in parts])
+        b2 = np.concatenate([_unpack(x, 7) for _, x in parts]) if open_too else np.zeros(len(b), np.uint64)
         rank = np.concatenate([_from_planes(r[4]) for r in rows])
-        order = np.lexsort((rank, b, a))
-        x, y = a[order], b[order]
+        order = np.lexsort((rank, b2, b, a) if open_too else (rank, b, a))
+        x, y, y2 = a[order], b[order], b2[order]
         new_a = np.r_[True, x[1:] != x[:-1]]
-        new = new_a | np.r_[True, y[1:] != y[:-1]]
+        new = new_a | np.r_[True, (y[1:] != y[:-1]) | (y2[1:] != y2[:-1])]
         number = np.cumsum(new) - 1
         least = rank[order][new][number]
         flag = (rank[order] > least).astype(np.uint8)
@@ -329,7 +336,7 @@ def _meet(widths: tuple[int, int], open_too: bool):
             flag |= (may[number] & (flag == 0)).astype(np.uint8) * 2
             crowded = np.zeros(group[-1] + 1, bool)
             crowded[group[y[new] == MARK]] = True
-            crowded |= np.bincount(group) > HOT
+            crowded |= np.bincount(group) > hot
             flag[crowded[group][number] & (flag != 1)] = 3
         flags = np.empty(len(order), np.uint8)
         flags[order] = flag
@@ -343,10 +350,10 @@ def _meet(widths: tuple[int, int], open_too: bool):
     return run
 
 
-def _entries(length: int, count: int):
+def _entries(length: int, count: int, crowd: int):
     def run(table: pa.Table) -> pa.Table:
-        b, number = Block(table, length), table.column("block")[0].as_py()
-        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
+        b, number = Block(table, length, crowd), table.column("block")[0].as_py()
+        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5) + _pack(b.sent_more[p], 7), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
 
     return run
 
@@ -422,12 +429,12 @@ def _decide(length: int):
     return run
 
 
-def _resolve(length: int, count: int):
+def _resolve(length: int, count: int, crowd: int):
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _table([], PENDING)
         number = table.column("block")[0].as_py()
-        block = Block(table, length)
+        block = Block(table, length, crowd)
         flags = _flags_of(back, block.sent_anchor, count)[block.sent]
         first = block.ranks[block.doc[block.entry_run]]
         gone = (flags[block.entry] == 1) | (block.ranks[block.doc] > first[block.entry])
@@ -513,8 +520,11 @@ def _finish(length: int):
     return run
 
 
-def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length: int = 50, block_bytes: int = 6 << 20) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each input row."""
+def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", length: int = 50, block_bytes: int = 6 << 20, crowd: int = 32, hot: int = 4096) -> DataFrame:
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each input row.
+
+    ``crowd`` and ``hot`` choose where the contexts of a frequent anchor are compared, and change no result.
+    """
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
     scratch = Scratch(docs.sparkSession)
@@ -522,8 +532,8 @@ def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     blocks = max(1, math.ceil(input_bytes(texts) / block_bytes))
     count = max(64, 2 * blocks)
     blocked = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    back = blocked.groupBy("block").applyInArrow(_entries(length, count), _SENT).groupBy("bucket").applyInArrow(_meet((5, 5), True), _BACK)
-    met = blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_resolve(length, count), _PENDING)
+    back = blocked.groupBy("block").applyInArrow(_entries(length, count, crowd), _SENT).groupBy("bucket").applyInArrow(_meet((5, 5), True, hot), _BACK)
+    met = blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_resolve(length, count, crowd), _PENDING)
     met = scratch.save(met)
     answer = [
         met.where(f"kind = '{kind}'").select("block", "bucket", "a", "b", "ranks", "text").groupBy("bucket").applyInArrow(task, _BACK).withColumn("kind", F.lit(kind))

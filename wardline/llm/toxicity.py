@@ -1,6 +1,6 @@
 """Toxicity scores from a learned lexicon, matched by Levenshtein automata.
 
-Learning (from labelled training rows, a bounded sample with one row a text and near-copy key):
+Learning (from labelled training rows, a bounded sample; rows of one near-copy key share the weight of one):
 
 1. Words, and stems (prefixes that many words share), whose document counts are too toxic for chance
    (a Chernoff bound with a correction for the number of words tested) make the lexicon.
@@ -13,6 +13,8 @@ longer ones; stems are exact) is determinised as words run through it, so a word
 few table look-ups and most words die in three letters. A hit is quotation when the window around it
 has quotation marks on both sides or a reporting word; it is then counted in its own channel.
 
+Everything that is learned is a function of the rows of the sample alone, not of their order or partitions.
+
 Edge cases: null and empty texts have no hits and get the score of that; with no labelled row, or one class only,
 the lexicon is empty and the score is the smoothed share of toxic labels; null labels are skipped, of repeated ones
 the largest counts; ids may repeat or be null; other columns are ignored.
@@ -30,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import text_or_empty
+from wardline.llm.common import Scratch, slices, text_or_empty
 
 WORD = re.compile(r"\w+")
 QUOTES = "\"'«»„“”‘’‹›"
 REPORTING = frozenset("said says wrote writes called calls quoted quote quotes term word insult sagte nannte wort dit mot appelé dijo llamó palabra".split())
-STEM = 4
+STEM, LONGEST_STEM = 4, 12  # letters of a stem
+ONE = 1 << 20  # weight of a near-copy group; integers, so that sums do not depend on their order
 SHARE = 0.9  # least share of toxic documents among those with a term
 
 
@@ -136,9 +139,9 @@ class Scorer:
         try:
             return self.known[word]
         except KeyError:
-            if len(self.known) > 500_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
-            hit = self.automaton.match(word) if len(word) >= STEM else None
+            hit = self.automaton.match(word)
             if hit and hit[1] and word in self.model.exceptions:
                 hit = None
             self.known[word] = hit
@@ -174,14 +177,14 @@ def probability(model: Model, sums: np.ndarray) -> list[float]:
     return (1 / (1 + np.exp(-np.clip(_design(sums) @ model.beta, -30, 30)))).tolist()
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Ridge logistic regression by Newton's method; without evidence near spellings count half, quotation a quarter."""
     prior = np.array([-3.0, 3.0, 1.5, 0.75])
-    beta, pull = prior.copy(), ridge * np.array([0.1, 1, 1, 1]) * max(1.0, math.sqrt(len(y)))
+    beta, pull = prior.copy(), ridge * np.array([0.1, 1, 1, 1]) * max(1.0, math.sqrt(weight.sum()))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (y - p) - pull * (beta - prior)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), gradient)
+        gradient = x.T @ (weight * (y - p)) - pull * (beta - prior)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(pull), gradient)
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
@@ -190,19 +193,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for b in batches:
-        for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            counts[y].update({w for w in WORD.findall(text.lower()) if STEM <= len(w) <= 40})
-    rows = [(w, c if y else 0, 0 if y else c) for y, words in counts.items() for w, c in words.items()]
-    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], names=["word", "toxic", "clean"])
+    """Rows (word, toxic, clean): the weight of texts with the word, summed over a bounded number of words at a time."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def settled() -> pa.RecordBatch:
+        rows = [(w, c if y else 0, 0 if y else c) for y, words in enumerate(counts) for w, c in words.items()]
+        for words in counts:
+            words.clear()
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], names=["word", "toxic", "clean"])
+
+    for b in slices(batches, 1):
+        for y, text, weight in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            for w in set(WORD.findall(text.lower())):
+                counts[y][w] += weight
+            if len(counts[0]) + len(counts[1]) > 200_000:
+                yield settled()
+    yield settled()
 
 
 def _copy_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A key that near copies share mostly: the smallest hash of three words running."""
     import xxhash
 
-    for b in batches:
+    for b in slices(batches, 1):
         keys = []
         for text in b.column(1).to_pylist():
             words = text.lower().split()
@@ -213,9 +226,9 @@ def _copy_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _channel_rows(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for b in batches:
+        for b in slices(batches, 1):
             sums = [scorer.features(t)[0] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([s[i] for s in sums], pa.float64()) for i in range(3))], names=["y", "plain", "near", "quoted"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array([s[i] for s in sums], pa.float64()) for i in range(3))], names=["y", "weight", "plain", "near", "quoted"])
 
     return run
 
@@ -230,39 +243,42 @@ def _near_words(model: Model):
     return run
 
 
-def fit(labelled: DataFrame, *, most_rows: int = 20_000, most_terms: int = 2_000, alpha: float = 0.05) -> Model:
-    """Learn from rows (y 0/1, text), a sample of at most about ``most_rows`` of them."""
-    keyed = labelled.mapInArrow(_copy_key, "y int, text string, key long").dropDuplicates(["y", "key"]).persist()
-    sizes = {r["y"]: r["count"] for r in keyed.groupBy("y").count().collect()}
+def fit(labelled: DataFrame, *, alpha: float = 0.05) -> Model:
+    """Learn from rows (y 0/1, text); the caller bounds how many (``training_rows``), which bounds all that is collected here."""
+    scratch = Scratch(labelled.sparkSession)
+    keyed = scratch.save(labelled.mapInArrow(_copy_key, "y int, text string, key long"))
+    groups = keyed.groupBy("y", "key").agg(F.floor(F.lit(ONE) / F.count("*")).cast("long").alias("weight"))
+    sizes = {r["y"]: r["n"] for r in groups.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     model = Model({}, {}, (toxic + 0.5) / (toxic + clean + 1.0))
     if not toxic or not clean:
-        keyed.unpersist()
+        scratch.drop(keyed)
         return model
-    rows = keyed.select("y", "text")
-    words = rows.mapInArrow(_word_counts, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).persist()
+    rows = scratch.save(keyed.join(groups, ["y", "key"]).select("y", "text", "weight"))
+    counts = rows.mapInArrow(_word_counts, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = scratch.save(counts.select("word", F.col("toxic") / ONE, F.col("clean") / ONE).toDF("word", "toxic", "clean"))
     tested, base = max(1, words.count()), toxic / (toxic + clean)
 
     def telling(terms: DataFrame, n_tests: int) -> DataFrame:
         n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
         bits = share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-        return terms.where((F.col("toxic") > 2) & (share >= SHARE) & (n * bits >= math.log(n_tests / alpha))).orderBy(F.desc("toxic"), terms.columns[0]).limit(most_terms)
+        return terms.where((F.col("toxic") > 2) & (share >= SHARE) & (n * bits >= math.log(n_tests / alpha)))
 
     weigh = lambda t, c: min(6.0, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
-    prefixes = words.select(F.explode(F.transform(F.sequence(F.lit(STEM), F.least(F.length("word"), F.lit(12))), lambda n: F.substring("word", 1, n))).alias("stem"), "toxic", "clean")
-    prefixes = prefixes.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count_if(F.col("toxic") > 0).alias("words"))
+    ends = F.sequence(F.lit(STEM), F.least(F.length("word"), F.lit(LONGEST_STEM)))
+    prefixes = words.where(F.length("word") >= STEM).select(F.explode(F.transform(ends, lambda n: F.substring("word", 1, n))).alias("stem"), *(F.round(F.col(c) * ONE).cast("long").alias(c) for c in ("toxic", "clean")))
+    prefixes = prefixes.groupBy("stem").agg((F.sum("toxic") / ONE).alias("toxic"), (F.sum("clean") / ONE).alias("clean"), F.count_if(F.col("toxic") > 0).alias("words"))
     stems: dict[str, float] = {}
     for r in sorted(telling(prefixes.where("words >= 5 and clean * 50 <= toxic"), 6 * tested).collect(), key=lambda r: (len(r["stem"]), r["stem"])):
         if not any(r["stem"][:n] in stems for n in range(STEM, len(r["stem"]))):
             stems[r["stem"]] = weigh(r["toxic"], r["clean"])
-    found = {r["word"]: weigh(r["toxic"], r["clean"]) for r in telling(words, tested).collect()}
+    found = {r["word"]: weigh(r["toxic"], r["clean"]) for r in sorted(telling(words, tested).collect())}
     model.stems, model.words = stems, {w: v for w, v in found.items() if not any(w[:n] in stems for n in range(STEM, len(w) + 1))}
     clean_words = words.where("clean > 0").select("word")
-    model.exceptions = frozenset(r["word"] for r in clean_words.mapInArrow(_near_words(model), "word string").limit(100 * most_terms).collect())
-    x = np.array([tuple(r) for r in rows.mapInArrow(_channel_rows(model), "y int, plain double, near double, quoted double").collect()], float).reshape(-1, 4)
-    model.beta = _logistic(_design(x[:, 1:]), x[:, 0])
-    words.unpersist()
-    keyed.unpersist()
+    model.exceptions = frozenset(r["word"] for r in clean_words.mapInArrow(_near_words(model), "word string").collect())
+    x = np.array(sorted(tuple(r) for r in rows.mapInArrow(_channel_rows(model), "y int, weight long, plain double, near double, quoted double").collect()), float).reshape(-1, 5)
+    model.beta = _logistic(_design(x[:, 2:]), x[:, 0], x[:, 1] / ONE)
+    scratch.drop(keyed, rows, words)
     return model
 
 
@@ -278,7 +294,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_i
 def _score(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for b in batches:
+        for b in slices(batches, 1):
             got = [scorer.features(t) for t in b.column(1).to_pylist()]
             p = probability(model, np.array([g[0] for g in got]).reshape(-1, 3))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns) if i != 1), pa.array(p, pa.float64()), pa.array([int(x >= threshold) for x in p], pa.int32()), pa.array([g[1] for g in got], pa.int64())], names=[*(n for i, n in enumerate(b.schema.names) if i != 1), "score", "predicted", "n_terms"])
@@ -293,11 +309,11 @@ def score(docs: DataFrame, model: Model, *, id_column: str = "doc_id", text_colu
 
 def keep_clean(docs: DataFrame, model: Model, *, text_column: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows whose text the model does not call toxic, with their own columns."""
+    at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for b in batches:
-            at = b.schema.get_field_index(text_column)
+        for b in slices(batches, at):
             sums = [scorer.features(t or "")[0] for t in b.column(at).to_pylist()]
             p = probability(model, np.array(sums).reshape(-1, 3))
             yield b.filter(pa.array([x < threshold for x in p], pa.bool_()))
