@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -85,12 +86,72 @@ def test_redaction(spark):
         ("<table><tr><td><table><tr><td>in</table><td>out</table>", "in | out"),
         ("1 < 2 and <b>bold</b>", "1 < 2 and bold"),
         ("</p>x</div></table>", "x"),
+        ("<html><head><title>x</title><p>hello world", "hello world"),
+        ("<head><meta charset=u><title>t</title>\n text <p>more", "text\n\nmore"),
+        ("a<textarea>x &lt; y\nz</textarea><select><option>one<option selected>two</select>b", "a\nx < y\nz\ntwo b"),
+        ("<select multiple><optgroup><option>one<option>two</select>", "one two"),
+        ("<input type=checkbox value=1><input value=shown><input type=submit value=Go>", "shown Go"),
+        ("<dialog>no</dialog><dialog open>yes</dialog><details><summary>s</summary>no</details><details open><summary>t</summary>in</details>", "yes\ns\nt\nin"),
+        ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b></div><p hidden style='display:block'>shown", "yes\n\nshown"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td>" + "long words " * 12 + "<td>x<tr><td>s<td>y</table>", "long words " * 7 + "| x\n" + "long words " * 5 + " " * 22 + "|\n" + "s" + " " * 75 + " | y"),
+        ("<p>" + "<b>" * 200 + "deep<div>block</p>end", "deep\n\nblock\n\nend"),
     ],
 )
 def test_layout(page, text):
     assert html_text.visible_text(page) == text
 
 
+class PlainText(HTMLParser):
+    """Visible words with a space at each block, by a walk over the events of the standard parser."""
+
+    DROP = set("script style template noscript iframe object audio video canvas svg math datalist head title".split())
+    VOID = set("area base br col embed hr img input link meta source track wbr".split())
+    GLUE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.open = [], []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        style = (a.get("style") or "").replace(" ", "").lower()
+        gone = tag in self.DROP or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+        if tag == "body":
+            self.open = [x for x in self.open if x[0] != "head"]
+        if not any(g for _, g in self.open) and not gone and tag == "img" and a.get("alt"):
+            self.out.append(f" {a['alt']} ")
+        self.out.append("" if tag in self.GLUE else " ")
+        if tag not in self.VOID:
+            self.open.append((tag, gone))
+
+    def handle_endtag(self, tag):
+        self.out.append("" if tag in self.GLUE else " ")
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                break
+
+    def handle_data(self, data):
+        if not any(g for _, g in self.open):
+            self.out.append(data)
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+def test_all_pages_against_the_standard_parser(spark):
+    marks = re.compile(r"[|*]|---|[0-9]+[.]")
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    got = {r["page_id"]: r for r in html_text.extract(pages).collect()}
+    for row in pages.collect():
+        plain = PlainText()
+        plain.feed(row["html"] or "")
+        plain.close()
+        want, have = ([w for w in t.split() if not marks.fullmatch(w)] for t in ("".join(plain.out), got[row["page_id"]]["text"]))
+        if "<table" in (row["html"] or ""):  # rows of wrapped cells interleave
+            want, have = sorted(want), sorted(have)
+        assert have == want, row["page_id"]
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 50_000 + "x" + "</div>" * 50_000
     df = spark.createDataFrame([(1, deep, "u"), (2, None, None), (2, "<p>" * 10_000, None)], "page_id long, html string, text string")

@@ -3,7 +3,11 @@
 A page is tokenised and built into a tree with the implied ends of HTML (a list item ends the one before, a block
 ends a paragraph, ...). The tree is then laid out: hidden elements are left out, blocks are set apart by line breaks or
 blank lines, list items get bullets or numbers and indents, table cells are aligned in columns, and
-preformatted text keeps its spaces. Everything visible is emitted, boilerplate too. Nothing recurses, so depth has no limit.
+preformatted text keeps its spaces. Everything visible is emitted, boilerplate too: of a form also the values, the text of
+text areas, and the options that a list shows. Nothing recurses, so depth has no limit.
+
+Visibility: ``display: none`` (or ``hidden``, where no style gives another display) and closed dialogs take whole elements away;
+``visibility: hidden`` takes text away except below ``visibility: visible``; of closed details the summary stays.
 
 Edge cases: null and empty pages give an empty text; unclosed, misnested and unknown tags are taken as
 browsers mostly take them; ids may repeat or be null; other columns are ignored.
@@ -13,20 +17,23 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import text_or_empty
+from wardline.llm.common import slices, text_or_empty
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist title meta link select textarea".split())
+HIDDEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist title meta link".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes head html".split())
+SILENT = frozenset("hidden password checkbox radio file range color".split())  # inputs that show no text
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset form hr article section".split())
 BLOCK = SPACED | frozenset("html body div main header footer nav aside address li dt dd tr caption thead tbody tfoot figcaption details summary center legend".split())
 ENDS_P = BLOCK - frozenset("html body li dt dd tr caption thead tbody tfoot summary legend".split())
@@ -43,10 +50,11 @@ IMPLIED: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "tbody": (ROW_GROUP, frozenset(["table"])),
     "tfoot": (ROW_GROUP, frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
-    "body": (frozenset(["head"]), frozenset()),
+    "optgroup": (frozenset("option optgroup".split()), frozenset(["select"])),
 }
 SCOPE = frozenset("table td th html".split())
-WIDEST = 80  # columns wider than this are not padded
+WIDEST = 80  # characters of a table column; longer cells are wrapped at spaces
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # fixed values: bounds of colspan and rowspan in HTML
 
 
 class Node:
@@ -61,41 +69,106 @@ class Node:
                 return next((html.unescape(v) for v in m.groups()[1:] if v is not None), "")
         return None
 
+    def style(self) -> dict[str, str]:
+        """Declarations of the style attribute; the last of a property counts."""
+        pairs = (d.split(":", 1) for d in (self.get("style") or "").lower().split(";") if ":" in d)
+        return {k.strip(): v.replace("!important", "").strip() for k, v in pairs}
+
     def hidden(self) -> bool:
         if self.tag in HIDDEN:
             return True
+        if self.tag == "dialog" and self.get("open") is None:
+            return True
         if not self.attributes:
             return False
         low = self.attributes.lower()
-        if "hidden" in low and (self.get("hidden") is not None or self.get("aria-hidden") == "true"):
-            return True
-        if "style" in low:
-            style = re.sub(r"\s", "", (self.get("style") or "").lower())
-            return "display:none" in style or "visibility:hidden" in style
-        return False
+        display = self.style().get("display") if "style" in low else None
+        if display is not None:
+            return display == "none"
+        return "hidden" in low and (self.get("hidden") is not None or self.get("aria-hidden") == "true")
+
+    def visible(self, inherited: bool) -> bool:
+        if not self.attributes or "visibility" not in self.attributes.lower():
+            return inherited
+        own = self.style().get("visibility")
+        return inherited if own in (None, "inherit") else own == "visible"
+
+
+class Open:
+    """The elements that are open, with places of the blocks among them and a count of each tag."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.marks, self.count = [root], [], Counter()
+
+    def push(self, node: Node) -> None:
+        if node.tag in BLOCK or node.tag in CELL_GROUP:
+            self.marks.append(len(self.nodes))
+        self.nodes.append(node)
+        self.count[node.tag] += 1
+
+    def cut(self, i: int) -> None:
+        """Close element i and all in it."""
+        for node in self.nodes[i:]:
+            self.count[node.tag] -= 1
+        del self.nodes[i:]
+        while self.marks and self.marks[-1] >= i:
+            self.marks.pop()
+
+    def text(self, s: str) -> None:
+        if self.nodes[-1].tag == "head" and s.strip():
+            self.cut(len(self.nodes) - 1)
+        self.nodes[-1].children.append(s)
+
+    def close(self, tag: str) -> None:
+        if not self.count[tag]:
+            if tag == "p":
+                self.nodes[-1].children.append(Node("p"))
+            return
+        for i in range(len(self.nodes) - 1, 0, -1):
+            if self.nodes[i].tag == tag:
+                return self.cut(i)
+            if self.nodes[i].tag in SCOPE and tag not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "html", "body"):
+                return None
+        return None
+
+    def imply(self, tag: str) -> None:
+        """Close what the start of ``tag`` ends."""
+        if self.nodes[-1].tag == "head" and tag not in IN_HEAD:
+            self.cut(len(self.nodes) - 1)
+        if tag in ENDS_P and self.count["p"] and self.marks and self.nodes[self.marks[-1]].tag == "p":
+            self.cut(self.marks[-1])
+        if tag in IMPLIED:
+            ends, stop = IMPLIED[tag]
+            if any(self.count[t] for t in ends):
+                for i in range(len(self.nodes) - 1, 0, -1):
+                    if self.nodes[i].tag in ends:
+                        return self.cut(i)
+                    if self.nodes[i].tag in stop:
+                        return None
+        return None
 
 
 def build(page: str) -> Node:
     """The tree of a page; text children are strings."""
     root = Node("#root")
-    stack, at, n = [root], 0, len(page)
+    opened, at, n = Open(root), 0, len(page)
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
-            stack[-1].children.append(page[at:])
+            opened.text(page[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(page[at : m.start()])
+            opened.text(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            _close(stack, tag)
+            opened.close(tag)
             continue
-        _imply(stack, tag)
+        opened.imply(tag)
         node = Node(tag, m[3] or "")
-        stack[-1].children.append(node)
+        opened.nodes[-1].children.append(node)
         if tag in VOID or (m[3] or "").endswith("/"):
             continue
         if tag in RAW:
@@ -103,40 +176,34 @@ def build(page: str) -> Node:
             node.children.append(page[at : end.start() if end else n])
             at = end.end() if end else n
             continue
-        stack.append(node)
+        opened.push(node)
     return root
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    if tag == "p" and not any(x.tag == "p" for x in stack[-64:]):
-        stack[-1].children.append(Node("p"))
-        return
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPE and tag not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "html", "body"):
-            return
-
-
-def _imply(stack: list[Node], tag: str) -> None:
-    if tag in ENDS_P and stack[-1].tag == "p":
-        stack.pop()
-    elif tag in ENDS_P:
-        for i in range(len(stack) - 1, max(0, len(stack) - 16), -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in BLOCK or stack[i].tag in CELL_GROUP:
-                break
-    if tag in IMPLIED:
-        ends, stop = IMPLIED[tag]
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in ends:
-                del stack[i:]
-                return
-            if stack[i].tag in stop:
-                return
+def shown_options(select: Node) -> list[str]:
+    """Texts of the options that a closed list shows: the selected one, or the first; an open list shows all."""
+    texts, chosen, work = [], [], list(reversed(select.children))
+    while work:
+        node = work.pop()
+        if isinstance(node, str) or node.hidden():
+            continue
+        if node.tag == "option":
+            words, inner = [], list(reversed(node.children))
+            while inner:
+                x = inner.pop()
+                if isinstance(x, str):
+                    words.append(html.unescape(x))
+                else:
+                    inner.extend(reversed(x.children))
+            texts.append(" ".join("".join(words).split()))
+            if node.get("selected") is not None:
+                chosen.append(texts[-1])
+        else:
+            work.extend(reversed(node.children))
+    size = select.get("size") or ""
+    if select.get("multiple") is not None or size.isdigit() and int(size) > 1:
+        return texts
+    return chosen[-1:] or texts[:1]
 
 
 class Flow:
@@ -184,18 +251,51 @@ class Flow:
         return "\n".join(self.lines)
 
 
+def _wrapped(cell: str) -> list[str]:
+    """Lines of a cell, none longer than ``WIDEST`` unless a word is."""
+    out = []
+    for line in cell.split("\n"):
+        while len(line) > WIDEST:
+            cut = line.rfind(" ", 1, WIDEST + 1)
+            cut = line.find(" ", WIDEST) if cut < 0 else cut
+            if cut < 0:
+                break
+            out.append(line[:cut].rstrip())
+            line = line[cut + 1 :]
+        out.append(line)
+    return out
+
+
+def grid(rows: list[list[tuple[str, int, int]]]) -> list[list[str]]:
+    """Cells (text, columns, rows) in their places; cells that reach down push later ones aside."""
+    out, taken = [], {}  # column -> rows that a cell above still takes there
+    for row in rows:
+        line, i = [], 0
+        for text, columns, down in row:
+            while taken.get(i, 0) > 0:
+                line.append("")
+                i += 1
+            for k in range(columns):
+                line.append(text if k == 0 else "")
+                taken[i] = max(taken.get(i, 0), down) if k == 0 or not taken.get(i, 0) else taken[i]
+                i += 1
+        out.append(line)
+        taken = {i: n - 1 for i, n in taken.items() if n > 1}
+    return out
+
+
 def aligned(rows: list[list[str]]) -> list[str]:
     """Table rows as lines, cells padded to their column."""
+    split = [[_wrapped(c) for c in row] for row in rows]
     width: dict[int, int] = {}
-    for row in rows:
+    for row in split:
         for i, cell in enumerate(row):
-            width[i] = max(width.get(i, 0), max(map(len, cell.split("\n"))))
+            width[i] = min(WIDEST, max(width.get(i, 0), max(map(len, cell))))
     out = []
-    for row in rows:
-        cells = [c.split("\n") for c in row]
+    for cells in split:
         for k in range(max(map(len, cells), default=0)):
             parts = [c[k] if k < len(c) else "" for c in cells]
-            out.append(" | ".join(p.ljust(width[i]) if width[i] <= WIDEST else p for i, p in enumerate(parts)).rstrip())
+            out.append(" | ".join(p.ljust(width[i]) for i, p in enumerate(parts)).rstrip())
     return out
 
 
@@ -203,12 +303,14 @@ def render(root: Node) -> str:
     """Visible text of a tree."""
     flow, pre = Flow(), 0
     lists: list[list] = []  # [ordered, number]
-    tables: list[tuple[Flow, list[list[str]], list]] = []
-    work: list[tuple[object, bool]] = [(root, False)]
+    tables: list[tuple[Flow, list[list[tuple[str, int, int]]], list]] = []
+    work: list[tuple[object, bool, bool]] = [(root, False, True)]  # node, leaving it, and whether its text shows
     saved: list[tuple[str, str]] = []
     while work:
-        node, leaving = work.pop()
+        node, leaving, shown = work.pop()
         if isinstance(node, str):
+            if not shown:
+                continue
             text = html.unescape(node) if "&" in node else node
             if not tables or flow is not tables[-1][0] or text.strip():
                 flow.text(text, pre > 0)
@@ -217,6 +319,7 @@ def render(root: Node) -> str:
         if not leaving:
             if node.hidden():
                 continue
+            shown = node.visible(shown)
             if tag == "br":
                 flow.line(True)
                 continue
@@ -227,14 +330,26 @@ def render(root: Node) -> str:
                 continue
             if tag == "img":
                 alt = node.get("alt")
-                if alt:
+                if alt and shown:
                     flow.text(f" {alt} ", False)
                 continue
             if tag == "input":
-                value = node.get("value")
-                if value and (node.get("type") or "text").lower() not in ("hidden", "password"):
+                kind = (node.get("type") or "text").lower()
+                value = node.get("alt") if kind == "image" else None if kind in SILENT else node.get("value") or node.get("placeholder")
+                if value and shown:
                     flow.text(f" {value} ", False)
                 continue
+            if tag == "textarea":
+                text = html.unescape("".join(node.children)) or node.get("placeholder") or ""
+                if text.strip() and shown:
+                    flow.line()
+                    flow.text(text.strip("\n"), True)
+                    flow.line(True)
+                continue
+            if tag == "select":
+                if shown:
+                    flow.text(" " + " ".join(shown_options(node)) + " ", False)
+                continue
             if tag in BLOCK:
                 flow.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
             if tag in ("ul", "ol", "menu"):
@@ -259,21 +374,24 @@ def render(root: Node) -> str:
                 tables[-1][1].append([])
             elif tag in CELL_GROUP and tables:
                 flow = Flow()
-            work.append((node, True))
-            work.extend((c, False) for c in reversed(node.children))
+            work.append((node, True, shown))
+            inner = node.children
+            if tag == "details" and node.get("open") is None:
+                inner = [c for c in inner if isinstance(c, Node) and c.tag == "summary"][:1]
+            work.extend((c, False, shown) for c in reversed(inner))
             continue
         if tag in CELL_GROUP and tables:
             cell = flow.done()
             flow = tables[-1][0]
             if not tables[-1][1]:
                 tables[-1][1].append([])
-            span = node.get("colspan") if node.attributes else None
-            tables[-1][1][-1] += [cell] + [""] * (min(int(span), 100) - 1 if span and span.isdigit() and len(span) < 6 else 0)
+            columns, down = (_span(node, name, most) for name, most in (("colspan", MOST_COLUMNS), ("rowspan", MOST_ROWS)))
+            tables[-1][1][-1].append((cell, max(1, columns), down or MOST_ROWS))
             continue
         if tag == "table":
             flow, rows, lists = tables.pop()
             flow.line()
-            for line in aligned([r for r in rows if any(r)]):
+            for line in aligned([r for r in grid(rows) if any(r)]):
                 flow.text(line, True)
                 flow.line(True)
             flow.block(True)
@@ -292,6 +410,11 @@ def render(root: Node) -> str:
     return flow.done()
 
 
+def _span(node: Node, name: str, most: int) -> int:
+    value = (node.get(name) or "1").strip() if node.attributes else "1"
+    return min(int(value[:9]), most) if value.isascii() and value.isdigit() else 1
+
+
 def visible_text(page: str | None) -> str:
     return render(build(page)) if page else ""
 
@@ -300,7 +423,7 @@ def extract(pages: DataFrame, *, id_column: str = "page_id", html_column: str =
     """Rows (page_id, text, n_chars, n_lines), one for each input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             texts = [visible_text(p) for p in b.column(1).to_pylist()]
             cols = [b.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["page_id", "text", "n_chars", "n_lines"])

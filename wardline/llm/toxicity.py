@@ -250,11 +250,12 @@ def fit(labelled: DataFrame, *, alpha: float = 0.05) -> Model:
     groups = keyed.groupBy("y", "key").agg(F.floor(F.lit(ONE) / F.count("*")).cast("long").alias("weight"))
     sizes = {r["y"]: r["n"] for r in groups.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    # a group is a labelled row at least, so the caller's bound on those bounds the broadcast below
     model = Model({}, {}, (toxic + 0.5) / (toxic + clean + 1.0))
     if not toxic or not clean:
         scratch.drop(keyed)
         return model
-    rows = scratch.save(keyed.join(groups, ["y", "key"]).select("y", "text", "weight"))
+    rows = scratch.save(keyed.join(F.broadcast(groups), ["y", "key"]).select("y", "text", "weight"))
     counts = rows.mapInArrow(_word_counts, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     words = scratch.save(counts.select("word", F.col("toxic") / ONE, F.col("clean") / ONE).toDF("word", "toxic", "clean"))
     tested, base = max(1, words.count()), toxic / (toxic + clean)
