@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"[-+]?[0-9]+(?:\.[0-9]+)?"
+NUMBER = r"(?:[0-9]+\.[0-9]+|[0-9][0-9,.]+[0-9]+|[0-9]+)"
 
 
 def extract_number(text: Column) -> Column:
-    """The number of a result text: a range gives its mean; dates, fractions and four or more numbers give null."""
-    s = F.regexp_replace(F.trim(text), r"(?<=[0-9]),(?=[0-9]{3})", "")
-    numbers = F.regexp_extract_all(F.regexp_replace(s, r"([0-9])\s*-\s*([0-9])", "$1 $2"), F.lit(f"({NUMBER})"), F.lit(1))
-    date_like = s.rlike(r"[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}") | s.rlike(r"[0-9]+\s*/\s*[0-9]+")
-    return F.when(date_like | (F.size(numbers) > 3) | (F.size(numbers) == 0), None).when(F.size(numbers) == 2, (numbers[0].cast("double") + numbers[1].cast("double")) / 2).otherwise(numbers[0].cast("double"))
+    """The number of a result text, or null.
+
+    A sign counts unless a letter stands before it ("B-12" is 12); "neg" before the only number makes it negative. Two
+    numbers joined as a range give their mean, other ranges null, and without a range the first of up to three counts.
+    Dates and fractions give null.
+    """
+    unsigned = text.rlike("[A-z]-[0-9]")
+    found = F.when(unsigned, F.regexp_extract_all(text, F.lit(f"({NUMBER})"), F.lit(1))).otherwise(F.regexp_extract_all(text, F.lit(f"(-?{NUMBER})"), F.lit(1)))
+    plain = lambda x: F.replace(F.replace(F.replace(x, F.lit(","), F.lit("")), F.lit("..."), F.lit(".")), F.lit(".."), F.lit(".")).try_cast("double")
+    first, second = plain(F.get(found, 0)), plain(F.get(found, 1))
+    date_like = ~unsigned & text.rlike("[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]/[0-9]")
+    turned = F.when(text.rlike(r"(?i)NEG(ative)?\s?[0-9]") & (F.size(found) == 1), 0.0 - first).otherwise(first)
+    ranged = F.when(F.size(found) == 2, (first + F.abs(second)) / 2)
+    return F.when(date_like | (F.size(found) == 0), None).when(text.rlike("[0-9]-[0-9]"), ranged).when(F.size(found) > 3, None).otherwise(turned)
 
 
 def extract_operator(text: Column) -> Column:
@@ -22,15 +31,21 @@ def extract_operator(text: Column) -> Column:
     return F.when(op != "", op)
 
 
-# Grades of semi-quantitative results, first match wins.
+# Grades of semi-quantitative results, with common misspellings; first match wins.
 GRADES = (
-    ("Large", r"large|4\+|many|marked"),
-    ("Moderate", r"moderate|2\+|3\+"),
-    ("Small", r"small|trace|few|1\+|slight"),
-    ("Normal", r"normal|clear|within"),
-    ("Negative", r"neg|none|absent|not detected"),
-    ("Positive", r"pos|present|detected"),
+    ("Large", r"\blar[^sy]|\b3\+|\b4\+"),
+    ("Moderate", r"\bmod[^y]|2\+"),
+    ("Small", r"\bsm[^eiu]|\btr$|^trac[^hu]|1\+"),
+    ("Normal", r"^norm|\bnml|noraml|nomral|\bnrom|\bnoremal|\bnomal|\bno\sabnorm"),
+    ("Negative", r"\bneg|\bneeg|\sneg|\bnreg|\bnehgative|\bneagative|^nedg$|^neb$|^ned$|/bneative|n\se\sg\sa\st\si\sv\se|^\-$"),
+    ("Positive", r"\bpositive|^\+$|^pos$"),
 )
+# Grades of numbers by kind of test, as (upper bound, bound included, grade); the last holds above all.
+CUTS: dict[str, tuple[tuple[float, bool, str], ...]] = {
+    "glucose_urine": ((499, True, "Small"), (1000, False, "Moderate"), (float("inf"), True, "Large")),
+    "protein_urine": ((30, False, "Small"), (300, False, "Moderate"), (float("inf"), True, "Large")),
+    "red_cells_urine": ((4, True, "Negative"), (30, True, "Small"), (50, True, "Moderate"), (float("inf"), True, "Large")),
+}
 
 
 def grade_text(text: Column) -> Column:
@@ -40,6 +55,17 @@ def grade_text(text: Column) -> Column:
     return out
 
 
+def grade_number(value: Column, kind: str) -> Column:
+    """Grade of a number by the cut-offs of its kind of test; null between them and without a number."""
+    out = F.when(value.isNull(), None)
+    # glucose between 499 and 500 belongs to no grade
+    if kind == "glucose_urine":
+        out = out.when((value > 499) & (value < 500), None)
+    for bound, included, grade in CUTS[kind]:
+        out = out.when(value <= bound if included else value < bound, grade)
+    return out
+
+
 def postal_code(text: Column, digits: int = 5) -> Column:
     """First five or nine digits of a postal code, or null."""
     plain = F.regexp_replace(text, "[^0-9]", "")
@@ -75,8 +101,38 @@ def unit_ratio(unit: Column, target: str, molar_mass: Column | None = None, vale
     return top / (volume / VOLUME[den])
 
 
+FAHRENHEIT = ("f", "°f", "degf", "deg f", "fahrenheit", "degree fahrenheit", "degrees fahrenheit")
+
+
 def fahrenheit_to_celsius(value: Column, unit: Column) -> Column:
-    return F.when(F.lower(unit).rlike("f"), (value - 32) * 5 / 9).otherwise(value)
+    return F.when(F.lower(F.trim(unit)).isin(*FAHRENHEIT), (value - 32) * 5 / 9).otherwise(value)
+
+
+#: Lactate in mmol/L by this factor from mg/dL; what a unit is taken for by kind of test.
+LACTATE = 0.111
+SCORING_UNITS: dict[str, dict[str, str]] = {
+    "creatinine": {"": "mg/dl", "mg/ml": "mg/dl"},
+    "bilirubin": {"": "mg/dl"},
+    "lactate": {"": "mg/dl"},
+    "platelets": {"": "thousand/ul", "thousandth/ul": "thousand/ul", "10*/ul": "thousand/ul", "thousand/mm3": "thousand/ul"},
+    "saturation": {"": "%", "% sat": "%"},
+}
+
+
+def scoring_lab(value: Column, unit: Column, kind: str) -> tuple[Column, Column]:
+    """Value and unit of a laboratory result as scores read them: synonyms and likely slips mapped, lactate in mg/dL."""
+    known = F.coalesce(F.lower(F.trim(unit)), F.lit(""))
+    names = F.create_map(*(F.lit(x) for pair in SCORING_UNITS[kind].items() for x in pair))
+    unified = F.coalesce(F.try_element_at(names, known), known)
+    if kind != "lactate":
+        return value, unified
+    return F.when(unified == "mmol/l", value / LACTATE).otherwise(value), F.when(unified == "mmol/l", "mg/dl").otherwise(unified)
+
+
+def red_cell_volume(value: Column, unit: Column) -> Column:
+    """Millilitres of red cells: units of 250 ml, unless the unit is ml or, without a unit, the number is over ten."""
+    millilitres = F.coalesce(F.lower(F.trim(unit)) == "ml", F.lit(False)) | (unit.isNull() & (value > 10))
+    return F.when(millilitres, value).otherwise(value * 250)
 
 
 def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

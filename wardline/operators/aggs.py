@@ -52,15 +52,20 @@ def ordinal_worst(column: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return F.try_element_at(labels, F.min(ordinal_rank(column, rules)) + 1)
 
 
-# Orders of severity, worst first.
+# Orders of severity, worst first; the last rule of some stands for any other value. The bare "or" of a
+# station also matches inside words such as "floor", as in the tables that this order was made for.
 ORDERS: dict[str, tuple[tuple[str, str], ...]] = {
-    "station": (("icu", "icu"), ("imc|intermediate|stepdown", "imc"), ("or|operating", "or"), ("pacu", "pacu"), ("ward|floor", "ward")),
-    "icu": (("icu", "icu"), (".", "non_icu")),
-    "respiratory_device": (("ventilator|mechanical", "ventilator"), ("bipap|cpap", "non_invasive"), ("high flow", "high_flow"), ("mask|cannula", "low_flow"), ("room air", "room_air")),
-    "delirium": (("pos", "positive"), ("unable", "unable"), ("neg", "negative")),
-    "kidney_stage": (("3.*rrt", "stage_3_rrt"), ("3", "stage_3"), ("2", "stage_2"), ("1", "stage_1"), ("no", "none")),
-    "assistance": (("total|dependent", "total"), ("maximum|max", "maximum"), ("moderate|mod", "moderate"), ("minimum|min", "minimum"), ("independent", "independent")),
-}
+    "station": (("home", "HOME"), ("or", "OR"), ("icu", "ICU"), ("", "WARD")),
+    "respiratory_device": (("^ventilator$", "ventilator"), ("^supplemental oxygen$", "supplemental oxygen"), ("^noninvasive ventilator$", "noninvasive ventilator"), ("^room air$", "room air")),
+    "delirium": (("positive|yes", "POSITIVE"), ("unable to assess", "UNABLE_TO_ASSESS"), ("", "NEGATIVE")),
+    "assistance": (
+        ("^dependent, patient does less than 25%$", "Dependent"), ("^maximum assist, patient does 25-49%$", "Maximum"), ("^moderate assist, patient does 50-74%$", "Moderate"),
+        ("^minimal assist, patient does 75% or more$", "Minimal"), ("^(adl )?assistance by 4 or more caregivers$", "Moderate"),
+        ("^((adl )?assistance by 2-3 caregivers|assistance with re-learning adl activities)$", "Minimal"), ("^independent$", "Independent"),
+    ),
+}
+# Patterns of location flags.
+STATIONS = {"ICU": "icu", "WARD": "ward", "HOME": "home", "ED": "^ed$", "OR": "^or$", "PROC": "procedure", "IMC": "imc", "PACU": "pacu"}
 
 
 def multi_label(df: DataFrame, by: Sequence[str], column: str, labels: Mapping[str, str], separator: str = ";") -> DataFrame:

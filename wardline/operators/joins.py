@@ -64,9 +64,23 @@ def overlap_join(a: DataFrame, b: DataFrame, *, key: str, a_start: str, a_end: s
 
 def followup_flag(visits: DataFrame, *, person: str, visit: str, start: str, end: str, days: int) -> DataFrame:
     """Per visit, whether another one of the person starts within so many days of its end."""
-    later = visits.select(F.col(person).alias("_p"), F.col(visit).alias("_v"), F.col(start).alias("_s"))
-    on = (F.col(person) == F.col("_p")) & (F.col(visit) != F.col("_v")) & F.col("_s").between(F.col(end), F.col(end) + F.expr(f"INTERVAL {days} DAYS"))
-    return visits.join(later, on, "left").groupBy(*visits.columns).agg(F.max(F.when(F.col("_v").isNotNull(), 1).otherwise(0)).alias("followed_up"))
+    return visits.join(followup_flags(visits, person=person, visit=visit, start=start, end=end, days=days, flags={"followed_up": F.lit(True)}), visit)
+
+
+def followup_flags(visits: DataFrame, *, person: str, visit: str, start: str, end: str, days: int, flags: dict[str, Column]) -> DataFrame:
+    """Per visit, for each flag whether another visit of the person with it starts within so many days of the end.
+
+    Starts and ends of a person go in one order of time; each end counts, by a range window, the starts that follow
+    within the days. A visit that starts when it ends is no follow-up of itself. No pairs of visits are built.
+    """
+    wanted = [f.cast("int").alias(f"_f_{n}") for n, f in flags.items()]
+    rows = visits.select(person, visit, F.unix_micros(start).alias("_s"), F.unix_micros(end).alias("_e"), *wanted)
+    starts = rows.select(person, F.lit(None).cast(visits.schema[visit].dataType).alias(visit), F.col("_s").alias("_t"), *(F.col(f"_f_{n}") for n in flags), *(F.lit(0).alias(f"_o_{n}") for n in flags))
+    own = [F.when(F.col("_s") == F.col("_e"), F.coalesce(F.col(f"_f_{n}"), F.lit(0))).otherwise(0).alias(f"_o_{n}") for n in flags]
+    ends = rows.select(person, visit, F.col("_e").alias("_t"), *(F.lit(0).alias(f"_f_{n}") for n in flags), *own)
+    w = Window.partitionBy(person).orderBy("_t").rangeBetween(0, days * 86_400_000_000)
+    counted = starts.unionByName(ends).withColumns({n: (F.coalesce(F.sum(f"_f_{n}").over(w), F.lit(0)) - F.col(f"_o_{n}") > 0).cast("int") for n in flags})
+    return counted.where(F.col(visit).isNotNull()).groupBy(visit).agg(*(F.max(n).alias(n) for n in flags))
 
 
 def pair_within(num: DataFrame, den: DataFrame, *, key: str, at: str, value: str, seconds: int) -> DataFrame:

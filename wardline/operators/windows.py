@@ -11,7 +11,12 @@ DAY = 86_400_000_000
 
 
 def nth_row(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """The nth row of each group; negative n counts from the last. ``order`` should end in a unique column."""
+    """The nth row of each group; negative n counts from the last. ``order`` should end in a unique column.
+
+    With a negative n the order must be of plain columns, which are all turned round.
+    """
+    if n < 0 and any(str(c).endswith((" DESC NULLS LAST'>", " ASC NULLS FIRST'>", " DESC NULLS FIRST'>", " ASC NULLS LAST'>")) for c in order):
+        raise ValueError("an order with directions cannot be counted from the end; turn it round and take a positive n")
     columns = list(order) if n > 0 else [_flip(c) for c in order]
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*columns))).where(F.col("_rn") == abs(n)).drop("_rn")
 

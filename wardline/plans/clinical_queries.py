@@ -208,7 +208,6 @@ for _name, _spec in {
     "x09_average_after_end": VariableSpec("x", "measurements", ("view",), low="end_at", high="end_at", after="4 DAYS", aggregate="avg", fields=("unit",)),
     "x11_max_after_end": VariableSpec("x", "measurements", ("purchase",), low="end_at", high="end_at", after="2 DAYS", aggregate="max"),
     "x13_all_until_end": VariableSpec("x", "measurements", ("error", "purchase"), high="end_at"),
-    "x14_left_lookup": VariableSpec("x", "measurements", ("view",), high="start_at", lookup="left"),
     "x15_stay_by_date": VariableSpec("x", "exposures", ("A",), key="visit_id", low="start_at", high="end_at", dates=True),
     "x21_year_before": VariableSpec("x", "exposures", ("N", "R"), key="visit_id", low="start_at", high="start_at", before="365 DAYS"),
     "x24_year_before_to_end": VariableSpec("x", "exposures", ("N",), key="visit_id", low="start_at", high="end_at", before="365 DAYS"),

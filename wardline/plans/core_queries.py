@@ -170,6 +170,22 @@ _WORST = (("error", "worst"), ("purchase|signup", "middle"), (".", "mild"))
 query("a12_ordinal_worst", "", "SELECT user_id, case min(case when event_type like '%error%' then 0 when regexp_matches(event_type, 'purchase|signup') then 1 else 2 end) when 0 then 'worst' when 1 then 'middle' else 'mild' end worst from events group by 1")(
     lambda t: t.events.groupBy("user_id").agg(aggs.ordinal_worst(c("event_type"), _WORST).alias("worst"))
 )
+_PLACES = "case event_id % 7 when 0 then 'ICU 4' when 1 then 'Ward B' when 2 then 'OR' when 3 then 'Floor 4' when 4 then 'At home' when 5 then 'PACU' end"
+_DEVICES = "case event_id % 6 when 0 then 'ventilator' when 1 then 'supplemental oxygen' when 2 then 'noninvasive ventilator' when 3 then 'room air' when 4 then 'other' end"
+_HELP = "case event_id % 5 when 0 then 'independent' when 1 then 'maximum assist, patient does 25-49%' when 2 then 'assistance by 2-3 caregivers' when 3 then 'ADL assistance by 4 or more caregivers' end"
+query("a12_published_orders", "", f"""x as (select user_id, cast(ts as date) as day, {_PLACES} p, {_DEVICES} d, {_HELP} h, case event_id % 11 when 0 then 'Yes' when 1 then 'Unable to assess' when 2 then 'No' end s from events)
+SELECT user_id, day, case when bool_or(p ilike '%home%') then 'HOME' when bool_or(p ilike '%or%') then 'OR' when bool_or(p ilike '%icu%') then 'ICU' when count(p) > 0 then 'WARD' end station,
+case when bool_or(d = 'ventilator') then 'ventilator' when bool_or(d = 'supplemental oxygen') then 'supplemental oxygen' when bool_or(d = 'noninvasive ventilator') then 'noninvasive ventilator' when bool_or(d = 'room air') then 'room air' end device,
+case when bool_or(s = 'Yes') then 'POSITIVE' when bool_or(s = 'Unable to assess') then 'UNABLE_TO_ASSESS' when count(s) > 0 then 'NEGATIVE' end delirium,
+case when bool_or(h like 'max%') then 'Maximum' when bool_or(h like 'ADL%') then 'Moderate' when bool_or(h like 'assist%') then 'Minimal' when bool_or(h = 'independent') then 'Independent' end assistance from x group by 1, 2""")(
+    lambda t: t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        aggs.ordinal_worst(F.expr(_PLACES), aggs.ORDERS["station"]).alias("station"), aggs.ordinal_worst(F.expr(_DEVICES), aggs.ORDERS["respiratory_device"]).alias("device"),
+        aggs.ordinal_worst(F.expr("case event_id % 11 when 0 then 'Yes' when 1 then 'Unable to assess' when 2 then 'No' end"), aggs.ORDERS["delirium"]).alias("delirium"), aggs.ordinal_worst(F.expr(_HELP), aggs.ORDERS["assistance"]).alias("assistance"))
+)
+query("a13_station_flags", "", f"""x as (select user_id, cast(ts as date) as day, {_PLACES} p from events)
+SELECT user_id, day, max(case when p ilike '%icu%' then 1 when p is not null then 0 end) "ICU", max(case when p ilike '%ward%' then 1 when p is not null then 0 end) "WARD", max(case when p = 'OR' then 1 when p is not null then 0 end) "OR", max(case when p = 'PACU' then 1 when p is not null then 0 end) "PACU" from x group by 1, 2""")(
+    lambda t: aggs.multi_label(t.events.withColumn("day", F.to_date("ts")).withColumn("p", F.expr(_PLACES)), ["user_id", "day"], "p", aggs.STATIONS).select("user_id", "day", "ICU", "WARD", "OR", "PACU")
+)
 query("a13_multi_label_indicators", "", """p as (select n_regionkey, n_name, unnest(string_split(lower(n_name) || ';' || case when n_nationkey % 2 = 0 then 'even' else 'odd' end, ';')) v from nation)
 SELECT n_regionkey, max(case when regexp_matches(v, 'even') then 1 else 0 end) even, max(case when regexp_matches(v, 'a') then 1 else 0 end) has_a from p group by 1""")(
     lambda t: aggs.multi_label(t.nation.withColumn("v", F.concat_ws(";", F.lower("n_name"), F.when(c("n_nationkey") % 2 == 0, "even").otherwise("odd"))), ["n_regionkey"], "v", {"even": "even", "has_a": "a"})
@@ -245,10 +261,7 @@ b as (select *, sum(n) over (partition by person_id order by s, e rows unbounded
 SELECT person_id, cast(min(s) as timestamp) loc_start, cast(max(e) as timestamp) loc_end, count(*) n_merged from b group by person_id, island""")(
     lambda t: intervals.floor_ceil_condense(t.locations.select("person_id", "loc_start", "loc_end"), by=["person_id"], start="loc_start", end="loc_end", unit="day")
 )
-query("i5_expand_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits where visit_id % 5 = 0")(
-    lambda t: intervals.expand_to_grid(t.visits.where("visit_id % 5 = 0"), start="start_at", end="end_at", step="1 DAY").select("visit_id", "at")
-)
-query("i5_expand_all_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits")(
+query("i5_expand_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits")(
     lambda t: intervals.expand_to_grid(t.visits, start="start_at", end="end_at", step="1 DAY").select("visit_id", "at")
 )
 query("i6_trim_to_bounds", "visits exposures", "SELECT e.visit_id, drug_id, greatest(exp_start, start_at) exp_start, least(exp_end, end_at) exp_end from exposures e join visits v using (visit_id) where exp_end >= start_at and exp_start <= end_at")(
@@ -331,11 +344,14 @@ query("p18_datediff_boundary", "procedures persons", "SELECT procedure_id, date_
 query("p19_map_values", "", "SELECT o_orderkey, case when o_orderkey % 6 = 0 then 'none' else case o_orderstatus when 'F' then 'final' when 'O' then 'open' else 'rest' end end status from orders")(
     lambda t: t.orders.select("o_orderkey", typing_ops.map_values(F.when(c("o_orderkey") % 6 != 0, c("o_orderstatus")), {"F": "final", "O": "open"}, default="none", other="rest").alias("status"))
 )
-_TEXTS = "case event_id % 8 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' else 'trace' end"
-_texts = lambda: F.expr("case event_id % 8 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' else 'trace' end")
-query("f1_f2_f3_result_text", "", f"""x as (select event_id, user_id, {_TEXTS} t from events)
-SELECT event_id, cast(case event_id % 8 when 0 then user_id when 1 then user_id + 2 when 2 then user_id when 5 then 1200 + 10 + user_id % 80 end as double) number, case when t like '<%' then '<' end sign, case when event_id % 8 = 7 then 'Small' when event_id % 8 = 2 then 'Negative' end grade from x""")(
-    lambda t: t.events.select("event_id", S.extract_number(_texts()).alias("number"), S.extract_operator(_texts()).alias("sign"), S.grade_text(_texts()).alias("grade"))
+_TEXTS = "case event_id % 14 when 0 then '<' || user_id when 1 then user_id || '-' || (user_id + 4) when 2 then 'NEG ' || user_id when 3 then '2020-01-02' when 4 then '1/2' when 5 then '1,2' || (10 + user_id % 80) when 6 then '1 2 3 4' when 7 then 'trace' when 8 then user_id || '.5 of 20' when 9 then 'B-' || user_id when 10 then 'negative' || user_id when 11 then '-' || user_id || '.25' when 12 then 'Abnormal' else '1-2-3' end"
+query("f1_f2_f3_result_text", "", f"""x as (select event_id, user_id, event_id % 14 k, {_TEXTS} t from events)
+SELECT event_id, cast(case k when 0 then user_id when 1 then user_id + 2 when 2 then -user_id when 5 then 1200 + 10 + user_id % 80 when 8 then user_id + 0.5 when 9 then user_id when 10 then -user_id when 11 then -user_id - 0.25 end as double) number, case when t like '<%' then '<' end sign, case when k = 7 then 'Small' when k in (2, 10) then 'Negative' end grade from x""")(
+    lambda t: t.events.select("event_id", S.extract_number(F.expr(_TEXTS)).alias("number"), S.extract_operator(F.expr(_TEXTS)).alias("sign"), S.grade_text(F.expr(_TEXTS)).alias("grade"))
+)
+query("f3_numeric_grades", "", """SELECT event_id, case when value <= 499 then 'Small' when value >= 1000 then 'Large' when value >= 500 then 'Moderate' end glucose, case when value < 30 then 'Small' when value >= 300 then 'Large' when value >= 30 then 'Moderate' end protein,
+case when value <= 4 then 'Negative' when value <= 30 then 'Small' when value <= 50 then 'Moderate' when value > 50 then 'Large' end cells from (select event_id, case when event_id % 9 <> 0 then value * 10 end as value from events)""")(
+    lambda t: t.events.withColumn("v", F.when(c("event_id") % 9 != 0, c("value") * 10)).select("event_id", S.grade_number(c("v"), "glucose_urine").alias("glucose"), S.grade_number(c("v"), "protein_urine").alias("protein"), S.grade_number(c("v"), "red_cells_urine").alias("cells"))
 )
 query("f4_postal_code", "", "SELECT c_custkey, lpad(cast(c_custkey * 7919 % 100000 as varchar), 5, '0') zip5, case when c_custkey % 2 = 0 then lpad(cast(c_custkey * 7919 % 100000 as varchar), 5, '0') || '1234' end zip9 from customer")(
     lambda t: t.customer.withColumn("z", F.concat(F.lpad((c("c_custkey") * 7919 % 100000).cast("string"), 5, "0"), F.when(c("c_custkey") % 2 == 0, "-1234").otherwise(""))).select("c_custkey", S.postal_code(c("z")).alias("zip5"), S.postal_code(c("z"), 9).alias("zip9"))
@@ -343,9 +359,17 @@ query("f4_postal_code", "", "SELECT c_custkey, lpad(cast(c_custkey * 7919 % 1000
 query("f5_f6_units", "measurements", "SELECT measurement_id, value * case unit when 'mg/dl' then 1.0 when 'g/l' then 100.0 end mg_dl, value * case unit when 'mg/dl' then 10 / 180.16 when 'g/l' then 1000 / 180.16 end mmol_l, value * case unit when 'g/l' then 0.45359237 end kg from measurements", "mg_dl mmol_l kg")(
     lambda t: t.measurements.select("measurement_id", (c("value") * S.unit_ratio(c("unit"), "mg/dl")).alias("mg_dl"), (c("value") * S.unit_ratio(c("unit"), "mmol/l", F.lit(180.16))).alias("mmol_l"), S.convert_unit(c("value"), c("unit"), {"g/l": 0.45359237}).alias("kg"))
 )
-query("f7_f9_temperatures", "measurements", "SELECT measurement_id, case when unit like '%l' and measurement_id % 3 = 1 then (value - 32) * 5 / 9 else value end celsius from measurements", "celsius")(
+query("f7_temperatures", "measurements", "SELECT measurement_id, case when unit like '%l' and measurement_id % 3 = 1 then (value - 32) * 5 / 9 else value end celsius from measurements", "celsius")(
     lambda t: t.measurements.select("measurement_id", S.fahrenheit_to_celsius(c("value"), F.when(c("measurement_id") % 3 == 1, "degF").otherwise("C")).alias("celsius"))
 )
+_UNITS = "case event_id % 4 when 0 then 'mmol/l' when 1 then 'mg/dl' when 2 then 'mg/ml' end"
+query("f8_scoring_units", "", f"""x as (select event_id, value, coalesce({_UNITS}, '') u from events)
+SELECT event_id, case when u = 'mmol/l' then value / 0.111 else value end lactate, case when u in ('mmol/l', '') then 'mg/dl' else u end lactate_unit, case when u in ('mg/ml', '') then 'mg/dl' else u end creatinine_unit, case when u = '' then 'thousand/ul' else u end platelet_unit from x""", "lactate")(
+    lambda t: t.events.withColumn("u", F.expr(_UNITS)).select("event_id", *(x.alias(n) for x, n in zip(S.scoring_lab(c("value"), c("u"), "lactate"), ("lactate", "lactate_unit"), strict=True)), S.scoring_lab(c("value"), c("u"), "creatinine")[1].alias("creatinine_unit"), S.scoring_lab(c("value"), c("u"), "platelets")[1].alias("platelet_unit"))
+)
+query("f9_red_cell_volume", "", "SELECT event_id, case when event_id % 3 = 0 then value when event_id % 3 = 1 and value > 10 then value else value * 250 end ml from events", "ml")(
+    lambda t: t.events.select("event_id", S.red_cell_volume(c("value"), F.expr("case event_id % 3 when 0 then 'mL' when 2 then 'unit' end")).alias("ml"))
+)
 query("f10_haversine", "", "SELECT s_suppkey, 2 * 6371.009 / 1.609 * asin(least(1, sqrt(pow(sin(radians(10 - s_suppkey % 90) / 2), 2) + cos(radians(s_suppkey % 90)) * cos(radians(10)) * pow(sin(radians(20 - s_suppkey % 170) / 2), 2)))) miles from supplier", "miles")(
     lambda t: t.supplier.select("s_suppkey", S.haversine_miles((c("s_suppkey") % 90).cast("double"), (c("s_suppkey") % 170).cast("double"), F.lit(10.0), F.lit(20.0)).alias("miles"))
 )
