@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -100,6 +100,18 @@ def profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return stats.join(mode, [*by, "column"], "left")
 
 
+def directory_summary(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """Rows (table, column, n_rows, n, levels, shortest) for the columns of Parquet tables, each table read once."""
+    out = None
+    for name, path in tables.items():
+        df = spark.read.parquet(path)
+        stats = df.agg(F.count("*").alias("n_rows"), *(F.struct(F.count(x).alias("n"), F.count_distinct(x).alias("levels"), F.min(F.length(F.col(x).cast("string"))).alias("shortest")).alias(x) for x in df.columns))
+        rows = stats.select(F.lit(name).alias("table"), "n_rows", F.explode(F.array(*(F.struct(F.lit(x).alias("column"), f"{x}.*") for x in df.columns))).alias("x"))
+        part = rows.select("table", "x.column", "n_rows", "x.n", "x.levels", F.col("x.shortest").cast("long").alias("shortest"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def timestamp_stats(df: DataFrame, by: Sequence[str], at: str) -> DataFrame:
     """Median, least and greatest time of a group, of years 1905 to 2200."""
     ok = df.where(F.year(at).between(1905, 2200))

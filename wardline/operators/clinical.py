@@ -165,29 +165,55 @@ def any_flag(*columns: str) -> Column:
     return F.greatest(*columns) if len(columns) > 1 else c(columns[0])
 
 
-#: Organ scores: limits from the worst band down, as (at least or at most, points).
-RESPIRATION = ((100, 4), (200, 3), (300, 2), (400, 1))
-COAGULATION = ((20, 4), (50, 3), (100, 2), (150, 1))
-LIVER = ((12.0, 4), (6.0, 3), (2.0, 2), (1.2, 1))
-RENAL = ((5.0, 4), (3.5, 3), (2.0, 2), (1.2, 1))
-CONSCIOUSNESS = ((6, 4), (10, 3), (13, 2), (15, 1))
-#: Dose bands of pressors in mcg a kilogram and minute, worst first.
-PRESSORS = {"dopamine": ((15.0, 4), (5.0, 3), (0.0, 2)), "epinephrine": ((0.1, 4), (0.0, 3)), "norepinephrine": ((0.1, 4), (0.0, 3)), "dobutamine": ((0.0, 2),)}
-
-
-def below(value: Column, bands: Sequence[tuple[float, int]]) -> Column:
-    """Points of the first band that the value is under; null without a value."""
+# Bands of the organ scores, worst first, as (limit, limit included, points).
+BANDS: dict[str, tuple[str, tuple[tuple[float, bool, int], ...]]] = {
+    "respiration": ("under", ((100, False, 4), (200, False, 3), (300, False, 2), (400, False, 1))),
+    "coagulation": ("under", ((20, False, 4), (50, False, 3), (100, False, 2), (150, False, 1))),
+    "liver": ("over", ((12.0, False, 4), (6.0, True, 3), (2.0, True, 2), (1.2, True, 1))),
+    "renal": ("over", ((5.0, False, 4), (3.5, True, 3), (2.0, True, 2), (1.2, True, 1))),
+    "consciousness": ("under", ((6, False, 4), (9, True, 3), (12, True, 2), (14, True, 1))),
+}
+
+
+def band_points(value: Column, organ: str) -> Column:
+    """Points of the first band that holds the value; zero beyond all, null without a value."""
+    side, bands = BANDS[organ]
     out = F.when(value.isNull(), None)
-    for limit, points in bands:
-        out = out.when(value < limit, points)
+    for limit, included, points in bands:
+        inside = (value < limit if side == "under" else value > limit) | ((value == limit) if included else F.lit(False))
+        out = out.when(inside, points)
     return out.otherwise(0)
 
 
-def at_least(value: Column, bands: Sequence[tuple[float, int]]) -> Column:
-    out = F.when(value.isNull(), None)
-    for limit, points in bands:
-        out = out.when(value >= limit, points)
-    return out.otherwise(0)
+def cardiovascular_points(map_: Column, doses: Mapping[str, Column]) -> Column:
+    """Points of mean arterial pressure under 70 and of pressors by dose a kilogram and minute; the worst counts."""
+    pressors = [above(dose, PRESSORS[drug]) for drug, dose in doses.items()]
+    return F.greatest(F.when(map_ < 70, 1).when(map_.isNotNull(), 0), *pressors) if pressors else F.when(map_ < 70, 1).when(map_.isNotNull(), 0)
+
+
+def quick_score(respiratory_rate: Column, systolic: Column, consciousness: Column) -> dict[str, Column]:
+    """Parts of the quick score: breaths from 22, systolic pressure up to 100, consciousness under 15."""
+    part = lambda value, hit: F.when(value.isNotNull(), hit.cast("int"))
+    return {"rate": part(respiratory_rate, respiratory_rate >= 22), "pressure": part(systolic, systolic <= 100), "mind": part(consciousness, consciousness < 15)}
+
+
+def electronic_score(visits: DataFrame, *, creatinine: str, bilirubin: str, platelets: str, lactate: str, pressor: str, ventilated: str, esrd: str, suffix: str = "_base") -> DataFrame:
+    """Six parts from a visit's worst values and their baselines (column + suffix), null values giving no point.
+
+    Renal: creatinine twice its baseline, or end-stage disease. Liver: bilirubin from 2 and twice its baseline. Coagulation:
+    platelets under 100 and half of a baseline of at least 100. Perfusion: lactate from 2. Pressor and ventilation: any.
+    """
+    hit = lambda x: F.coalesce(x, F.lit(False)).cast("int")
+    parts = {
+        "renal": hit((c(creatinine) >= 2 * c(creatinine + suffix)) | (c(esrd) == 1)), "liver": hit((c(bilirubin) >= 2) & (c(bilirubin) >= 2 * c(bilirubin + suffix))),
+        "coagulation": hit((c(platelets) < 100) & (c(platelets) <= 0.5 * c(platelets + suffix)) & (c(platelets + suffix) >= 100)), "perfusion": hit(c(lactate) >= 2),
+        "pressor": hit(c(pressor) == 1), "ventilation": hit(c(ventilated) == 1),
+    }
+    return visits.withColumns(parts).withColumn("total", sum((c(p) for p in parts), F.lit(0)))
+
+
+#: Dose bands of pressors in mcg a kilogram and minute, worst first.
+PRESSORS = {"dopamine": ((15.0, 4), (5.0, 3), (0.0, 2)), "epinephrine": ((0.1, 4), (0.0, 3)), "norepinephrine": ((0.1, 4), (0.0, 3)), "dobutamine": ((0.0, 2),)}
 
 
 def above(value: Column, bands: Sequence[tuple[float, int]]) -> Column:
@@ -197,11 +223,14 @@ def above(value: Column, bands: Sequence[tuple[float, int]]) -> Column:
     return out.otherwise(0)
 
 
-def hourly_scores(readings: DataFrame, *, by: Sequence[str], at: str, variable: str, value: str, parts: Mapping[str, Column], fill_hours: int = 24) -> DataFrame:
+def hourly_scores(readings: DataFrame, *, by: Sequence[str], at: str, parts: Mapping[str, Column], fill_hours: int = 24, stays: DataFrame | None = None, override: Mapping[str, tuple[DataFrame, int]] | None = None) -> DataFrame:
     """Organ scores by hour: worst points of each part in the hour, over 24 hours, carried forward, and their total.
 
-    parts: points of a reading by part, null for readings of other variables.
+    parts: points of a reading by part, null for readings of other variables. ``stays`` (by, _from, _to) bounds the hours of
+    each group, so that long gaps between stays have no rows. ``override`` gives the members of a table (by) fixed points of a part.
     """
+    if stays is not None:
+        readings = readings.join(stays, list(by)).where(c(at).between(c("_from"), c("_to"))).drop("_from", "_to")
     hour = F.date_trunc("hour", at)
     worst = readings.groupBy(*by, hour.alias("hour")).agg(*(F.max(p).alias(n) for n, p in parts.items()))
     grid = worst.groupBy(*by).agg(F.min("hour").alias("_lo"), F.max("hour").alias("_hi"))
@@ -210,6 +239,8 @@ def hourly_scores(readings: DataFrame, *, by: Sequence[str], at: str, variable:
     fill = Window.partitionBy(*by).orderBy("hour").rowsBetween(-fill_hours, 0)
     grid = grid.withColumns({n: F.max(n).over(day) for n in parts})
     grid = grid.withColumns({n: F.last(n, ignorenulls=True).over(fill) for n in parts})
+    for n, (members, points) in (override or {}).items():
+        grid = grid.join(members.select(*by).distinct().withColumn("_is", F.lit(True)), list(by), "left").withColumn(n, F.when(c("_is"), points).otherwise(c(n))).drop("_is")
     total = sum((F.coalesce(c(n), F.lit(0)) for n in parts), F.lit(0))
     return grid.withColumn("total", total)
 
@@ -273,8 +304,9 @@ def filter_creatinine(labs: DataFrame, encounters: DataFrame, *, value: str, uni
 
 
 def merge_outputs(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Results of several batches as one table; a row that several batches hold stands once."""
-    out = batches[0]
-    for b in batches[1:]:
-        out = out.unionByName(b, allowMissingColumns=True)
-    return out.dropDuplicates(list(keys))
+    """Results of several batches as one table; of rows with equal keys that of the first batch stands, the least by its columns."""
+    out = batches[0].withColumn("_batch", F.lit(0))
+    for i, b in enumerate(batches[1:], 1):
+        out = out.unionByName(b.withColumn("_batch", F.lit(i)), allowMissingColumns=True)
+    rest = [x for x in out.columns if x not in (*keys, "_batch")]
+    return out.groupBy(*keys).agg(F.min(F.struct("_batch", *rest)).alias("_one")).select(*keys, *(F.col(f"_one.{x}") for x in rest))

@@ -36,20 +36,26 @@ def segments(df: DataFrame, *, by: Sequence[str], start: str, end: str) -> DataF
 
 
 def _covered(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
-    seg = segments(df, by=by, start=start, end=end)
-    rows = df.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), *(c for c in df.columns if c not in by))
-    on = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(by)] + [F.col(start) <= F.col("seg_start"), F.col(end) >= F.col("seg_end")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return seg.join(rows, cond).drop(*(f"_k{i}" for i in range(len(by))))
+    """A row for each elementary segment and each interval over it.
 
+    An interval begins and ends at boundaries, so it covers the segments numbered from one to the other: the numbers
+    come by equality, and no segment is compared with an interval that does not cover it. Intervals of no length cover nothing.
+    """
+    w = Window.partitionBy(*by).orderBy("seg_start")
+    seg = segments(df, by=by, start=start, end=end).withColumn("_seg", F.row_number().over(w))
+    first = seg.select(*by, F.col("seg_start").alias(start), F.col("_seg").alias("_from"))
+    last = seg.select(*by, F.col("seg_end").alias(end), F.col("_seg").alias("_to"))
+    rows = df.where(F.col(start) < F.col(end)).join(first, [*by, start]).join(last, [*by, end])
+    return rows.withColumn("_seg", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to").join(seg, [*by, "_seg"]).drop("_seg")
 
-def resolve_overlaps(df: DataFrame, *, by: Sequence[str], start: str, end: str, priority: str, label: str) -> DataFrame:
+
+def resolve_overlaps(df: DataFrame, *, by: Sequence[str], start: str, end: str, priority: str, label: str, max_len: str | None = None) -> DataFrame:
     """At each instant the label of least priority number wins; output is disjoint, equal neighbours merged.
 
-    An exact sweep over elementary segments, not a grid.
+    Over elementary segments, not a grid; an interval counts for at most ``max_len`` from its start.
     """
+    if max_len:
+        df = df.withColumn(end, F.least(F.col(end), F.col(start) + F.expr(f"INTERVAL {max_len}")))
     won = _covered(df, by, start, end).groupBy(*by, "seg_start", "seg_end").agg(F.min(F.struct(priority, F.col(start), label)).alias("w")).select(*by, "seg_start", "seg_end", F.col(f"w.{label}").alias(label))
     w = Window.partitionBy(*by).orderBy("seg_start")
     new = F.coalesce((F.lag(label).over(w) != F.col(label)) | (F.lag("seg_end").over(w) < F.col("seg_start")), F.lit(True)).cast("int")
@@ -62,17 +68,47 @@ def timeline(df: DataFrame, *, by: Sequence[str], start: str, end: str, id_colum
     return _covered(df, by, start, end).groupBy(*by, "seg_start", "seg_end").agg(F.array_sort(F.collect_set(id_column)).alias("active"))
 
 
+def components(df: DataFrame, *, by: Sequence[str], start: str, end: str, gap: str = "0 SECONDS") -> DataFrame:
+    """Each interval with the number of its connected component: intervals that overlap, touch, or lie within ``gap``."""
+    w = Window.partitionBy(*by).orderBy(start, end)
+    before = F.max(F.col(end) + F.expr(f"INTERVAL {gap}")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = (before.isNull() | (F.col(start) > before)).cast("int")
+    return df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_new", new).withColumn("component", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def intersections(df: DataFrame, *, by: Sequence[str], start: str, end: str, id_column: str) -> DataFrame:
+    """Pairs of intervals of a group that share some time, and what they share.
+
+    The later of two begins in a segment that the earlier covers, so pairs meet by equality on the number of that segment.
+    """
+    w = Window.partitionBy(*by).orderBy("seg_start")
+    seg = segments(df, by=by, start=start, end=end).withColumn("_seg", F.row_number().over(w))
+    first = seg.select(*by, F.col("seg_start").alias(start), F.col("_seg").alias("_from"))
+    last = seg.select(*by, F.col("seg_end").alias(end), F.col("_seg").alias("_to"))
+    rows = df.select(*by, start, end, id_column).where(F.col(start) < F.col(end)).join(first, [*by, start]).join(last, [*by, end])
+    over = rows.select(*by, F.explode(F.sequence("_from", "_to")).alias("_from"), F.col(id_column).alias("_id"), F.col(start).alias("_s"), F.col(end).alias("_e"))
+    pairs = rows.join(over, [*by, "_from"]).where((F.col("_s") < F.col(start)) | (F.col("_s") == F.col(start)) & (F.col("_id") < F.col(id_column)))
+    return pairs.select(*by, F.col("_id").alias("earlier"), F.col(id_column).alias("later"), F.col(start).alias("shared_from"), F.least("_e", end).alias("shared_to"))
+
+
 def expand_to_grid(df: DataFrame, *, start: str, end: str, step: str, name: str = "at") -> DataFrame:
     """A row for each step from start to end, both included."""
     return df.where(F.col(start) <= F.col(end)).withColumn(name, F.explode(F.sequence(F.col(start), F.col(end), F.expr(f"INTERVAL {step}"))))
 
 
 def trim_to_bounds(df: DataFrame, bounds: DataFrame, *, key: str, start: str, end: str, low: str, high: str) -> DataFrame:
-    """Intervals clipped to their key's bounds; those outside go."""
+    """Intervals clipped to their key's bounds; those outside go. For points, start and end may be one column."""
     inside = df.join(bounds, key).where((F.col(end) >= F.col(low)) & (F.col(start) <= F.col(high)))
     return inside.withColumns({start: F.greatest(start, low), end: F.least(end, high)}).drop(low, high)
 
 
+def with_bounds(df: DataFrame, bounds: DataFrame, *, key: str, at: str, low: str, high: str) -> DataFrame:
+    """Points within their key's bounds, and a row at each bound where no point stands; ``observed`` tells them apart."""
+    inside = df.join(bounds.select(key, low, high), key).where(F.col(at).between(F.col(low), F.col(high))).drop(low, high).withColumn("observed", F.lit(1))
+    edges = bounds.select(key, F.explode(F.array_distinct(F.array(low, high))).alias(at)).where(F.col(at).isNotNull())
+    return inside.unionByName(edges.join(inside.select(key, at), [key, at], "left_anti").withColumn("observed", F.lit(0)), allowMissingColumns=True)
+
+
 def exposure_duration(anchors: DataFrame, events: DataFrame, *, key: str, anchor: str, horizons: dict[str, int], start: str, end: str) -> DataFrame:
     """Days (fractions too) of events within [anchor, anchor + h days] for each horizon; under 1e-3 counts as 0."""
     e = events.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"))
@@ -126,7 +162,10 @@ def infusion_rates(meds: DataFrame, cases: DataFrame, *, key: str, start: str, e
 
 
 def accept_apart(df: DataFrame, *, by: Sequence[str], at: str, value: str, seconds: int) -> DataFrame:
-    """Values at least so many seconds after the last accepted one, from the first on: a fold over a sorted list."""
+    """Values at least so many seconds after the last accepted one, from the first on: a fold over a sorted list.
+
+    The list is one key's rows (time and value), held in one task; each accepted value depends on the one before.
+    """
     rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.unix_micros(at).alias("t"), F.col(value).alias("v")))).alias("xs"))
     element = rows.schema["xs"].dataType.elementType.simpleString()
     empty = F.expr(f"cast(array() as array<{element}>)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,13 @@ def assert_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     for name, rule in rules.items():
         df = df.where(F.when(F.coalesce(rule, F.lit(False)), True).otherwise(F.raise_error(F.lit(f"rule broken: {name}")).cast("boolean")))
     return df
+
+
+def append_log(df: DataFrame, path: str, *, table: str, batch: int, key: str) -> None:
+    """One row (table, batch, n, first_id, last_id) about a loaded batch, appended to a log of Parquet files."""
+    df.agg(F.lit(table).alias("table"), F.lit(batch).cast("long").alias("batch"), F.count("*").alias("n"), F.min(key).alias("first_id"), F.max(key).alias("last_id")).write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log with the number of rows of a table up to each batch."""
+    return spark.read.parquet(path).withColumn("so_far", F.sum("n").over(Window.partitionBy("table").orderBy("batch")))

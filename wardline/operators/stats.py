@@ -129,6 +129,43 @@ def fisher_exact(a: int, b: int, c: int, d: int) -> float:
     return min(1.0, sum(math.exp(p) for x in range(max(0, k - (n - r)), min(r, k) + 1) if (p := logp(x)) <= here + 1e-7))
 
 
+def fisher_test(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Counts of a 2 x 2 table of two 0/1 columns, and the two-sided p; the margins are summed in Spark."""
+    cells = (("a", 1, 1), ("b", 1, 0), ("c", 0, 1), ("d", 0, 0))
+    row = df.agg(*(F.count_if((F.col(a) == x) & (F.col(b) == y)).alias(n) for n, x, y in cells)).first()
+    return df.sparkSession.createDataFrame([(*row, fisher_exact(*row))], "a long, b long, c long, d long, p double")
+
+
+def compare_proportions(df: DataFrame, column: str, group: str) -> DataFrame:
+    """Rows (level, group, n, percent) of a contingency table with the p of the comparison and the test that gave it.
+
+    Pearson's test where at most a fifth of the expected counts is under five and the table is not 2 x 2 with such a
+    count; else Fisher's for 2 x 2; other tables keep Pearson's, marked as unsure. Null levels are left out.
+    """
+    known = df.where(F.col(column).isNotNull() & F.col(group).isNotNull())
+    obs = known.groupBy(F.col(column).cast("string").alias("level"), F.col(group).cast("string").alias("group")).count()
+    cells = {(r["level"], r["group"]): r["count"] for r in obs.collect()}  # levels by groups, not rows
+    rows, cols = sorted({x for x, _ in cells}), sorted({y for _, y in cells})
+    total, dof = sum(cells.values()), (len(rows) - 1) * (len(cols) - 1)
+    r, k = ({x: sum(cells.get((x, y), 0) for y in cols) for x in rows}, {y: sum(cells.get((x, y), 0) for x in rows) for y in cols})
+    expected = {(x, y): r[x] * k[y] / total for x in rows for y in cols}
+    few = sum(e < 5 for e in expected.values())
+    if len(rows) == len(cols) == 2 and few:
+        p, test = fisher_exact(*(cells.get((x, y), 0) for x in rows for y in cols)), "fisher"
+    else:
+        statistic = sum((cells.get(at, 0) - e) ** 2 / e for at, e in expected.items())
+        p, test = chi_square_tail(statistic, dof) if dof else 1.0, "pearson" if few * 5 <= len(expected) else "pearson (unsure)"
+    out = [(x, y, cells.get((x, y), 0), 100.0 * cells.get((x, y), 0) / k[y], p, test) for x in rows for y in cols]
+    return df.sparkSession.createDataFrame(out, "level string, group string, n long, percent double, p double, test string")
+
+
+def with_tail(result: DataFrame, statistic: str, dof: str, name: str = "p") -> DataFrame:
+    """A one-row result with the upper tail of the chi-square distribution at its statistic."""
+    row = result.first()
+    p = chi_square_tail(row[statistic], int(row[dof])) if row[statistic] is not None else None
+    return result.withColumn(name, F.lit(p).cast("double"))
+
+
 def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
     """Tie-corrected H and degrees of freedom.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import functions as F
 
 from wardline.functions import scalars as S
@@ -147,21 +145,68 @@ query("c26_condition_outcomes", "visits exposures", """SELECT v.visit_id, max(ca
 )
 
 
-class _Scores:
-    @cached_property
-    def parts(self):
-        v = lambda name: F.when(c("variable") == name, c("value"))
-        return {"coagulation": C.below(v("view"), ((10, 4), (25, 3), (50, 2), (75, 1))), "liver": C.at_least(v("click"), ((120, 4), (60, 3), (20, 2), (12, 1)))}
+_READ = """kinds as (select event_id, user_id as person_id, ts, value, case event_id % 9 when 0 then 'pf' when 1 then 'platelets' when 2 then 'bilirubin' when 3 then 'creatinine' when 4 then 'coma' when 5 then 'map' when 6 then 'norepinephrine' when 7 then 'rate' else 'systolic' end kind from events),
+spans as (select user_id as person_id, min(ts) lo, min(ts) + interval 10 day hi from events group by 1), readings as (select k.* from kinds k join spans using (person_id) where ts between lo and hi)"""
+_KIND = F.expr("case event_id % 9 when 0 then 'pf' when 1 then 'platelets' when 2 then 'bilirubin' when 3 then 'creatinine' when 4 then 'coma' when 5 then 'map' when 6 then 'norepinephrine' when 7 then 'rate' else 'systolic' end")
+_SOFA = {
+    "respiration": "case when kind = 'pf' then case when value * 5 < 100 then 4 when value * 5 < 200 then 3 when value * 5 < 300 then 2 when value * 5 < 400 then 1 when value is not null then 0 end end",
+    "coagulation": "case when kind = 'platelets' then case when value * 2 < 20 then 4 when value * 2 < 50 then 3 when value * 2 < 100 then 2 when value * 2 < 150 then 1 when value is not null then 0 end end",
+    "liver": "case when kind = 'bilirubin' then case when value / 8 > 12 then 4 when value / 8 >= 6 then 3 when value / 8 >= 2 then 2 when value / 8 >= 1.2 then 1 when value is not null then 0 end end",
+    "renal": "case when kind = 'creatinine' then case when value / 20 > 5 then 4 when value / 20 >= 3.5 then 3 when value / 20 >= 2 then 2 when value / 20 >= 1.2 then 1 when value is not null then 0 end end",
+    "consciousness": "case when kind = 'coma' then case when 3 + event_id % 13 < 6 then 4 when 3 + event_id % 13 <= 9 then 3 when 3 + event_id % 13 <= 12 then 2 when 3 + event_id % 13 <= 14 then 1 else 0 end end",
+    "circulation": "case kind when 'map' then case when value < 70 then 1 when value is not null then 0 end when 'norepinephrine' then case when value / 500 > 0.1 then 4 when value / 500 > 0 then 3 when value is not null then 0 end end",
+}
+_QUICK = {"rate": "case when kind = 'rate' and value is not null then case when value >= 22 then 1 else 0 end end", "pressure": "case when kind = 'systolic' and value is not null then case when value * 2 <= 100 then 1 else 0 end end", "mind": "case when kind = 'coma' then case when 3 + event_id % 13 < 15 then 1 else 0 end end"}
 
 
-query("c28_hourly_scores", "measurements", """p as (select person_id, date_trunc('hour', taken_at) as hour, max(case when variable = 'view' then case when value < 10 then 4 when value < 25 then 3 when value < 50 then 2 when value < 75 then 1 when value is not null then 0 end end) coagulation,
- max(case when variable = 'click' then case when value >= 120 then 4 when value >= 60 then 3 when value >= 20 then 2 when value >= 12 then 1 when value is not null then 0 end end) liver from measurements group by all),
+def _hourly_sql(parts: dict[str, str], override: str = "") -> str:
+    each = ", ".join(f"max({e}) {n}" for n, e in parts.items())
+    roll = ", ".join(f"max({n}) over w {n}" for n in parts)
+    fill = ", ".join(f"last_value({n} ignore nulls) over w {n}" for n in parts)
+    total = " + ".join(f"coalesce({n}, 0)" for n in parts)
+    return _READ + f""", p as (select person_id, date_trunc('hour', ts) as hour, {each} from readings group by all),
 g as (select person_id, unnest(generate_series(min(hour), max(hour), interval 1 hour)) as hour from p group by 1),
-d as (select g.person_id, g.hour, max(coagulation) over w coagulation, max(liver) over w liver from g left join p using (person_id, hour) window w as (partition by g.person_id order by g.hour rows between 23 preceding and current row)),
-f as (select person_id, hour, last_value(coagulation ignore nulls) over w coagulation, last_value(liver ignore nulls) over w liver from d window w as (partition by person_id order by hour rows between 24 preceding and current row))
-SELECT person_id, cast(hour as timestamp) as hour, coagulation, liver, coalesce(coagulation, 0) + coalesce(liver, 0) total from f""")(
-    lambda t: C.hourly_scores(t.measurements, by=["person_id"], at="taken_at", variable="variable", value="value", parts=_Scores().parts)
-)
+d as (select g.person_id, g.hour, {roll} from g left join p using (person_id, hour) window w as (partition by g.person_id order by g.hour rows between 23 preceding and current row)),
+f as (select person_id, hour, {fill} from d window w as (partition by person_id order by hour rows between 24 preceding and current row)), o as (select * {override} from f)
+SELECT person_id, cast(hour as timestamp) as hour, {', '.join(parts)}, {total} total from o"""
+
+
+def _hourly(t: Tables, parts, override=None):
+    readings = t.events.select("event_id", c("user_id").alias("person_id"), "ts", "value", _KIND.alias("kind"))
+    stays = t.events.groupBy(c("user_id").alias("person_id")).agg(F.min("ts").alias("_from")).withColumn("_to", c("_from") + F.expr("interval 10 days"))
+    return C.hourly_scores(readings, by=["person_id"], at="ts", parts=parts, stays=stays, override=override)
+
+
+_of = lambda kind, value: F.when(c("kind") == kind, value)
+query("c28_sofa", "", _hourly_sql(_SOFA, "replace (case when person_id % 10 = 0 then 4 else renal end as renal)"))(
+    lambda t: _hourly(
+        t,
+        {
+            "respiration": C.band_points(_of("pf", c("value") * 5), "respiration"), "coagulation": C.band_points(_of("platelets", c("value") * 2), "coagulation"), "liver": C.band_points(_of("bilirubin", c("value") / 8), "liver"),
+            "renal": C.band_points(_of("creatinine", c("value") / 20), "renal"), "consciousness": C.band_points(_of("coma", 3 + c("event_id") % 13), "consciousness"),
+            "circulation": C.cardiovascular_points(_of("map", c("value")), {"norepinephrine": _of("norepinephrine", c("value") / 500)}),
+        },
+        {"renal": (t.customer.where("c_custkey % 10 = 0").select(c("c_custkey").alias("person_id")), 4)},
+    )
+)
+query("c28_qsofa", "", _hourly_sql(_QUICK))(lambda t: _hourly(t, C.quick_score(_of("rate", c("value")), _of("systolic", c("value") * 2), _of("coma", 3 + c("event_id") % 13))))
+_WORST = {"creatinine": ("max", "view", 20), "bilirubin": ("max", "click", 8), "platelets": ("min", "purchase", 0.5), "lactate": ("max", "error", 20)}
+query("c28_esofa", "visits procedures stays measurements", "x as (select visit_id, min(v.person_id) person_id, " + ", ".join(f"{f}(value / {k}) filter (variable = '{v}' and taken_at >= start_at) {n}, median(value / {k}) filter (variable = '{v}' and taken_at < start_at) {n}_base" for n, (f, v, k) in _WORST.items()) + """ from stays v join measurements m on m.person_id = v.person_id and taken_at <= end_at group by 1),
+y as (select visit_id, person_id, coalesce(case when creatinine >= 2 * creatinine_base or person_id % 10 = 0 then 1 end, 0) renal, coalesce(case when bilirubin >= 2 and bilirubin >= 2 * bilirubin_base then 1 end, 0) liver, coalesce(case when platelets < 100 and platelets <= 0.5 * platelets_base and platelets_base >= 100 then 1 end, 0) coagulation, coalesce(case when lactate >= 2 then 1 end, 0) perfusion,
+ case when visit_id in (select l_orderkey from lineitem where l_quantity > 45) then 1 else 0 end pressor, case when visit_id in (select l_orderkey from lineitem where l_quantity < 3) then 1 else 0 end ventilation from x)
+SELECT visit_id, renal, liver, coagulation, perfusion, pressor, ventilation, renal + liver + coagulation + perfusion + pressor + ventilation total from y""")(lambda t: _esofa(t))
+
+
+def _esofa(t: Tables):
+    when = {"": c("taken_at") >= c("start_at"), "_base": c("taken_at") < c("start_at")}
+    worst = [(F.median if s else getattr(F, f))(F.when((c("variable") == v) & when[s], c("value") / k)).alias(n + s) for n, (f, v, k) in _WORST.items() for s in when]
+    rows = joins.interval_join(t.measurements, t.stays.withColumn("lo", F.lit("1900-01-01").cast("timestamp")), key="person_id", at="taken_at", start="lo", end="end_at").groupBy("visit_id", "person_id").agg(*worst)
+    flag = lambda where, n: t.lineitem.where(where).select(c("l_orderkey").alias("visit_id")).distinct().withColumn(n, F.lit(1))
+    rows = rows.join(flag("l_quantity > 45", "drug"), "visit_id", "left").join(flag("l_quantity < 3", "device"), "visit_id", "left").withColumn("esrd", (c("person_id") % 10 == 0).cast("int"))
+    out = C.electronic_score(rows, creatinine="creatinine", bilirubin="bilirubin", platelets="platelets", lactate="lactate", pressor="drug", ventilated="device", esrd="esrd")
+    return out.select("visit_id", "renal", "liver", "coagulation", "perfusion", "pressor", "ventilation", "total")
+
+
 query("c29_ratio_score", "measurements", """x as (select person_id, avg(value) filter (variable = 'view') as value, avg(value) filter (variable = 'click') baseline from measurements group by 1)
 SELECT person_id, coalesce(case when value >= 40 then 1 else 0 end + case when value / baseline >= 1.1 then 1 else 0 end + case when baseline >= 30 then 1 else 0 end, 0) rules, case when coalesce(case when value >= 40 then 1 else 0 end + case when value / baseline >= 1.1 then 1 else 0 end + case when baseline >= 30 then 1 else 0 end, 0) >= 2 then 1 else 0 end score from x where value is not null and baseline is not null""")(
     lambda t: C.ratio_score(t.measurements.groupBy("person_id").agg(F.avg(F.when(c("variable") == "view", c("value"))).alias("value"), F.avg(F.when(c("variable") == "click", c("value"))).alias("baseline")).where("value is not null and baseline is not null"), limit=40, ratio=1.1, least_baseline=30, need=2).select("person_id", "rules", "score")

@@ -212,8 +212,9 @@ SELECT x.event_type, x."column", count(text) n, count(*) - count(text) missing,
 query("a20_timestamp_stats", "", "SELECT user_id, make_timestamp(cast(trunc(median(epoch_us(ts))) as bigint)) median_at, min(ts) min_at, max(ts) max_at from events group by 1")(lambda t: aggs.timestamp_stats(t.events, ["user_id"], "ts"))
 query("a21_census", "", """x as (select distinct c_custkey id, 'customer' frame from customer union select distinct user_id, 'events' from events union select distinct o_custkey, 'orders' from orders)
 SELECT id, string_agg(frame, ',' order by frame) frames, count(*) n_frames from x group by 1""")(lambda t: aggs.census({"customer": t.customer.withColumnRenamed("c_custkey", "id"), "events": t.events.withColumnRenamed("user_id", "id"), "orders": t.orders.withColumnRenamed("o_custkey", "id")}, "id"))
-query("a22_directory_summary", "", "SELECT 'nation' as \"table\", count(*) n from nation union all select 'orders', count(*) from orders union all select 'part', count(*) from part")(
-    lambda t: t.nation.agg(F.lit("nation").alias("table"), F.count("*").alias("n")).union(t.orders.agg(F.lit("orders"), F.count("*"))).union(t.part.agg(F.lit("part"), F.count("*")))
+_FOLDER = {"customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority", "part": "p_partkey p_name p_brand p_type p_size p_retailprice"}
+query("a22_directory_summary", "", " union all ".join(f"SELECT '{k}' as \"table\", '{x}' as \"column\", count(*) n_rows, count({x}) n, count(distinct {x}) levels, min(length(cast({x} as varchar))) shortest from {k}" for k, v in _FOLDER.items() for x in v.split() if x not in ("o_totalprice", "o_orderdate", "c_acctbal", "p_retailprice")).replace("union all SELECT", "union all select"))(
+    lambda t: aggs.directory_summary(t.spark, {k: f"{t.dir}/{k}.parquet" for k in _FOLDER}).where("`column` not in ('o_totalprice', 'o_orderdate', 'c_acctbal', 'p_retailprice')")
 )
 query("a23_concept_date_list", "", """f as (select user_id, event_type, min(cast(ts as date)) d from events group by all)
 SELECT user_id, string_agg('[' || event_type || ': ' || d || ']', ', ' order by event_type) concepts from f group by 1""")(lambda t: aggs.concept_date_list(t.events, ["user_id"], "event_type", "ts"))
@@ -255,6 +256,22 @@ SELECT person_id, label, min(s) loc_start, max(e) loc_end from q group by person
 query("i3_timeline", "locations", _SEG + """ SELECT s.person_id, s seg_start, e seg_end, string_agg(distinct event_id::varchar, ',' order by event_id::varchar) active from seg s join locations l on l.person_id = s.person_id and loc_start <= s and loc_end >= e where e is not null group by all""")(
     lambda t: intervals.timeline(t.locations.withColumn("id", c("event_id").cast("string")), by=["person_id"], start="loc_start", end="loc_end", id_column="id").withColumn("active", F.array_join("active", ","))
 )
+query("i2_resolve_overlaps_capped", "locations", """short as (select person_id, label, priority, loc_start, least(loc_end, loc_start + interval 5 hour) loc_end from locations), edges as (select person_id, loc_start b from short union select person_id, loc_end from short),
+seg as (select person_id, b s, lead(b) over (partition by person_id order by b) e from edges), won as (select s.person_id, s, e, arg_min(label, (priority, loc_start, label)) as label from seg s join short l on l.person_id = s.person_id and loc_start <= s and loc_end >= e where e is not null group by all)
+SELECT person_id, label, sum(epoch_us(e) - epoch_us(s)) / 3.6e9 as hours from won group by 1, 2""", "hours")(
+    lambda t: intervals.resolve_overlaps(t.locations, by=["person_id"], start="loc_start", end="loc_end", priority="priority", label="label", max_len="5 HOURS").groupBy("person_id", "label").agg((F.sum(F.unix_micros("loc_end") - F.unix_micros("loc_start")) / 3.6e9).alias("hours"))
+)
+query("i3_components", "locations", """a as (select *, case when loc_start > max(loc_end + interval 1 hour) over (partition by person_id order by loc_start, loc_end rows between unbounded preceding and 1 preceding) then 1 else 0 end n from locations)
+SELECT event_id, cast(1 + sum(n) over (partition by person_id order by loc_start, loc_end rows unbounded preceding) as bigint) component from a""")(
+    lambda t: intervals.components(t.locations, by=["person_id"], start="loc_start", end="loc_end", gap="1 HOUR").select("event_id", "component")
+)
+query("i3_intersections", "locations", """SELECT a.person_id, a.event_id earlier, b.event_id later, b.loc_start shared_from, least(a.loc_end, b.loc_end) shared_to from locations a join locations b on a.person_id = b.person_id and a.event_id <> b.event_id and a.loc_end > b.loc_start and (a.loc_start < b.loc_start or (a.loc_start = b.loc_start and a.event_id < b.event_id))""")(
+    lambda t: intervals.intersections(t.locations, by=["person_id"], start="loc_start", end="loc_end", id_column="event_id")
+)
+query("i6_points_and_bounds", "visits measurements", """i as (select visit_id, taken_at as \"at\", value from measurements join visits using (person_id) where taken_at between start_at and end_at), b as (select visit_id, start_at as \"at\" from visits union select visit_id, end_at from visits)
+SELECT visit_id, \"at\", value, 1 observed from i union all select visit_id, \"at\", null, 0 from b where (visit_id, \"at\") not in (select visit_id, \"at\" from i)""")(
+    lambda t: intervals.with_bounds(t.measurements.select(c("taken_at").alias("at"), "value", "person_id").join(t.visits.select("person_id", "visit_id"), "person_id").drop("person_id"), t.visits, key="visit_id", at="at", low="start_at", high="end_at").select("visit_id", "at", "value", "observed")
+)
 query("i4_floor_ceil_condense", "locations", """f as (select person_id, date_trunc('day', loc_start) s, case when date_trunc('day', loc_end) < loc_end then date_trunc('day', loc_end) + interval 1 day else date_trunc('day', loc_end) end e from locations),
 a as (select *, case when s > max(e) over (partition by person_id order by s, e rows between unbounded preceding and 1 preceding) then 1 else 0 end n from f),
 b as (select *, sum(n) over (partition by person_id order by s, e rows unbounded preceding) island from a)

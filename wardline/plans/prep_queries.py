@@ -19,7 +19,11 @@ c = F.col
 
 def _scratch(t: Tables) -> str:
     """A new folder for tables written by a query, shared by all executors where the session names one."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wardline-")
+    root = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="wardline-")
     return f"{root.rstrip('/')}/wardline-{uuid.uuid4().hex}"
 
 
@@ -115,8 +119,8 @@ query("k10_random_forest")(_forest)
 
 # --- quality -----------------------------------------------------------------------------------------------------
 
-query("d1_audit_variables", "measurements", "SELECT variable, count(distinct person_id) persons, count(distinct unit) visits, count(*) observations, count(value) with_value, quantile_cont(value, 0.15) p15, quantile_cont(value, 0.85) p85, avg(value) mean from measurements group by 1", "p15 p85 mean")(
-    lambda t: quality.audit(t.measurements, variable="variable", person="person_id", visit="unit", value="value")
+query("d1_audit_variables", "measurements", "SELECT variable, count(distinct person_id) persons, count(distinct measurement_id) visits, count(*) observations, count(value) with_value, quantile_cont(value, 0.15) p15, quantile_cont(value, 0.85) p85, avg(value) mean from measurements group by 1", "p15 p85 mean")(
+    lambda t: quality.audit(t.measurements, variable="variable", person="person_id", visit="measurement_id", value="value")
 )
 query("d2_completeness_check", "", "SELECT c_custkey, y from customer, (select unnest([1995, 1996, 1997]) y) where (c_custkey, y) not in (select o_custkey, year(o_orderdate) from orders)")(
     lambda t: quality.completeness(t.customer.select("c_custkey", F.explode(F.array(*(F.lit(y) for y in (1995, 1996, 1997)))).alias("y")), t.orders.select(c("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("y")), ["c_custkey", "y"])
@@ -124,9 +128,18 @@ query("d2_completeness_check", "", "SELECT c_custkey, y from customer, (select u
 query("d4_lookup_mapping_audit", "", "SELECT l_partkey, count(*) n from lineitem where l_partkey not in (select p_partkey from part where p_partkey % 3 <> 0) group by 1")(lambda t: quality.unmapped(t.lineitem, t.part.where("p_partkey % 3 <> 0").select(c("p_partkey").alias("l_partkey")), "l_partkey"))
 query("d4_multiply_mapped", "", "SELECT l_partkey, count(distinct l_returnflag) n_variables, string_agg(distinct l_returnflag, ',' order by l_returnflag) variables from lineitem group by 1 having count(distinct l_returnflag) > 1")(lambda t: quality.multiply_mapped(t.lineitem, "l_partkey", "l_returnflag"))
 query("d5_range_assertions", "", "SELECT 'positive' as rule, count(*) filter (not value > 0) broken from events union all select 'small', count(*) filter (not value <= 100) from events")(lambda t: quality.violations(t.events, {"positive": c("value") > 0, "small": c("value") <= 100}))
-query("d6_load_log", "", "SELECT 'orders' as \"table\", min(o_orderkey) first_id, max(o_orderkey) last_id, count(*) n from orders union all select 'events', min(event_id), max(event_id), count(*) from events")(
-    lambda t: t.orders.agg(F.lit("orders").alias("table"), F.min("o_orderkey").alias("first_id"), F.max("o_orderkey").alias("last_id"), F.count("*").alias("n")).union(t.events.agg(F.lit("events"), F.min("event_id"), F.max("event_id"), F.count("*")))
-)
+query("d6_load_log", "", """x as (select 'orders' as source, o_orderkey id from orders union all select 'events', event_id from events)
+SELECT source as "table", batch, count(*) n, min(id) first_id, max(id) last_id, sum(count(*)) over (partition by source order by batch) so_far from (select source, id, id % 3 batch from x) group by 1, 2""")(lambda t: _load_log(t))
+
+
+def _load_log(t: Tables) -> DataFrame:
+    """Batches of two tables appended to a log, which is then read with the rows loaded so far."""
+    path = _scratch(t)
+    for k in range(3):
+        for name, df, key in (("orders", t.orders, "o_orderkey"), ("events", t.events, "event_id")):
+            quality.append_log(df.where(c(key) % 3 == k), path, table=name, batch=k, key=key)
+    return quality.read_log(t.spark, path)
+
 
 # --- sources and sinks ---------------------------------------------------------------------------------------------
 
@@ -167,7 +180,9 @@ _raw = lambda t: t.part.select(F.when(c("p_partkey") % 9 != 0, c("p_partkey").ca
 query("s8_conform", "", "SELECT case when p_partkey % 9 = 0 or p_partkey % 7 = 0 then 'rejected' else 'kept' end side, count(*) n from part group by 1")(
     lambda t: (lambda kept, bad: kept.agg(F.lit("kept").alias("side"), F.count("*").alias("n")).union(bad.agg(F.lit("rejected"), F.count("*"))).where("n > 0"))(*io.conform(_raw(t), _TARGET, truncate=True))
 )
-query("s9_bucket_by_id", "", "SELECT count(distinct o_custkey) ids, count(distinct o_custkey) pairs from orders")(lambda t: io.bucket_by_id(t.orders, "o_custkey", 16).agg(F.count_distinct("o_custkey").alias("ids"), F.count_distinct("o_custkey", "batch").alias("pairs")))
+query("s9_bucket_by_id", "", "k as (select c_custkey, c_custkey % 16 batch from customer where c_custkey % 2 = 0) SELECT o_orderkey, o_custkey, cast(batch as int) known_batch, true one_batch, true in_range from orders left join k on c_custkey = o_custkey")(
+    lambda t: (lambda known: io.bucket_by_id(t.orders, "o_custkey", 16, known).join(io.bucket_by_id(t.orders, "o_custkey", 16, known).groupBy("o_custkey").agg(F.count_distinct("batch").alias("n_batches")), "o_custkey").select("o_orderkey", "o_custkey", F.when(c("o_custkey") % 2 == 0, c("batch")).alias("known_batch"), (c("n_batches") == 1).alias("one_batch"), c("batch").between(0, 15).alias("in_range")))(t.customer.where("c_custkey % 2 = 0").select(c("c_custkey").alias("o_custkey"), (c("c_custkey") % 16).cast("int").alias("batch")))
+)
 query("s11_effective_dated_reference", "", "SELECT p_partkey, 1997 as release, p_size concept from part where p_partkey % 4 <> 0")(
     lambda t: io.load_effective_dated(t.spark.createDataFrame([(1996,)], "release int"), t.part.select("p_partkey", F.explode(F.array(F.lit(1996), F.lit(1997))).alias("release"), F.when(c("p_partkey") % 4 == 0, "TC").alias("modifier")), t.part.select("p_partkey", c("p_size").alias("concept")), code="p_partkey", release="release", modifier="modifier").select("p_partkey", "release", "concept")
 )
@@ -205,9 +220,15 @@ query("xu2_custom_overlap", "locations", """a as (select *, case when loc_start
 b as (select *, sum(n) over (partition by person_id order by loc_start, loc_end rows unbounded preceding) island from a)
 SELECT person_id, min(loc_start) loc_start, max(loc_end) loc_end, count(*) n_merged from b group by person_id, island""")(lambda t: hooks.condense_custom(t.locations, by=["person_id"], start="loc_start", end="loc_end", islands=_gap_rule))
 query("xu3_interval_preparation", "locations", "SELECT person_id, count(*) n from locations where label <> 'view' group by 1")(lambda t: hooks.steps(t.locations, lambda d: d.where("label <> 'view'"), lambda d: d.groupBy("person_id").agg(F.count("*").alias("n"))))
-query("k5_fisher_counts", "", "SELECT count(*) filter (quality = 1 and toxic = 1) a, count(*) filter (quality = 1 and toxic = 0) b, count(*) filter (quality = 0 and toxic = 1) c, count(*) filter (quality = 0 and toxic = 0) d from labels")(
-    lambda t: t.labels.agg(*(F.count_if((c("quality") == q) & (c("toxic") == x)).alias(n) for n, q, x in (("a", 1, 1), ("b", 1, 0), ("c", 0, 1), ("d", 0, 0))))
-)
+query("k5_fisher_exact", "", """t as (select count(*) filter (quality = 1 and toxic = 1) a, count(*) filter (quality = 1 and toxic = 0) b, count(*) filter (quality = 0 and toxic = 1) c, count(*) filter (quality = 0 and toxic = 0) d from labels),
+m as (select *, a + b r, a + c k, a + b + c + d n from t), x as (select m.*, unnest(range(greatest(0, k - (n - r)), least(r, k) + 1)) i from m),
+l as (select *, lgamma(r + 1) - lgamma(i + 1) - lgamma(r - i + 1) + lgamma(n - r + 1) - lgamma(k - i + 1) - lgamma(n - r - k + i + 1) - (lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)) lp from x)
+SELECT any_value(a) a, any_value(b) b, any_value(c) c, any_value(d) d, least(1.0, sum(exp(lp)) filter (lp <= (select lp from l where i = a) + 1e-7)) p from l""", "p")(lambda t: stats.fisher_test(t.labels, "quality", "toxic"))
+# with an even number of degrees of freedom the tail is a finite sum
+query("k4_compare_proportions", "", """o as (select o_orderstatus as "group", o_orderpriority as level, count(*) n from orders group by all), r as (select level, sum(n) r from o group by 1), q as (select "group", sum(n) c from o group by 1), t as (select sum(n) t from o),
+e as (select r.level, q."group", coalesce(n, 0) n, c, r * c / t e from r cross join q cross join t left join o on o.level = r.level and o."group" = q."group"), s as (select sum((n - e) ** 2 / e) / 2 h, (count(distinct level) - 1) * (count(distinct "group") - 1) // 2 m from e),
+p as (select exp(-h) * list_sum(list_transform(range(m), lambda i: h ** i / gamma(i + 1))) p from s)
+SELECT level, "group", cast(n as bigint) n, 100.0 * n / c percent, p, case when (select count(*) filter (e < 5) * 5 <= count(*) from e) then 'pearson' else 'pearson (unsure)' end test from e, p""", "percent p")(lambda t: stats.compare_proportions(t.orders, "o_orderpriority", "o_orderstatus"))
 query("e10_split_by_dtype", "", "SELECT 'numeric' kind, 'value' as \"column\" union all select 'numeric', 'event_id' union all select 'numeric', 'user_id' union all select 'text', 'event_type' union all select 'text', 'props' union all select 'time', 'ts'")(
     lambda t: prep.columns_by_kind(t.events)
 )

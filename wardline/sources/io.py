@@ -110,10 +110,10 @@ def load_effective_dated(loaded: DataFrame, releases: DataFrame, codes: DataFram
 
 
 def zip_ranks(frames: Sequence[DataFrame], *, key: str, columns: Mapping[str, str]) -> DataFrame:
-    """Files of several regions with other names of columns in one table, by nine-digit key, one row a key."""
+    """Files of several regions with other names of columns in one table, by nine-digit key, the least value of each column a key."""
     same = [f.select(*(F.col(old).alias(columns[old]) for old in f.columns if old in columns)) for f in frames]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
-    return rows.withColumn(key, F.regexp_extract(F.regexp_replace(key, "[^0-9]", ""), "([0-9]{9})", 1)).where(F.col(key) != "").dropDuplicates([key])
+    return rows.withColumn(key, F.regexp_extract(F.regexp_replace(key, "[^0-9]", ""), "([0-9]{9})", 1)).where(F.col(key) != "").groupBy(key).agg(*(F.min(c).alias(c) for c in rows.columns if c != key))
 
 
 def package_dataset(frames: Mapping[str, DataFrame], split: DataFrame, y: DataFrame, *, key: str) -> dict[str, DataFrame]:
