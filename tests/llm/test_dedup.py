@@ -1,6 +1,7 @@
 """Near copies, repeated substrings and fingerprints against plain versions."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -161,6 +162,31 @@ def test_fingerprints_add_and_subtract(spark):
     assert more.select(F.aggregate("p", F.col("f"), fingerprint.delete).alias("f")).first()["f"] == got[3]
 
 
+def test_fingerprints_against_plain_sums(spark):
+    """Likeness is the cosine of signed sums, recomputed from passages; a very long text keeps its counters apart."""
+    a, b = prose(random.Random(1), 4000), prose(random.Random(2), 3000)
+    long = "".join(f"{k % 7}\n" for k in range(1_200_000))
+    df = spark.createDataFrame([(1, a), (2, a[: len(a) // 2] + b), (3, b), (4, long), (5, long + long)], "doc_id long, text string")
+    marks = fingerprint.fingerprints(df)
+    got = {r["doc_id"]: r["fingerprint"] for r in marks.collect()}
+    sums = {}
+    for i, hs in df.select("doc_id", F.explode(fingerprint.passages(F.col("text"))).alias("p")).select("doc_id", F.array(*fingerprint.hashes(F.col("p")))).collect():
+        exact, signed, n = sums.setdefault(i, ([0] * fingerprint.EXACT, np.zeros(120, np.int64), [0]))
+        n[0] += 1
+        for k in range(fingerprint.EXACT):
+            exact[k] = (exact[k] + (hs[k // 2] >> 32 * (k % 2) & 0xFFFFFFFF)) % 2**32
+        if i < 4:
+            signed += np.array([1 if h >> bit & 1 else -1 for h in hs[-2:] for k in range(30) for bit in (k, k + 30)])
+    for i, (exact, _, n) in sums.items():
+        assert got[i][: 1 + fingerprint.EXACT] == [n[0], *exact]
+    pair = marks.alias("x").join(marks.alias("y"), F.col("x.doc_id") < F.col("y.doc_id"))
+    near = {(r[0], r[1]): r[2] for r in pair.select("x.doc_id", "y.doc_id", fingerprint.likeness(F.col("x.fingerprint"), F.col("y.fingerprint"))).collect()}
+    for i, j in ((1, 2), (1, 3), (2, 3)):
+        x, y = sums[i][1].astype(float), sums[j][1].astype(float)
+        assert abs(near[i, j] - max(0.0, x @ y / math.sqrt((x @ x) * (y @ y)))) < 1e-9
+    assert near[4, 5] > 0.999999  # the same shares of the same passages
+
+
 def test_edits_and_next_documents(spark, texts):
     data = [*texts, (None, "null id here"), (7, "again"), (7, "again")]
     out = fingerprint.with_edits(frame(spark, data)).collect()

@@ -5,8 +5,8 @@ letters, so that an edit changes only the passages it touches. Each passage is h
 wide vector; the fingerprint is the sum of its passages' vectors, so it does not depend on their order, and a passage is
 inserted or deleted by adding or subtracting its vector. The vector has two parts:
 
-* ``EXACT`` words of 40 bits, added modulo 2**40: equal multisets, and no others but for collisions, agree in them;
-* sign bits of two hashes, packed as three counters of 20 bits a word and added modulo 2**60: as signs, the
+* ``EXACT`` words of 32 bits, added modulo 2**32: equal multisets, and no others but for collisions, agree in them;
+* sign bits of two hashes, packed as two counters of 30 bits a word and added modulo 2**60: as signs, the
   counters' cosine estimates the cosine of two multisets.
 
 Only DataFrame functions; fingerprints are made within a row. The next document is found from ids alone, in ranges of
@@ -25,10 +25,10 @@ from wardline.llm.common import Scratch, text_or_empty
 
 #: Where passages end: lines, and white space after n, e, r or what is no ASCII letter.
 CUT = r"\n+|(?<=[^a-df-mo-qs-zA-DF-MO-QS-Z\s])\s+"
-EXACT, SIGNS = 4, 2
-STEPS, LANES, BITS = 20, 3, 20  # packed words of a hash; counters in a word; bits of a counter
+EXACT, SIGNS = 6, 2
+STEPS, LANES, BITS = 30, 2, 30  # packed words of a hash; counters in a word; bits of a counter
 ONES = sum(1 << BITS * i for i in range(LANES))
-EXACT_MASK, PACK_MASK = (1 << 40) - 1, (1 << LANES * BITS) - 1
+EXACT_MASK, PACK_MASK = (1 << 32) - 1, (1 << LANES * BITS) - 1
 LOWEST = -(2**63)
 
 
@@ -36,12 +36,16 @@ def passages(text: Column) -> Column:
     return F.filter(F.split(text, CUT), lambda p: p != "")
 
 
-def vector(passage: Column, hashes: list[Column] | None = None) -> list[Column]:
+def hashes(passage: Column) -> list[Column]:
+    """The hashes that a vector is made of: two exact words each, then the signs."""
+    return [F.xxhash64(passage, F.lit(i)) for i in range(EXACT // 2)] + [F.xxhash64(passage, F.lit(100 + i)) for i in range(SIGNS)]
+
+
+def vector(hashed: list[Column]) -> list[Column]:
     """Words of a passage's vector: how many passages (1), exact words, packed signs."""
-    hashes = hashes or [F.xxhash64(passage, F.lit(100 + i)) for i in range(SIGNS)]
     out = [F.lit(1).cast("long")]
-    out += [F.xxhash64(passage, F.lit(i)).bitwiseAND(EXACT_MASK) for i in range(EXACT)]
-    return out + [F.shiftright(h, k).bitwiseAND(ONES) for h in hashes for k in range(STEPS)]
+    out += [w for h in hashed[: EXACT // 2] for w in (h.bitwiseAND(EXACT_MASK), F.shiftrightunsigned(h, 32))]
+    return out + [F.shiftright(h, k).bitwiseAND(ONES) for h in hashed[EXACT // 2 :] for k in range(STEPS)]
 
 
 _WIDTH = 1 + EXACT + SIGNS * STEPS
@@ -51,23 +55,24 @@ _MASKS = [EXACT_MASK] * (1 + EXACT) + [PACK_MASK] * (SIGNS * STEPS)
 def summed(texts: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
     """Fingerprints (arrays of longs) of the texts of each key: rows (*keys, name).
 
-    Vectors are added up row by row before any shuffle; words have room for eight million passages a text.
+    Vectors are added up row by row before any shuffle. Counters and sums have room for 2**30 passages a text, more than
+    a text of Spark's largest size can have.
     """
     cut = texts.select(*keys, F.explode_outer(passages(F.col(column))).alias("p"))
-    cut = cut.select(*keys, "p", *(F.xxhash64("p", F.lit(100 + i)).alias(f"h{i}") for i in range(SIGNS)))
-    words = vector(F.col("p"), [F.col(f"h{i}") for i in range(SIGNS)])
+    cut = cut.select(*keys, "p", *(h.alias(f"h{i}") for i, h in enumerate(hashes(F.col("p")))))
+    words = vector([F.col(f"h{i}") for i in range(EXACT // 2 + SIGNS)])
     sums = cut.groupBy(*keys).agg(*(F.coalesce(F.sum(F.when(F.col("p").isNotNull(), w)), F.lit(0)).alias(f"w{i}") for i, w in enumerate(words)))
     return sums.select(*keys, F.array(*(F.col(f"w{i}").bitwiseAND(m) for i, m in enumerate(_MASKS))).alias(name))
 
 
 def insert(mark: Column, passage: Column) -> Column:
     """The fingerprint after one more passage."""
-    return F.array(*((mark[i] + v).bitwiseAND(_MASKS[i]) for i, v in enumerate(vector(passage))))
+    return F.array(*((mark[i] + v).bitwiseAND(_MASKS[i]) for i, v in enumerate(vector(hashes(passage)))))
 
 
 def delete(mark: Column, passage: Column) -> Column:
     """The fingerprint after one passage less."""
-    return F.array(*((mark[i] - v).bitwiseAND(_MASKS[i]) for i, v in enumerate(vector(passage))))
+    return F.array(*((mark[i] - v).bitwiseAND(_MASKS[i]) for i, v in enumerate(vector(hashes(passage)))))
 
 
 def as_text(mark: Column) -> Column:
