@@ -20,8 +20,8 @@ Sorting all suffixes of a corpus would shuffle every position. Instead:
    sorted within their blocks, and classes of equal strings meet by their own 128-bit fingerprint instead.
 
 Blocks hold a bounded number of bytes; entries and classes are single per block, so a passage that a third of
-all documents share sends a few rows a block. Equality of whole contexts rests on 96 bits of two independent hashes, beside
-the 40 bits of the anchor: among ten million contexts of one anchor a false pair has a chance under 1e-14.
+all documents share sends a few rows a block. Equality of whole contexts rests on 80 bits of two independent hashes, beside
+the 40 bits of the anchor: among ten million contexts of one anchor a false pair has a chance under 1e-10.
 
 Edge cases: null texts are empty; texts under ``length`` bytes lose nothing; equal ids are never smaller
 than one another; null ids sort after all others and are not smaller than each other; repeated rows are
@@ -193,7 +193,7 @@ class Block:
         self.sent[lone] = np.arange(len(lone))
         self.sent_anchor = np.r_[self.anchor[self.entry_run][lone], anchors[marks]]
         self.sent_key = np.r_[mix(self.key[lone], 3) >> _U(24), np.full(len(marks), MARK)]
-        self.sent_more = np.r_[self.second[self.entry_run][lone] >> _U(8), np.zeros(len(marks), np.uint64)]
+        self.sent_more = np.r_[self.second[self.entry_run][lone] >> _U(24), np.zeros(len(marks), np.uint64)]
         self.sent_rank = np.r_[self.ranks[self.doc[self.entry_run[lone]]], np.full(len(marks), NO_ID)]
         none = np.full(len(marks), NONE, np.uint8)
         self.sent_sides = np.stack([np.r_[self.left[self.entry_run][lone], none], np.r_[self.right[self.entry_run][lone], none]])
@@ -315,7 +315,7 @@ def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
         # entries have a second part of their key behind the first
         parts = [(r[3][: len(r[4]) // 8 * widths[1]], r[3][len(r[4]) // 8 * widths[1] :]) for r in rows]
         b = np.concatenate([_unpack(x, widths[1]) for x, _ in parts])
-        b2 = np.concatenate([_unpack(x, 7) for _, x in parts]) if open_too else np.zeros(len(b), np.uint64)
+        b2 = np.concatenate([_unpack(x, 5) for _, x in parts]) if open_too else np.zeros(len(b), np.uint64)
         rank = np.concatenate([_from_planes(r[4]) for r in rows])
         order = np.lexsort((rank, b2, b, a) if open_too else (rank, b, a))
         x, y, y2 = a[order], b[order], b2[order]
@@ -353,7 +353,7 @@ def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
 def _entries(length: int, count: int, crowd: int):
     def run(table: pa.Table) -> pa.Table:
         b, number = Block(table, length, crowd), table.column("block")[0].as_py()
-        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5) + _pack(b.sent_more[p], 7), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
+        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5) + _pack(b.sent_more[p], 5), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
 
     return run
 
