@@ -127,9 +127,11 @@ def with_edits(docs: DataFrame, *, id_column: str = "doc_id", text_column: str =
     keyed = texts.withColumns({"id": F.coalesce("doc_id", F.lit(LOWEST)), "mark": F.xxhash64("text"), "n_chars": F.length("text").cast("long")})
     copies = scratch.save(keyed.groupBy(*key, "n_chars").agg(F.count("*").alias("copies")))
     pairs = next_rows(copies.select(*key, "n_chars"), scratch)
-    # from here all work stays where this one shuffle of the texts puts it
-    once = keyed.select(*key, "text").repartition(*key).dropDuplicates(key)
-    prints = summed(once, key, "text", "print")
+    # the one shuffle of the texts; fingerprints are summed before it, where no row is repeated
+    once = keyed.select(*key, "text").repartition(*key)
+    repeated = not copies.where("copies > 1").isEmpty()
+    once = once.dropDuplicates(key) if repeated else once
+    prints = summed(once if repeated else keyed, key, "text", "print")
     # each document sends the one before it as much of its beginning as that one takes
     to = pairs.select(F.col("next_id").alias("id"), F.col("next_mark").alias("mark"), F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), F.col("n_chars").alias("to_chars"))
     begin = once.join(to, key).select(F.col("to_id").alias("id"), F.col("to_mark").alias("mark"), F.expr("substring(text, 1, int(to_chars div 3))").alias("begin"))
