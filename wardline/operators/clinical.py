@@ -75,21 +75,45 @@ def lab_features(anchors: DataFrame, labs: DataFrame, *, at: str, value: str, va
     return rows.groupBy("person_id", "anchor", variable).agg(*out)
 
 
-def history_flags(anchors: DataFrame, codes: DataFrame, *, diseases: Sequence[str], strict: Sequence[str] = ()) -> DataFrame:
-    """Whether a code of each disease stands on or before the anchor's day (strictly before for some)."""
+def history_flags(anchors: DataFrame, codes: DataFrame, *, diseases: Sequence[str], strict: Sequence[str] = (), suppressed: Mapping[str, str] | None = None) -> DataFrame:
+    """Per disease whether a code stands on or before the anchor's day (strictly before for some), and the latest such day.
+
+    ``suppressed``: a disease whose flag is zero where another one's is set (end stage over chronic disease).
+    """
     rows = anchors.join(codes.select(c("person_id").alias("_p"), "code_date", "disease"), (c("person_id") == c("_p")) & (c("code_date") <= F.to_date("anchor")), "left")
     flag = lambda d: (c("disease") == d) & ((c("code_date") < F.to_date("anchor")) if d in strict else F.lit(True))
-    return rows.groupBy("person_id", "anchor").agg(*(F.coalesce(F.max(flag(d).cast("int")), F.lit(0)).alias(d) for d in diseases))
+    out = rows.groupBy("person_id", "anchor").agg(*(F.coalesce(F.max(flag(d).cast("int")), F.lit(0)).alias(d) for d in diseases), *(F.max(F.when(flag(d), c("code_date"))).alias(f"{d}_latest") for d in diseases))
+    for lesser, greater in (suppressed or {}).items():
+        out = out.withColumn(lesser, F.when(c(greater) == 1, 0).otherwise(c(lesser)))
+    return out
 
 
-def baseline_creatinine(stays: DataFrame, labs: DataFrame, *, at: str, value: str, highest: float = 30.0) -> DataFrame:
-    """Reference creatinine of a stay: least of the stay's minimum, the 7-day minimum and the median of 8 to 365 days before."""
+def baseline_creatinine(stays: DataFrame, labs: DataFrame, *, at: str, value: str, unique: str, highest: float = 30.0) -> DataFrame:
+    """Candidates for a stay's reference creatinine: the stay's minimum, the 7-day minimum (its latest time), and of 8 to 365 days before
+    the median with the row nearest to it (the latest of those); the reference is the least of the three."""
     rows = stays.join(labs.where(c(value) <= highest), "person_id")
     days = F.datediff("start_at", at)
-    stay = F.min(F.when(c(at).between(c("start_at"), c("end_at")), c(value)))
-    week, year = F.min(F.when(days.between(0, 7) & (c(at) <= c("start_at")), c(value))), F.median(F.when(days.between(8, 365), c(value)))
-    got = rows.groupBy("visit_id").agg(stay.alias("stay_min"), week.alias("week_min"), year.alias("year_median"))
-    return got.withColumn("reference", F.least("stay_min", "week_min", "year_median"))
+    week, year = days.between(0, 7) & (c(at) <= c("start_at")), days.between(8, 365)
+    lowest = F.min(F.when(week, F.struct(c(value).alias("v"), (-F.unix_micros(at)).alias("t"))))
+    got = rows.groupBy("visit_id").agg(
+        F.min(F.when(c(at).between(c("start_at"), c("end_at")), c(value))).alias("stay_min"), lowest.getField("v").alias("week_min"), F.timestamp_micros(-lowest.getField("t")).alias("week_min_at"), F.median(F.when(year, c(value))).alias("year_median")
+    )
+    near = rows.where(year).join(got.select("visit_id", "year_median"), "visit_id").groupBy("visit_id").agg(F.min(F.struct(F.abs(c(value) - c("year_median")).alias("d"), (-F.unix_micros(at)).alias("t"), c(unique).alias("id"))).getField("id").alias("median_row"))
+    return got.join(near, "visit_id", "left").withColumn("reference", F.least("stay_min", "week_min", "year_median"))
+
+
+def creatinine_history(anchors: DataFrame, labs: DataFrame, *, at: str, value: str, rate: str, limit: float = 60.0, days: int = 90, recent: int = 30) -> DataFrame:
+    """Flags of the values before an anchor: any in the year before, two at least ``days`` apart, two rates up to ``limit`` so far
+    apart and not of the last ``recent`` days, a low rate in those days; and the first value."""
+    rows = anchors.join(labs, "person_id").where(c(at) < c("anchor"))
+    ago = F.datediff("anchor", at)
+    low = (c(rate) <= limit) & (ago > recent)
+    spread = lambda k: F.datediff(F.max(F.when(k, c(at))), F.min(F.when(k, c(at))))
+    flag = lambda x: F.coalesce(x.cast("int"), F.lit(0))
+    return rows.groupBy("person_id", "anchor").agg(
+        F.max((ago <= 365).cast("int")).alias("previous_year"), flag(spread(F.lit(True)) >= days).alias("two_apart"), flag(spread(low) >= days).alias("two_low"),
+        F.max(((c(rate) <= limit) & (ago <= recent)).cast("int")).alias("recent_low"), F.min_by(value, at).alias("first_value"),
+    )
 
 
 def ckd_stage(egfr: Column) -> Column:
@@ -102,10 +126,10 @@ def ckd_class(esrd: Column, transplant: Column, codes: Column, low_rates: Column
     return F.when(esrd == 1, "ESRD").when(transplant == 1, "Transplant").when(codes == 1, "CKD by code").when(low_rates == 1, "CKD by creatinine").otherwise("No CKD")
 
 
-def two_low_values(labs: DataFrame, *, at: str, value: str, below: float, days: int = 90) -> DataFrame:
-    """Persons with two values below a limit at least so many days apart."""
-    low = labs.where(c(value) < below).groupBy("person_id").agg(F.min(at).alias("a"), F.max(at).alias("b"))
-    return low.select("person_id", (F.datediff("b", "a") >= days).cast("int").alias("two_low"))
+def reference_creatinine(candidates: Sequence[Column], kidney_class: Column, age: Column, female: Column) -> Column:
+    """The least candidate; without known kidney disease the value back-calculated from a normal rate counts too."""
+    known = F.least(*candidates) if len(candidates) > 1 else candidates[0]
+    return F.when(kidney_class == "No CKD", F.least(known, S.baseline_creatinine(age, female))).otherwise(known)
 
 
 def detect_aki(labs: DataFrame, *, by: Sequence[str], at: str, value: str, reference: str, rrt: str | None = None) -> DataFrame:
@@ -117,8 +141,9 @@ def detect_aki(labs: DataFrame, *, by: Sequence[str], at: str, value: str, refer
     x, ratio = c(value), c(value) / c(reference)
     rise = (x - c("least_48h") >= 0.3) & (x - c(reference) >= 0.3)
     stage = F.when((ratio >= 3) | ((x >= 4.0) & (rise | (ratio > 1.5))), 3).when(ratio >= 2, 2).when(rise | (ratio > 1.5), 1).otherwise(0)
-    if rrt:
-        stage = F.when(c(rrt) == 1, 4).otherwise(stage)
+    if rrt:  # replacement therapy within seven days before counts as the worst stage
+        recent = F.max(F.coalesce(c(rrt), F.lit(0))).over(Window.partitionBy(*by).orderBy(F.unix_micros(at)).rangeBetween(-7 * windows.DAY, 0))
+        stage = F.when(recent == 1, 4).otherwise(stage)
     return rolled.withColumn("stage", stage)
 
 
@@ -133,14 +158,44 @@ def aki_trajectory(days: DataFrame, *, by: Sequence[str], day: str, stage: str)
     return out.select(*by, "episode", "begin_day", "end_day", "length", "worst", kind.alias("kind"), (c("end_day") < c("last_day")).cast("int").alias("recovered"))
 
 
-def mortality(visits: DataFrame, deaths: DataFrame, *, horizons: Sequence[int] = (1, 3, 7)) -> DataFrame:
-    """Death in the stay and within days of its end, by hours and by calendar day."""
+def daily_injury(stages: DataFrame, *, by: Sequence[str], at: str, stage: str) -> DataFrame:
+    """Worst stage of each day from the first to the last with a value; days between carry the stage before."""
+    worst = stages.groupBy(*by, F.to_date(at).alias("day")).agg(F.max(stage).alias("stage"))
+    return intervals.densify_calendar(worst, by=by, day="day", values=["stage"])
+
+
+def injury_summary(episodes: DataFrame, *, by: Sequence[str], most: int = 20) -> DataFrame:
+    """One row a group: number of episodes, worst stage, overall type, recovery, and columns of the first ``most`` episodes.
+
+    The overall type is that of the longest kind; a group whose only episode has not ended by its last day within two days of
+    its beginning is undetermined.
+    """
+    each = [F.max(F.when(c("episode") == k, c(x))).alias(f"{x}_{k}") for k in range(1, most + 1) for x in ("begin_day", "length", "worst")]
+    rank = F.when(c("kind") == "acute disease", 3).when(c("kind") == "persistent", 2).otherwise(1)
+    out = episodes.groupBy(*by).agg(F.count("*").alias("n_episodes"), F.max("worst").alias("worst"), F.max(rank).alias("_r"), F.min("recovered").alias("recovered"), F.sum("length").alias("total_days"), *each)
+    overall = F.when((c("recovered") == 0) & (c("n_episodes") == 1) & (c("total_days") <= 2), "undetermined").when(c("_r") == 3, "acute disease").when(c("_r") == 2, "persistent").otherwise("rapid reversal")
+    return out.withColumn("overall", overall).drop("_r")
+
+
+def mortality(visits: DataFrame, deaths: DataFrame, *, horizons: Sequence[int] = (1, 3, 7), place: str | None = None) -> DataFrame:
+    """Death in the stay and within days of its end, by hours and by calendar day.
+
+    With the column of the discharge ``place``, a stay also ends in death where it is "dead", or "hospice" with a death up to seven days after.
+    """
     rows = visits.join(deaths, "person_id", "left")
     hours = (F.unix_micros("death_at") - F.unix_micros("end_at")) / 3.6e9
     flags = [F.coalesce(((hours >= 0) & (hours <= 24 * h)).cast("int"), F.lit(0)).alias(f"dead_{h}d") for h in horizons]
     days = [F.coalesce(F.datediff("death_at", "end_at").between(0, h).cast("int"), F.lit(0)).alias(f"dead_{h}_days") for h in horizons]
-    stay = F.coalesce(c("death_at").between(c("start_at"), c("end_at")).cast("int"), F.lit(0)).alias("died_in_stay")
-    return rows.select("visit_id", stay, *flags, *days)
+    died = F.coalesce(c("death_at").between(c("start_at"), c("end_at")), F.lit(False))
+    if place:
+        died = died | F.coalesce(c(place) == "dead", F.lit(False)) | F.coalesce((c(place) == "hospice") & (hours >= 0) & (hours <= 168), F.lit(False))
+    return rows.select("visit_id", died.cast("int").alias("died_in_stay"), *flags, *days)
+
+
+def clean_deaths(hospital: DataFrame, index: DataFrame) -> DataFrame:
+    """One time of death a person: the earliest of the hospital, or else of the index (person_id, death_at)."""
+    both = hospital.select("person_id", c("death_at").alias("h"), F.lit(None).cast("timestamp").alias("i")).unionByName(index.select("person_id", F.lit(None).cast("timestamp").alias("h"), c("death_at").alias("i")))
+    return both.groupBy("person_id").agg(F.coalesce(F.min("h"), F.min("i")).alias("death_at"))
 
 
 def icu_stays(locations: DataFrame, *, by: Sequence[str], start: str, end: str, label: str, unit: str, gap: str = "24 HOURS") -> DataFrame:

@@ -72,17 +72,27 @@ SELECT person_id, anchor, variable, min(value) filter (d between 0 and 7) week_m
 min(value) filter (d between 8 and 365) year_min, max(value) filter (d between 8 and 365) year_max, avg(value) filter (d between 8 and 365) year_mean, var_samp(value) filter (d between 8 and 365) year_var, count(value) filter (d between 8 and 365) year_n from r group by 1, 2, 3""", "week_mean week_var year_mean year_var")(
     lambda t: C.lab_features(_first(t), t.measurements, at="taken_at", value="value", variable="variable", spans={"week": (0, 7), "year": (8, 365)}, decimals=9)
 )
-query("c10_kidney_history_flags", "visits exposures", _A + """, k as (select person_id, cast(exp_start as date) code_date, case drug_class when 'A' then 'ckd' when 'N' then 'aki' else 'transplant' end disease from exposures)
-SELECT a.person_id, anchor, coalesce(max(case when disease = 'ckd' then 1 else 0 end), 0) ckd, coalesce(max(case when disease = 'aki' and code_date < cast(anchor as date) then 1 else 0 end), 0) aki, coalesce(max(case when disease = 'transplant' then 1 else 0 end), 0) transplant from a left join k on k.person_id = a.person_id and code_date <= cast(anchor as date) group by 1, 2""")(
-    lambda t: C.history_flags(_anchors(t), t.exposures.select("person_id", F.to_date("exp_start").alias("code_date"), F.when(c("drug_class") == "A", "ckd").when(c("drug_class") == "N", "aki").otherwise("transplant").alias("disease")), diseases=["ckd", "aki", "transplant"], strict=["aki"])
+query("c10_kidney_history_flags", "visits exposures", _A + """, k as (select person_id, cast(exp_start as date) code_date, case when quantity > 48 then 'esrd' when drug_class = 'A' then 'ckd' when drug_class = 'N' then 'aki' else 'transplant' end disease from exposures),
+x as (select a.person_id, anchor, coalesce(max(case when disease = 'esrd' then 1 else 0 end), 0) esrd, coalesce(max(case when disease = 'ckd' then 1 else 0 end), 0) ckd, coalesce(max(case when disease = 'aki' and code_date < cast(anchor as date) then 1 else 0 end), 0) aki, coalesce(max(case when disease = 'transplant' and code_date < cast(anchor as date) then 1 else 0 end), 0) transplant,
+max(case when disease = 'esrd' then code_date end) esrd_latest, max(case when disease = 'ckd' then code_date end) ckd_latest, max(case when disease = 'aki' and code_date < cast(anchor as date) then code_date end) aki_latest, max(case when disease = 'transplant' and code_date < cast(anchor as date) then code_date end) transplant_latest from a left join k on k.person_id = a.person_id and code_date <= cast(anchor as date) group by 1, 2)
+SELECT * replace (case when esrd = 1 then 0 else ckd end as ckd) from x""")(
+    lambda t: C.history_flags(_anchors(t), t.exposures.select("person_id", F.to_date("exp_start").alias("code_date"), F.when(c("quantity") > 48, "esrd").when(c("drug_class") == "A", "ckd").when(c("drug_class") == "N", "aki").otherwise("transplant").alias("disease")), diseases=["esrd", "ckd", "aki", "transplant"], strict=["aki", "transplant"], suppressed={"ckd": "esrd"})
 )
 _labs = lambda t: t.measurements.where("value is not null").select("person_id", "measurement_id", "taken_at", (0.5 + c("value") % 40 / 10).alias("cr"))
 _LABS = "labs as (select person_id, measurement_id, taken_at, 0.5 + value % 40 / 10 cr from measurements where value is not null)"
-query("c11_creatinine_history", "measurements", _LABS + ", x as (select person_id, min(taken_at) a, max(taken_at) b from labs where cr > 3 group by 1) SELECT person_id, case when date_diff('day', a, b) >= 9 then 1 else 0 end two_low from x")(
-    lambda t: C.two_low_values(_labs(t).withColumn("minus", -c("cr")), at="taken_at", value="minus", below=-3.0, days=9)
+_RATED = _LABS + """, ages as (select person_id, sex = 'F' f, cast(person_id % 80 as double) age from persons), rated as (select l.*, f, age, 142 * pow(least(cr / case when f then 0.7 else 0.9 end, 1), case when f then -0.241 else -0.302 end) * pow(greatest(cr / case when f then 0.7 else 0.9 end, 1), -1.2) * pow(0.9938, age) * case when f then 1.012 else 1 end rate from labs l join ages using (person_id))"""
+_rated = lambda t: _labs(t).join(t.persons.select("person_id", (c("sex") == "F").alias("f"), (c("person_id") % 80).cast("double").alias("age")), "person_id").withColumn("rate", S.egfr_2021(c("cr"), c("age"), c("f")))
+query("c11_creatinine_history", "visits persons measurements", _RATED + """, a as (select person_id, min(start_at) + interval 100 day anchor from visits group by 1), r as (select r.*, anchor, date_diff('day', taken_at, anchor) ago from rated r join a using (person_id) where taken_at < anchor)
+SELECT person_id, anchor, max(case when ago <= 365 then 1 else 0 end) previous_year, case when date_diff('day', min(taken_at), max(taken_at)) >= 20 then 1 else 0 end two_apart, coalesce(case when date_diff('day', min(taken_at) filter (rate <= 60 and ago > 90), max(taken_at) filter (rate <= 60 and ago > 90)) >= 20 then 1 else 0 end, 0) two_low, max(case when rate <= 60 and ago <= 90 then 1 else 0 end) recent_low, arg_min(cr, taken_at) first_value from r group by 1, 2""", "first_value")(
+    lambda t: C.creatinine_history(t.visits.groupBy("person_id").agg((F.min("start_at") + F.expr("interval 100 days")).alias("anchor")), _rated(t), at="taken_at", value="cr", rate="rate", days=20, recent=90)
+)
+query("c12_baseline_creatinine", "visits measurements", _LABS + """, r as (select visit_id, start_at, end_at, l.*, date_diff('day', taken_at, start_at) d from visits join labs l using (person_id) where cr <= 30), x as (select visit_id, min(cr) filter (taken_at between start_at and end_at) stay_min, min(cr) filter (d between 0 and 7 and taken_at <= start_at) week_min, arg_min(taken_at, (cr, -epoch_us(taken_at))) filter (d between 0 and 7 and taken_at <= start_at) week_min_at, median(cr) filter (d between 8 and 365) year_median from r group by 1),
+n as (select visit_id, arg_min(measurement_id, (abs(cr - year_median), -epoch_us(taken_at), measurement_id)) median_row from r join x using (visit_id) where d between 8 and 365 group by 1)
+SELECT x.*, median_row, least(stay_min, week_min, year_median) reference from x left join n using (visit_id)""", "stay_min week_min year_median reference")(lambda t: C.baseline_creatinine(t.visits, _labs(t), at="taken_at", value="cr", unique="measurement_id"))
+query("c13_reference_creatinine", "persons measurements", _RATED + """, x as (select person_id, any_value(f) f, any_value(age) age, min(cr) a, median(cr) b, count(*) filter (rate < 60) low from rated group by 1)
+SELECT person_id, case when low >= 2 then 'CKD by creatinine' else 'No CKD' end class, case when low >= 2 then least(a, b) else least(a, b, case when f then 0.7 else 0.9 end * pow(75 / (142 * pow(0.9938, age) * case when f then 1.012 else 1 end), -1 / 1.2)) end reference from x""", "reference")(
+    lambda t: _rated(t).groupBy("person_id", "f", "age").agg(F.min("cr").alias("a"), F.median("cr").alias("b"), F.count_if(c("rate") < 60).alias("low")).withColumn("class", C.ckd_class(F.lit(0), F.lit(0), F.lit(0), (c("low") >= 2).cast("int"))).select("person_id", "class", C.reference_creatinine([c("a"), c("b")], c("class"), c("age"), c("f")).alias("reference"))
 )
-query("c12_baseline_creatinine", "visits measurements", _LABS + """, x as (select visit_id, min(cr) filter (taken_at between start_at and end_at) stay_min, min(cr) filter (date_diff('day', taken_at, start_at) between 0 and 7 and taken_at <= start_at) week_min, median(cr) filter (date_diff('day', taken_at, start_at) between 8 and 365) year_median from visits join labs using (person_id) where cr <= 30 group by 1)
-SELECT *, least(stay_min, week_min, year_median) reference from x""", "stay_min week_min year_median reference")(lambda t: C.baseline_creatinine(t.visits, _labs(t), at="taken_at", value="cr"))
 query("c13_ckd_class_and_stage", "persons", """x as (select person_id, 142 * pow(least((0.5 + person_id % 40 / 10.0) / 0.9, 1), -0.302) * pow(greatest((0.5 + person_id % 40 / 10.0) / 0.9, 1), -1.2) * pow(0.9938, person_id % 80) e from persons)
 SELECT person_id, case when e >= 90 then 'G1' when e >= 60 then 'G2' when e >= 45 then 'G3a' when e >= 30 then 'G3b' when e >= 15 then 'G4' else 'G5' end stage, case when person_id % 31 = 0 then 'ESRD' when person_id % 17 = 0 then 'Transplant' when person_id % 5 = 0 then 'CKD by code' when e < 60 then 'CKD by creatinine' else 'No CKD' end class from x""")(
     lambda t: t.persons.withColumn("e", S.egfr_2021(0.5 + c("person_id") % 40 / 10.0, (c("person_id") % 80).cast("double"), F.lit(False))).select("person_id", C.ckd_stage(c("e")).alias("stage"), C.ckd_class((c("person_id") % 31 == 0).cast("int"), (c("person_id") % 17 == 0).cast("int"), (c("person_id") % 5 == 0).cast("int"), (c("e") < 60).cast("int")).alias("class"))
@@ -104,6 +114,20 @@ def _aki(t: Tables):
 
 
 query("c15_aki_detection", "measurements", _AKI + " SELECT person_id, measurement_id, stage from s")(lambda t: _aki(t).select("person_id", "measurement_id", "stage"))
+query("c15_aki_with_replacement", "measurements", _AKI + """, w as (select *, max(case when measurement_id % 29 = 0 then 1 else 0 end) over (partition by person_id order by taken_at range between interval 7 day preceding and current row) rrt from s)
+SELECT person_id, measurement_id, case when rrt = 1 then 4 else stage end stage from w""")(
+    lambda t: (lambda labs: C.detect_aki(labs.join(labs.groupBy("person_id").agg(F.median("cr").alias("ref")), "person_id"), by=["person_id"], at="taken_at", value="cr", reference="ref", rrt="rrt"))(_labs(t).withColumn("rrt", (c("measurement_id") % 29 == 0).cast("int"))).select("person_id", "measurement_id", "stage")
+)
+_DAILY = """, dd as (select person_id, cast(taken_at as date) as day, max(stage) st from s group by all), gg as (select person_id, cast(unnest(generate_series(min(day), max(day), interval 1 day)) as date) as day from dd group by 1),
+daily as (select gg.person_id, gg.day, last_value(st ignore nulls) over (partition by gg.person_id order by gg.day) stage, case when st is null then 0 else 1 end observed from gg left join dd using (person_id, day))"""
+query("c16_daily_injury", "measurements", _AKI + _DAILY + " SELECT person_id, day, stage, observed from daily")(lambda t: C.daily_injury(_aki(t), by=["person_id"], at="taken_at", stage="stage"))
+query("c16_c18_injury_summary", "measurements", _AKI + _DAILY + """, h as (select *, case when date_diff('day', lag(day) over (partition by person_id order by day), day) <= 2 then 0 else 1 end n from daily where stage > 0),
+e as (select *, sum(n) over (partition by person_id order by day) episode from h), g as (select person_id, episode, min(day) begin_day, max(day) end_day, date_diff('day', min(day), max(day)) + 1 length, max(stage) worst from e group by 1, 2),
+z as (select g.*, case when length > 7 then 3 when length > 2 then 2 else 1 end r, case when end_day < last_day then 1 else 0 end recovered from g join (select person_id, max(day) last_day from daily group by 1) using (person_id)),
+y as (select person_id, count(*) n_episodes, max(worst) worst, max(r) r, min(recovered) recovered, cast(sum(length) as bigint) total_days, max(begin_day) filter (episode = 1) begin_day_1, cast(max(length) filter (episode = 1) as int) length_1, max(worst) filter (episode = 1) worst_1, max(begin_day) filter (episode = 2) begin_day_2, cast(max(length) filter (episode = 2) as int) length_2, max(worst) filter (episode = 2) worst_2 from z group by 1)
+SELECT y.* exclude (r), case when recovered = 0 and n_episodes = 1 and total_days <= 2 then 'undetermined' when r = 3 then 'acute disease' when r = 2 then 'persistent' else 'rapid reversal' end overall from y""")(
+    lambda t: C.injury_summary(C.aki_trajectory(C.daily_injury(_aki(t), by=["person_id"], at="taken_at", stage="stage"), by=["person_id"], day="day", stage="stage"), by=["person_id"], most=2)
+)
 query("c16_c18_aki_trajectory", "measurements", _AKI + """, d as (select person_id, cast(taken_at as date) as day, max(stage) stage from s group by all),
 h as (select *, case when date_diff('day', lag(day) over (partition by person_id order by day), day) <= 2 then 0 else 1 end n from d where stage > 0),
 e as (select *, sum(n) over (partition by person_id order by day) episode from h),
@@ -131,6 +155,10 @@ SELECT visit_id, case when death_at between start_at and end_at then 1 else 0 en
 case when date_diff('day', end_at, death_at) between 0 and 1 then 1 else 0 end dead_1_days, case when date_diff('day', end_at, death_at) between 0 and 3 then 1 else 0 end dead_3_days, case when date_diff('day', end_at, death_at) between 0 and 7 then 1 else 0 end dead_7_days from visits v left join d using (person_id)""")(
     lambda t: C.mortality(t.visits, t.visits.where("person_id % 4 = 0").groupBy("person_id").agg(F.max("start_at").alias("m")).select("person_id", F.expr("m + make_dt_interval(cast(person_id % 15 as int))").alias("death_at")))
 )
+_HOSPITAL = "hospital as (select person_id, max(start_at) + interval 2 day death_at from visits where person_id % 7 = 0 group by 1), d as (select person_id, coalesce(h.death_at, i.death_at) death_at from hospital h full join deaths i using (person_id))"
+query("c22_clean_deaths_and_places", "visits deaths", _HOSPITAL + """ SELECT visit_id, case when coalesce(death_at between start_at and end_at, false) or visit_id % 11 = 0 or (visit_id % 11 = 1 and coalesce(epoch_us(death_at) - epoch_us(end_at) between 0 and 168 * 3600000000, false)) then 1 else 0 end died_in_stay, case when death_at >= end_at and death_at <= end_at + interval 720 hour then 1 else 0 end dead_30d, case when date_diff('day', end_at, death_at) between 0 and 30 then 1 else 0 end dead_30_days from visits left join d using (person_id)""")(
+    lambda t: C.mortality(t.visits.withColumn("place", F.when(c("visit_id") % 11 == 0, "dead").when(c("visit_id") % 11 == 1, "hospice")), C.clean_deaths(t.visits.where("person_id % 7 = 0").groupBy("person_id").agg((F.max("start_at") + F.expr("interval 2 days")).alias("death_at")), t.deaths), horizons=(30,), place="place")
+)
 query("c23_icu_stays", "locations", """l as (select * from locations where label = 'error'), a as (select *, case when loc_start > max(loc_end + interval 24 hour) over (partition by person_id order by loc_start, loc_end rows between unbounded preceding and 1 preceding) then 1 else 0 end n from l),
 b as (select *, sum(n) over (partition by person_id order by loc_start, loc_end rows unbounded preceding) island from a)
 SELECT person_id, min(loc_start) loc_start, max(loc_end) loc_end, count(*) n_merged from b group by person_id, island""")(lambda t: C.icu_stays(t.locations, by=["person_id"], start="loc_start", end="loc_end", label="label", unit="error"))
