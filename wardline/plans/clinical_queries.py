@@ -175,7 +175,7 @@ query("c26_condition_outcomes", "visits exposures", """SELECT v.visit_id, max(ca
 
 _READ = """kinds as (select event_id, user_id as person_id, ts, value, case event_id % 9 when 0 then 'pf' when 1 then 'platelets' when 2 then 'bilirubin' when 3 then 'creatinine' when 4 then 'coma' when 5 then 'map' when 6 then 'norepinephrine' when 7 then 'rate' else 'systolic' end kind from events),
 spans as (select user_id as person_id, min(ts) lo, min(ts) + interval 10 day hi from events group by 1), readings as (select k.* from kinds k join spans using (person_id) where ts between lo and hi)"""
-_KIND = F.expr("case event_id % 9 when 0 then 'pf' when 1 then 'platelets' when 2 then 'bilirubin' when 3 then 'creatinine' when 4 then 'coma' when 5 then 'map' when 6 then 'norepinephrine' when 7 then 'rate' else 'systolic' end")
+_KIND = "case event_id % 9 when 0 then 'pf' when 1 then 'platelets' when 2 then 'bilirubin' when 3 then 'creatinine' when 4 then 'coma' when 5 then 'map' when 6 then 'norepinephrine' when 7 then 'rate' else 'systolic' end"
 _SOFA = {
     "respiration": "case when kind = 'pf' then case when value * 5 < 100 then 4 when value * 5 < 200 then 3 when value * 5 < 300 then 2 when value * 5 < 400 then 1 when value is not null then 0 end end",
     "coagulation": "case when kind = 'platelets' then case when value * 2 < 20 then 4 when value * 2 < 50 then 3 when value * 2 < 100 then 2 when value * 2 < 150 then 1 when value is not null then 0 end end",
@@ -200,7 +200,7 @@ SELECT person_id, cast(hour as timestamp) as hour, {', '.join(parts)}, {total} t
 
 
 def _hourly(t: Tables, parts, override=None):
-    readings = t.events.select("event_id", c("user_id").alias("person_id"), "ts", "value", _KIND.alias("kind"))
+    readings = t.events.select("event_id", c("user_id").alias("person_id"), "ts", "value", F.expr(_KIND).alias("kind"))
     stays = t.events.groupBy(c("user_id").alias("person_id")).agg(F.min("ts").alias("_from")).withColumn("_to", c("_from") + F.expr("interval 10 days"))
     return C.hourly_scores(readings, by=["person_id"], at="ts", parts=parts, stays=stays, override=override)
 
