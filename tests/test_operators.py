@@ -85,7 +85,7 @@ def test_datediff_counts_boundaries(spark):
 
 
 def test_number_texts(spark):
-    texts = {"<0.5": 0.5, "1-3": 2.0, "NEG 2": 2.0, "2020-01-02": None, "1/2": None, "1,200": 1200.0, "1 2 3 4": None, "": None, "-7": -7.0, None: None}
+    texts = {"<0.5": 0.5, "1-3": 2.0, "NEG 2": -2.0, "1.5 of 20": 1.5, "B-12": 12.0, "1-2-3": None, "2020-01-02": None, "1/2": None, "1,200": 1200.0, "1 2 3 4": None, "": None, "-7": -7.0, None: None}
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r[0]: r[1] for r in df.select("t", S.extract_number(F.col("t"))).collect()} == texts
 
@@ -190,7 +190,7 @@ def test_bucket_keeps_known_ids(spark):
 def test_ordinal_and_labels(spark):
     df = spark.createDataFrame([(1, "Ward; ICU"), (1, "pacu"), (2, "ward"), (3, None)], "k int, v string")
     got = {r["k"]: r["w"] for r in df.groupBy("k").agg(aggs.ordinal_worst(F.col("v"), aggs.ORDERS["station"]).alias("w")).collect()}
-    assert got == {1: "icu", 2: "ward", 3: None}
+    assert got == {1: "ICU", 2: "WARD", 3: None}
     assert rows(aggs.multi_label(df, ["k"], "v", {"icu": "icu", "ward": "ward"})) == [(1, 1, 1), (2, 0, 1), (3, None, None)]
 
 

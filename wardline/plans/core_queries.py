@@ -278,7 +278,10 @@ b as (select *, sum(n) over (partition by person_id order by s, e rows unbounded
 SELECT person_id, cast(min(s) as timestamp) loc_start, cast(max(e) as timestamp) loc_end, count(*) n_merged from b group by person_id, island""")(
     lambda t: intervals.floor_ceil_condense(t.locations.select("person_id", "loc_start", "loc_end"), by=["person_id"], start="loc_start", end="loc_end", unit="day")
 )
-query("i5_expand_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits")(
+query("i5_expand_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 6 hour)) as at from visits")(
+    lambda t: intervals.expand_to_grid(t.visits, start="start_at", end="end_at", step="6 HOURS").select("visit_id", "at")
+)
+query("i5_expand_all_to_grid", "visits", "SELECT visit_id, unnest(generate_series(start_at, end_at, interval 1 day)) as at from visits")(
     lambda t: intervals.expand_to_grid(t.visits, start="start_at", end="end_at", step="1 DAY").select("visit_id", "at")
 )
 query("i6_trim_to_bounds", "visits exposures", "SELECT e.visit_id, drug_id, greatest(exp_start, start_at) exp_start, least(exp_end, end_at) exp_end from exposures e join visits v using (visit_id) where exp_end >= start_at and exp_start <= end_at")(
