@@ -198,3 +198,28 @@ def test_sanitize_and_types(spark):
     assert typing_ops.sanitize("VisitStart Date%") == "visit_start_date"
     df = spark.createDataFrame([("1", "2020-01-01", "x"), ("0", "2020-01-02", "y"), (None, None, None)], "b string, d string, s string")
     assert {r[0]: r[1] for r in typing_ops.infer_types(df, ["b", "d", "s"]).collect()} == {"b": "binary", "d": "date", "s": "cat_one_hot"}
+
+
+def test_quantiles_are_those_of_sorted_lists(spark):
+    """Ties, nulls, a constant group, one row, outliers, and a group that holds most rows."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    groups = {"hot": [*np.round(rng.normal(size=900), 2), 1e12, -1e12], "same": [3.0] * 40, "one": [7.5], "few": [1.0, 2.0, 2.0, 9.0]}
+    df = spark.createDataFrame([(g, float(x)) for g, xs in groups.items() for x in xs] + [("none", None), ("few", None), (None, 1.0)], "g string, x double").repartition(5)
+    ps = [0.0, 0.01, 0.25, 0.5, 0.975, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(ps))] for r in stats.quantiles(df, ["g"], "x", ps).collect()}
+    assert got.keys() == groups.keys()
+    for g, xs in groups.items():
+        assert got[g] == pytest.approx(np.quantile(xs, ps).tolist())
+    mid = stats.quantiles(df.where("g = 'few'"), [], "x", [0.1, 0.9], midpoint=True).first()
+    assert (mid["q0"], mid["q1"]) == (1.5, 5.5)
+    assert stats.quantiles(df.where("false"), ["g"], "x", [0.5]).count() == 0
+
+
+def test_running_sums_of_a_skewed_key(spark):
+    """One outlier must not push all other rows into one range; missing keys come first in rising order."""
+    data = [(i / 1000, 1) for i in range(5000)] + [(1e15, 1), (None, 1)]
+    got = stats.running_sums(spark.createDataFrame(data, "x double, n int"), [], "x", ["n"]).collect()
+    want = {x: i + 1 for i, (x, _) in enumerate(sorted(data, key=lambda r: float("-inf") if r[0] is None else r[0]))}
+    assert {r["x"]: r["n_run"] for r in got} == want

@@ -7,16 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.operators.stats import quantiles
+
 
 def numeric_bundle(df: DataFrame, by: Sequence[str], value: str, scaled_mad: bool = False) -> DataFrame:
-    """sum, min, max, count, mean, median, std (n - 1) and median absolute deviation, in two passes over the groups."""
-    mid = df.groupBy(*by).agg(F.median(value).alias("_median"))
+    """sum, min, max, count, mean, median, std (n - 1) and median absolute deviation; medians by counts of distinct values."""
     x = F.col(value)
-    out = df.join(mid, list(by)).groupBy(*by).agg(
-        F.sum(x).alias("sum"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-        F.first("_median").alias("median"), F.stddev_samp(x).alias("std"), (F.median(F.abs(x - F.col("_median"))) * (1.4826 if scaled_mad else 1.0)).alias("mad"),
-    )
-    return out
+    mid = quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "median")
+    near = df.join(mid, list(by)) if by else df.crossJoin(F.broadcast(mid))
+    mad = quantiles(near.withColumn("_gap", F.abs(x - F.col("median"))), by, "_gap", [0.5]).select(*by, (F.col("q0") * (1.4826 if scaled_mad else 1.0)).alias("mad"))
+    out = df.groupBy(*by).agg(F.sum(x).alias("sum"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+    for part in (mid, mad):
+        out = out.join(part, list(by), "left") if by else out.join(F.broadcast(part), how="left")
+    return out.select(*by, "sum", "min", "max", "count", "mean", "median", "std", "mad")
 
 
 def weighted_average(value: Column, weight: Column) -> Column:
@@ -94,10 +97,12 @@ def profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     """Per column (and group): count, missing, distinct, mode, min, max, mean, median, std of its numbers or text lengths."""
     tall = df.select(*by, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), F.expr(f"try_cast(cast(`{c}` as string) as double)").alias("num")) for c in columns))).alias("_x")).select(*by, "_x.*")
     x = F.coalesce("num", F.length("text").cast("double"))
-    stats = tall.groupBy(*by, "column").agg(F.count("text").alias("n"), F.count_if(F.col("text").isNull()).alias("missing"), F.count_distinct("text").alias("levels"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.median(x).alias("median"), F.stddev_samp(x).alias("std"))
+    stats = tall.groupBy(*by, "column").agg(F.count("text").alias("n"), F.count_if(F.col("text").isNull()).alias("missing"), F.count_distinct("text").alias("levels"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+    median = quantiles(tall.withColumn("_num", x), [*by, "column"], "_num", [0.5]).withColumnRenamed("q0", "median")
     freq = tall.where("text is not null").groupBy(*by, "column", "text").count()
     mode = freq.groupBy(*by, "column").agg(F.min(F.struct((-F.col("count")).alias("c"), "text")).getField("text").alias("mode"))
-    return stats.join(mode, [*by, "column"], "left")
+    out = stats.join(median, [*by, "column"], "left").join(mode, [*by, "column"], "left")
+    return out.select(*by, "column", "n", "missing", "levels", "min", "max", "mean", "median", "std", "mode")
 
 
 def directory_summary(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:

@@ -7,9 +7,11 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.operators.stats import quantiles
+
 
 def uniform(key: Column, seed: int) -> Column:
     """A number in [0, 1) by hash of a key: seeded, and the same on every run."""
@@ -28,15 +30,8 @@ def normalise_text(column: Column, na: Sequence[str] = ("", "na", "nan", "none",
 
 def midpoint_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
     """Quantiles as the mean of the two ranks around them."""
-    w = Window.partitionBy(*by).orderBy(value)
-    ranked = df.where(F.col(value).isNotNull()).select(*by, value, F.row_number().over(w).alias("_r"), F.count("*").over(Window.partitionBy(*by)).alias("_n"))
-    out = []
-    for p in probabilities:
-        place = (F.col("_n") - 1) * p
-        # a hair of slack, so that a whole place is not taken for two ranks
-        at = (F.col("_r") == F.floor(place + 1e-9) + 1) | (F.col("_r") == F.ceil(place - 1e-9) + 1)
-        out.append(F.avg(F.when(at, F.col(value))).alias(f"q{round(p * 100)}"))
-    return ranked.groupBy(*by).agg(*out)
+    found = quantiles(df, by, value, probabilities, midpoint=True)
+    return found.select(*by, *(F.col(f"q{i}").alias(f"q{round(p * 100)}") for i, p in enumerate(probabilities)))
 
 
 @dataclass
@@ -77,21 +72,24 @@ class Standardizer:
 
 
 def fit_standardizer(train: DataFrame, *, numeric: Sequence[str] = (), categorical: Sequence[str] = (), most_missing: float = 0.9, least_count: int = 1, most_levels: int = 1000) -> Standardizer:
-    """One aggregate job for the numbers, and one of level counts (at most ``most_levels`` a column come to the driver)."""
+    """Jobs over all numeric columns at once for moments and quantiles, and one of level counts for each other (at most ``most_levels`` a column come to the driver)."""
     fit = Standardizer()
     if numeric:
         aggs = []
         for c in numeric:
             x = F.col(c).cast("double")
-            q = F.percentile(x, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-            aggs.append(F.struct(F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.count_distinct(x).alias("levels"), q.alias("q")).alias(c))
+            aggs.append(F.struct(F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) < F.max(x)).alias("varies")).alias(c))
         row = train.agg(*aggs).first()
-        mads = train.agg(*(F.median(F.abs(F.col(c) - F.lit(row[c]["q"][1] if row[c]["q"] else None))).alias(c) for c in numeric)).first()
+        tall = train.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in numeric))).alias("_r")).select("_r.*")
+        q = {r["column"]: (r["q0"], r["q1"], r["q2"]) for r in quantiles(tall, ["column"], "x", [0.01, 0.5, 0.99]).collect()}  # a row a column
+        gap = F.lit(None).cast("double")
+        for c, (_, median, _) in q.items():
+            gap = F.when(F.col("column") == c, F.abs(F.col("x") - median)).otherwise(gap)
+        mads = {r["column"]: r["q0"] for r in quantiles(tall.withColumn("gap", gap), ["column"], "gap", [0.5]).collect()}
         for c in numeric:
-            r = row[c]
+            r, (low, median, high) = row[c], q.get(c, (None,) * 3)
             lost = 1 - r["n"] / r["rows"] if r["rows"] else 1.0
-            q = r["q"] or [None] * 3
-            fit.numeric[c] = NumericFit(r["mean"], r["std"], q[1], mads[c] * 1.4826 if mads[c] is not None else None, q[0], q[2], lost, r["levels"] <= 1 or lost >= most_missing)
+            fit.numeric[c] = NumericFit(r["mean"], r["std"], median, mads[c] * 1.4826 if c in mads else None, low, high, lost, not r["varies"] or lost >= most_missing)
     for c in categorical:
         s = normalise_text(F.col(c))
         counts = train.select(s.alias("v")).groupBy("v").count().orderBy(F.desc("count"), "v").limit(most_levels + 1).collect()
@@ -171,9 +169,9 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def robust_outliers(df: DataFrame, by: Sequence[str], value: str, limit: float = 3.5) -> DataFrame:
     """Flag values whose modified z score (by median and absolute deviation) is over the limit."""
-    mid = df.groupBy(*by).agg(F.median(value).alias("_m"))
+    mid = quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "_m")
     near = df.join(mid, list(by))
-    mad = near.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_mad"))
+    mad = quantiles(near.withColumn("_gap", F.abs(F.col(value) - F.col("_m"))), by, "_gap", [0.5]).withColumnRenamed("q0", "_mad")
     z = 0.6745 * (F.col(value) - F.col("_m")) / F.col("_mad")
     return near.join(mad, list(by)).withColumn("modified_z", F.when(F.col("_mad") > 0, z)).withColumn("outlier", F.coalesce((F.abs("modified_z") > limit).cast("int"), F.lit(0))).drop("_m", "_mad")
 

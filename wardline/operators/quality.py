@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardline.operators.stats import quantiles
+
 
 def audit(facts: DataFrame, *, variable: str, person: str, visit: str, value: str) -> DataFrame:
     """Per variable: persons, visits, observations, and the spread of values."""
-    return facts.groupBy(variable).agg(
-        F.count_distinct(person).alias("persons"), F.count_distinct(visit).alias("visits"), F.count("*").alias("observations"), F.count(value).alias("with_value"),
-        F.percentile(value, F.lit(0.15)).alias("p15"), F.percentile(value, F.lit(0.85)).alias("p85"), F.avg(value).alias("mean"),
-    )
+    spread = quantiles(facts, [variable], value, [0.15, 0.85]).withColumnsRenamed({"q0": "p15", "q1": "p85"})
+    counts = facts.groupBy(variable).agg(F.count_distinct(person).alias("persons"), F.count_distinct(visit).alias("visits"), F.count("*").alias("observations"), F.count(value).alias("with_value"), F.avg(value).alias("mean"))
+    return counts.join(spread, variable, "left").select(variable, "persons", "visits", "observations", "with_value", "p15", "p85", "mean")
 
 
 def completeness(expected: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,22 +5,25 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-BINS = 4096
+BINS = 1024
 
 
 def running_sums(g: DataFrame, by: Sequence[str], key: str, columns: Sequence[str], *, falling: bool = False) -> DataFrame:
     """Sums of columns over the rows up to and with each one, in order of a numeric key without ties, as <column>_run.
 
-    Rows are cut into ranges of the key; a window within each range and one over the sums of ranges (at most
-    ``BINS`` a group) replace one that reads a whole group.
+    Rows are cut into ranges of the key, each with about as many rows whatever the key's distribution: at most ``BINS``
+    cut points come from its approximate quantiles, over all groups. A window within each range and one over the sums
+    of ranges replace one that reads a whole group.
     """
-    span = g.groupBy(*by).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    g = g.join(span, list(by)) if by else g.crossJoin(F.broadcast(span))
-    g = g.withColumn("_bin", F.coalesce(F.floor((F.col(key) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0)) * (BINS - 1)), F.lit(0))).drop("_lo", "_hi")
+    cuts = g.approxQuantile(key, [i / BINS for i in range(1, BINS)], 0.25 / BINS)
+    splits = [-math.inf, *(sorted({x for x in cuts if math.isfinite(x)}) or [0.0]), math.inf]
+    placed = Bucketizer(splits=splits, inputCol=key, outputCol="_place", handleInvalid="keep").transform(g)
+    g = placed.withColumn("_bin", F.coalesce(F.col("_place").cast("int"), F.lit(-1))).drop("_place")
     sort = F.desc if falling else F.asc
     bins = g.groupBy(*by, "_bin").agg(*(F.sum(c).alias(f"_b_{c}") for c in columns)).withColumn("_one", F.lit(1))
     w = Window.partitionBy("_one", *by).orderBy(sort("_bin"))
@@ -30,6 +33,27 @@ def running_sums(g: DataFrame, by: Sequence[str], key: str, columns: Sequence[st
     return out.select(*g.columns, *((F.col(f"_before_{c}") + F.col(f"_in_{c}")).alias(f"{c}_run") for c in columns)).drop("_bin")
 
 
+def quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], *, midpoint: bool = False) -> DataFrame:
+    """Exact quantiles of each group as q0, q1, ..., between two ranks by their distance or at the midpoint; nulls do not count.
+
+    Ranks come from counts of distinct values in two levels, so a group may hold most of the table. Groups without a
+    value are left out, as are rows with a null in ``by``.
+    """
+    known = df.where(" and ".join(f"`{c}` is not null" for c in [*by, value]))
+    g = known.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    totals, r = g.groupBy(*by).agg(F.sum("_c").alias("_n")), running_sums(g, by, "_v", ["_c"])
+    r = r.join(totals, list(by)) if by else r.crossJoin(F.broadcast(totals))
+    slack = 1e-9  # so that a whole place is not taken for two ranks
+    aggs, out = [], []
+    for i, p in enumerate(probabilities):
+        place = (F.col("_n") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(place + slack)), ("hi", F.ceil(place - slack))):
+            aggs.append(F.max(F.when((F.col("_c_run") - F.col("_c") <= rank) & (rank < F.col("_c_run")), F.col("_v"))).alias(f"_{side}{i}"))
+        part = F.lit(0.5) if midpoint else place - F.floor(place + slack)
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * part).alias(f"q{i}"))
+    return r.groupBy(*by, "_n").agg(*aggs).select(*by, *out)
+
+
 def binary_metrics(df: DataFrame, *, y: str, score: str, by: Sequence[str] = (), threshold: float | None = None, weight: Column | None = None) -> DataFrame:
     """AUROC, AUPRC (trapezoids on the precision-recall curve), and the confusion measures at a threshold.
 
@@ -195,8 +219,8 @@ def summarize_groups(df: DataFrame, group: str, numeric: Sequence[str], categori
     sizes = df.groupBy(group).agg(F.count("*").alias("size"))
     out = None
     for c in numeric:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        part = df.groupBy(group).agg(F.count(c).alias("n"), q.alias("q")).select(F.lit(c).alias("variable"), F.lit("").alias("level"), group, "n", F.lit(None).cast("double").alias("share"), F.col("q")[1].alias("median"), F.col("q")[0].alias("q1"), F.col("q")[2].alias("q3"))
+        q = quantiles(df, [group], c, [0.5, 0.25, 0.75])
+        part = df.groupBy(group).agg(F.count(c).alias("n")).join(q, group, "left").select(F.lit(c).alias("variable"), F.lit("").alias("level"), group, "n", F.lit(None).cast("double").alias("share"), F.col("q0").alias("median"), F.col("q1").alias("q1"), F.col("q2").alias("q3"))
         out = part if out is None else out.union(part)
     for c in categorical:
         counts = df.where(F.col(c).isNotNull()).groupBy(group, F.col(c).cast("string").alias("level")).agg(F.count("*").alias("n")).join(F.broadcast(sizes), group)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.operators.stats import quantiles
+
 DAY = 86_400_000_000
 
 
@@ -76,7 +78,7 @@ def stay_extremes(df: DataFrame, by: Sequence[str], at: str, value: str) -> Data
 
 def closest_to_median(df: DataFrame, by: Sequence[str], value: str, at: str) -> DataFrame:
     """The row nearest its group's median; the latest on a tie."""
-    mid = df.groupBy(*by).agg(F.median(value).alias("_median"))
+    mid = quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "_median")
     order = (F.abs(F.col(value) - F.col("_median")).asc(), F.col(at).desc())
     return nth_row(df.join(mid, list(by)), by, order).drop("_median")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.functions import scalars as S
-from wardline.operators import aggs, intervals, joins, timeseries, typing_ops, windows
+from wardline.operators import aggs, intervals, joins, stats, timeseries, typing_ops, windows
 from wardline.plans.registry import query
 
 c = F.col
@@ -159,7 +159,7 @@ query("a5_count_sum_pivot", "", """SELECT user_id, count(*) filter (event_type =
 query("a6_distinct_per_category", "exposures", "SELECT person_id, count(distinct drug_id) filter (drug_class = 'A') as \"n_A\", count(distinct drug_id) filter (drug_class = 'N') as \"n_N\", count(distinct drug_id) filter (drug_class = 'R') as \"n_R\" from exposures group by 1")(
     lambda t: aggs.distinct_per_category(t.exposures, ["person_id"], "drug_class", "drug_id", ["A", "N", "R"])
 )
-query("a7_median_by", "", "SELECT event_type, median(value) mid from events group by 1", "mid")(lambda t: t.events.groupBy("event_type").agg(F.median("value").alias("mid")))
+query("a7_median_by", "", "SELECT event_type, median(value) mid from events group by 1", "mid")(lambda t: stats.quantiles(t.events, ["event_type"], "value", [0.5]).withColumnRenamed("q0", "mid"))
 query("a8_first_last", "", "SELECT user_id, arg_min(event_type, ts) first_type, arg_max(event_type, ts) last_type from events group by 1")(lambda t: t.events.groupBy("user_id").agg(F.min_by("event_type", "ts").alias("first_type"), F.max_by("event_type", "ts").alias("last_type")))
 query("a9_string_agg_distinct", "", "SELECT user_id, string_agg(distinct trim(event_type), ', ' order by trim(event_type)) types from events group by 1")(lambda t: t.events.groupBy("user_id").agg(aggs.string_agg_distinct(c("event_type")).alias("types")))
 query("a10_numeric_bundle", "", "SELECT event_type, sum(value) sum, min(value) min, max(value) max, count(value) count, avg(value) mean, median(value) median, stddev_samp(value) std, mad(value) mad from events group by 1", "sum mean median std mad")(lambda t: aggs.numeric_bundle(t.events, ["event_type"], "value"))
@@ -186,9 +186,9 @@ query("a13_station_flags", "", f"""x as (select user_id, cast(ts as date) as day
 SELECT user_id, day, max(case when p ilike '%icu%' then 1 when p is not null then 0 end) "ICU", max(case when p ilike '%ward%' then 1 when p is not null then 0 end) "WARD", max(case when p = 'OR' then 1 when p is not null then 0 end) "OR", max(case when p = 'PACU' then 1 when p is not null then 0 end) "PACU" from x group by 1, 2""")(
     lambda t: aggs.multi_label(t.events.withColumn("day", F.to_date("ts")).withColumn("p", F.expr(_PLACES)), ["user_id", "day"], "p", aggs.STATIONS).select("user_id", "day", "ICU", "WARD", "OR", "PACU")
 )
-query("a13_multi_label_indicators", "", """p as (select n_regionkey, n_name, unnest(string_split(lower(n_name) || ';' || case when n_nationkey % 2 = 0 then 'even' else 'odd' end, ';')) v from nation)
-SELECT n_regionkey, max(case when regexp_matches(v, 'even') then 1 else 0 end) even, max(case when regexp_matches(v, 'a') then 1 else 0 end) has_a from p group by 1""")(
-    lambda t: aggs.multi_label(t.nation.withColumn("v", F.concat_ws(";", F.lower("n_name"), F.when(c("n_nationkey") % 2 == 0, "even").otherwise("odd"))), ["n_regionkey"], "v", {"even": "even", "has_a": "a"})
+query("a13_multi_label_indicators", "", """p as (select o_custkey, unnest(string_split(lower(o_orderpriority) || ';' || case when o_orderkey % 2 = 0 then 'even' else 'odd' end, ';')) v from orders)
+SELECT o_custkey, max(case when regexp_matches(v, 'even') then 1 else 0 end) even, max(case when regexp_matches(v, 'urgent') then 1 else 0 end) urgent from p group by 1""")(
+    lambda t: aggs.multi_label(t.orders.withColumn("v", F.concat_ws(";", F.lower("o_orderpriority"), F.when(c("o_orderkey") % 2 == 0, "even").otherwise("odd"))), ["o_custkey"], "v", {"even": "even", "urgent": "urgent"})
 )
 query("a14_take_highest_priority", "", "SELECT user_id, arg_min(event_type, (case event_type when 'purchase' then 1 when 'signup' then 2 else 1000000 end, event_type)) best from events group by 1")(
     lambda t: t.events.groupBy("user_id").agg(aggs.highest_priority(c("event_type"), {"purchase": 1, "signup": 2}).alias("best"))

@@ -40,7 +40,7 @@ query("e1_standardize", "", f"""f as (select quantile_cont(c_acctbal, 0.01) lo,
 SELECT c_custkey, (greatest(lo, least(hi, c_acctbal)) - m) / s c_acctbal, case when c_acctbal is null then 1 else 0 end c_acctbal_missing_ind, case when c_mktsegment = 'AUTOMOBILE' then 1 else 0 end as auto, case when c_mktsegment = 'BUILDING' then 1 else 0 end as building from customer, f""", "c_acctbal")(
     lambda t: prep.apply_standardizer(t.customer, _fit(t), key="c_custkey").select("c_custkey", "c_acctbal", "c_acctbal_missing_ind", c("c_mktsegment_automobile").alias("auto"), c("c_mktsegment_building").alias("building"))
 )
-query("e2_normalise_text", "", "SELECT n_nationkey, case when n_nationkey % 6 = 0 then null else lower(n_name) end name from nation")(lambda t: t.nation.select("n_nationkey", prep.normalise_text(F.when(c("n_nationkey") % 6 == 0, F.lit(" NA ")).otherwise(F.concat(F.lit("  "), c("n_name"), F.lit(" ")))).alias("name")))
+query("e2_normalise_text", "", "SELECT c_custkey, case when c_custkey % 6 = 0 then null else lower(c_name) end name from customer")(lambda t: t.customer.select("c_custkey", prep.normalise_text(F.when(c("c_custkey") % 6 == 0, F.lit(" NA ")).otherwise(F.concat(F.lit("  "), c("c_name"), F.lit(" ")))).alias("name")))
 query("e3_drop_rules", "", "SELECT 'constant' as \"column\", 1 dropped union all select 'empty', 1 union all select 'p_size', 0")(
     lambda t: (lambda f, s: s.createDataFrame([(k, int(v.drop)) for k, v in f.numeric.items()], "column string, dropped int"))(
         prep.fit_standardizer(t.part.select("p_size", F.lit(1.0).alias("constant"), F.lit(None).cast("double").alias("empty")), numeric=["p_size", "constant", "empty"]), t.spark)
@@ -146,26 +146,28 @@ def _load_log(t: Tables) -> DataFrame:
 
 def _csv_round_trip(t: Tables) -> DataFrame:
     path = _scratch(t)
-    io.write_table(t.nation.withColumn("note", F.when(c("n_nationkey") % 4 == 0, "NULL").otherwise(c("n_name"))), path, fmt="csv")
-    return io.read_delimited(t.spark, path, columns=["n_nationkey", "note", "absent"]).select(c("n_nationkey").cast("int").alias("n_nationkey"), "note")
+    io.write_table(t.customer.select("c_custkey", F.when(c("c_custkey") % 4 == 0, "NULL").otherwise(c("c_name")).alias("note")), path, fmt="csv")
+    return io.read_delimited(t.spark, path, columns=["c_custkey", "note", "absent"]).select(c("c_custkey").cast("long").alias("c_custkey"), "note")
 
 
-query("s1_read_delimited", "", "SELECT n_nationkey, case when n_nationkey % 4 <> 0 then n_name end note from nation")(_csv_round_trip)
+query("s1_read_delimited", "", "SELECT c_custkey, case when c_custkey % 4 <> 0 then c_name end note from customer")(_csv_round_trip)
 query("s2_read_parquet", "", "SELECT o_orderkey, o_totalprice from orders")(lambda t: io.read_parquet(t.spark, f"{t.dir}/orders.parquet", ["o_orderkey", "o_totalprice", "absent"], intersect=True))
 
 
 def _many(t: Tables) -> DataFrame:
     path = _scratch(t)
-    for name, part in (("a", t.nation.where("n_nationkey < 10")), ("b", t.nation.where("n_nationkey >= 10"))):
+    for name, part in (("a", t.customer.where("c_acctbal < 0")), ("b", t.customer.where("c_acctbal >= 0"))):
         io.write_table(part, f"{path}/{name}")
-    return io.read_many(t.spark, path, tag="source_file").select("n_nationkey", "n_name", c("source_file").endswith(".parquet").alias("tagged"))
+    return io.read_many(t.spark, path, tag="source_file").select("c_custkey", "c_name", c("source_file").endswith(".parquet").alias("tagged"))
 
 
-query("s3_read_many", "", "SELECT n_nationkey, n_name, true tagged from nation")(_many)
+query("s3_read_many", "", "SELECT c_custkey, c_name, true tagged from customer")(_many)
 query("s5_sql_template", "", "SELECT o_custkey, count(*) n from orders where o_totalprice > 100000 group by 1")(
     lambda t: (t.orders.createOrReplaceTempView("wardline_orders"), io.run_template(t.spark, "select o_custkey, count(*) n from identifier(:orders) where o_totalprice > :least group by 1", {"orders": "wardline_orders"}, least=100000))[1]
 )
-query("s6_query_folder", "", "SELECT r_name, count(*) n from nation join region on n_regionkey = r_regionkey group by 1")(lambda t: io.query_folder(t.spark, "select r_name, count(*) n from nation join region on n_regionkey = r_regionkey group by 1", t.dir, ["nation", "region"]))
+query("s6_query_folder", "", "SELECT c_mktsegment, count(*) n from orders join customer on o_custkey = c_custkey group by 1")(
+    lambda t: io.query_folder(t.spark, "select c_mktsegment, count(*) n from orders join customer on o_custkey = c_custkey group by 1", t.dir, ["orders", "customer"])
+)
 
 
 def _written(t: Tables) -> DataFrame:
@@ -203,7 +205,7 @@ query("s13_package_dataset", "", "SELECT case when user_id % 5 = 0 then 'Test' e
 query("s14_populate_cohort", "visits", "SELECT 8 cohort_definition_id, person_id subject_id, start_at cohort_start_date, end_at cohort_end_date from visits where status = 'P'")(
     lambda t: io.populate_cohort(t.visits.where("status = 'P'"), t.spark.createDataFrame([(7,)], "cohort_definition_id int"), definition_name="pending", subject="person_id", start="start_at", end="end_at")[0]
 )
-query("p3_sanitize_columns", "", "SELECT n_nationkey nation_key, n_name nation_name from nation")(lambda t: typing_ops.sanitize_columns(t.nation.select(c("n_nationkey").alias("NationKey"), c("n_name").alias("nation Name%"))))
+query("p3_sanitize_columns", "", "SELECT c_custkey cust_key, c_name cust_name from customer")(lambda t: typing_ops.sanitize_columns(t.customer.select(c("c_custkey").alias("CustKey"), c("c_name").alias("cust Name%"))))
 
 
 # --- user functions -------------------------------------------------------------------------------------------------
