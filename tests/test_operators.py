@@ -223,3 +223,16 @@ def test_running_sums_of_a_skewed_key(spark):
     got = stats.running_sums(spark.createDataFrame(data, "x double, n int"), [], "x", ["n"]).collect()
     want = {x: i + 1 for i, (x, _) in enumerate(sorted(data, key=lambda r: float("-inf") if r[0] is None else r[0]))}
     assert {r["x"]: r["n_run"] for r in got} == want
+
+
+def test_accept_apart_is_the_plain_loop(spark):
+    rng = random.Random(8)
+    data = sorted({(k, rng.randrange(400)) for k in range(4) for _ in range(80)})
+    df = spark.createDataFrame([(k, DAY0 + dt.timedelta(hours=h), float(h)) for k, h in data] + [(1, None, 5.0)], "k int, t timestamp, v double")
+    want, last = set(), {}
+    for k, h in data:
+        if k not in last or h - last[k] >= 7:
+            want.add((k, float(h)))
+            last[k] = h
+    got = intervals.accept_apart(df, by=["k"], at="t", value="v", seconds=7 * 3600).collect()
+    assert len(got) == len(want) and {(r["k"], r["v"]) for r in got} == want

@@ -162,12 +162,17 @@ def infusion_rates(meds: DataFrame, cases: DataFrame, *, key: str, start: str, e
 
 
 def accept_apart(df: DataFrame, *, by: Sequence[str], at: str, value: str, seconds: int) -> DataFrame:
-    """Values at least so many seconds after the last accepted one, from the first on: a fold over a sorted list.
+    """Values at least so many seconds after the last accepted one, from the first on. Rows without a time are left out.
 
-    The list is one key's rows (time and value), held in one task; each accepted value depends on the one before.
+    A row that far from the row before it is accepted whatever came earlier, so each key falls into chains there; a
+    chain's rows (time and value) are folded in one task, as each accepted value depends on the one before.
     """
-    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.unix_micros(at).alias("t"), F.col(value).alias("v")))).alias("xs"))
+    step, w = seconds * 1_000_000, Window.partitionBy(*by).orderBy("_t", value)
+    timed = df.where(F.col(at).isNotNull()).select(*by, F.unix_micros(at).alias("_t"), value)
+    free = timed.withColumn("_free", F.coalesce((F.col("_t") - F.lag("_t").over(w) >= step).cast("int"), F.lit(1)))
+    chained = free.withColumn("_chain", F.sum("_free").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = chained.groupBy(*by, "_chain").agg(F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col(value).alias("v")))).alias("xs"))
     element = rows.schema["xs"].dataType.elementType.simpleString()
     empty = F.expr(f"cast(array() as array<{element}>)")
-    fold = F.aggregate("xs", empty, lambda acc, x: F.when((F.size(acc) == 0) | (x.t - F.try_element_at(acc, F.lit(-1)).t >= seconds * 1_000_000), F.concat(acc, F.array(x))).otherwise(acc))
+    fold = F.aggregate("xs", empty, lambda acc, x: F.when((F.size(acc) == 0) | (x.t - F.try_element_at(acc, F.lit(-1)).t >= step), F.concat(acc, F.array(x))).otherwise(acc))
     return rows.select(*by, F.explode(fold).alias("x")).select(*by, F.timestamp_micros("x.t").alias(at), F.col("x.v").alias(value))
