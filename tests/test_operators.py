@@ -236,3 +236,34 @@ def test_accept_apart_is_the_plain_loop(spark):
             last[k] = h
     got = intervals.accept_apart(df, by=["k"], at="t", value="v", seconds=7 * 3600).collect()
     assert len(got) == len(want) and {(r["k"], r["v"]) for r in got} == want
+
+
+def test_level_draws_follow_training_frequencies(spark):
+    fit = prep.LevelFit(["a", "b", "c"], [6, 3, 1], "a", 0.0, False)
+    drawn = spark.range(4000).select(prep.impute_level(F.lit(None).cast("string"), fit, "weighted", F.col("id")).alias("v"))
+    n = {r["v"]: r["count"] for r in drawn.groupBy("v").count().collect()}
+    assert n.keys() == {"a", "b", "c"} and all(abs(n[v] / 4000 - share) < 0.04 for v, share in (("a", 0.6), ("b", 0.3), ("c", 0.1)))
+    assert spark.range(1).select(prep.impute_level(F.lit("z"), fit, "weighted", F.col("id"))).first()[0] == "z"
+
+
+def test_redrawn_outliers_stay_in_the_outer_bands(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(1001)], "id long, x double")
+    fit = prep.Standardizer.from_json(prep.fit_standardizer(df, numeric=["x"]).to_json()).numeric["x"]
+    assert (fit.low, fit.inner_low, fit.median, fit.inner_high, fit.high) == (10.0, 150.0, 500.0, 850.0, 990.0)
+    for r in df.select("x", prep.clip_or_redraw(F.col("x"), fit, F.col("id"), redraw=True).alias("y")).collect():
+        assert 10 <= r["y"] <= 150 if r["x"] < 10 else 850 <= r["y"] <= 990 if r["x"] > 990 else r["y"] == r["x"]
+
+
+def test_binned_pairs_and_overlaps_are_all_pairs(spark):
+    rng = random.Random(3)
+    at = lambda h: DAY0 + dt.timedelta(hours=h)
+    rows = [(i, i % 2, at(s), at(s + rng.randrange(30)), float(i % 4)) for i, s in enumerate(rng.randrange(200) for _ in range(60))]
+    a = spark.createDataFrame(rows[:30], "i int, k int, s timestamp, e timestamp, v double")
+    b = spark.createDataFrame(rows[30:], "j int, k int, s2 timestamp, e2 timestamp, v double").drop("v")
+    got = joins.overlap_join(a, b, key="k", a_start="s", a_end="e", b_start="s2", b_end="e2", bin_seconds=7 * 3600).select("i", "j").collect()
+    want = {(x[0], y[0]) for x in rows[:30] for y in rows[30:] if x[1] == y[1] and x[2] <= y[3] and x[3] >= y[2]}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    den = spark.createDataFrame(rows[30:], "i int, k int, s timestamp, e timestamp, v double")
+    for seconds in (0, 5 * 3600):
+        n = joins.pair_within(a, den, key="k", at="s", value="v", seconds=seconds).count()
+        assert n == sum(x[1] == y[1] and y[4] != 0 and abs((x[2] - y[2]).total_seconds()) <= seconds for x in rows[:30] for y in rows[30:])

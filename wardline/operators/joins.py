@@ -56,10 +56,21 @@ def effective_dated_join(facts: DataFrame, reference: DataFrame, *, keys: Sequen
     return facts.join(ref, on, "left").drop(*(f"_r_{k}" for k in keys))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, *, key: str, a_start: str, a_end: str, b_start: str, b_end: str, how: str = "inner") -> DataFrame:
-    """Pairs of intervals of one key that overlap or touch."""
+def overlap_join(a: DataFrame, b: DataFrame, *, key: str, a_start: str, a_end: str, b_start: str, b_end: str, how: str = "inner", bin_seconds: int | None = None) -> DataFrame:
+    """Pairs of intervals of one key that overlap or touch.
+
+    ``bin_seconds`` sends both sides to the time bins that they touch, so that a key with very many intervals spreads
+    over tasks (inner only); a pair counts in the bin where the later of the two starts.
+    """
     right = b.withColumnRenamed(key, "_key")
-    return a.join(right, (F.col(key) == F.col("_key")) & (F.col(a_start) <= F.col(b_end)) & (F.col(a_end) >= F.col(b_start)), how).drop("_key")
+    on = (F.col(key) == F.col("_key")) & (F.col(a_start) <= F.col(b_end)) & (F.col(a_end) >= F.col(b_start))
+    if bin_seconds and how == "inner":
+        number = lambda c: F.floor(F.unix_seconds(c) / bin_seconds)
+        bins = lambda start, end: F.explode(F.when(F.col(start) <= F.col(end), F.sequence(number(start), number(end))))
+        left, right = a.withColumn("_abin", bins(a_start, a_end)), right.withColumn("_bbin", bins(b_start, b_end))
+        on = on & (F.col("_abin") == F.col("_bbin")) & (F.col("_abin") == number(F.greatest(a_start, b_start)))
+        return left.join(right, on).drop("_key", "_abin", "_bbin")
+    return a.join(right, on, how).drop("_key")
 
 
 def followup_flag(visits: DataFrame, *, person: str, visit: str, start: str, end: str, days: int) -> DataFrame:
@@ -84,11 +95,17 @@ def followup_flags(visits: DataFrame, *, person: str, visit: str, start: str, en
 
 
 def pair_within(num: DataFrame, den: DataFrame, *, key: str, at: str, value: str, seconds: int) -> DataFrame:
-    """Ratios of values of one key whose times differ by at most so many seconds."""
-    a = num.select(key, F.col(at).alias("num_at"), F.col(value).alias("num"))
-    b = den.select(F.col(key).alias("_k"), F.col(at).alias("den_at"), F.col(value).alias("den"))
-    apart = F.abs(F.unix_seconds("num_at") - F.unix_seconds("den_at"))
-    return a.join(b, (F.col(key) == F.col("_k")) & (apart <= seconds) & (F.col("den") != 0)).select(key, "num_at", "den_at", (F.col("num") / F.col("den")).alias("ratio"))
+    """Ratios of values of one key whose times differ by at most so many seconds.
+
+    Times are cut into bins of that length and each denominator stands in its own bin and the two beside it, so a pair
+    meets once, in the bin of its numerator, and a key with very many rows spreads over its bins.
+    """
+    number = lambda c: F.floor(F.unix_seconds(c) / max(seconds, 1))
+    a = num.select(key, F.col(at).alias("num_at"), F.col(value).alias("num")).withColumn("_bin", number("num_at"))
+    b = den.where(F.col(value) != 0).select(F.col(key).alias("_k"), F.col(at).alias("den_at"), F.col(value).alias("den"))
+    b = b.withColumn("_b", F.explode(F.sequence(number("den_at") - 1, number("den_at") + 1)))
+    near = F.abs(F.unix_seconds("num_at") - F.unix_seconds("den_at")) <= seconds
+    return a.join(b, (F.col(key) == F.col("_k")) & (F.col("_bin") == F.col("_b")) & near).select(key, "num_at", "den_at", (F.col("num") / F.col("den")).alias("ratio"))
 
 
 def nearest_neighbour(keys: DataFrame, reference: DataFrame, *, key: str, x: str, y: str, most_reference: int = 200_000) -> DataFrame:

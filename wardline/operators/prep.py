@@ -6,6 +6,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ class NumericFit:
     high: float | None
     missing: float
     drop: bool
+    inner_low: float | None = None
+    inner_high: float | None = None
 
 
 @dataclass
@@ -81,15 +84,15 @@ def fit_standardizer(train: DataFrame, *, numeric: Sequence[str] = (), categoric
             aggs.append(F.struct(F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) < F.max(x)).alias("varies")).alias(c))
         row = train.agg(*aggs).first()
         tall = train.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in numeric))).alias("_r")).select("_r.*")
-        q = {r["column"]: (r["q0"], r["q1"], r["q2"]) for r in quantiles(tall, ["column"], "x", [0.01, 0.5, 0.99]).collect()}  # a row a column
+        q = {r["column"]: tuple(r[f"q{i}"] for i in range(5)) for r in quantiles(tall, ["column"], "x", [0.01, 0.15, 0.5, 0.85, 0.99]).collect()}  # a row a column
         gap = F.lit(None).cast("double")
-        for c, (_, median, _) in q.items():
+        for c, (_, _, median, _, _) in q.items():
             gap = F.when(F.col("column") == c, F.abs(F.col("x") - median)).otherwise(gap)
         mads = {r["column"]: r["q0"] for r in quantiles(tall.withColumn("gap", gap), ["column"], "gap", [0.5]).collect()}
         for c in numeric:
-            r, (low, median, high) = row[c], q.get(c, (None,) * 3)
+            r, (low, inner_low, median, inner_high, high) = row[c], q.get(c, (None,) * 5)
             lost = 1 - r["n"] / r["rows"] if r["rows"] else 1.0
-            fit.numeric[c] = NumericFit(r["mean"], r["std"], median, mads[c] * 1.4826 if c in mads else None, low, high, lost, not r["varies"] or lost >= most_missing)
+            fit.numeric[c] = NumericFit(r["mean"], r["std"], median, mads[c] * 1.4826 if c in mads else None, low, high, lost, not r["varies"] or lost >= most_missing, inner_low, inner_high)
     for c in categorical:
         s = normalise_text(F.col(c))
         counts = train.select(s.alias("v")).groupBy("v").count().orderBy(F.desc("count"), "v").limit(most_levels + 1).collect()
@@ -114,18 +117,33 @@ def impute(column: Column, fit: NumericFit, how: str, key: Column, seed: int = 1
     return F.coalesce(column, value)
 
 
+def impute_level(column: Column, fit: LevelFit, how: str, key: Column, seed: int = 2, constant: str = "missing") -> Column:
+    """Missing levels by the mode, a constant, or a seeded draw in proportion to the training frequencies (weighted)."""
+    if how == "constant":
+        return F.coalesce(column, F.lit(constant))
+    if how == "mode" or not fit.levels:
+        return F.coalesce(column, F.lit(fit.mode))
+    if how != "weighted":
+        raise ValueError(f"unknown way to impute levels: {how}")
+    below = F.array(*(F.lit(float(x)) for x in accumulate(fit.frequencies)))
+    place = F.size(F.filter(below, lambda x: x <= uniform(key, seed) * float(sum(fit.frequencies)))) + 1
+    return F.coalesce(column, F.element_at(F.array(*(F.lit(v) for v in fit.levels)), place))
+
+
 def clip_or_redraw(column: Column, fit: NumericFit, key: Column, *, redraw: bool = False, seed: int = 3) -> Column:
-    """Numbers beyond the fitted 1 and 99 percent quantiles are clipped, or drawn anew in the outer band."""
+    """Numbers beyond the fitted 1 and 99 percent quantiles are clipped, or drawn anew below the 15 or above the 85 percent one."""
     lo, hi = F.lit(fit.low), F.lit(fit.high)
     if not redraw:
         return F.when(column.isNotNull(), F.greatest(lo, F.least(hi, column)))  # least and greatest skip nulls
-    band = 0.14 * (fit.high - fit.low)
     u = uniform(key, seed)
-    return F.when(column < lo, lo + u * band).when(column > hi, hi - u * band).otherwise(column)
+    return F.when(column < lo, lo + u * (fit.inner_low - fit.low)).when(column > hi, hi - u * (fit.high - fit.inner_high)).otherwise(column)
+
 
+def apply_standardizer(df: DataFrame, fit: Standardizer, *, key: str, how: str = "median", one_hot: bool = True, other: str = "other", draw_unseen: bool = False) -> DataFrame:
+    """Clip, impute and scale numbers; encode levels; add missing indicators.
 
-def apply_standardizer(df: DataFrame, fit: Standardizer, *, key: str, how: str = "median", one_hot: bool = True, other: str = "other") -> DataFrame:
-    """Clip, impute and scale numbers; encode levels (rare and unseen ones as ``other``); add missing indicators."""
+    Rare and unseen levels become ``other``, or with ``draw_unseen`` a known one, drawn by training frequency.
+    """
     out: list[Column] = [F.col(key)]
     for c, f in fit.numeric.items():
         if f.drop:
@@ -136,7 +154,8 @@ def apply_standardizer(df: DataFrame, fit: Standardizer, *, key: str, how: str =
         if f.drop:
             continue
         s = normalise_text(F.col(c))
-        v = F.when(s.isNull(), F.lit(f.mode)).when(s.isin(*f.levels), s).otherwise(other)
+        unseen = impute_level(F.lit(None).cast("string"), f, "weighted", F.col(key)) if draw_unseen else F.lit(other)
+        v = F.when(s.isNull(), F.lit(f.mode)).when(s.isin(*f.levels), s).otherwise(unseen)
         if one_hot:
             out += [(v == level).cast("int").alias(f"{c}_{level}") for level in sorted({*f.levels, other})]
         else:

@@ -94,14 +94,21 @@ SELECT p_brand brand, count(*) n, count(rate) matched, sum(rate) total from f le
     ).groupBy("brand").agg(F.count("*").alias("n"), F.count("rate").alias("matched"), F.sum("rate").alias("total"))
 )
 query("j5_later_in_same_person", "procedures", """SELECT a.procedure_id, b.procedure_id later_id from procedures a join procedures b on a.person_id = b.person_id and cast(b.proc_start as date) > cast(a.proc_start as date) and b.proc_start <= a.proc_start + interval 90 day""")(
-    lambda t: t.procedures.select("person_id", "procedure_id", "proc_start").join(t.procedures.select(c("person_id").alias("p"), c("procedure_id").alias("later_id"), c("proc_start").alias("s")), (c("person_id") == c("p")) & (F.to_date("s") > F.to_date("proc_start")) & (c("s") <= c("proc_start") + F.expr("interval 90 days"))).select("procedure_id", "later_id")
-)
+    lambda t: joins.interval_join(
+        t.procedures.select("person_id", c("procedure_id").alias("later_id"), c("proc_start").alias("s")),
+        t.procedures.select("person_id", "procedure_id", (F.to_date("proc_start") + F.expr("interval 1 day")).cast("timestamp").alias("lo"), (c("proc_start") + F.expr("interval 90 days")).alias("hi")),
+        key="person_id", at="s", start="lo", end="hi", bin_seconds=30 * 86400,
+    ).select("procedure_id", "later_id")
+)
 query("j6_followup_within", "visits", """SELECT v.visit_id, max(case when w.visit_id is not null then 1 else 0 end) followed_up from visits v left join visits w on w.person_id = v.person_id and w.visit_id <> v.visit_id and w.start_at between v.end_at and v.end_at + interval 30 day group by 1""")(
     lambda t: joins.followup_flag(t.visits.select("person_id", "visit_id", "start_at", "end_at"), person="person_id", visit="visit_id", start="start_at", end="end_at", days=30).select("visit_id", "followed_up")
 )
 query("j7_overlap_join", "visits exposures", """SELECT v.visit_id, count(*) n from visits v join exposures e on e.person_id = v.person_id and exp_start <= end_at and exp_end >= start_at group by 1""")(
     lambda t: joins.overlap_join(t.visits.select("person_id", "visit_id", "start_at", "end_at"), t.exposures.select("person_id", "exp_start", "exp_end"), key="person_id", a_start="start_at", a_end="end_at", b_start="exp_start", b_end="exp_end").groupBy("visit_id").agg(F.count("*").alias("n"))
 )
+query("j7_overlap_join_binned", "visits exposures", """SELECT v.visit_id, count(*) n from visits v join exposures e on e.person_id = v.person_id and exp_start <= end_at and exp_end >= start_at group by 1""")(
+    lambda t: joins.overlap_join(t.visits.select("person_id", "visit_id", "start_at", "end_at"), t.exposures.select("person_id", "exp_start", "exp_end"), key="person_id", a_start="start_at", a_end="end_at", b_start="exp_start", b_end="exp_end", bin_seconds=7 * 86400).groupBy("visit_id").agg(F.count("*").alias("n"))
+)
 query("j8_containment_left_join", "visits exposures", "SELECT e.visit_id, drug_class, exp_start, count(v.visit_id) inside from exposures e left join visits v on v.person_id = e.person_id and exp_start between v.start_at and v.end_at group by all")(
     lambda t: joins.interval_join(t.exposures, t.visits.select("person_id", c("visit_id").alias("v"), "start_at", "end_at"), key="person_id", at="exp_start", start="start_at", end="end_at", how="left").groupBy("visit_id", "drug_class", "exp_start").agg(F.count("v").alias("inside"))
 )

@@ -58,6 +58,11 @@ SELECT c_custkey, case when c_custkey % 7 = 0 then m else c_acctbal end by_mean,
         t.customer.select("c_custkey", F.when(c("c_custkey") % 7 != 0, c("c_acctbal")).alias("x")))
 )
 query("e7_impute_draws")(lambda t: (lambda f: t.customer.select("c_custkey", *(prep.impute(F.lit(None).cast("double"), f.numeric["c_acctbal"], how, c("c_custkey")).alias(how) for how in ("uniform", "normal", "normal_mad"))))(_fit(t)))
+query("e7_impute_levels", "", f"""m as (select lower(c_mktsegment) v from customer where {_TRAIN} and c_custkey % 7 <> 0 group by 1 order by count(*) desc, 1 limit 1)
+SELECT c_custkey, case when c_custkey % 7 = 0 then v else lower(c_mktsegment) end by_mode, case when c_custkey % 7 = 0 then 'missing' else lower(c_mktsegment) end by_constant from customer, m""")(
+    lambda t: (lambda df: (lambda f: df.select("c_custkey", *(prep.impute_level(c("x"), f, how, c("c_custkey")).alias(f"by_{how}") for how in ("mode", "constant"))))(prep.fit_standardizer(df.where(_TRAIN), categorical=["x"]).levels["x"]))(
+        t.customer.select("c_custkey", F.when(c("c_custkey") % 7 != 0, F.lower("c_mktsegment")).alias("x")))
+)
 query("e8_zscore", "", "f as (select avg(value) m, stddev_pop(value) s from events where event_id % 2 = 0) SELECT event_id, (value - m) / s z from events, f", "z")(
     lambda t: t.events.crossJoin(F.broadcast(t.events.where("event_id % 2 = 0").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s")))).select("event_id", ((c("value") - c("m")) / c("s")).alias("z"))
 )
