@@ -1,10 +1,7 @@
 """Queries that must take all rows of their table."""
 
-import random
-
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from wardline.plans import cdm, registry
 from tests.test_queries import DATA
 
@@ -15,13 +12,3 @@ def test_all_visits_are_expanded(spark):
     rows = registry.queries()["i5_expand_all_to_grid"](spark, DATA)
     assert rows.select("visit_id").distinct().count() == visits.select("visit_id").distinct().count()
     assert rows.select("visit_id").where(F.col("visit_id") % 5 != 0).count() > 0
-
-
-def test_unrelated_texts_of_one_id_stay(spark):
-    r = random.Random(4)
-    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
-    rows = [(5, a), (5, b), (5, b), (3, c), (8, b + " more"), (9, a), (None, a)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = corpus_pipeline.drop_near_copies(spark, docs, DATA)
-    assert got.columns == docs.columns
-    assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, a), (5, b), (3, c), (None, a)], key=str)
