@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a plain version on the smallest tables, and the rules that hold for all."""
 
 import os
+import random
 import re
 
 import pytest
@@ -105,3 +106,13 @@ def test_stages_on_odd_rows(spark, odd):
         assert stage(spark, docs.limit(0), odd).count() == 0
     assert P.run(spark, odd).select("doc_id").distinct().count() == 6
     assert P.pack_sequences(spark, docs, odd).count() > docs.count() and P.pack_sequences(spark, docs.limit(0), odd).count() == 0
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    r = random.Random(4)
+    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
+    rows = [(5, a), (5, b), (5, b), (3, c), (8, b + " more"), (9, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = P.drop_near_copies(spark, docs, DATA)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, a), (5, b), (3, c), (None, a)], key=str)
