@@ -232,7 +232,9 @@ def near_duplicates(
 
     central = members.groupBy("id").agg(F.sum("size").alias("weight"))
     pivots = members.join(central, "id").groupBy("bucket").agg(F.max(F.struct("weight", "id")).alias("top")).select("bucket", F.col("top.id").alias("pivot"))
+    pivots = scratch.save(pivots)
     star = beside(pivots, members).where("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b")).agg(F.max("size").alias("crowd"))
+    star = scratch.save(star)
 
     sign_a = marks.select(F.col("id").alias("a"), F.col("checks").alias("ca"), F.col("n").alias("na"))
     sign_b = marks.select(F.col("id").alias("b"), F.col("checks").alias("cb"), F.col("n").alias("nb"))
@@ -268,7 +270,7 @@ def near_duplicates(
         main = heads.where("id = head").select("bucket", F.col("component").alias("main"))
         loose = beside(main, large).where("component <> main").select("id").distinct()
         rest = rest.union(_prefix_pairs(large, loose, reps_text, shingle, percent, scratch))
-    rest = rest.groupBy("a", "b").agg(F.lit(1).alias("one"))
+    rest = scratch.save(rest.distinct())
     # of the pairs that remain, a document with many partners is the copied side's crowd
     crowds = rest.groupBy("b").agg(F.count("*").alias("crowd"))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
