@@ -213,10 +213,10 @@ def near_duplicates(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     signed = scratch.save(texts.mapInArrow(_sign(shingle, bands, rows, checks, seed), "doc_id long, key binary, n_shingles long, bands array<long>, checks binary"))
     full = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = scratch.save(full.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")))
-    reps = full.join(classes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     # One id may stand for several texts; a node of the graph is then a text, and ids tie them below.
-    marks = scratch.save(reps.select(F.col("doc_id").alias("id"), "key", F.col("n_shingles").alias("n"), "bands", "checks"))
+    first = full.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "checks")).alias("first"))
+    marks = scratch.save(first.select(F.col("first.doc_id").alias("id"), "key", F.col("first.n_shingles").alias("n"), "first.bands", "first.checks"))
+    classes = marks.select("key", F.col("id").alias("rep"), "n")
 
     # A bucket's rows are dealt over cells, so that a crowded one takes no single task.
     cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).cast("int")
