@@ -36,6 +36,7 @@ from wardline.llm.components import connected_components
 
 CELLS = 64
 PARTNERS = 256  # of one document in one task
+SLICE = 512  # shingles signed at once, so that their values stay in a core's cache
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -85,8 +86,9 @@ def signatures(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Minimum of each of the hash functions over a set; one 32-bit value for each."""
     low, mul = (hashes >> np.uint64(32)).astype(np.uint32), seeds | np.uint32(1)
     best = np.full(len(seeds), 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(low), 4096):
-        part = (low[i : i + 4096, None] ^ seeds[None, :]) * mul[None, :]
+    for i in range(0, len(low), SLICE):
+        part = low[i : i + SLICE, None] ^ seeds[None, :]
+        part *= mul[None, :]
         part ^= part >> np.uint32(15)
         part *= np.uint32(0x2C1B3C6D)
         np.minimum(best, part.min(axis=0), out=best)
