@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import conversations, decontaminate, fingerprint, html_text, licenses, pii, token_store, toxicity
+from wardline.llm import conversations, decontaminate, fingerprint, html_text, licenses, pii, ranked_search, token_store, toxicity
 from wardline.llm.common import crc_fold, table
 from wardline.llm.ctw import code_lengths
 from wardline.llm.minhash import near_duplicates
@@ -76,9 +76,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_pii, op3_html_extraction, op4_licenses, op5_lm_scoring, op6_toxicity, op7_decontaminate, op8_fingerprint, op9_suffix_dedup, op10_packing, op11_token_ids, op12_conversation_repair)}
+    return {f.__name__: f for f in (op1_minhash, op2_pii, op3_html_extraction, op4_licenses, op5_lm_scoring, op6_toxicity, op7_decontaminate, op8_fingerprint, op9_suffix_dedup, op10_packing, op11_token_ids, op12_conversation_repair, op13_ranked_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_pii": pii.sql(), "op4_licenses": licenses.sql()}
+    return {"op2_pii": pii.sql(), "op4_licenses": licenses.sql(), "op13_ranked_search": ranked_search.sql()}
