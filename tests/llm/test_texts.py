@@ -577,3 +577,35 @@ def _without(pieces, some):
     for x in some:
         rest.remove(x)
     return rest
+
+
+def test_search_is_exact_on_small_multisets():
+    """Against all packings of up to 12 pieces, lengths repeated."""
+
+    def fewest(pieces):
+        best = len(pieces)
+
+        def place(i, rooms):
+            nonlocal best
+            if len(rooms) >= best:
+                return
+            if i == len(pieces):
+                best = len(rooms)
+                return
+            for room in {r for r in rooms if r >= pieces[i]}:
+                k = rooms.index(room)
+                place(i + 1, [*rooms[:k], room - pieces[i], *rooms[k + 1 :]])
+            place(i + 1, [*rooms, 100 - pieces[i]])
+
+        place(0, [])
+        return best
+
+    r = random.Random(4)
+    for _ in range(600):
+        kinds = [r.randrange(5, 70) for _ in range(r.randrange(1, 8))]
+        pieces = sorted((r.choice(kinds) for _ in range(r.randrange(1, 13))), reverse=True)
+        counts = {x: pieces.count(x) for x in pieces}
+        found = packing.bin_completion(counts, 100)
+        assert found.optimal and found.sequences == fewest(pieces), pieces
+        assert all(sum(p) <= 100 for p, _ in found.plan)
+        assert {x: sum(t * p.count(x) for p, t in found.plan) for x in counts} == counts

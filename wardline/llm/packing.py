@@ -3,7 +3,7 @@
 Only lengths matter for packing, and there are at most ``capacity`` of them, so the search runs
 on the histogram of lengths: a bounded table, however many documents there are. It fills one sequence around
 the longest piece left at a time: it enumerates the undominated fillings of the space beside
-that piece, applies each as often as the counts allow, prunes branches whose waste exceeds what a better solution may
+that piece, applies each as often as the counts allow and then less often, prunes branches whose waste exceeds what a better solution may
 waste, and keeps a best-fit packing as the first incumbent. It ends when a lower bound is met (on large tables best fit
 mostly meets it at once), when all branches are pruned, or after ``nodes`` sets of pieces. The plan (patterns of lengths with how often each is used)
 then goes back to the pieces: Spark ranks the pieces of each length, in salted groups, and each task looks up the
@@ -21,6 +21,7 @@ from __future__ import annotations
 import bisect
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -183,12 +184,14 @@ def fillings(sizes: _Sizes, first: int, capacity: int, most_waste: int, budget:
     def dominated(taken: tuple[int, ...], room: int) -> bool:
         if not room:
             return False
-        inner = taken[1:]
-        sums = {x for x in inner} | {x + y for i, x in enumerate(inner) for y in inner[i + 1 :]} if len(inner) <= 32 else set(inner)
-        for x in sums:
+        inner = Counter(taken[1:])
+        kinds = sorted(inner)
+        for x in {*kinds, *(x + y for i, x in enumerate(kinds) for y in kinds[i + (inner[x] < 2) :])}:
             i = bisect.bisect_right(left, x + room) - 1
-            if i >= 0 and left[i] > x and sizes.counts[left[i]] > taken.count(left[i]):
-                return True
+            while i >= 0 and left[i] > x:  # all pieces of a length may be taken already
+                if sizes.counts[left[i]] > taken.count(left[i]):
+                    return True
+                i -= 1
         return False
 
     def from_top(top: int) -> int:
@@ -217,51 +220,74 @@ class Packing:
     plan: Plan
     sequences: int
     bound: int  # no packing has fewer
+    ended: bool = False  # the search looked at all that it had to
 
     @property
     def optimal(self) -> bool:
-        return self.sequences == self.bound
+        """Whether no packing has fewer sequences, by the bound or by a search that ended."""
+        return self.ended or self.sequences == self.bound
+
+
+@dataclass
+class _Frame:
+    """One step of the search: fillings around the longest piece, those that it has used up, and the one in use."""
+
+    first: int
+    choices: Iterator[tuple[int, ...]]
+    spent: frozenset[tuple[int, ...]]
+    pattern: tuple[int, ...] = ()
+    times: int = 0
 
 
 def bin_completion(counts: dict[int, int], capacity: int, *, nodes: int = 50_000) -> Packing:
     """A packing with as few sequences as the search finds; the best-fit one at worst.
 
-    The search goes depth first and branches at every sequence, over all undominated fillings around the longest
-    piece left. ``nodes`` bounds the sets of pieces that it looks at; best fit does not count.
+    The search goes depth first. Around the longest piece left it takes each undominated filling, as often as the counts allow first
+    and then once less often each time, down to once; what is left of that length then takes other fillings (the order of sequences does not matter, so a
+    filling that was left is not taken up again around the same length). ``nodes`` bounds the sets of pieces and the steps that it looks at; best fit does not count.
     """
     incumbent = best_fit(counts, capacity)
     used = lambda plan: sum(t for _, t in plan)
     total, least = sum(s * c for s, c in counts.items()), lower_bound(counts, capacity)
     best, budget = used(incumbent), [nodes]
-    sizes, plan, waste = _Sizes(counts), [], 0
-    frames: list[Iterator[tuple[int, ...]]] = []
+    sizes, waste = _Sizes(counts), 0
+    frames: list[_Frame] = []
     slack = lambda: (best - 1) * capacity - total - waste  # noqa: E731  # what a better packing may still waste
+
+    def go_on() -> None:
+        first = sizes.left[-1]
+        spent = frozenset()
+        if frames and frames[-1].first == first:
+            spent = frames[-1].spent | {frames[-1].pattern}
+        budget[0] -= 1
+        frames.append(_Frame(first, fillings(sizes, first, capacity, slack(), budget), spent))
+
     if best > least and sizes.left:
-        frames.append(fillings(sizes, sizes.left[-1], capacity, slack(), budget))
+        go_on()
     while frames and budget[0] > 0 and best > least:
-        pattern = next(frames[-1], None)
-        if pattern is None:
-            frames.pop()
-            if plan:
-                pattern, times = plan.pop()
-                waste -= times * (capacity - sum(pattern))
-                sizes.give(pattern, times)
-            continue
-        wasted = capacity - sum(pattern)
-        times = sizes.times(pattern)
-        if wasted:
-            times = min(times, slack() // wasted)
-        if times <= 0:
-            continue
-        plan.append((pattern, times))
-        waste += times * wasted
-        sizes.take(pattern, times)
+        frame = frames[-1]
+        if frame.times:  # one sequence less of the filling in use
+            sizes.give(frame.pattern, 1)
+            waste -= capacity - sum(frame.pattern)
+            frame.times -= 1
+        if not frame.times:
+            frame.pattern = next((p for p in frame.choices if p not in frame.spent), ())
+            if not frame.pattern:
+                frames.pop()
+                continue
+            wasted = capacity - sum(frame.pattern)
+            times = min(sizes.times(frame.pattern), max(slack(), 0) // wasted if wasted else 1 << 60)
+            if times <= 0:
+                frame.pattern = ()
+                continue
+            frame.times = times
+            sizes.take(frame.pattern, times)
+            waste += times * wasted
         if not sizes.left:
-            best, incumbent = used(plan), list(plan)
-            frames.append(iter(()))  # back up from here
-        else:
-            frames.append(fillings(sizes, sizes.left[-1], capacity, slack(), budget))
-    return Packing(incumbent, best, least)
+            best, incumbent = sum(f.times for f in frames), [(f.pattern, f.times) for f in frames]
+        elif slack() >= 0:
+            go_on()
+    return Packing(incumbent, best, least, best > least and not frames)
 
 
 def slots_of(plan: Plan) -> dict[str, np.ndarray]:

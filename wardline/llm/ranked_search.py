@@ -115,7 +115,7 @@ class Block:
         tf = often[order]
         self.part = weights[ids] * ((scale * tf) // (1000 * tf + k * m[self.row]))
         found, first = np.unique(ids, return_index=True)
-        self.at = dict(zip(found.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True), strict=True))
+        self.at = dict(zip(found.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(ids)][: len(first)], strict=True), strict=True))
         self.bound = dict(zip(found.tolist(), np.maximum.reduceat(self.part, first).tolist() if len(first) else [], strict=True))
 
     def rank(self, item: np.ndarray, best: Best) -> None:

@@ -135,9 +135,9 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _starts(spark: SparkSession, path: str) -> DataFrame:
-    """(part, base, part_tokens): ids before each file, one row for each file."""
-    sums = _stored(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
-    return sums.select("part", (F.sum("part_tokens").over(Window.orderBy("part")) - F.col("part_tokens")).alias("base"), "part_tokens")
+    """(part, base, part_tokens, longest): ids before each file, in it, and of its longest document; one row for each file."""
+    sums = _stored(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"), F.max("n_tokens").alias("longest"))
+    return sums.select("part", (F.sum("part_tokens").over(Window.orderBy("part")) - F.col("part_tokens")).alias("base"), "part_tokens", "longest")
 
 
 def _placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
@@ -157,14 +157,11 @@ def lookup(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
 def between(spark: SparkSession, path: str, low: int, high: int) -> DataFrame:
     """The rows of ``read`` that hold one of the ids at places ``low`` to ``high - 1``: as a trainer reads its share of the sequence."""
     files = [r for r in _starts(spark, path).collect() if r["base"] < high and r["base"] + r["part_tokens"] > low]  # one row for each file
-    rows = _stored(spark, path).where(F.lit(False))
-    if files:
-        some = F.lit(False)
-        for r in files:
-            inner = (F.col("part") == r["part"]) & (F.col("before") < high - r["base"])
-            some = some | (inner & (F.col("before") + F.col("n_tokens") > low - r["base"]) if r["base"] < low else inner)
-        rows = _stored(spark, path).where(F.col("part").isin([r["part"] for r in files])).where(some)
-    return _placed(rows, _starts(spark, path))
+    some = F.lit(False)
+    for r in files:  # bounds on stored columns reach the row indexes; the exact test follows
+        lo, hi = low - r["base"], high - r["base"]
+        some = some | ((F.col("part") == r["part"]) & (F.col("before") < hi) & (F.col("before") > lo - r["longest"]) & (F.col("before") + F.col("n_tokens") > lo))
+    return _placed(_stored(spark, path).where(some), _starts(spark, path))
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
