@@ -49,23 +49,78 @@ def _covered(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFram
     return rows.withColumn("_seg", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to").join(seg, [*by, "_seg"]).drop("_seg")
 
 
-def resolve_overlaps(df: DataFrame, *, by: Sequence[str], start: str, end: str, priority: str, label: str, max_len: str | None = None) -> DataFrame:
-    """At each instant the label of least priority number wins; output is disjoint, equal neighbours merged.
+#: Priorities that one sweep tells apart; more go in rounds, so many of the neighbouring ones at a time.
+WIDTH = 16
 
-    Over elementary segments, not a grid; an interval counts for at most ``max_len`` from its start.
+
+def _equal_neighbours(df: DataFrame, by: Sequence[str], start: str, end: str, label: str) -> DataFrame:
+    """Disjoint intervals of a group that touch and have one label become one."""
+    w = Window.partitionBy(*by).orderBy(start)
+    new = F.coalesce((F.lag(label).over(w) != F.col(label)) | (F.lag(end).over(w) < F.col(start)), F.lit(True)).cast("int")
+    runs = df.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w))
+    return runs.groupBy(*by, "_run", label).agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_run")
+
+
+def _sweep(df: DataFrame, by: Sequence[str], start: str, end: str, label: str, width: int) -> DataFrame:
+    """Classes (_class) of disjoint intervals; of ``width`` neighbouring classes the first one that is there at an instant wins.
+
+    One stream of boundaries, read by one window: beside each boundary stands the last interval that began in each of the classes, and as those of a
+    class are disjoint, it is the only one that can still last. So there is a row for each boundary, however many intervals lie over it.
+    """
+    group = [*by, "_class"]
+    payload = F.struct(F.col(end).alias("e"), F.col(label).alias("l"))
+    slot = F.pmod("_class", F.lit(width)).cast("int")
+    both = F.array(F.struct(F.col(start).alias("t"), slot.alias("k"), payload.alias("p")), F.struct(F.col(end).alias("t"), F.lit(-1).alias("k"), F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType).alias("p")))
+    events = df.select(*by, F.floor(F.col("_class") / width).cast("int").alias("_class"), F.explode(both).alias("x")).select(*group, "x.*")
+    order = Window.partitionBy(*group).orderBy("t")  # up to and with all boundaries of one instant
+    last = [F.last(F.when(F.col("k") == i, F.col("p")), ignorenulls=True).over(order).alias(f"_p{i}") for i in range(width)]
+    rows = events.select(*group, "t", F.lead("t").over(order).alias("_next"), *last).where(F.col("_next") > F.col("t"))
+    won = F.coalesce(*(F.when(F.col(f"_p{i}.e") > F.col("t"), F.col(f"_p{i}")) for i in range(width)))
+    found = rows.select(*group, F.col("t").alias(start), F.col("_next").alias(end), won.alias("_won")).where(F.col("_won").isNotNull())
+    return _equal_neighbours(found.select(*group, start, end, F.col("_won.l").alias(label)), group, start, end, label)
+
+
+def resolve_overlaps(df: DataFrame, *, by: Sequence[str], start: str, end: str, priority: str, label: str, max_len: str | None = None, levels: int = WIDTH) -> DataFrame:
+    """At each instant the label of least priority number wins, then of the earliest start, then the least label; output is disjoint, equal neighbours merged.
+
+    Not a grid, and no interval meets another. Within a priority the earlier start wins while it lasts, so what an interval wins there begins where all before it have ended: a
+    running maximum. Between priorities a sweep over the boundaries follows. A group is shuffled once; its work is that of sorting it, whatever its overlaps.
+    ``levels`` bounds the different priorities of a group (a greater number of them is an error, not a wrong result); an interval counts for at most ``max_len`` from its start.
+    Intervals of no length win nothing; a null priority comes first.
     """
     if max_len:
         df = df.withColumn(end, F.least(F.col(end), F.col(start) + F.expr(f"INTERVAL {max_len}")))
-    won = _covered(df, by, start, end).groupBy(*by, "seg_start", "seg_end").agg(F.min(F.struct(priority, F.col(start), label)).alias("w")).select(*by, "seg_start", "seg_end", F.col(f"w.{label}").alias(label))
-    w = Window.partitionBy(*by).orderBy("seg_start")
-    new = F.coalesce((F.lag(label).over(w) != F.col(label)) | (F.lag("seg_end").over(w) < F.col("seg_start")), F.lit(True)).cast("int")
-    runs = won.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w))
-    return runs.groupBy(*by, "_run", label).agg(F.min("seg_start").alias(start), F.max("seg_end").alias(end)).drop("_run")
+    rank = F.dense_rank().over(Window.partitionBy(*by).orderBy(priority)) - 1
+    rows = df.where(F.col(start) < F.col(end)).select(*by, start, end, F.col(label), rank.alias("_class"))
+    bounded = F.when(F.col("_class") < levels, F.col("_class")).otherwise(F.raise_error(F.lit(f"more than {levels} priorities in a group: raise levels")).cast("int"))
+    before = Window.partitionBy(*by, "_class").orderBy(start, label).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_class", bounded).withColumn("_cover", F.max(end).over(before))
+    rows = rows.withColumn(start, F.greatest(start, "_cover")).where(F.col(start) < F.col(end)).drop("_cover")
+    left = max(levels, 2)
+    while left > 1:
+        rows = _sweep(rows, by, start, end, label, min(left, WIDTH))
+        left = -(-left // WIDTH)
+    return rows.select(*by, label, start, end)
+
+
+def timeline(df: DataFrame, *, by: Sequence[str], start: str, end: str, id_column: str, seconds: int | None = None) -> DataFrame:
+    """Which intervals are active in each elementary segment, as a sorted list of ids: as much work as the lists are long.
+
+    With ``seconds``, intervals are first widened to whole steps of that length.
+    """
+    if seconds:
+        step = lambda c, round_: F.timestamp_seconds(round_(F.unix_micros(c) / (seconds * 1_000_000)) * seconds)
+        df = df.withColumns({start: step(F.col(start), F.floor), end: step(F.col(end), F.ceil)})
+    return _covered(df, by, start, end).groupBy(*by, "seg_start", "seg_end").agg(F.array_sort(F.collect_set(id_column)).alias("active"))
 
 
-def timeline(df: DataFrame, *, by: Sequence[str], start: str, end: str, id_column: str) -> DataFrame:
-    """Which intervals are active in each elementary segment, as a sorted list of ids."""
-    return _covered(df, by, start, end).groupBy(*by, "seg_start", "seg_end").agg(F.array_sort(F.collect_set(id_column)).alias("active"))
+def active_counts(df: DataFrame, *, by: Sequence[str], start: str, end: str) -> DataFrame:
+    """How many intervals are active in each elementary segment where any is: running sums over starts and ends, a row for each boundary."""
+    some = df.where(F.col(start) < F.col(end))
+    both = F.array(F.struct(F.col(start).alias("seg_start"), F.lit(1).alias("d")), F.struct(F.col(end).alias("seg_start"), F.lit(-1).alias("d")))
+    steps = some.select(*by, F.explode(both).alias("x")).select(*by, "x.*").groupBy(*by, "seg_start").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy(*by).orderBy("seg_start")
+    return steps.select(*by, "seg_start", F.lead("seg_start").over(w).alias("seg_end"), F.sum("d").over(w).alias("n_active")).where("n_active > 0")
 
 
 def components(df: DataFrame, *, by: Sequence[str], start: str, end: str, gap: str = "0 SECONDS") -> DataFrame:

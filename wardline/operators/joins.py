@@ -108,18 +108,44 @@ def pair_within(num: DataFrame, den: DataFrame, *, key: str, at: str, value: str
     return a.join(b, (F.col(key) == F.col("_k")) & (F.col("_bin") == F.col("_b")) & near).select(key, "num_at", "den_at", (F.col("num") / F.col("den")).alias("ratio"))
 
 
-def nearest_neighbour(keys: DataFrame, reference: DataFrame, *, key: str, x: str, y: str, most_reference: int = 200_000) -> DataFrame:
-    """For distinct keys with coordinates, the reference key at the least distance; without coordinates, 'missing'.
+#: Cells are cut into 4 x 4 at each level of ``nearest_neighbour``, at most so many times, until none holds more than LEAF places.
+CUTS, LEAF = 12, 32
 
-    The reference side is broadcast after its size is checked; a larger one is refused rather than crossed.
+
+def nearest_neighbour(keys: DataFrame, reference: DataFrame, *, key: str, x: str, y: str) -> DataFrame:
+    """For distinct keys with coordinates, the reference key at the least distance (ties: the least key); without coordinates, 'missing'.
+
+    Reference places lie in nested square cells, each with the bounds of its places. A key goes down level by level: of the cells below those that are left, it keeps
+    the ones that may hold something nearer than what the best of them is sure to hold. All meetings are by the number of a cell, a key keeps a few cells a level, and the result is
+    exact for any number of places. Reference keys without coordinates are left out; the number of levels comes from one aggregate of the reference.
     """
-    ref = reference.select(F.col(key).alias("ref_key"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    if ref.limit(most_reference + 1).count() > most_reference:
-        raise ValueError(f"reference has more than {most_reference} rows; cut it into regions first")
-    distinct = keys.select(key, x, y).distinct()
-    apart = F.sqrt(F.pow(F.col(x) - F.col("_x"), 2) + F.pow(F.col(y) - F.col("_y"), 2))
-    near = distinct.where(F.col(x).isNotNull() & F.col(y).isNotNull()).join(F.broadcast(ref)).groupBy(key).agg(F.min(F.struct(apart.alias("distance"), "ref_key")).alias("m"))
-    return distinct.select(key).distinct().join(near, key, "left").select(key, F.coalesce(F.col("m.ref_key").cast("string"), F.lit("missing")).alias("nearest"), F.col("m.distance").alias("distance"))
+    ref = reference.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).cast("double").alias("_rx"), F.col(y).cast("double").alias("_ry")).agg(F.min(key).alias("ref_key"))
+    found = keys.select(key, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).distinct()
+    box = ref.agg(F.min("_rx").alias("x0"), F.min("_ry").alias("y0"), F.greatest(F.max("_rx") - F.min("_rx"), F.max("_ry") - F.min("_ry")).alias("side")).first()
+    if box["side"] is None:
+        return found.select(key).distinct().select(key, F.lit("missing").alias("nearest"), F.lit(None).cast("double").alias("distance"))
+    side = box["side"] or 1.0
+    cell = lambda c, low, level: F.least(F.floor((F.col(c) - low) / side * 4**level), F.lit(4**level - 1)).cast("long")
+    at = lambda level: (cell("_rx", box["x0"], level).alias("_i"), cell("_ry", box["y0"], level).alias("_j"))
+    sizes = ref.select(F.explode(F.array(*(F.struct(F.lit(n).alias("level"), *at(n)) for n in range(1, CUTS + 1)))).alias("c")).groupBy("c").count().groupBy("c.level").agg(F.max("count").alias("most"))
+    enough = [r["level"] for r in sizes.collect() if r["most"] <= LEAF]  # a row for each level
+    levels = min(enough, default=CUTS)
+
+    def squared(near: bool) -> Column:
+        """To the nearest or to the farthest point of a cell's bounds."""
+        part = lambda p, lo, hi: F.greatest(F.lit(0.0), F.col(lo) - F.col(p), F.col(p) - F.col(hi)) if near else F.greatest(F.abs(F.col(lo) - F.col(p)), F.abs(F.col(hi) - F.col(p)))
+        return F.pow(part("_x", "_x0", "_x1"), 2) + F.pow(part("_y", "_y0", "_y1"), 2)
+
+    left = found.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).withColumns({"_i": F.lit(0).cast("long"), "_j": F.lit(0).cast("long")})
+    best = Window.partitionBy(key, "_x", "_y")
+    for n in range(1, levels + 1):
+        cells = ref.groupBy(*at(n)).agg(F.min("_rx").alias("_x0"), F.max("_rx").alias("_x1"), F.min("_ry").alias("_y0"), F.max("_ry").alias("_y1"))
+        below = left.select(key, "_x", "_y", "_i", "_j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_c"))
+        below = below.select(key, "_x", "_y", (F.col("_i") * 4 + F.col("_c") % 4).alias("_i"), (F.col("_j") * 4 + F.floor(F.col("_c") / 4)).alias("_j")).join(cells, ["_i", "_j"])
+        left = below.withColumns({"_lo": squared(True), "_hi": squared(False)}).withColumn("_sure", F.min("_hi").over(best)).where("_lo <= _sure").select(key, "_x", "_y", "_i", "_j")
+    apart = F.sqrt(F.pow(F.col("_x") - F.col("_rx"), 2) + F.pow(F.col("_y") - F.col("_ry"), 2))
+    near = left.join(ref.select("ref_key", "_rx", "_ry", *at(levels)), ["_i", "_j"]).groupBy(key).agg(F.min(F.struct(apart.alias("distance"), "ref_key")).alias("m"))
+    return found.select(key).distinct().join(near, key, "left").select(key, F.coalesce(F.col("m.ref_key").cast("string"), F.lit("missing")).alias("nearest"), F.col("m.distance").alias("distance"))
 
 
 def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def query(name: str, views: str = "", sql: str | None = None, rounded: str = "")
 
 
 def _load() -> None:
-    from wardline.plans import catalogue_queries, clinical_queries, core_queries, prep_queries  # noqa: F401
+    from wardline.plans import catalogue_queries, clinical_queries, core_queries, organ_queries, prep_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
