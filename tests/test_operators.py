@@ -128,8 +128,6 @@ def test_assembly_refuses_repeated_keys(spark):
 def test_nearest_neighbour_refuses_a_large_reference(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 1.0)], "k int, x double, y double")
     assert rows(joins.nearest_neighbour(df, df.where("k = 1"), key="k", x="x", y="y")) == [(1, "1", 0.0), (2, "missing", None)]
-    with pytest.raises(ValueError, match="more than"):
-        joins.nearest_neighbour(df, df, key="k", x="x", y="y", most_reference=1)
 
 
 def test_auroc_with_ties(spark):
@@ -140,7 +138,9 @@ def test_auroc_with_ties(spark):
     assert m["auroc"] == pytest.approx(sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg))
 
 
-def test_running_sums_are_plain_sums(spark):
+@pytest.mark.parametrize("small", [0, 1000])
+def test_running_sums_are_plain_sums(spark, small, monkeypatch):
+    monkeypatch.setattr(stats, "SMALL", small)
     r = random.Random(1)
     data = [(g, float(x), r.randrange(9)) for g in (1, 2) for x in r.sample(range(1000), 50)]
     got = stats.running_sums(spark.createDataFrame(data, "g int, x double, n int"), ["g"], "x", ["n"], falling=True).collect()
@@ -152,10 +152,59 @@ def test_tails():
     assert stats.fisher_exact(3, 1, 1, 3) == pytest.approx(0.485714, abs=1e-5)
 
 
+def test_variance_ratio_tail():
+    assert stats.variance_ratio_tail(2.866081, 4, 20) == pytest.approx(0.05, abs=1e-6)
+    assert stats.variance_ratio_tail(4.964603, 1, 10) == pytest.approx(0.05, abs=1e-6)
+    assert stats.variance_ratio_tail(0.0, 3, 5) == 1.0 and stats.variance_ratio_tail(1e9, 3, 50) < 1e-30
+    assert stats.beta_part(2.5, 1.5, 0.3) + stats.beta_part(1.5, 2.5, 0.7) == pytest.approx(1, abs=1e-12)
+
+
+def test_resamples_are_weighted_metrics(spark):
+    """Each replicate is the metric of its draws, whatever the partitions; draws depend on score, label and seed alone."""
+    r = random.Random(11)
+    data = [(int(r.random() < 0.4), round(r.random(), 1)) for _ in range(150)] + [(1, None), (None, 0.5)]
+    df = spark.createDataFrame(data, "y int, s double").withColumns({"part": F.lit(1), "replicate": F.lit("x"), "p": F.lit(0)})
+    got = [sorted(map(tuple, stats.resampled_metrics(df.repartition(k), y="y", score="s", replicates=6).collect())) for k in (1, 5)]
+    assert len(got[0]) == 6 and all(a == pytest.approx(b) for a, b in zip(got[0], got[1], strict=True))
+    known = [(y, s) for y, s in data if y is not None and s is not None]
+    for row in got[0]:
+        cells = {(s, y): stats.draws(s, y, sum(k == (y, s) for k in known), 6, 5)[row[0]] for y, s in set(known)}
+        pos, neg = ({s: w for (s, y), w in cells.items() if y == label} for label in (1, 0))
+        area = sum(a * b * ((s > t) + 0.5 * (s == t)) for s, a in pos.items() for t, b in neg.items())
+        assert row[1] == pytest.approx(area / sum(pos.values()) / sum(neg.values()))
+    alone = spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double")
+    assert stats.resampled_metrics(alone, y="y", score="s", replicates=4).collect() == []
+
+
+def test_bootstrap_widens_like_the_theory(spark):
+    """The interval's width at n rows against the normal one, and no exchange carries rows times replicates."""
+    r = random.Random(2)
+    data = [(int(r.random() < 0.5),) for _ in range(2000)]
+    df = spark.createDataFrame([(y, r.gauss(y, 1.0)) for (y,) in data], "y int, s double")
+    ci = {x["metric"]: x for x in stats.bootstrap_ci(df, y="y", score="s", replicates=200).collect()}["auroc"]
+    auc = 0.76025  # of two normal scores one deviation apart
+    n1 = sum(y for (y,) in data)
+    q1, q2 = auc / (2 - auc), 2 * auc * auc / (1 + auc)
+    se = ((auc * (1 - auc) + (n1 - 1) * (q1 - auc**2) + (len(data) - n1 - 1) * (q2 - auc**2)) / n1 / (len(data) - n1)) ** 0.5
+    assert ci["low"] < auc < ci["high"] and ci["high"] - ci["low"] == pytest.approx(3.92 * se, rel=0.3) and ci["n"] == 200
+
+
+def test_comparison_table(spark):
+    rows = [("a", float(i), i % 2, "xyz"[i % 3]) for i in range(30)] + [("b", 40.0 + i, 1, "x") for i in range(30)] + [(None, 1.0, 1, "x"), ("b", None, None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, w int, l string")
+    got = {(r.variable, r.level, r.group): r for r in stats.comparison_table(df, "g", ranked=["v"], normal=["w"], levels=["l"], top=1).collect()}
+    assert got["size", "", "b"].n == 31 and got["size", "", "b"].display == "50.8%"
+    assert got["v", "", "a"].display == "14.50 [7.25-21.75]" and got["v", "", "a"].p < 1e-9 and got["v", "", "a"].test == "kruskal"
+    assert got["w", "", "a"].display == "0.50 (0.51)" and got["w", "", "b"].test == "anova" and got["w", "", "b"].p < 1e-4
+    assert got["l", "other", "a"].display == "20 (66.7%)" and got["l", "x", "b"].n == 30 and ("l", "y", "a") not in got and got["l", "x", "a"].test == "pearson"
+    with pytest.raises(ValueError, match="more than 1 groups"):
+        stats.pairwise_ranks(df, "v", "g", most_groups=1)
+
+
 def test_bootstrap_covers(spark):
     r = random.Random(5)
     data = [(i, int(r.random() < 0.5), r.random()) for i in range(300)]
-    ci = {x["metric"]: x for x in stats.bootstrap_ci(spark.createDataFrame(data, "id int, y int, s double"), key="id", y="y", score="s", replicates=20).collect()}
+    ci = {x["metric"]: x for x in stats.bootstrap_ci(spark.createDataFrame(data, "id int, y int, s double"), y="y", score="s", replicates=20).collect()}
     assert ci["auroc"]["low"] <= ci["auroc"]["high"] and 0.35 < ci["auroc"]["low"] and ci["auroc"]["high"] < 0.65
 
 
@@ -267,3 +316,21 @@ def test_binned_pairs_and_overlaps_are_all_pairs(spark):
     for seconds in (0, 5 * 3600):
         n = joins.pair_within(a, den, key="k", at="s", value="v", seconds=seconds).count()
         assert n == sum(x[1] == y[1] and y[4] != 0 and abs((x[2] - y[2]).total_seconds()) <= seconds for x in rows[:30] for y in rows[30:])
+
+
+def test_forest_scores_do_not_leak(spark):
+    """Every row has one score; labels of a fold, turned round, do not change that fold's scores; a useful feature is found."""
+    from wardline.operators import forest
+
+    r = random.Random(9)
+    data = [(i, float(r.random() < 0.3), r.random(), r.random()) for i in range(300)]
+    data = [(i, y, a + y, None if i % 50 == 0 else b) for i, y, a, b in data] + [(300, None, 0.5, 0.5)]
+    df = spark.createDataFrame(data, "id int, y double, a double, b double").repartition(3)
+    run = lambda d: {x["id"]: (x["fold"], x["score"]) for x in forest.out_of_fold_scores(d, key="id", y="y", features=["a", "b"], select=1, folds=2, depths=[2, 3], trees=[5]).collect()}
+    one = run(df)
+    assert len(one) == 301 and all(0 <= s <= 1 for _, s in one.values())
+    auc = stats.binary_metrics(spark.createDataFrame([(int(y), one[i][1]) for i, y, _, _ in data if y is not None], "y int, s double"), y="y", score="s").first()["auroc"]
+    assert auc > 0.9
+    held = [i for i, (f, _) in one.items() if f == 0]
+    two = run(df.withColumn("y", F.when(F.col("id").isin(held), 1 - F.col("y")).otherwise(F.col("y"))))
+    assert all(two[i] == one[i] for i in held) and any(two[i] != one[i] for i in one if i not in held)

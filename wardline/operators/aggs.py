@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.stats import quantiles
+from wardline.operators.saved import saved
+from wardline.operators.stats import counted, deviations, quantiles_of
 
 
 def numeric_bundle(df: DataFrame, by: Sequence[str], value: str, scaled_mad: bool = False) -> DataFrame:
     """sum, min, max, count, mean, median, std (n - 1) and median absolute deviation; medians by counts of distinct values."""
-    x = F.col(value)
-    mid = quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "median")
-    near = df.join(mid, list(by)) if by else df.crossJoin(F.broadcast(mid))
-    mad = quantiles(near.withColumn("_gap", F.abs(x - F.col("median"))), by, "_gap", [0.5]).select(*by, (F.col("q0") * (1.4826 if scaled_mad else 1.0)).alias("mad"))
+    x, g = F.col(value), counted(df, by, value)
+    mid = quantiles_of(g, by, [0.5]).withColumnRenamed("q0", "median")
+    mad = quantiles_of(deviations(g, by, mid, "median"), by, [0.5]).select(*by, (F.col("q0") * (1.4826 if scaled_mad else 1.0)).alias("mad"))
     out = df.groupBy(*by).agg(F.sum(x).alias("sum"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
     for part in (mid, mad):
         out = out.join(part, list(by), "left") if by else out.join(F.broadcast(part), how="left")
@@ -97,9 +98,17 @@ def profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     """Per column (and group): count, missing, distinct, mode, min, max, mean, median, std of its numbers or text lengths."""
     tall = df.select(*by, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), F.expr(f"try_cast(cast(`{c}` as string) as double)").alias("num")) for c in columns))).alias("_x")).select(*by, "_x.*")
     x = F.coalesce("num", F.length("text").cast("double"))
-    stats = tall.groupBy(*by, "column").agg(F.count("text").alias("n"), F.count_if(F.col("text").isNull()).alias("missing"), F.count_distinct("text").alias("levels"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
-    median = quantiles(tall.withColumn("_num", x), [*by, "column"], "_num", [0.5]).withColumnRenamed("q0", "median")
-    freq = tall.where("text is not null").groupBy(*by, "column", "text").count()
+    key = [*by, "column"]
+    freq = saved(tall.groupBy(*key, "text", x.alias("x")).count())  # all else comes from the counts of distinct values
+    known, n = F.col("text").isNotNull(), F.sum(F.when(F.col("x").isNotNull(), F.col("count")))
+    stats = freq.groupBy(*key).agg(F.coalesce(F.sum(F.when(known, F.col("count"))), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(~known, F.col("count"))), F.lit(0)).alias("missing"), F.count("text").alias("levels"), F.min("x").alias("min"), F.max("x").alias("max"), (F.sum(F.col("x") * F.col("count")) / n).alias("mean"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))
+    apart = freq.join(stats.select(*(F.col(c).alias(f"_{c}") for c in key), F.col("mean").alias("_mean")), same)
+    std = apart.groupBy(*key).agg(F.when(n > 1, F.sqrt(F.sum(F.pow(F.col("x") - F.col("_mean"), 2) * F.col("count")) / (n - 1))).alias("std"))
+    stats = stats.join(std.select(*(F.col(c).alias(f"_{c}") for c in key), "std"), same, "left").drop(*(f"_{c}" for c in key))
+    some = " and ".join(f"`{c}` is not null" for c in [*key, "x"])
+    median = quantiles_of(saved(freq.where(some).groupBy(*key, F.col("x").alias("_v")).agg(F.sum("count").alias("_c"))), key, [0.5]).withColumnRenamed("q0", "median")
+    freq = freq.where(known)
     mode = freq.groupBy(*by, "column").agg(F.min(F.struct((-F.col("count")).alias("c"), "text")).getField("text").alias("mode"))
     out = stats.join(median, [*by, "column"], "left").join(mode, [*by, "column"], "left")
     return out.select(*by, "column", "n", "missing", "levels", "min", "max", "mean", "median", "std", "mode")

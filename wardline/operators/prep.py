@@ -11,7 +11,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.stats import quantiles
+from wardline.operators.stats import counted, deviations, quantiles, quantiles_of
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -84,11 +84,10 @@ def fit_standardizer(train: DataFrame, *, numeric: Sequence[str] = (), categoric
             aggs.append(F.struct(F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) < F.max(x)).alias("varies")).alias(c))
         row = train.agg(*aggs).first()
         tall = train.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in numeric))).alias("_r")).select("_r.*")
-        q = {r["column"]: tuple(r[f"q{i}"] for i in range(5)) for r in quantiles(tall, ["column"], "x", [0.01, 0.15, 0.5, 0.85, 0.99]).collect()}  # a row a column
-        gap = F.lit(None).cast("double")
-        for c, (_, _, median, _, _) in q.items():
-            gap = F.when(F.col("column") == c, F.abs(F.col("x") - median)).otherwise(gap)
-        mads = {r["column"]: r["q0"] for r in quantiles(tall.withColumn("gap", gap), ["column"], "gap", [0.5]).collect()}
+        counts = counted(tall, ["column"], "x")
+        spread = quantiles_of(counts, ["column"], [0.01, 0.15, 0.5, 0.85, 0.99])
+        q = {r["column"]: tuple(r[f"q{i}"] for i in range(5)) for r in spread.collect()}  # a row a column
+        mads = {r["column"]: r["q0"] for r in quantiles_of(deviations(counts, ["column"], spread, "q2"), ["column"], [0.5]).collect()}
         for c in numeric:
             r, (low, inner_low, median, inner_high, high) = row[c], q.get(c, (None,) * 5)
             lost = 1 - r["n"] / r["rows"] if r["rows"] else 1.0
@@ -188,9 +187,10 @@ def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def robust_outliers(df: DataFrame, by: Sequence[str], value: str, limit: float = 3.5) -> DataFrame:
     """Flag values whose modified z score (by median and absolute deviation) is over the limit."""
-    mid = quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "_m")
+    counts = counted(df, by, value)
+    mid = quantiles_of(counts, by, [0.5]).withColumnRenamed("q0", "_m")
     near = df.join(mid, list(by))
-    mad = quantiles(near.withColumn("_gap", F.abs(F.col(value) - F.col("_m"))), by, "_gap", [0.5]).withColumnRenamed("q0", "_mad")
+    mad = quantiles_of(deviations(counts, by, mid, "_m"), by, [0.5]).withColumnRenamed("q0", "_mad")
     z = 0.6745 * (F.col(value) - F.col("_m")) / F.col("_mad")
     return near.join(mad, list(by)).withColumn("modified_z", F.when(F.col("_mad") > 0, z)).withColumn("outlier", F.coalesce((F.abs("modified_z") > limit).cast("int"), F.lit(0))).drop("_m", "_mad")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import hooks
-from wardline.operators import prep, quality, stats, typing_ops
+from wardline.operators import forest, prep, quality, stats, typing_ops
 from wardline.plans.cdm import Tables
 from wardline.plans.registry import query
 from wardline.sources import io
@@ -87,7 +87,7 @@ k as (select count(*) filter (score >= threshold and y = 1) tp, count(*) filter
 SELECT auroc, auprc, threshold, tp / (tp + fn) sensitivity, tn / (tn + fp) specificity, tp / (tp + fp) ppv, tn / (tn + fn) npv, (tp + tn) / (tp + tn + fp + fn) accuracy, 2 * tp / (2 * tp + fp + fn) f1 from m, k""", "auroc auprc threshold sensitivity specificity ppv npv accuracy f1")(
     lambda t: stats.binary_metrics(_scored(t), y="y", score="score")
 )
-query("k2_bootstrap_ci")(lambda t: stats.bootstrap_ci(_scored(t), key="doc_id", y="y", score="score", replicates=30))
+query("k2_bootstrap_ci")(lambda t: stats.bootstrap_ci(_scored(t), y="y", score="score", replicates=30))
 query("k3_calibration", "", _SCORED + " SELECT avg((score - y) * (score - y)) brier, count(*) n from x", "brier")(lambda t: _scored(t).agg(stats.brier(c("y"), c("score")).alias("brier"), F.count("*").alias("n")))
 query("k4_chi_square", "", """o as (select o_orderstatus a, o_orderpriority b, count(*) k from orders group by all), r as (select a, sum(k) r from o group by 1), q as (select b, sum(k) c from o group by 1), t as (select sum(k) t from o)
 SELECT sum((coalesce(k, 0) - r * c / t) ** 2 / (r * c / t)) statistic, (count(distinct r.a) - 1) * (count(distinct q.b) - 1) dof from r cross join q cross join t left join o on o.a = r.a and o.b = q.b""", "statistic")(lambda t: stats.chi_square(t.orders, "o_orderstatus", "o_orderpriority"))
@@ -96,6 +96,36 @@ z as (select sum(cast(t as double) ** 3 - t) ties from v), h as (select cast(sum
 SELECT (12 / (nn * (nn + 1)) * q - 3 * (nn + 1)) / (1 - ties / (nn ** 3 - nn)) h, k - 1 dof from h, z""", "h")(lambda t: stats.kruskal_wallis(t.events, "value", "event_type"))
 query("k7_anova", "", """g as (select event_type, count(*) n, avg(value) m, var_pop(value) v from events group by 1), s as (select sum(n) nn, count(*) k, sum(n * m) t, sum(n * m * m) q, sum(n * v) w from g)
 SELECT ((q - t * t / nn) / (k - 1)) / (w / (nn - k)) f, cast(k - 1 as bigint) dof_between, cast(nn - k as bigint) dof_within from s""", "f")(lambda t: stats.anova_oneway(t.events, "value", "event_type"))
+_RANKS = """v as (select value, count(*) t from events group by 1), r as (select value, t, sum(t) over (order by value) - t + (t + 1) / 2.0 as rank from v), e as (select event_type, count(*) n, sum(rank) s from events join r using (value) group by 1),
+z as (select sum(cast(t as double) ** 3 - t) ties from v), h as (select cast(sum(n) as double) nn, sum(s * s / n) q, count(*) k from e),
+kw as (select (12 / (nn * (nn + 1)) * q - 3 * (nn + 1)) / (1 - ties / (nn ** 3 - nn)) h, k - 1 dof from h, z)"""
+# five kinds of events: the tails have a closed form at four degrees of freedom
+query("k6_kruskal_p", "", _RANKS + " SELECT h, dof, case when dof = 4 then exp(-h / 2) * (1 + h / 2) end p from kw", "h p")(lambda t: stats.kruskal_wallis_p(t.events, "value", "event_type"))
+query("k7_anova_p", "", """g as (select event_type, count(*) n, avg(value) m, var_pop(value) v from events group by 1), s as (select sum(n) nn, count(*) k, sum(n * m) t, sum(n * m * m) q, sum(n * v) w from g),
+a as (select ((q - t * t / nn) / (k - 1)) / (w / (nn - k)) f, cast(k - 1 as bigint) dof_between, cast(nn - k as bigint) dof_within from s), y as (select *, dof_within / (dof_within + dof_between * f) y from a)
+SELECT f, dof_between, dof_within, case when dof_between = 4 then exp(dof_within / 2.0 * ln(y)) * (1 + dof_within / 2.0 * (1 - y)) end p from y""", "f p")(lambda t: stats.anova_p(t.events, "value", "event_type"))
+# at one degree of freedom the tail is the complementary error function; its series has positive terms only
+query("k6_pairwise_ranks", "", """g as (select distinct event_type e from events), p as (select a.e a, b.e b from g a join g b on a.e < b.e), v as (select a, b, value, count(*) t from events join p on event_type in (a, b) group by all),
+r as (select *, sum(t) over (partition by a, b order by value) - t + (t + 1) / 2.0 as rank from v), x as (select p.a, p.b, event_type, count(*) n, sum(rank) s from events join p on event_type in (p.a, p.b) join r on r.a = p.a and r.b = p.b and r.value = events.value group by all),
+z as (select a, b, sum(cast(t as double) ** 3 - t) ties from v group by all), q as (select a, b, cast(sum(n) as double) nn, sum(s * s / n) q from x group by all), h as (select a, b, (12 / (nn * (nn + 1)) * q - 3 * (nn + 1)) / (1 - ties / (nn ** 3 - nn)) h from q join z using (a, b)),
+e as (select a, b, h, sum(exp(-h / 2 + k * ln(2) + (2 * k + 1) * ln(sqrt(h / 2)) - (lgamma(2 * k + 2) - k * ln(2) - lgamma(k + 1)))) z from h, (select unnest(range(0, 200)) k) group by all),
+m as (select event_type, count(value) n, median(value) m, quantile_cont(value, 0.25) lo, quantile_cont(value, 0.75) hi from events group by 1)
+SELECT a, b, h, x.n n_a, x.m median_a, x.lo low_a, x.hi high_a, y.n n_b, y.m median_b, y.lo low_b, y.hi high_b, 1 - 2 / sqrt(pi()) * z p
+from e join m x on x.event_type = a join m y on y.event_type = b""", "h median_a low_a high_a median_b low_b high_b p")(lambda t: stats.pairwise_ranks(t.events, "value", "event_type"))
+query("k5_pairwise_fisher", "", """g as (select c_mktsegment s, count(*) filter (c_acctbal < 0) yes, count(*) filter (c_acctbal >= 0) n from customer group by 1), c as (select a.s a, b.s b, a.yes yes_a, a.n no_a, b.yes yes_b, b.n no_b from g a join g b on a.s < b.s),
+l as (select *, unnest(range(greatest(0, yes_a + yes_b - yes_b - no_b), least(yes_a + no_a, yes_a + yes_b) + 1)) x from c),
+w as (select *, lgamma(yes_a + no_a + 1) - lgamma(x + 1) - lgamma(yes_a + no_a - x + 1) + lgamma(yes_b + no_b + 1) - lgamma(yes_a + yes_b - x + 1) - lgamma(yes_b + no_b - (yes_a + yes_b - x) + 1) - lgamma(yes_a + no_a + yes_b + no_b + 1) + lgamma(yes_a + yes_b + 1) + lgamma(no_a + no_b + 1) lp from l),
+o as (select a, b, lp here from w where x = yes_a)
+SELECT a, b, yes_a, no_a, yes_b, no_b, least(1.0, sum(exp(lp)) filter (lp <= here + 1e-7)) p from w join o using (a, b) group by all""", "p")(
+    lambda t: stats.pairwise_fisher(t.customer.withColumn("debt", (c("c_acctbal") < 0).cast("int")), "debt", "c_mktsegment")
+)
+query("k8_comparison_table", "", """o as (select o_orderstatus g, o_custkey v, o_orderpriority l, o_orderkey % 97 w from orders), s as (select g, count(*) n, sum(count(*)) over () t from o group by 1)
+SELECT 'size' as variable, '' as level, g as "group", n, printf('%.1f%%', 100.0 * n / t) display from s
+union all select 'o_custkey', '', g, count(v), printf('%.2f [%.2f-%.2f]', median(v), quantile_cont(v, 0.25), quantile_cont(v, 0.75)) from o group by g
+union all select 'work', '', g, count(w), printf('%.2f (%.2f)', avg(w), stddev_samp(w)) from o group by g
+union all select 'o_orderpriority', l, g, count(*), printf('%d (%.1f%%)', count(*), 100.0 * count(*) / any_value(n)) from (select case when l in (select l from o group by l order by count(*) desc, l limit 3) then l else 'other' end l, o.g, s.n from o join s using (g)) group by l, g""")(
+    lambda t: stats.comparison_table(t.orders.withColumn("work", c("o_orderkey") % 97), "o_orderstatus", ranked=["o_custkey"], normal=["work"], levels=["o_orderpriority"], top=3).drop("p", "test")
+)
 query("k8_summarize_groups", "", """s as (select o_orderstatus, count(*) z from orders group by 1)
 SELECT 'o_totalprice' as variable, '' as level, o_orderstatus, count(o_totalprice) n, cast(null as double) as share, median(o_totalprice) median, quantile_cont(o_totalprice, 0.25) q1, quantile_cont(o_totalprice, 0.75) q3 from orders group by o_orderstatus
 union all select 'o_orderpriority', o_orderpriority, o_orderstatus, count(*), count(*) / any_value(z), null, null, null from orders join s using (o_orderstatus) group by o_orderpriority, o_orderstatus""", "share median q1 q3")(
@@ -107,17 +137,8 @@ query("k9_k_fold")(lambda t: stats.k_fold(t.labels, "doc_id", 5).groupBy("fold")
 
 
 def _forest(t: Tables) -> DataFrame:
-    """Univariate selection and a class-balanced forest, over folds of parameters; out-of-fold scores of one model."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    rows = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select("o_orderkey", c("o_totalprice").alias("a"), c("c_acctbal").alias("b"), F.dayofyear("o_orderdate").cast("double").alias("d"), (c("o_orderstatus") == "F").cast("double").alias("y"))
-    weights = stats.class_weights(rows, "y")
-    data = VectorAssembler(inputCols=["a", "b", "d"], outputCol="all").transform(rows.join(F.broadcast(weights), "y"))
-    chosen = UnivariateFeatureSelector(featuresCol="all", outputCol="features", labelCol="y", selectionMode="numTopFeatures").setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(2).fit(data).transform(data)
-    model = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=10, maxDepth=4, seed=1).fit(chosen.where("o_orderkey % 5 <> 0"))
-    return model.transform(chosen.where("o_orderkey % 5 = 0")).select("o_orderkey", vector_to_array("probability")[1].alias("score"))
+    rows = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select("o_orderkey", c("o_totalprice").cast("double").alias("price"), c("c_acctbal").cast("double").alias("balance"), F.dayofyear("o_orderdate").cast("double").alias("day"), (c("o_orderstatus") == "F").cast("double").alias("y"))
+    return forest.out_of_fold_scores(rows, key="o_orderkey", y="y", features=["price", "balance", "day"], select=2, folds=2, depths=[3, 5], trees=[10]).select("o_orderkey", "fold", "score")
 
 
 query("k10_random_forest")(_forest)
