@@ -609,3 +609,57 @@ def test_search_is_exact_on_small_multisets():
         assert found.optimal and found.sequences == fewest(pieces), pieces
         assert all(sum(p) <= 100 for p, _ in found.plan)
         assert {x: sum(t * p.count(x) for p, t in found.plan) for x in counts} == counts
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, '<a b="' * 170_000, "<a b=\"<c d='" * 90_000, "<!" * 500_000, "<?x" * 300_000, "<a" * 500_000, "<a '>" * 200_001, "<a" * 300_000 + '"' + "<a" * 100_000 + ">",
+     "<table>" + "<tr><td rowspan=65534 colspan=1000>x" * 10_000, "<table>" + "".join(f"<tr><td rowspan={2 + i % 7} colspan=3>x" for i in range(10_000)), "<div>" * 200_000 + "x"],
+    ids=["open", "quote", "quotes", "declaration", "instruction", "names", "odd", "late", "spans", "mixed spans", "deep"],
+)
+def test_malformed_pages_take_linear_time(page):
+    """A megabyte each; quadratic ways take hours. The bounds are wide, as machines differ."""
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    text = html_text.visible_text(page)
+    assert time.process_time() - start < 20
+    assert text.count("x") == page.count("x") if page.startswith(("<table", "<div", "<?x")) else True
+    tracemalloc.start()
+    html_text.visible_text(page[: len(page) // 4])
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
+def test_tags_that_never_end_are_text():
+    assert html_text.visible_text("1 < 2 <b>x</b> <a href='y") == "1 < 2 x <a href='y"
+    assert html_text.visible_text('<p title="a>b">c<i x="') == 'c<i x="'
+    assert html_text.visible_text("a <!-- b > c") == "a" and html_text.visible_text("<!x>a<?y>b<!") == "ab<!"
+
+
+def test_spans_push_cells_aside():
+    rows = "<tr><td rowspan=2>a<td colspan=2>b<tr><td>c<td>d<tr><td>e<td rowspan=0>f<td>g<tr><td>h<td>i"
+    assert html_text.grid([[("a", 1, 2), ("b", 2, 1)], [("c", 1, 1), ("d", 1, 1)], [("e", 1, 1), ("f", 1, 9), ("g", 1, 1)], [("h", 1, 1), ("i", 1, 1)]]) == [{0: "a", 1: "b"}, {1: "c", 2: "d"}, {0: "e", 1: "f", 2: "g"}, {0: "h", 2: "i"}]
+    assert html_text.visible_text(f"<table>{rows}</table>").split("\n") == ["a | b |", "  | c | d", "e | f | g", "h |   | i"]
+    assert html_text.visible_text("<table><tr><td colspan=3>wide<td>x</table>") == "wide | x"
+
+
+def test_spans_are_those_of_a_plain_grid():
+    """Against a table of single places."""
+    draw = random.Random(6)
+    for _ in range(400):
+        rows = [[(f"{r}.{k}", draw.randrange(1, 4), draw.randrange(1, 5)) for k in range(draw.randrange(4))] for r in range(draw.randrange(1, 7))]
+        taken, want = {}, []
+        for r, row in enumerate(rows):
+            i, line = 0, {}
+            for text, columns, down in row:
+                while (r, i) in taken:
+                    i += 1
+                line[i] = text
+                free = [i + k for k in range(columns) if (r, i + k) not in taken]
+                for c in free:
+                    taken |= {(r + d, c): 1 for d in range(down)}
+                i += columns
+            want.append(line)
+        assert html_text.grid(rows) == want, rows

@@ -17,16 +17,20 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import slices, text_or_empty
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -148,28 +152,92 @@ class Open:
         return None
 
 
+class Tokens:
+    """The tags of a page, in time that grows with its length, well formed or not.
+
+    A ``<`` whose tag never ends is text. Only a failed tag needs to look further than its end, so at the first one a table is made:
+    for each ``>`` and quote, where a tag that comes to it outside quotes ends.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.marks = page, page.rfind(">"), None
+
+    def table(self) -> None:
+        codes = np.frombuffer(self.page.encode("utf-32-le", "surrogatepass"), "<u4")
+        self.marks = np.flatnonzero((codes == 62) | (codes == 34) | (codes == 39))
+        self.stops = np.flatnonzero((codes == 62) | (codes == 47) | np.isin(codes, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+        self.ends = array("q", bytes(8 * (len(self.marks) + 1)))
+        self.ends[len(self.marks)] = -1
+        following = {34: len(self.marks), 39: len(self.marks)}
+        kinds = codes[self.marks].tolist()
+        for k in range(len(kinds) - 1, -1, -1):
+            kind = kinds[k]
+            if kind == 62:
+                self.ends[k] = int(self.marks[k])
+            else:
+                self.ends[k] = self.ends[min(following[kind] + 1, len(kinds))]
+                following[kind] = k
+
+    def tag(self, at: int) -> tuple[int, bool, str, str] | None:
+        """(end, whether it closes, name, attributes) of the tag at a place."""
+        page = self.page
+        if self.marks is None:
+            m = NAME.match(page, at)
+            if m is None:
+                return None
+            rest = REST.match(page, m.end())
+            if rest is not None:
+                return rest.end(), bool(m[1]), m[2].lower(), rest[1]
+            self.table()
+        closes = page.startswith("/", at + 1)
+        first = at + 1 + closes
+        if not (page[first : first + 1].isascii() and page[first : first + 1].isalpha()):
+            return None
+        k = int(np.searchsorted(self.stops, first))
+        if k == len(self.stops):
+            return None
+        stop = int(self.stops[k])
+        end = self.ends[int(np.searchsorted(self.marks, stop))]
+        return None if end < 0 else (end + 1, closes, page[first:stop].lower(), page[stop:end])
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, whether it closes, name, attributes) of the next token from a place on; comments and declarations have no name."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            if page.startswith("<!--", i):
+                return i, COMMENT.match(page, i).end(), False, None, ""
+            if i < self.last:
+                if page.startswith(("!", "?"), i + 1):
+                    return i, page.find(">", i) + 1, False, None, ""
+                found = self.tag(i)
+                if found is not None:
+                    return i, *found
+            at = i + 1
+        return None
+
+
 def build(page: str) -> Node:
     """The tree of a page; text children are strings."""
     root = Node("#root")
-    opened, at, n = Open(root), 0, len(page)
+    opened, at, n, tokens = Open(root), 0, len(page), Tokens(page)
     while at < n:
-        m = TOKEN.search(page, at)
+        m = tokens.next(at)
         if m is None:
             opened.text(page[at:])
             break
-        if m.start() > at:
-            opened.text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        start, end, closes, tag, attributes = m
+        if start > at:
+            opened.text(page[at:start])
+        at = end
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if closes:
             opened.close(tag)
             continue
         opened.imply(tag)
-        node = Node(tag, m[3] or "")
+        node = Node(tag, attributes)
         opened.nodes[-1].children.append(node)
-        if tag in VOID or (m[3] or "").endswith("/"):
+        if tag in VOID or attributes.endswith("/"):
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -266,36 +334,66 @@ def _wrapped(cell: str) -> list[str]:
     return out
 
 
-def grid(rows: list[list[tuple[str, int, int]]]) -> list[list[str]]:
-    """Cells (text, columns, rows) in their places; cells that reach down push later ones aside."""
-    out, taken = [], {}  # column -> rows that a cell above still takes there
-    for row in rows:
-        line, i = [], 0
+def grid(rows: list[list[tuple[str, int, int]]]) -> list[dict[int, str]]:
+    """Cells (text, columns, rows) by the columns where they begin; cells that reach down push later ones aside.
+
+    Taken columns are kept as ranges, so a span costs no more than a cell.
+    """
+    out, taken = [], []  # ranges (first, after the last, row from which it is free), in order and apart
+    for number, row in enumerate(rows):
+        taken = [t for t in taken if t[2] > number]
+        line, i, k = {}, 0, 0  # k: ranges before it end at or before column i
         for text, columns, down in row:
-            while taken.get(i, 0) > 0:
-                line.append("")
-                i += 1
-            for k in range(columns):
-                line.append(text if k == 0 else "")
-                taken[i] = max(taken.get(i, 0), down) if k == 0 or not taken.get(i, 0) else taken[i]
-                i += 1
+            while k < len(taken) and taken[k][0] <= i:
+                i = max(i, taken[k][1])
+                k += 1
+            line[i] = text
+            after, until, new = i + columns, min(number + down, len(rows)), []
+            j, at = k, i
+            while j < len(taken) and taken[j][0] < after:
+                if at < taken[j][0]:
+                    new.append((at, taken[j][0], until))
+                new.append(taken[j])
+                at = max(at, taken[j][1])
+                j += 1
+            if at < after:
+                new.append((at, after, until))
+            if k and new and taken[k - 1][1] == new[0][0] and taken[k - 1][2] == new[0][2]:
+                new[0] = (taken[k - 1][0], new[0][1], new[0][2])
+                k -= 1
+                taken[k:j] = new
+            else:
+                taken[k:j] = new
+            k += len(new) - (1 if new and new[-1][1] > after else 0)
+            i = after
         out.append(line)
-        taken = {i: n - 1 for i, n in taken.items() if n > 1}
     return out
 
 
-def aligned(rows: list[list[str]]) -> list[str]:
-    """Table rows as lines, cells padded to their column."""
-    split = [[_wrapped(c) for c in row] for row in rows]
+#: A table is aligned where that takes at most so many characters, or so many times its text.
+ROOM, TIMES = 1 << 20, 50
+
+
+def aligned(rows: list[dict[int, str]]) -> list[str]:
+    """Table rows as lines, cells padded to their column; columns where no cell begins are left out. Tables that would be mostly padding have their cells side by side."""
+    place = {c: n for n, c in enumerate(sorted({c for row in rows for c in row}))}
+    split = [{place[i]: _wrapped(c) for i, c in row.items()} for row in rows]
     width: dict[int, int] = {}
     for row in split:
-        for i, cell in enumerate(row):
+        for i, cell in row.items():
             width[i] = min(WIDEST, max(width.get(i, 0), max(map(len, cell))))
+    columns = len(width)
+    size, padded = sum(len(x) for row in split for cell in row.values() for x in cell), len(split) * (sum(width.values()) + 3 * columns)
+    apart = padded > max(ROOM, TIMES * size)
     out = []
     for cells in split:
-        for k in range(max(map(len, cells), default=0)):
-            parts = [c[k] if k < len(c) else "" for c in cells]
-            out.append(" | ".join(p.ljust(width[i]) for i, p in enumerate(parts)).rstrip())
+        last = max(cells, default=-1) + 1 if apart else columns
+        for k in range(max((len(c) for c in cells.values()), default=0)):
+            if apart:
+                parts = [cells[i][k] if k < len(cells[i]) else "" for i in sorted(cells)]
+            else:
+                parts = [(cells[i][k] if i in cells and k < len(cells[i]) else "").ljust(width[i]) for i in range(last)]
+            out.append(" | ".join(parts).rstrip())
     return out
 
 
@@ -391,7 +489,7 @@ def render(root: Node) -> str:
         if tag == "table":
             flow, rows, lists = tables.pop()
             flow.line()
-            for line in aligned([r for r in grid(rows) if any(r)]):
+            for line in aligned([r for r in grid(rows) if any(r.values())]):
                 flow.text(line, True)
                 flow.line(True)
             flow.block(True)
