@@ -17,7 +17,7 @@ Sorting all suffixes of a corpus would shuffle every position. Instead:
    equal ones collapse (verified byte by byte), and the others are sorted as above; neighbours whose common extension
    reaches ``length`` are one class, whose smallest document decides.
 4. An anchor with more than ``crowd`` contexts in one block, or ``hot`` in all, would crowd one task. Its suffixes are
-   sorted within their blocks, and classes of equal strings meet by their own 128-bit fingerprint instead.
+   sorted within their blocks, and classes of equal strings meet by 128 bits of two independent hashes of the string instead.
 
 Blocks hold a bounded number of bytes; entries and classes are single per block, so a passage that a third of
 all documents share sends a few rows a block. Equality of whole contexts rests on 80 bits of two independent hashes, beside
@@ -465,8 +465,8 @@ def _resolve(length: int, count: int, crowd: int):
             classes = _classes(data, at, np.unique(fine, return_inverse=True)[1], length)
             by = np.lexsort((ranks[n_open:][of], classes))
             head = by[np.r_[True, classes[by][1:] != classes[by][:-1]]]  # of class 0, 1, ...
-            strings = PolyHash(data).of(at[head], at[head] + length)
-            a, b = mix(strings, 17), mix(strings, 23) ^ mix(fine[head], 29)
+            one, two = (PolyHash(data, base).of(at[head], at[head] + length) for base in (BASE, OTHER))
+            a, b = mix(one, 17), mix(two, 23) ^ mix(fine[head], 29)
             rows += [("hot", number, k, _pack(a[p] // _U(count), 8), _pack(b[p], 8), _planes(ranks[n_open:][of[head[p]]]), None, None, None, None, _steps(n_strings + p), *pad) for k, p in _parts(a, count)]
             question[n_strings:] = n_strings + classes
         first_of = np.full(len(flags), -1)
