@@ -36,7 +36,7 @@ from wardline.llm.packing import tokenizer
 
 STORED = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 #: Parts of texts, and words, that one worker remembers, twice over at most.
-PARTS, WORDS = 300_000, 250_000
+PARTS, WORDS = 220_000, 180_000
 #: Texts of these characters alone are composed already, have one lower-case letter for each letter, and hold no special token of a known file.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]*")
 #: The splitting pattern and the steps of the file whose words can be found without it.
