@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.operators import intervals, joins
+from wardline.operators import intervals, joins, windows
 
 T0 = datetime.datetime(2024, 1, 1)
 at = lambda h: None if h is None else T0 + datetime.timedelta(hours=h)
@@ -97,3 +97,37 @@ def test_nearest_place_is_exact(spark, n):
         else:
             d, best = min((math.sqrt((x - px) ** 2 + (y - py) ** 2), p) for p, px, py in places)
             assert got[k][0] == str(best) and math.isclose(got[k][1], d, rel_tol=1e-12)
+
+
+def test_hops_end_in_cycles_and_go_deep(spark):
+    """A chain of 12 with a way back and a side way: all are found, by the least number of hops."""
+    edges = [(i, i + 1, "a") for i in range(12)] + [(12, 0, "a"), (3, 12, "b"), (5, None, "a"), (0, 0, "a"), (2, 2, "a")]
+    e = spark.createDataFrame(edges, "from_id int, to_id int, kind string").withColumn("hops", F.lit("x"))
+    seeds = spark.createDataFrame([("v", 0), ("w", 11), ("w", None), ("w", 11)], "variable string, concept_id int")
+    names = spark.createDataFrame([(i, "even" if i % 2 == 0 else "odd_x") for i in range(13)] + [(4, "even")], "concept_id int, name string")
+    run = lambda **k: sorted(map(tuple, joins.concept_hops(seeds, e, names, **k).collect()))
+    assert [r for r in run() if r[0] == "v"] == [("v", i, min(i, 4 if i == 12 else 99)) for i in range(13)] and len([r for r in run() if r[0] == "w"]) == 13
+    assert [r for r in run(kinds=["a"]) if r[0] == "v"] == [("v", i, i) for i in range(13)]
+    assert run(most_hops=0) == [("v", 0, 0), ("w", 11, 0)]
+    assert {r[1] for r in run(most_hops=4, like=["ev%"]) if r[0] == "v"} == {0, 2, 4, 12} and {r[1] for r in run(most_hops=4, not_like=["ev%"]) if r[0] == "v"} == {1, 3}
+    gone = spark.createDataFrame([("v", 2), ("w", 0)], "variable string, concept_id int")
+    assert run(excluded=gone) == [("v", 0, 0), ("v", 1, 1), ("w", 11, 0), ("w", 12, 1)]
+    assert joins.concept_hops(seeds.where("false"), e, names).collect() == []
+
+
+def test_global_order_over_partitions(spark):
+    draw = random.Random(3)
+    rows = [(draw.choice([None, 1, 1, 1, 5]), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "x int, id int").repartition(7)
+    got = windows.sort_globally(df, [F.col("x"), F.col("id")]).collect()
+    assert [(r.x, r.id) for r in sorted(got, key=lambda r: r.position)] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) and sorted(r.position for r in got) == list(range(500))
+    assert windows.sort_globally(df.where("false"), [F.col("x")]).collect() == []
+
+
+def test_rows_counted_from_the_end(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, None, "d")], "g int, x int, id string")
+    pick = lambda n, *o: {r.g: r.id for r in windows.nth_row(df, ["g"], o, n).collect()}
+    assert pick(1, "x", "id") == {1: "a", 2: "d"} and pick(-1, "x", "id") == {1: "c", 2: "d"} and pick(-1, ("x", True), "id") == {1: "a", 2: "d"}
+    assert pick(2, ("x", True), F.col("id")) == {1: "c"}
+    with pytest.raises(ValueError, match="names only"):
+        pick(-1, F.expr("x").desc(), "id")

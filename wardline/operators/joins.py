@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.operators.saved import saved
+
 
 def asof_join(left: DataFrame, right: DataFrame, *, on: str, by: Sequence[str], right_on: str | None = None, values: Sequence[str], direction: str = "backward", strict: bool = False, tolerance: str | None = None, tie: Sequence[str] = ()) -> DataFrame:
     """Each left row with the nearest earlier (backward) or later (forward) right row of its ``by`` key.
@@ -175,6 +177,36 @@ def expand_concepts(ancestors: DataFrame, closure: DataFrame, excluded: DataFram
     return found.groupBy("concept_id").agg(F.min(F.struct("priority", "variable")).alias("m")).select("concept_id", F.col("m.variable").alias("variable"))
 
 
+def concept_hops(seeds: DataFrame, relations: DataFrame, concepts: DataFrame, *, most_hops: int | None = None, kinds: Sequence[str] | None = None, like: Sequence[str] = (), not_like: Sequence[str] = (), excluded: DataFrame | None = None) -> DataFrame:
+    """Rows (variable, concept_id, hops): what each variable's seeds (variable, concept_id) reach over relations (from_id, to_id, kind), by the least number of hops.
+
+    One join a hop, of the concepts found last with the relations, until a hop finds nothing new, so cycles end; each hop is written once. Names of the concepts
+    (concept_id, name) must match one of ``like`` and none of ``not_like`` to be in the result, with case; what does not match is still gone through. Concepts of ``excluded`` (variable, concept_id) and what is
+    reached only through them are not.
+    """
+    edges = relations if kinds is None else relations.where(F.col("kind").isin(*kinds))
+    edges = edges.where("from_id is not null and to_id is not null").select(F.col("from_id").alias("concept_id"), "to_id").distinct()
+    key = ["variable", "concept_id"]
+    allowed = lambda d: d if excluded is None else d.join(excluded.select(*key).distinct(), key, "left_anti")
+    last = saved(allowed(seeds.where("concept_id is not null").select(*key).distinct()).withColumn("hops", F.lit(0)))
+    levels, hops = [last], 0
+    while (most_hops is None or hops < most_hops) and not last.isEmpty():
+        hops += 1
+        found = reduce(lambda a, b: a.union(b), levels)
+        new = last.join(edges, "concept_id").select("variable", F.col("to_id").alias("concept_id")).distinct()
+        last = saved(allowed(new).join(found.select(*key), key, "left_anti").withColumn("hops", F.lit(hops)))
+        levels.append(last)
+    out = reduce(lambda a, b: a.union(b), levels)
+    if like or not_like:
+        name, yes = F.col("name"), F.lit(not like)
+        for p in like:
+            yes = yes | name.like(p)
+        for p in not_like:
+            yes = yes & ~name.like(p)
+        out = out.join(concepts.where(yes).select("concept_id").distinct(), "concept_id", "left_semi")
+    return out.select("variable", "concept_id", "hops")
+
+
 def within_any(branches: Sequence[Column]) -> Column:
     """One predicate out of several windows or filters."""
     return reduce(lambda a, b: a | b, branches)

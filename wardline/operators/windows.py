@@ -7,24 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.operators.saved import saved
 from wardline.operators.stats import quantiles
 
 DAY = 86_400_000_000
 
 
-def nth_row(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+def nth_row(df: DataFrame, by: Sequence[str], order: Sequence[Column | str | tuple[Column | str, bool]], n: int = 1) -> DataFrame:
     """The nth row of each group; negative n counts from the last. ``order`` should end in a unique column.
 
-    With a negative n the order must be of plain columns, which are all turned round.
+    An order is a column, a name, or a pair of one of these and whether it falls. A negative n turns all of them round and takes names only, as a column may
+    bring a direction of its own.
     """
-    if n < 0 and any(str(c).endswith((" DESC NULLS LAST'>", " ASC NULLS FIRST'>", " DESC NULLS FIRST'>", " ASC NULLS LAST'>")) for c in order):
-        raise ValueError("an order with directions cannot be counted from the end; turn it round and take a positive n")
-    columns = list(order) if n > 0 else [_flip(c) for c in order]
+    pairs = [o if isinstance(o, tuple) else (o, False) for o in order]
+    if n < 0 and not all(isinstance(c, str) for c, _ in pairs):
+        raise ValueError("an order cannot be counted from the end unless it has names only; use (name, falls) pairs")
+    columns = [(F.col(c) if isinstance(c, str) else c, falls) for c, falls in pairs]
+    columns = [c.desc() if falls else c for c, falls in columns] if n > 0 else [c.asc_nulls_last() if falls else c.desc_nulls_last() for c, falls in columns]
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*columns))).where(F.col("_rn") == abs(n)).drop("_rn")
 
 
-def _flip(c: Column) -> Column:
-    return c.desc()
+def sort_globally(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows in one order over all partitions, with their ``position`` from 0, as a table that is written once.
+
+    Ranges of the order go to partitions and are sorted there; a row's position is its place in its partition and the rows of the partitions before, one
+    number for each. ``order`` should end in a unique column; ranges are cut by it, so many equal beginnings do not make one large partition.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = saved(ranges).withColumn("_part", F.shiftright("_id", 33))
+    sums = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sums.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each partition
+    placed = rows.join(F.broadcast(before), "_part").withColumn("position", F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1))
+    return placed.select(*df.columns, "position")
 
 
 def change_runs(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -240,7 +240,7 @@ query("u1_union_distinct", "", "SELECT c_nationkey k from customer union select
 query("u2_union_all_by_name", "", "SELECT c_custkey id, c_name as name, c_mktsegment segment from customer union all by name select s_suppkey id, s_name as name from supplier")(
     lambda t: t.customer.select(c("c_custkey").alias("id"), c("c_name").alias("name"), c("c_mktsegment").alias("segment")).unionByName(t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name")), allowMissingColumns=True)
 )
-query("u3_drop_duplicates_keep_last", "", "SELECT user_id, event_type, max(ts) ts from events group by 1, 2")(lambda t: windows.nth_row(t.events, ["user_id", "event_type"], [c("ts")], -1).select("user_id", "event_type", "ts"))
+query("u3_drop_duplicates_keep_last", "", "SELECT user_id, event_type, max(ts) ts from events group by 1, 2")(lambda t: windows.nth_row(t.events, ["user_id", "event_type"], ["ts"], -1).select("user_id", "event_type", "ts"))
 query("u4_set_difference_check", "", "SELECT count(*) missing from (select distinct o_custkey from orders) where o_custkey not in (select user_id from events)")(
     lambda t: t.orders.select("o_custkey").distinct().join(t.events.select(c("user_id").alias("o_custkey")), "o_custkey", "left_anti").agg(F.count("*").alias("missing"))
 )

@@ -1,11 +1,11 @@
-"""Queries of the organ failure score from raw series; their SQL is written apart from the operators."""
+"""Queries of the organ failure score from raw series, and of sweeps, nearest places, concept hops and global order; their SQL is written apart from the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators import intervals, joins, organ
+from wardline.operators import intervals, joins, organ, windows
 from wardline.plans.cdm import Tables
 from wardline.plans.registry import query
 
@@ -82,3 +82,21 @@ SELECT k, cast(arg_min(n, (d, n)) as varchar) nearest, min(d) distance from a gr
         t.supplier.select(c("s_suppkey").alias("k"), ((c("s_suppkey") * 6133 % 18000) / 100.0 - 90).alias("x"), ((c("s_suppkey") * 15485 % 36000) / 100.0 - 180).alias("y")), key="k", x="x", y="y",
     )
 )
+query("j13_anti_join_status", "", "SELECT c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT' and o_totalprice > 250000)")(
+    lambda t: t.customer.select("c_custkey").join(t.orders.where("o_orderpriority = '1-URGENT' and o_totalprice > 250000").select(c("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+)
+# parts as concepts: part n contains part n // 3, every seventh is replaced by one that leads back to the top (a cycle)
+query("j16_concept_hops", "", """recursive edges as (select p_partkey // 3 f, p_partkey t, 'contains' kind from part where p_partkey > 0 union all select p_partkey, p_partkey // 9, 'replaces' from part where p_partkey % 7 = 0 union all select p_partkey, p_partkey + 1, 'other' from part),
+seeds as (select 'first' variable, 4 id union all select 'first', 5 union all select 'second', 2), no as (select 'first' variable, 14 id union all select 'second', 6),
+walk as (select variable, id, 0 hops from seeds union select w.variable, e.t, w.hops + 1 from walk w join edges e on e.f = w.id and e.kind <> 'other' where w.hops < 5 and (w.variable, e.t) not in (select variable, id from no))
+SELECT variable, cast(id as bigint) concept_id, cast(min(hops) as int) hops from walk where id in (select p_partkey from part where (p_name like '%ring' or p_name like 'red%') and p_name not like 'large%') group by 1, 2""")(lambda t: _hops(t))
+query("t1_global_sort", "", "SELECT o_orderkey, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as position from orders")(
+    lambda t: windows.sort_globally(t.orders.select("o_orderkey", "o_totalprice"), [c("o_totalprice").desc(), c("o_orderkey")]).select("o_orderkey", "position")
+)
+
+
+def _hops(t: Tables) -> DataFrame:
+    n, edge = c("p_partkey"), lambda d, f, to, kind: d.select(f.alias("from_id"), to.alias("to_id"), F.lit(kind).alias("kind"))
+    edges = edge(t.part.where(n > 0), F.floor(n / 3), n, "contains").union(edge(t.part.where(n % 7 == 0), n, F.floor(n / 9), "replaces")).union(edge(t.part, n, n + 1, "other"))
+    seeds = t.spark.createDataFrame([("first", 4), ("first", 5), ("second", 2)], "variable string, concept_id long")
+    return joins.concept_hops(seeds, edges, t.part.select(n.alias("concept_id"), c("p_name").alias("name")), most_hops=5, kinds=["contains", "replaces"], like=["%ring", "red%"], not_like=["large%"], excluded=t.spark.createDataFrame([("first", 14), ("second", 6)], "variable string, concept_id long"))

@@ -78,7 +78,8 @@ def compile_spec(specs: Sequence[VariableSpec], index: DataFrame, tables: Mappin
         labels = [period_label(F.col(shape.at), F.col(s.period[0]), F.col(s.period[1])).alias("period")] if s.period else []
         rows = rows.withColumnRenamed(shape.variable, "variable_name") if shape.variable != "variable_name" else rows
         if s.nth:
-            rows = nth_row(rows, [subject, "variable_name"], [F.col(shape.at), *([F.expr(s.value_order)] if s.value_order else []), F.col(shape.unique)], s.nth)
+            rows = rows.withColumn("_by_value", F.expr(s.value_order or "1"))
+            rows = nth_row(rows, [subject, "variable_name"], [shape.at, "_by_value", shape.unique], s.nth).drop("_by_value")
         if s.aggregate:
             rows = rows.groupBy(subject, "variable_name", *s.fields).agg(getattr(F, s.aggregate)(shape.value).alias("value"), F.count(shape.value).alias("n"))
         else:
