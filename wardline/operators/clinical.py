@@ -135,7 +135,7 @@ def reference_creatinine(candidates: Sequence[Column], kidney_class: Column, age
 def detect_aki(labs: DataFrame, *, by: Sequence[str], at: str, value: str, reference: str, rrt: str | None = None) -> DataFrame:
     """Stage of kidney injury at each value: by its rise over the least value of 48 hours, or its ratio to the reference.
 
-    Stages: 1 from 1.5 times or a rise of 0.3; 2 from 2 times; 3 from 3 times or 4.0; 3 with replacement therapy.
+    Stages: 1 from 1.5 times or a rise of 0.3; 2 from 2 times; 3 from 3 times or 4.0; 4 with replacement therapy.
     """
     rolled = windows.rolling(labs, by, at, value, F.min, back=2 * windows.DAY, name="least_48h")
     x, ratio = c(value), c(value) / c(reference)
