@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Aggregate = Callable[[Column], Column]
@@ -32,7 +33,8 @@ def aggregate_by(df: DataFrame, by: Sequence[str], actions: dict[str, str | Aggr
 def condense_custom(df: DataFrame, *, by: Sequence[str], start: str, end: str, islands: Callable[[pd.DataFrame], pd.Series]) -> DataFrame:
     """Condense intervals by a rule of the user: a function from a group's rows, by start, to an island number each.
 
-    The rule runs in Python on one group at a time; ``condense_intervals`` covers the common rules without.
+    The rule sees one group as a whole, so a group must fit in a task; ``condense_running`` takes rules that only need
+    the open interval, for groups of any size, and ``condense_intervals`` covers the common rules without Python.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
@@ -45,6 +47,56 @@ def condense_custom(df: DataFrame, *, by: Sequence[str], start: str, end: str, i
     return df.select(*by, start, end).groupBy(*by).applyInPandas(run, schema)
 
 
+def condense_running(df: DataFrame, *, by: Sequence[str], start: str, end: str, joins: Callable[[int, int, int, int], bool]) -> DataFrame:
+    """Condense intervals by a rule of the user: whether a row (start, end) joins the open interval (start, end), in microseconds.
+
+    A task reads its groups in order of start and end and remembers the open interval only, so a group of any length
+    takes the memory of one batch. Rows with a null start or end are left out; an empty table gives no rows.
+    """
+    spans = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(*by, F.unix_micros(start).alias("_s"), F.unix_micros(end).alias("_e"))
+    w = Window.partitionBy(*by).orderBy("_s", "_e")
+    rows = spans.withColumn("_head", F.row_number().over(w) == 1).repartition(*by).sortWithinPartitions(*by, "_s", "_e", F.desc("_head"))
+    keys = rows.select(*by).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the keys of the open interval, one row
+        s, e, n = 0, 0, 0
+        for batch in batches:
+            done: list[tuple[int, int, int]] = []
+            places: list[int] = []  # rows of the batch that opened an interval
+            before = held
+            for k, (head, s2, e2) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_head", "_s", "_e")))):
+                if n and not head and joins(s, e, s2, e2):
+                    s, e, n = min(s, s2), max(e, e2), n + 1
+                    continue
+                if n:
+                    done.append((s, e, n))
+                s, e, n = s2, e2, 1
+                places.append(k)
+            if not places:
+                continue
+            own = batch.select(list(by))
+            held = own.slice(places[-1], 1)
+            closed = own.take(pa.array(places[:-1], pa.int64()))
+            if before is not None:
+                closed = pa.Table.from_batches([before, closed]).combine_chunks()
+            columns = [closed.column(i) for i in range(len(by))]
+            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            yield from _spans(columns, list(by), done)
+        if held is not None:
+            yield from _spans([held.column(i) for i in range(len(by))], list(by), [(s, e, n)])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys) + ", _s long, _e long, n_merged long"
+    kind = dict(df.dtypes)
+    back = lambda c, name: F.timestamp_micros(c).cast(kind[name]).alias(name)
+    return rows.mapInArrow(run, schema).select(*by, back("_s", start), back("_e", end), "n_merged")
+
+
+def _spans(keys: list[pa.Array], names: list[str], spans: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+    if spans:
+        yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x, pa.int64()) for x in zip(*spans))], names=[*names, "_s", "_e", "n_merged"])
+
+
 def steps(df: DataFrame, *functions: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Frame-to-frame functions one after the other."""
     for f in functions:

@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"(?:[0-9]+\.[0-9]+|[0-9][0-9,.]+[0-9]+|[0-9]+)"
+RUN = "[0-9]+(?:[.,]+[0-9]+)*"
+MARK = "\x01"
 
 
 def extract_number(text: Column) -> Column:
     """The number of a result text, or null.
 
-    A sign counts unless a letter stands before it ("B-12" is 12); "neg" before the only number makes it negative. Two
-    numbers joined as a range give their mean, other ranges null, and without a range the first of up to three counts.
-    Dates and fractions give null.
+    Every run of digits, with points and commas between them, is a number: commas group its digits, several points
+    count as one, and what follows a second point is not read. The rest is decided on the text's shape, in which each
+    number is one mark. Two numbers joined by a dash give their mean, longer chains (dates) null; a fraction is null;
+    otherwise the first of up to three counts. A dash is a sign unless some dash stands between a letter and a number
+    ("B-12" is 12); "neg" before an only number turns its sign.
     """
-    unsigned = text.rlike("[A-z]-[0-9]")
-    found = F.when(unsigned, F.regexp_extract_all(text, F.lit(f"({NUMBER})"), F.lit(1))).otherwise(F.regexp_extract_all(text, F.lit(f"(-?{NUMBER})"), F.lit(1)))
-    plain = lambda x: F.replace(F.replace(F.replace(x, F.lit(","), F.lit("")), F.lit("..."), F.lit(".")), F.lit(".."), F.lit(".")).try_cast("double")
-    first, second = plain(F.get(found, 0)), plain(F.get(found, 1))
-    date_like = ~unsigned & text.rlike("[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]/[0-9]")
-    turned = F.when(text.rlike(r"(?i)NEG(ative)?\s?[0-9]") & (F.size(found) == 1), 0.0 - first).otherwise(first)
-    ranged = F.when(F.size(found) == 2, (first + F.abs(second)) / 2)
-    return F.when(date_like | (F.size(found) == 0), None).when(text.rlike("[0-9]-[0-9]"), ranged).when(F.size(found) > 3, None).otherwise(turned)
+    shape = F.regexp_replace(text, RUN, MARK)
+    runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
+    sizes = F.transform(runs, lambda x: F.regexp_extract(F.regexp_replace(F.replace(x, F.lit(","), F.lit("")), r"\.+", "."), r"^[0-9]+(?:\.[0-9]+)?", 0).try_cast("double"))
+    n, first, second = F.size(runs), F.get(sizes, 0), F.get(sizes, 1)
+    after_letter = shape.rlike(f"[A-Za-z]-{MARK}")
+    minus = ~after_letter & shape.rlike(f"^[^{MARK}]*-{MARK}")
+    in_words = (n == 1) & shape.rlike(rf"(?i)neg(?:ative)?\s?{MARK}")
+    signed = F.when(minus, 0.0 - first).otherwise(first)
+    mean = F.when(n == 2, (signed + second) / 2)
+    fraction = ~after_letter & shape.contains(f"{MARK}/{MARK}")
+    return F.when(shape.contains(f"{MARK}-{MARK}"), mean).when(~fraction & n.between(1, 3), F.when(in_words, 0.0 - signed).otherwise(signed))
 
 
 def extract_operator(text: Column) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -219,15 +222,31 @@ def infusion_rates(meds: DataFrame, cases: DataFrame, *, key: str, start: str, e
 def accept_apart(df: DataFrame, *, by: Sequence[str], at: str, value: str, seconds: int) -> DataFrame:
     """Values at least so many seconds after the last accepted one, from the first on. Rows without a time are left out.
 
-    A row that far from the row before it is accepted whatever came earlier, so each key falls into chains there; a
-    chain's rows (time and value) are folded in one task, as each accepted value depends on the one before.
+    A row that far from the row before it is accepted whatever came earlier, so each key falls into chains there, which
+    are dealt over the tasks. A task reads its chains in order and remembers the last accepted time only, so a chain of
+    any length takes the memory of one batch. Ties go by the value, nulls first; an empty table gives no rows.
     """
     step, w = seconds * 1_000_000, Window.partitionBy(*by).orderBy("_t", value)
     timed = df.where(F.col(at).isNotNull()).select(*by, F.unix_micros(at).alias("_t"), value)
     free = timed.withColumn("_free", F.coalesce((F.col("_t") - F.lag("_t").over(w) >= step).cast("int"), F.lit(1)))
     chained = free.withColumn("_chain", F.sum("_free").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = chained.groupBy(*by, "_chain").agg(F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col(value).alias("v")))).alias("xs"))
-    element = rows.schema["xs"].dataType.elementType.simpleString()
-    empty = F.expr(f"cast(array() as array<{element}>)")
-    fold = F.aggregate("xs", empty, lambda acc, x: F.when((F.size(acc) == 0) | (x.t - F.try_element_at(acc, F.lit(-1)).t >= step), F.concat(acc, F.array(x))).otherwise(acc))
-    return rows.select(*by, F.explode(fold).alias("x")).select(*by, F.timestamp_micros("x.t").alias(at), F.col("x.v").alias(value))
+    rows = chained.repartition(*by, "_chain").sortWithinPartitions(*by, "_chain", "_t", value, F.desc("_free"))
+    keep = [*by, "_t", value]
+
+    def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: int | None = None
+        for batch in batches:
+            t, taken = batch.column("_t").to_numpy(), np.zeros(batch.num_rows, bool)
+            heads = np.flatnonzero(batch.column("_free").to_numpy()).tolist()
+            for lo, hi in pairwise([0, *(h for h in heads if h), len(t)]):
+                if heads and lo == heads[0]:
+                    heads.pop(0)
+                    last = None
+                i = lo if last is None else lo + int(np.searchsorted(t[lo:hi], last + step))
+                while i < hi:
+                    taken[i], last = True, int(t[i])
+                    i = max(i + 1, i + int(np.searchsorted(t[i:hi], last + step)))
+            yield batch.filter(pa.array(taken)).select(keep)
+
+    out = rows.mapInArrow(accept, rows.select(*keep).schema)
+    return out.select(*by, F.timestamp_micros("_t").alias(at), value)

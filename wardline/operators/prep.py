@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.stats import counted, deviations, quantiles, quantiles_of
@@ -102,6 +102,51 @@ def fit_standardizer(train: DataFrame, *, numeric: Sequence[str] = (), categoric
     return fit
 
 
+def fit_series(train: DataFrame, *, variable: str, value: str, most_missing: float = 0.9, most_variables: int = 1000) -> Standardizer:
+    """Parameters of each variable from long rows (variable, value); one row a variable comes to the driver, at most ``most_variables``.
+
+    ``missing`` is the share of a variable's rows without a value. Rows without a variable are left out.
+    """
+    rows = train.where(F.col(variable).isNotNull()).select(F.col(variable).cast("string").alias("variable"), F.col(value).cast("double").alias("x"))
+    counts = counted(rows, ["variable"], "x")
+    x = F.col("x")
+    moments = rows.groupBy("variable").agg(F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) < F.max(x)).alias("varies"))
+    spread = quantiles_of(counts, ["variable"], [0.01, 0.15, 0.5, 0.85, 0.99])
+    mads = quantiles_of(deviations(counts, ["variable"], spread, "q2"), ["variable"], [0.5]).select("variable", F.col("q0").alias("mad"))
+    found = moments.join(spread, "variable", "left").join(mads, "variable", "left").orderBy("variable").limit(most_variables + 1).collect()
+    if len(found) > most_variables:
+        raise ValueError(f"over {most_variables} variables")
+    fit = Standardizer()
+    for r in found:
+        lost = 1 - r["n"] / r["rows"]
+        mad = None if r["mad"] is None else r["mad"] * 1.4826
+        fit.numeric[r["variable"]] = NumericFit(r["mean"], r["std"], r["q2"], mad, r["q0"], r["q4"], lost, not r["varies"] or lost >= most_missing, r["q1"], r["q3"])
+    return fit
+
+
+def apply_series(df: DataFrame, fit: Standardizer, *, key: str, variable: str, at: str, value: str, seconds: int, carry: int | None = None) -> DataFrame:
+    """Long rows as one row for each key and time step, a column for each fitted variable.
+
+    Values are clipped to the fitted bounds, the mean of a step is scaled, and all steps from a key's first to its last
+    row are there. A step without a value of a variable is marked in ``<variable>_missing_ind`` and takes the last one of
+    the key, over at most ``carry`` steps (all, if None), else the fitted median. Variables that are not fitted or were
+    dropped, and rows without a key or time, are left out.
+    """
+    used = {v: f for v, f in fit.numeric.items() if not f.drop}
+    rows = df.where(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumn("_step", F.floor(F.unix_micros(at) / (seconds * 1_000_000)))
+    of = lambda v: F.when(F.col(variable) == v, F.col(value).cast("double"))
+    clipped = [F.avg(F.when(of(v).isNotNull(), clip_or_redraw(of(v), f, F.col(key)))).alias(f"_m{i}") for i, (v, f) in enumerate(used.items())]
+    wide = rows.groupBy(key, "_step").agg(F.count("*").alias("_n"), *clipped)
+    grid = rows.groupBy(key).agg(F.min("_step").alias("_a"), F.max("_step").alias("_b")).select(key, F.explode(F.sequence("_a", "_b")).alias("_step"))
+    w = Window.partitionBy(key).orderBy("_step").rowsBetween(Window.unboundedPreceding if carry is None else -carry, 0)
+    full = grid.join(wide, [key, "_step"], "left")
+    out: list[Column] = [F.col(key), F.timestamp_micros(F.col("_step") * (seconds * 1_000_000)).alias(at)]
+    for i, (v, f) in enumerate(used.items()):
+        x = F.coalesce(F.last(f"_m{i}", ignorenulls=True).over(w), F.lit(f.median))
+        out += [((x - f.mean) / F.lit(f.std or 1.0)).alias(v), F.col(f"_m{i}").isNull().cast("int").alias(f"{v}_missing_ind")]
+    return full.select(*out)
+
+
 def impute(column: Column, fit: NumericFit, how: str, key: Column, seed: int = 1, constant: float = 0.0) -> Column:
     """Missing numbers by mean, median, constant, or a seeded draw (uniform, normal, normal_mad)."""
     lo, hi = fit.low or 0.0, fit.high or 0.0
@@ -195,9 +240,13 @@ def robust_outliers(df: DataFrame, by: Sequence[str], value: str, limit: float =
     return near.join(mad, list(by)).withColumn("modified_z", F.when(F.col("_mad") > 0, z)).withColumn("outlier", F.coalesce((F.abs("modified_z") > limit).cast("int"), F.lit(0))).drop("_m", "_mad")
 
 
-def columns_by_kind(df: DataFrame) -> DataFrame:
-    """Rows (kind, column): which columns are numeric, text, time or other."""
+def kind_of(dtype: str) -> str:
     kinds = {"string": "text", "boolean": "flag", "date": "time", "timestamp": "time", "timestamp_ntz": "time"}
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    rows = [(kinds.get(t, "numeric" if t in numeric or t.startswith("decimal") else "other"), c) for c, t in df.dtypes]
+    return kinds.get(dtype, "numeric" if dtype in numeric or dtype.startswith("decimal") else "other")
+
+
+def columns_by_kind(df: DataFrame) -> DataFrame:
+    """Rows (kind, column): which columns are numeric, text, time or other."""
+    rows = [(kind_of(t), c) for c, t in df.dtypes]
     return df.limit(1).select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(c).alias("column")) for k, c in rows))).alias("x")).select("x.*")

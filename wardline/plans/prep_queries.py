@@ -40,6 +40,19 @@ query("e1_standardize", "", f"""f as (select quantile_cont(c_acctbal, 0.01) lo,
 SELECT c_custkey, (greatest(lo, least(hi, c_acctbal)) - m) / s c_acctbal, case when c_acctbal is null then 1 else 0 end c_acctbal_missing_ind, case when c_mktsegment = 'AUTOMOBILE' then 1 else 0 end as auto, case when c_mktsegment = 'BUILDING' then 1 else 0 end as building from customer, f""", "c_acctbal")(
     lambda t: prep.apply_standardizer(t.customer, _fit(t), key="c_custkey").select("c_custkey", "c_acctbal", "c_acctbal_missing_ind", c("c_mktsegment_automobile").alias("auto"), c("c_mktsegment_building").alias("building"))
 )
+
+
+def _series(t: Tables) -> DataFrame:
+    fit = prep.fit_series(t.events.where("user_id % 5 <> 0"), variable="event_type", value="value")
+    wide = prep.apply_series(t.events, fit, key="user_id", variable="event_type", at="ts", value="value", seconds=86400, carry=2)
+    return wide.select("user_id", "ts", "click", "click_missing_ind", "purchase", "purchase_missing_ind")
+
+
+query("e1_series", "", """f as (select event_type v, avg(value) m, stddev_pop(value) s, median(value) d, quantile_cont(value, 0.01) lo, quantile_cont(value, 0.99) hi from events where user_id % 5 <> 0 and event_type in ('click', 'purchase') group by 1),
+d as (select user_id, date_trunc('day', ts) ts, event_type v, avg(greatest(lo, least(hi, value))) x from events join f on v = event_type group by all),
+g as (select user_id, unnest(generate_series(a, b, interval 1 day)) ts from (select user_id, date_trunc('day', min(ts)) a, date_trunc('day', max(ts)) b from events group by 1)),
+s as (select g.user_id, g.ts, f.v, x, (coalesce(x, lag(x) over w, lag(x, 2) over w, d) - m) / s z from g cross join f left join d on d.user_id = g.user_id and d.ts = g.ts and d.v = f.v window w as (partition by g.user_id, f.v order by g.ts))
+SELECT user_id, ts, max(z) filter (v = 'click') click, cast(count(*) filter (v = 'click' and x is null) as int) click_missing_ind, max(z) filter (v = 'purchase') purchase, cast(count(*) filter (v = 'purchase' and x is null) as int) purchase_missing_ind from s group by 1, 2""", "click purchase")(_series)
 query("e2_normalise_text", "", "SELECT c_custkey, case when c_custkey % 6 = 0 then null else lower(c_name) end name from customer")(lambda t: t.customer.select("c_custkey", prep.normalise_text(F.when(c("c_custkey") % 6 == 0, F.lit(" NA ")).otherwise(F.concat(F.lit("  "), c("c_name"), F.lit(" ")))).alias("name")))
 query("e3_drop_rules", "", "SELECT 'constant' as \"column\", 1 dropped union all select 'empty', 1 union all select 'p_size', 0")(
     lambda t: (lambda f, s: s.createDataFrame([(k, int(v.drop)) for k, v in f.numeric.items()], "column string, dropped int"))(
@@ -208,6 +221,29 @@ _raw = lambda t: t.part.select(F.when(c("p_partkey") % 9 != 0, c("p_partkey").ca
 query("s8_conform", "", "SELECT case when p_partkey % 9 = 0 or p_partkey % 7 = 0 then 'rejected' else 'kept' end side, count(*) n from part group by 1")(
     lambda t: (lambda kept, bad: kept.agg(F.lit("kept").alias("side"), F.count("*").alias("n")).union(bad.agg(F.lit("rejected"), F.count("*"))).where("n > 0"))(*io.conform(_raw(t), _TARGET, truncate=True))
 )
+
+
+def _by_size(t: Tables) -> DataFrame:
+    path = _scratch(t)
+    io.write_table(t.orders.select("o_orderkey", "o_orderpriority"), path, fmt="csv", bytes_per_file=20_000)
+    return t.spark.read.option("header", True).csv(path).select(c("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", (c("_metadata.file_size") <= 20_000).alias("within"))
+
+
+query("s7_write_by_size", "", "SELECT o_orderkey, o_orderpriority, true as "within" from orders")(_by_size)
+
+
+def _appended(t: Tables) -> DataFrame:
+    """Two loads appended to one table; batches of ten parts, some held back by a size that is no number."""
+    path = _scratch(t)
+    raw = t.part.select(c("p_partkey").cast("string").alias("id"), c("p_name").alias("name"), F.when(c("p_partkey") % 97 == 0, "many").otherwise(c("p_size").cast("string")).alias("size"))
+    for k in range(2):
+        io.append_table(raw.where(c("id").cast("long") % 20 >= 10 if k else c("id").cast("long") % 20 < 10), {**_TARGET, "id": ("long", None, False)}, write=io.to_folder(f"{path}/kept"), review=io.to_folder(f"{path}/review"), batch=F.floor(c("id").cast("long") / 10), truncate=True)
+    kept, review = t.spark.read.parquet(f"{path}/kept"), t.spark.read.parquet(f"{path}/review")
+    return kept.select("id", "name", "size", F.lit(None).cast("string").alias("unfit")).union(review.select(c("id").cast("long"), "name", F.lit(None).cast("int"), F.array_join("unfit", ",")))
+
+
+query("s8_append_table", "", """b as (select distinct p_partkey // 10 b from part where p_partkey % 97 = 0)
+SELECT p_partkey id, case when b is null then p_name[1:6] else p_name end as name, case when b is null then p_size end size, case when p_partkey % 97 = 0 then 'size' when b is not null then '' end unfit from part left join b on b = p_partkey // 10""")(_appended)
 query("s9_bucket_by_id", "", "k as (select c_custkey, c_custkey % 16 batch from customer where c_custkey % 2 = 0) SELECT o_orderkey, o_custkey, cast(batch as int) known_batch, true one_batch, true in_range from orders left join k on c_custkey = o_custkey")(
     lambda t: (lambda known: io.bucket_by_id(t.orders, "o_custkey", 16, known).join(io.bucket_by_id(t.orders, "o_custkey", 16, known).groupBy("o_custkey").agg(F.count_distinct("batch").alias("n_batches")), "o_custkey").select("o_orderkey", "o_custkey", F.when(c("o_custkey") % 2 == 0, c("batch")).alias("known_batch"), (c("n_batches") == 1).alias("one_batch"), c("batch").between(0, 15).alias("in_range")))(t.customer.where("c_custkey % 2 = 0").select(c("c_custkey").alias("o_custkey"), (c("c_custkey") % 16).cast("int").alias("batch")))
 )
@@ -228,6 +264,24 @@ def _packaged(t: Tables) -> DataFrame:
 
 
 query("s13_package_dataset", "", "SELECT case when user_id % 5 = 0 then 'Test' else 'Development' end split, count(distinct user_id) n, count(*) steps from events where user_id in (select o_custkey from orders) and user_id in (select c_custkey from customer) group by 1")(_packaged)
+
+
+def _written_package(t: Tables) -> DataFrame:
+    """Offsets of a packaged series read back, with the sum of the values that they point at first and last."""
+    split = t.customer.select(c("c_custkey").alias("id"), F.when(c("c_custkey") % 5 == 0, "Test").otherwise("Development").alias("split"))
+    frames = {"series": t.events.select(c("user_id").alias("id"), "ts", "event_id", "value", c("value").isNull().cast("int").alias("value_missing_ind"))}
+    y = t.orders.groupBy(c("o_custkey").alias("id")).agg(F.count("*").alias("y"))
+    path = _scratch(t)
+    io.write_package(frames, split, y, key="id", path=path, sequences={"series": "ts"})
+    offsets, values = (io.read_package(t.spark, path, "series", kind, ["Development", "Test"]) for kind in ("offsets", "numeric"))
+    at = lambda place, name: values.select(c("split"), c("position").alias(place), c("event_id").alias(name))
+    ends = offsets.withColumn("end", c("start") + c("length") - 1)
+    return ends.join(at("start", "first_event"), ["split", "start"]).join(at("end", "last_event"), ["split", "end"]).select("split", "id", "start", "length", "first_event", "last_event")
+
+
+query("s13_write_package", "", """e as (select case when user_id % 5 = 0 then 'Test' else 'Development' end split, user_id id, event_id, ts from events where user_id in (select o_custkey from orders) and user_id in (select c_custkey from customer)),
+p as (select *, row_number() over (partition by split order by id, ts, event_id) - 1 p from e)
+SELECT split, id, min(p) as start, count(*) length, arg_min(event_id, p) first_event, arg_max(event_id, p) last_event from p group by 1, 2""")(_written_package)
 query("s14_populate_cohort", "visits", "SELECT 8 cohort_definition_id, person_id subject_id, start_at cohort_start_date, end_at cohort_end_date from visits where status = 'P'")(
     lambda t: io.populate_cohort(t.visits.where("status = 'P'"), t.spark.createDataFrame([(7,)], "cohort_definition_id int"), definition_name="pending", subject="person_id", start="start_at", end="end_at")[0]
 )
@@ -244,9 +298,11 @@ def _gap_rule(g):
 
 
 query("xu1_aggregate_by_name", "", "SELECT user_id, max(value) - min(value) as value, count(distinct event_type) event_type from events group by 1", "value")(lambda t: hooks.aggregate_by(t.events, ["user_id"], {"value": "range", "event_type": F.count_distinct}))
-query("xu2_custom_overlap", "locations", """a as (select *, case when loc_start > max(loc_end + interval 2 hour) over (partition by person_id order by loc_start, loc_end rows between unbounded preceding and 1 preceding) then 1 else 0 end n from locations),
+_OVERLAP = """a as (select *, case when loc_start > max(loc_end + interval 2 hour) over (partition by person_id order by loc_start, loc_end rows between unbounded preceding and 1 preceding) then 1 else 0 end n from locations),
 b as (select *, sum(n) over (partition by person_id order by loc_start, loc_end rows unbounded preceding) island from a)
-SELECT person_id, min(loc_start) loc_start, max(loc_end) loc_end, count(*) n_merged from b group by person_id, island""")(lambda t: hooks.condense_custom(t.locations, by=["person_id"], start="loc_start", end="loc_end", islands=_gap_rule))
+SELECT person_id, min(loc_start) loc_start, max(loc_end) loc_end, count(*) n_merged from b group by person_id, island"""
+query("xu2_custom_overlap", "locations", _OVERLAP)(lambda t: hooks.condense_custom(t.locations, by=["person_id"], start="loc_start", end="loc_end", islands=_gap_rule))
+query("xu2_running_overlap", "locations", _OVERLAP)(lambda t: hooks.condense_running(t.locations, by=["person_id"], start="loc_start", end="loc_end", joins=lambda _, latest, start, __: start - latest <= 7200 * 1_000_000))
 query("xu3_interval_preparation", "locations", "SELECT person_id, count(*) n from locations where label <> 'view' group by 1")(lambda t: hooks.steps(t.locations, lambda d: d.where("label <> 'view'"), lambda d: d.groupBy("person_id").agg(F.count("*").alias("n"))))
 query("k5_fisher_exact", "", """t as (select count(*) filter (quality = 1 and toxic = 1) a, count(*) filter (quality = 1 and toxic = 0) b, count(*) filter (quality = 0 and toxic = 1) c, count(*) filter (quality = 0 and toxic = 0) d from labels),
 m as (select *, a + b r, a + c k, a + b + c + d n from t), x as (select m.*, unnest(range(greatest(0, k - (n - r)), least(r, k) + 1)) i from m),
