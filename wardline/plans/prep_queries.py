@@ -226,10 +226,10 @@ query("s8_conform", "", "SELECT case when p_partkey % 9 = 0 or p_partkey % 7 = 0
 def _by_size(t: Tables) -> DataFrame:
     path = _scratch(t)
     io.write_table(t.orders.select("o_orderkey", "o_orderpriority"), path, fmt="csv", bytes_per_file=20_000)
-    return t.spark.read.option("header", True).csv(path).select(c("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", (c("_metadata.file_size") <= 20_000).alias("within"))
+    return t.spark.read.option("header", True).csv(path).select(c("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", (c("_metadata.file_size") <= 20_000).alias("fits"))
 
 
-query("s7_write_by_size", "", "SELECT o_orderkey, o_orderpriority, true as "within" from orders")(_by_size)
+query("s7_write_by_size", "", "SELECT o_orderkey, o_orderpriority, true fits from orders")(_by_size)
 
 
 def _appended(t: Tables) -> DataFrame:
