@@ -215,6 +215,11 @@ def datediff_boundary(unit: str, start: Column, end: Column) -> Column:
     return ((F.unix_seconds(F.date_trunc(unit, end)) - F.unix_seconds(F.date_trunc(unit, start))) / seconds).cast("long")
 
 
+def nearest_second(at: Column) -> Column:
+    """Seconds since 1970, rounded to the nearest; half a second goes to the even one."""
+    return F.rint(F.unix_micros(at) / 1e6).cast("long")
+
+
 def elapsed(unit: str, start: Column, end: Column) -> Column:
     """Whole elapsed units."""
     micros = {"day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000}[unit]

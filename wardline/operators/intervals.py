@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.functions.scalars import nearest_second
+
 
 def condense_intervals(df: DataFrame, *, by: Sequence[str], start: str, end: str, gap: str = "0 SECONDS", aggregates: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Merge intervals of a group that overlap, touch, or lie within ``gap``; other columns by an aggregate each.
@@ -210,11 +212,11 @@ def densify_calendar(df: DataFrame, *, by: Sequence[str], day: str, values: Sequ
 
 
 def infusion_rates(meds: DataFrame, cases: DataFrame, *, key: str, start: str, end: str, amount: str, weight: str, case_start: str, case_end: str) -> DataFrame:
-    """Per case and minute offset, the summed rate per kilogram of concurrent infusions (weight 70 where missing)."""
+    """Per case and minute offset, the summed rate per kilogram of concurrent infusions (weight 70 where missing). Times count to the nearest second."""
     joined = meds.join(cases, key).where((F.col(start) <= F.col(case_end)) & (F.col(end) >= F.col(case_start)))
-    minutes = F.greatest(F.lit(1.0), (F.unix_seconds(end) - F.unix_seconds(start)) / 60)
+    minutes = F.greatest(F.lit(1.0), (nearest_second(F.col(end)) - nearest_second(F.col(start))) / 60)
     rate = F.col(amount) / minutes / F.coalesce(weight, F.lit(70.0))
-    offset = lambda c: F.floor((F.unix_seconds(c) - F.unix_seconds(F.col(case_start))) / 60)
+    offset = lambda c: F.floor((nearest_second(c) - nearest_second(F.col(case_start))) / 60)
     lo, hi = offset(F.greatest(start, case_start)), offset(F.least(end, case_end))
     return joined.select(key, rate.alias("rate"), F.explode(F.sequence(lo, hi)).alias("minute")).groupBy(key, "minute").agg(F.sum("rate").alias("rate"))
 
