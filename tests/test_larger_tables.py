@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wardline.operators import intervals
+from wardline.operators import intervals, joins
 
 at = lambda second, micros=0: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second, microseconds=micros)
 
@@ -15,3 +15,11 @@ def test_infusion_minutes_count_rounded_seconds(spark):
     meds = spark.createDataFrame([(1, at(60, 400_000), at(60, 400_000), 7.0), (1, at(120, 600_000), at(120, 600_000), 14.0), (2, at(59, 500_000), at(59, 500_000), 70.0)], "k int, s timestamp, e timestamp, v double").withColumn("kg", F.lit(None).cast("double"))
     got = intervals.infusion_rates(meds, cases, key="k", start="s", end="e", amount="v", weight="kg", case_start="cs", case_end="ce")
     assert sorted(map(tuple, got.collect())) == [(1, 0, 0.1), (1, 2, 0.2), (2, 1, 1.0)]
+
+
+def test_pairs_by_rounded_seconds(spark):
+    """0.6 s and 10.4 s are 9 seconds apart, 0.5 s and 10.5 s 10, 0.4 s and 10.6 s 11; each pair meets once, whatever its bins."""
+    num = spark.createDataFrame([(1, at(10, 400_000), 6.0), (2, at(10, 500_000), 6.0), (3, at(10, 600_000), 6.0), (4, at(19, 500_000), 6.0)], "k int, s timestamp, v double")
+    den = spark.createDataFrame([(1, at(0, 600_000), 2.0), (2, at(0, 500_000), 2.0), (3, at(0, 400_000), 2.0), (4, at(9, 600_000), 2.0)], "k int, s timestamp, v double")
+    found = lambda n: sorted(r[0] for r in joins.pair_within(num, den, key="k", at="s", value="v", seconds=n).select("k").collect())
+    assert found(9) == [1] and found(10) == [1, 2, 4] and found(11) == [1, 2, 3, 4]

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.functions.scalars import nearest_second
 from wardline.operators.saved import saved
 
 
@@ -97,16 +98,16 @@ def followup_flags(visits: DataFrame, *, person: str, visit: str, start: str, en
 
 
 def pair_within(num: DataFrame, den: DataFrame, *, key: str, at: str, value: str, seconds: int) -> DataFrame:
-    """Ratios of values of one key whose times differ by at most so many seconds.
+    """Ratios of values of one key whose times, to the nearest second, differ by at most so many seconds.
 
     Times are cut into bins of that length and each denominator stands in its own bin and the two beside it, so a pair
     meets once, in the bin of its numerator, and a key with very many rows spreads over its bins.
     """
-    number = lambda c: F.floor(F.unix_seconds(c) / max(seconds, 1))
+    number = lambda c: F.floor(nearest_second(F.col(c)) / max(seconds, 1))
     a = num.select(key, F.col(at).alias("num_at"), F.col(value).alias("num")).withColumn("_bin", number("num_at"))
     b = den.where(F.col(value) != 0).select(F.col(key).alias("_k"), F.col(at).alias("den_at"), F.col(value).alias("den"))
     b = b.withColumn("_b", F.explode(F.sequence(number("den_at") - 1, number("den_at") + 1)))
-    near = F.abs(F.unix_seconds("num_at") - F.unix_seconds("den_at")) <= seconds
+    near = F.abs(nearest_second(F.col("num_at")) - nearest_second(F.col("den_at"))) <= seconds
     return a.join(b, (F.col(key) == F.col("_k")) & (F.col("_bin") == F.col("_b")) & near).select(key, "num_at", "den_at", (F.col("num") / F.col("den")).alias("ratio"))
 
 
