@@ -4,7 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tests.test_queries import DATA
 from wardline.operators import intervals, joins
+from wardline.plans import registry
 
 at = lambda second, micros=0: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second, microseconds=micros)
 
@@ -23,3 +25,15 @@ def test_pairs_by_rounded_seconds(spark):
     den = spark.createDataFrame([(1, at(0, 600_000), 2.0), (2, at(0, 500_000), 2.0), (3, at(0, 400_000), 2.0), (4, at(9, 600_000), 2.0)], "k int, s timestamp, v double")
     found = lambda n: sorted(r[0] for r in joins.pair_within(num, den, key="k", at="s", value="v", seconds=n).select("k").collect())
     assert found(9) == [1] and found(10) == [1, 2, 4] and found(11) == [1, 2, 3, 4]
+
+
+def test_hours_are_made_by_sorting(spark):
+    """Worst points a visit and hour, of known visits only; no hash table and no join under the sort."""
+    from wardline.operators import clinical
+
+    doses = spark.createDataFrame([(1, at(0), 2), (1, at(3599), 4), (1, at(3600), None), (2, at(0), 3), (None, at(0), 1), (3, at(0), None), (3, at(1), 0)], "v int, t timestamp, p int")
+    visits = spark.createDataFrame([(1,), (1,), (3,), (None,)], "v int")
+    got = clinical.hourly_points(doses, visits, key="v", at="t", points="p")
+    assert sorted(map(tuple, got.collect())) == [(1, at(0), 4), (1, at(3600), None), (3, at(0), 0)]
+    plan = registry.queries()["c30_pressor_score"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "LeftSemi" in plan

@@ -33,6 +33,11 @@ def count_sum_pivot(df: DataFrame, by: Sequence[str], label: str, value: str, la
     return df.groupBy(*by).agg(*aggs, F.count("*").alias("n_total"), F.sum(value).alias("sum_total"))
 
 
+def sorted_max(column: Column) -> Column:
+    """The maximum, of values in a struct, which Spark aggregates over sorted rows: for groups of few rows each, whose hash table would hold the whole task."""
+    return F.max(F.struct(column.alias("most")))["most"]
+
+
 def distinct_per_category(df: DataFrame, by: Sequence[str], category: str, item: str, categories: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(*(F.count_distinct(F.when(F.col(category) == c, F.col(item))).alias(f"n_{c}") for c in categories))
 

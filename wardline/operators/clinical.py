@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import scalars as S
 from wardline.operators import intervals, joins, windows
+from wardline.operators.aggs import sorted_max
 
 c = F.col
 
@@ -252,6 +253,12 @@ def quick_score(respiratory_rate: Column, systolic: Column, consciousness: Colum
     return {"rate": part(respiratory_rate, respiratory_rate >= 22), "pressure": part(systolic, systolic <= 100), "mind": part(consciousness, consciousness < 15)}
 
 
+def hourly_points(doses: DataFrame, visits: DataFrame, *, key: str, at: str, points: str) -> DataFrame:
+    """The worst points of each hour of the visits. Hours are made by sorting before the visits are met, so a task holds neither all hours in a table nor doses beside visits."""
+    hours = doses.where(F.col(key).isNotNull()).repartition(key).groupBy(key, F.date_trunc("hour", at).alias("hour")).agg(sorted_max(F.col(points)).alias(points))
+    return hours.join(visits.select(key), key, "left_semi")
+
+
 def electronic_score(visits: DataFrame, *, creatinine: str, bilirubin: str, platelets: str, lactate: str, pressor: str, ventilated: str, esrd: str, suffix: str = "_base") -> DataFrame:
     """Six parts from a visit's worst values and their baselines (column + suffix), null values giving no point.
 
