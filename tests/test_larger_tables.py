@@ -37,3 +37,12 @@ def test_hours_are_made_by_sorting(spark):
     assert sorted(map(tuple, got.collect())) == [(1, at(0), 4), (1, at(3600), None), (3, at(0), 0)]
     plan = registry.queries()["c30_pressor_score"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan and "LeftSemi" in plan
+
+
+def test_distinct_items_without_copies_of_rows(spark):
+    from wardline.operators import aggs
+
+    df = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (1, "a", 6), (1, "b", 5), (1, "z", 9), (2, "z", 1), (3, None, 1), (4, "b", None), (None, "a", 1)], "k int, c string, i int")
+    out = aggs.distinct_per_category(df, ["k"], "c", "i", ["a", "b"])
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 0, 0), (None, 1, 0)]
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()

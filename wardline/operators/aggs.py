@@ -39,7 +39,11 @@ def sorted_max(column: Column) -> Column:
 
 
 def distinct_per_category(df: DataFrame, by: Sequence[str], category: str, item: str, categories: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*(F.count_distinct(F.when(F.col(category) == c, F.col(item))).alias(f"n_{c}") for c in categories))
+    """Distinct items of each category; rows are sorted once, not copied for each category."""
+    named = F.col(category).isin(*categories)
+    rows = df.select(*by, F.when(named, F.col(category)).alias("_category"), F.when(named, F.col(item)).alias("_item")).repartition(*by)
+    once = rows.groupBy(*by, "_category", "_item").agg(sorted_max(F.col("_item")).alias("_once"))
+    return once.groupBy(*by).agg(*(F.count(F.when(F.col("_category") == c, F.col("_once"))).alias(f"n_{c}") for c in categories))
 
 
 def string_agg_distinct(column: Column, separator: str = ", ") -> Column:
