@@ -27,6 +27,37 @@ def test_pairs_by_rounded_seconds(spark):
     assert found(9) == [1] and found(10) == [1, 2, 4] and found(11) == [1, 2, 3, 4]
 
 
+def test_custom_rules_over_batches_of_groups(spark):
+    """Groups cut by batches of seven rows, null keys, keys that floats cannot hold, null times; in far fewer calls to Spark's own workers than groups."""
+    from wardline.functions import hooks
+
+    big = 2**60 + 1
+    rows = [(k if k else None, i % 2, at(3600 * ((7 * i + k) % 40)), at(3600 * ((7 * i + k) % 40 + i % 3))) for k in (0, big, big + 1, 5) for i in range(11)] + [(9, 1, None, at(5)), (9, 1, at(1), None), (big + 2, 0, at(0), at(1))]
+    df = spark.createDataFrame(rows, "k long, h int, s timestamp, e timestamp")
+
+    def rule(g):
+        assert g[["k", "h"]].drop_duplicates().shape[0] == 1
+        return ((g["s"] - g["e"].cummax().shift()).dt.total_seconds() > 7200).cumsum()
+
+    want = []
+    for key in {r[:2] for r in rows}:
+        latest, own = None, sorted((r[2:] for r in rows if r[:2] == key), key=lambda r: (r[0] is None, r[0] or at(0), r[1] is None, r[1] or at(0)))
+        for s, e in own:
+            if not want or want[-1][:2] != list(key) or (s and latest and s - latest > dt.timedelta(hours=2)):
+                want.append([*key, s, e, 1])
+            else:
+                want[-1][3:] = [max(filter(None, (want[-1][3], e)), default=None), want[-1][4] + 1]
+            latest = max(filter(None, (latest, e)), default=None)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = hooks.condense_custom(df, by=["k", "h"], start="s", end="e", islands=rule)
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, map(tuple, want)))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "MapInPandas" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hours_are_made_by_sorting(spark):
     """Worst points a visit and hour, of known visits only; no hash table and no join under the sort."""
     from wardline.operators import clinical

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -35,16 +38,49 @@ def condense_custom(df: DataFrame, *, by: Sequence[str], start: str, end: str, i
 
     The rule sees one group as a whole, so a group must fit in a task; ``condense_running`` takes rules that only need
     the open interval, for groups of any size, and ``condense_intervals`` covers the common rules without Python.
+    A task hands the rule one group after the other and condenses a batch of groups at once.
     """
+    types = dict(df.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in (*by, start, end)) + ", n_merged long"
+
+    def condense(rows: pd.DataFrame, heads: list[int]) -> pd.DataFrame:
+        """Whole groups in order; ``heads`` are the places of their first rows."""
+        found = []
+        for lo, hi in pairwise([*heads, len(rows)]):
+            g = rows.iloc[lo:hi].reset_index(drop=True)
+            found.append(g.assign(_i=islands(g))["_i"])
+        rows = rows.assign(_g=np.repeat(np.arange(len(heads)), np.diff([*heads, len(rows)])), _i=pd.concat(found).to_numpy())
+        out = rows.groupby(["_g", "_i"], dropna=False).agg(**{c: (c, "first") for c in by}, **{start: (start, "min"), end: (end, "max"), "n_merged": (start, "size")})
+        return out.reset_index(drop=True)[[*by, start, end, "n_merged"]]
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # the last group so far
+        for frame in frames:
+            heads = np.flatnonzero(frame["_head"].to_numpy(bool))
+            frame, cut = frame.drop(columns="_head"), int(heads[-1]) if len(heads) else None
+            if cut is None:
+                held.append(frame)
+                continue
+            whole = [*held, frame.iloc[:cut]]
+            before, held = sum(map(len, held)), [frame.iloc[cut:]]
+            if before + cut:
+                places = [before + int(h) for h in heads[:-1]]
+                yield condense(pd.concat(whole, ignore_index=True), places if not before else [0, *places])
+        if held:
+            yield condense(pd.concat(held, ignore_index=True), [0])
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values([start, end])
         out = g.assign(_i=islands(g)).groupby([*by, "_i"], dropna=False).agg(**{start: (start, "min"), end: (end, "max"), "n_merged": (start, "size")}).reset_index()
         return out[[*by, start, end, "n_merged"]]
 
-    types = dict(df.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in (*by, start, end)) + ", n_merged long"
-    return df.select(*by, start, end).groupBy(*by).applyInPandas(run, schema)
+    spans = df.select(*by, start, end)
+    keyed = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in by))
+    w = Window.partitionBy(*by).orderBy(F.asc_nulls_last(start), F.asc_nulls_last(end))
+    # the window leaves a task's rows in its order
+    many = spans.where(keyed).withColumn("_head", F.row_number().over(w) == 1).mapInPandas(batches, schema)
+    # beside a null, pandas would turn whole numbers of other groups to floats
+    return many.union(spans.where(~keyed).groupBy(*by).applyInPandas(run, schema))
 
 
 def condense_running(df: DataFrame, *, by: Sequence[str], start: str, end: str, joins: Callable[[int, int, int, int], bool]) -> DataFrame:
