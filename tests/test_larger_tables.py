@@ -77,3 +77,8 @@ def test_distinct_items_without_copies_of_rows(spark):
     out = aggs.distinct_per_category(df, ["k"], "c", "i", ["a", "b"])
     assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 0, 0), (None, 1, 0)]
     assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forest_reads_written_rows(spark):
+    files = registry.queries()["k10_random_forest"](spark, DATA).inputFiles()
+    assert files and all("/wardline-" in f for f in files)

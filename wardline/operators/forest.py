@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.operators.saved import saved
 from wardline.operators.stats import class_weights, k_fold
 
 
@@ -36,7 +37,8 @@ def out_of_fold_scores(rows: DataFrame, *, key: str, y: str, features: Sequence[
 
     Folds are hashes of the key. Rows without a label are scored, and no model learns from them.
     """
-    dealt = k_fold(rows, key, folds, seed=seed).withColumn("inner", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(inner_folds)).cast("int"))
+    # written, as each step of each fit reads the rows again, and a lookup among them would pass the driver each time
+    dealt = saved(k_fold(rows, key, folds, seed=seed).withColumn("inner", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(inner_folds)).cast("int")))
     out = None
     for fold in range(folds):
         model = fit_forest(dealt.where((F.col("fold") != fold) & F.col(y).isNotNull()), y=y, features=features, select=select, depths=depths, trees=trees, inner_folds=inner_folds, seed=seed)
