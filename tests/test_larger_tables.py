@@ -82,3 +82,15 @@ def test_distinct_items_without_copies_of_rows(spark):
 def test_forest_reads_written_rows(spark):
     files = registry.queries()["k10_random_forest"](spark, DATA).inputFiles()
     assert files and all("/wardline-" in f for f in files)
+
+
+def test_nearest_places_are_sought_once_a_position(spark):
+    """2,000 keys at two positions: the cells of each level meet two rows; keys at several positions or none have one row."""
+    places = spark.createDataFrame([(i, float(i % 40), float(i // 40)) for i in range(400)], "k int, x double, y double")
+    keys = spark.createDataFrame([(i, 3.2 + 30 * (i % 2), 5.1) for i in range(2000)] + [(0, 39.0, 9.0), (2000, None, 1.0), (2001, None, None), (2001, 0.0, 0.0)], "k int, x double, y double")
+    out = joins.nearest_neighbour(keys, places, key="k", x="x", y="y")
+    got = {r.k: (r.nearest, r.distance and round(r.distance, 6)) for r in out.collect()}
+    assert len(got) == 2002 == out.count() and got[2000] == ("missing", None) and got[2001] == ("0", 0.0) and got[0] == ("399", 0.0)
+    assert got[2] == ("203", 0.223607) and got[1] == ("233", 0.223607)
+    by_position = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [min(_hi" in line]
+    assert by_position and all("k#" not in line for line in by_position)

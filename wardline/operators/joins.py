@@ -118,8 +118,8 @@ CUTS, LEAF = 12, 32
 def nearest_neighbour(keys: DataFrame, reference: DataFrame, *, key: str, x: str, y: str) -> DataFrame:
     """For distinct keys with coordinates, the reference key at the least distance (ties: the least key); without coordinates, 'missing'.
 
-    Reference places lie in nested square cells, each with the bounds of its places. A key goes down level by level: of the cells below those that are left, it keeps
-    the ones that may hold something nearer than what the best of them is sure to hold. All meetings are by the number of a cell, a key keeps a few cells a level, and the result is
+    Reference places lie in nested square cells, each with the bounds of its places. A position, of however many keys, goes down level by level: of the cells below those that are left, it keeps
+    the ones that may hold something nearer than what the best of them is sure to hold. All meetings are by the number of a cell, a position keeps a few cells a level, and the result is
     exact for any number of places. Reference keys without coordinates are left out; the number of levels comes from one aggregate of the reference.
     """
     ref = reference.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).cast("double").alias("_rx"), F.col(y).cast("double").alias("_ry")).agg(F.min(key).alias("ref_key"))
@@ -139,16 +139,16 @@ def nearest_neighbour(keys: DataFrame, reference: DataFrame, *, key: str, x: str
         part = lambda p, lo, hi: F.greatest(F.lit(0.0), F.col(lo) - F.col(p), F.col(p) - F.col(hi)) if near else F.greatest(F.abs(F.col(lo) - F.col(p)), F.abs(F.col(hi) - F.col(p)))
         return F.pow(part("_x", "_x0", "_x1"), 2) + F.pow(part("_y", "_y0", "_y1"), 2)
 
-    left = found.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).withColumns({"_i": F.lit(0).cast("long"), "_j": F.lit(0).cast("long")})
-    best = Window.partitionBy(key, "_x", "_y")
+    left = found.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).select("_x", "_y").distinct().withColumns({"_i": F.lit(0).cast("long"), "_j": F.lit(0).cast("long")})
+    best = Window.partitionBy("_x", "_y")
     for n in range(1, levels + 1):
         cells = ref.groupBy(*at(n)).agg(F.min("_rx").alias("_x0"), F.max("_rx").alias("_x1"), F.min("_ry").alias("_y0"), F.max("_ry").alias("_y1"))
-        below = left.select(key, "_x", "_y", "_i", "_j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_c"))
-        below = below.select(key, "_x", "_y", (F.col("_i") * 4 + F.col("_c") % 4).alias("_i"), (F.col("_j") * 4 + F.floor(F.col("_c") / 4)).alias("_j")).join(cells, ["_i", "_j"])
-        left = below.withColumns({"_lo": squared(True), "_hi": squared(False)}).withColumn("_sure", F.min("_hi").over(best)).where("_lo <= _sure").select(key, "_x", "_y", "_i", "_j")
+        below = left.select("_x", "_y", "_i", "_j", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_c"))
+        below = below.select("_x", "_y", (F.col("_i") * 4 + F.col("_c") % 4).alias("_i"), (F.col("_j") * 4 + F.floor(F.col("_c") / 4)).alias("_j")).join(cells, ["_i", "_j"])
+        left = below.withColumns({"_lo": squared(True), "_hi": squared(False)}).withColumn("_sure", F.min("_hi").over(best)).where("_lo <= _sure").select("_x", "_y", "_i", "_j")
     apart = F.sqrt(F.pow(F.col("_x") - F.col("_rx"), 2) + F.pow(F.col("_y") - F.col("_ry"), 2))
-    near = left.join(ref.select("ref_key", "_rx", "_ry", *at(levels)), ["_i", "_j"]).groupBy(key).agg(F.min(F.struct(apart.alias("distance"), "ref_key")).alias("m"))
-    return found.select(key).distinct().join(near, key, "left").select(key, F.coalesce(F.col("m.ref_key").cast("string"), F.lit("missing")).alias("nearest"), F.col("m.distance").alias("distance"))
+    near = left.join(ref.select("ref_key", "_rx", "_ry", *at(levels)), ["_i", "_j"]).groupBy("_x", "_y").agg(F.min(F.struct(apart.alias("distance"), "ref_key")).alias("m"))
+    return found.join(near, ["_x", "_y"], "left").groupBy(key).agg(F.min("m").alias("m")).select(key, F.coalesce(F.col("m.ref_key").cast("string"), F.lit("missing")).alias("nearest"), F.col("m.distance").alias("distance"))
 
 
 def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
