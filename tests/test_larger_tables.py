@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.test_queries import DATA
@@ -94,3 +95,19 @@ def test_nearest_places_are_sought_once_a_position(spark):
     assert got[2] == ("203", 0.223607) and got[1] == ("233", 0.223607)
     by_position = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [min(_hi" in line]
     assert by_position and all("k#" not in line for line in by_position)
+
+
+def test_kidney_inputs_are_distinct_before_they_multiply(spark, tmp_path):
+    """No aggregate over the joined rows; where visits stand for several persons or are repeated, the rows still are those of the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    name, con = "x53_kidney_inputs", duckdb.connect()
+    run = registry.queries()[name]
+    assert not run(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().startswith("Aggregate")
+    for table in ("lineitem", "events"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{DATA}/{table}.parquet")
+    con.sql(f"copy (select * from '{DATA}/orders.parquet' union all select * from '{DATA}/orders.parquet' where o_orderkey < 20 union all select * replace (o_custkey + 1 as o_custkey) from '{DATA}/orders.parquet' where o_orderkey between 10 and 40) to '{tmp_path}/orders.parquet'")
+    for table in ("lineitem", "events", "orders"):
+        con.sql(f"create view {table} as select * from '{tmp_path}/{table}.parquet'")
+    want = con.sql(registry.oracle_sql()[name]).fetchall()
+    got = run(spark, str(tmp_path)).select("visit_id", "kind", "code", "at").collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == set(want)

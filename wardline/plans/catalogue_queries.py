@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import scalars as S
@@ -138,14 +139,25 @@ query("x53_kidney_inputs", f"{_STAYS} measurements conditions devices acts", """
 union select visit_id, 'diagnosis', variable, found_at from conditions join stays using (person_id) where found_at <= end_at + interval 60 day
 union select visit_id, 'dialysis', 'device', used_at from devices join stays using (person_id) where variable = 'dialysis' and used_at <= end_at
 union select visit_id, 'dialysis', 'procedure', done_at from acts join stays using (person_id) where variable = '1-URGENT' and done_at <= end_at""")(
-    lambda t: (lambda s: (
-        s(t.measurements.where("variable = 'view' and value is not null"), "creatinine", c("variable"), "taken_at", 0)
-        .union(s(t.conditions, "diagnosis", c("variable"), "found_at", 60))
-        .union(s(t.devices.where("variable = 'dialysis'"), "dialysis", F.lit("device"), "used_at", 0))
-        .union(s(t.acts.where("variable = '1-URGENT'"), "dialysis", F.lit("procedure"), "done_at", 0))
-        .distinct()
-    ))(lambda f, kind, code, at, days: f.join(t.stays, "person_id").where(typing_ops.window_filter(c(at), None, c("end_at"), after=f"{days} DAYS")).select("visit_id", F.lit(kind).alias("kind"), code.alias("code"), c(at).alias("at")))
+    lambda t: _kidney_inputs(t)
 )
+
+
+def _kidney_inputs(t: Tables) -> DataFrame:
+    """Facts are made distinct a person before they meet the stays, which are far more rows; afterwards only where a visit stands for several persons."""
+    stays = t.stays.groupBy("visit_id", "person_id").agg(F.max("end_at").alias("end_at"))
+    facts = lambda f, kind, code, at, days: f.select("person_id", F.lit(kind).alias("kind"), code.alias("code"), c(at).alias("at"), F.lit(days).alias("days"))
+    rows = (
+        facts(t.measurements.where("variable = 'view' and value is not null"), "creatinine", c("variable"), "taken_at", 0)
+        .union(facts(t.conditions, "diagnosis", c("variable"), "found_at", 60))
+        .union(facts(t.devices.where("variable = 'dialysis'"), "dialysis", F.lit("device"), "used_at", 0))
+        .union(facts(t.acts.where("variable = '1-URGENT'"), "dialysis", F.lit("procedure"), "done_at", 0))
+    ).distinct()
+    out = rows.join(stays, "person_id").where(c("at") <= c("end_at") + F.make_dt_interval(c("days"))).select("visit_id", "kind", "code", "at")
+    shared = t.visits.groupBy("visit_id").agg((F.min("person_id") != F.max("person_id")).alias("several")).where("several")
+    return out if shared.isEmpty() else out.distinct()
+
+
 query("x08_hospice_and_planned_return", "visits", """SELECT v.visit_id, max(case when w.visit_id is not null then 1 else 0 end) readmitted, max(case when w.status = 'F' then 1 else 0 end) hospice, max(case when w.status = 'P' then 1 else 0 end) planned from visits v left join visits w on w.person_id = v.person_id and w.visit_id <> v.visit_id and w.start_at between v.end_at and v.end_at + interval 30 day group by 1""")(
     lambda t: joins.followup_flags(t.visits.select("person_id", "visit_id", "start_at", "end_at", "status"), person="person_id", visit="visit_id", start="start_at", end="end_at", days=30, flags={"readmitted": F.lit(True), "hospice": c("status") == "F", "planned": c("status") == "P"})
 )
