@@ -466,6 +466,35 @@ def test_planted_items_are_found_and_others_not(spark):
     assert decontaminate.find_leaks(frame(spark, data), decontaminate.build_index(frame(spark, data), benchmark.limit(0))).count() == 0
 
 
+def test_words_in_one_buffer_are_those_of_each_text():
+    """Words that meet at the ends of texts, odd white space, punctuation alone and around, bytes that are no text, words longer than the table, nulls, sliced columns."""
+    r = random.Random(31)
+    texts = [b"a", b"b", b"", None, b" A\x0b\x0cb\x1cC\x85 ", b"... --x-- (Don't!) \"'", b"\xff\xfe a\x00b", b"y" * 31 + b" " + b"Y" * 32 + b" " + b"y" * 33 + b" (" + b"z" * 5000 + b")", b"-" * 300 + b" " + b"-" * 300 + b"q", b"\n\t", b"end."]
+    texts += [bytes(r.choice(b" \n.,-abAB\xc3\xa9") for _ in range(r.randrange(60))) for _ in range(500)]
+    for column in (pa.array(texts, pa.binary()), pa.array([b"before", *texts, b"after"], pa.binary()).slice(1, len(texts)), pa.array([], pa.binary()), pa.array([None, b""], pa.binary())):
+        w = decontaminate.Words(column)
+        want = [[decontaminate.plain(x) for x in (t or b"").lower().split()] for t in column.to_pylist()]
+        assert w.sizes.tolist() == [len(t) for t in want]
+        flat = [x for t in want for x in t]
+        assert w.plain(0, len(flat)) == flat and w.features.tolist() == [zlib.crc32(x) % decontaminate.FEATURES for x in flat]
+
+
+def test_texts_are_counted_and_searched_without_a_call_for_each_word(monkeypatch):
+    r = random.Random(32)
+    words = lambda n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9))) for _ in range(n))
+    item = words(30)
+    texts = [words(400) for _ in range(50)] + [words(50) + " " + item + " " + words(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(51)), pa.array(texts)], names=["doc_id", "text"])
+    space = decontaminate.Space(np.random.default_rng(1).standard_normal((decontaminate.FEATURES, 16)).astype(np.float32), np.ones(decontaminate.FEATURES, bool))
+    items, calls = decontaminate.read_items([(7, item)], 3), []
+    plain = decontaminate.plain
+    monkeypatch.setattr(decontaminate, "plain", lambda w: calls.append(w) or plain(w))
+    (counts,) = decontaminate._word_counts(iter([batch.select(["text"])]))
+    (found,) = decontaminate._find(space, items, decontaminate.Terms(0.45, 0.6, 0.75, 8))(iter([batch]))
+    assert sum(counts.column(1).to_pylist()) == 50 * 400 + 130 and found.column(0).to_pylist() == [50] and found.column(1).to_pylist() == [7]
+    assert len(calls) <= 30  # those of the item
+
+
 def test_the_most_widespread_item_is_found(spark):
     r = random.Random(8)
     words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(4, 9))) for _ in range(6000)]
