@@ -3,8 +3,11 @@
 import hashlib
 import math
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +136,54 @@ def test_repeats_are_those_of_all_windows(spark, block_bytes, crowd, hot):
     assert suffix_dedup.drop_repeats(frame(spark, data).limit(0)).count() == 0
 
 
+def calls(task, *tables):
+    """Result of a task, and how many functions it calls."""
+    n = [0]
+
+    def count(frame, event, arg):
+        n[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        out = task(*tables)
+    finally:
+        sys.setprofile(None)
+    return out, n[0]
+
+
+def test_work_on_repeats_does_not_grow_with_the_number_of_buckets():
+    """The rows of a block are one for each bucket, so a call a row would make the work grow with the square of the input."""
+    r = random.Random(3)
+    shared = [prose(r, 25) for _ in range(40)]
+    data = [(i, prose(r, 20) + " " + shared[i % 40] + prose(r, 10)) for i in range(400)]
+    table = pa.table({"doc_id": [i for i, _ in data], "text": [t for _, t in data], "block": pa.array([0] * 400, pa.int32())})
+    results, counts = [], []
+    for buckets in (16, 4_000):
+        sent, n = calls(suffix_dedup._entries(50, buckets, 1), table)
+        back = sent.select(["block", "bucket"]).append_column("flags", pa.array([bytes([3 if k % 2 else 2]) * (len(a) // 5) for k, a in enumerate(sent.column("a").to_pylist())], pa.binary()))
+        pending, m = calls(suffix_dedup._resolve(50, buckets, 1), table, back)
+        kind = pa.array(pending.column("kind"))
+        answers = pending.filter(pc.is_in(kind, pa.array(["open", "hot"])))
+        sizes = [len(a) // 8 if k == "hot" else sum(b[i] + 1 for i in range(1, len(b), 2)) for k, a, b in zip(*(answers.column(c).to_pylist() for c in ("kind", "a", "b")), strict=True)]
+        answers = answers.select(["kind", "block", "bucket"]).append_column("flags", pa.array([bytes(k) for k in sizes], pa.binary()))
+        done, k = calls(suffix_dedup._finish(50), pending.filter(pc.not_equal(kind, "done")), answers)
+        assert answers.num_rows > (100 if buckets > 16 else 10)
+        results.append(sorted(done.to_pylist(), key=lambda x: x["doc_id"]))
+        counts.append((n, m, k))
+    assert results[0] and all(high < 1.5 * low for low, high in zip(*counts, strict=True)), counts
+
+
+def test_suffixes_are_compared_only_where_they_begin_alike(monkeypatch):
+    r, pairs, plain = np.random.default_rng(5), [], suffix_dedup.common_extension
+    data = r.integers(97, 123, 40_000).astype(np.uint8)
+    starts = np.arange(0, 39_900, 10)
+    starts = np.r_[starts, starts[:50]]
+    monkeypatch.setattr(suffix_dedup, "common_extension", lambda poly, a, b, limit: pairs.append(len(a)) or plain(poly, a, b, limit))
+    classes = suffix_dedup.sorted_classes(data, suffix_dedup.PolyHash(data), starts, np.zeros(len(starts), np.int64), 50)
+    assert len(set(classes.tolist())) == len(starts) - 50 and (classes[-50:] == classes[:50]).all()
+    assert sum(pairs) < len(starts)
+
+
 def test_suffix_sort_finds_equal_prefixes():
     r = random.Random(2)
     data = np.frombuffer("".join(r.choice("ab") for _ in range(3000)).encode(), np.uint8)

@@ -35,15 +35,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import Scratch, input_bytes, text_or_empty
 
 GRAM = 14
+LEAD = 16  # bytes by which suffixes are dealt before they are sorted
 NONE = 255  # no side, or one that no string reaches over
 BASE, OTHER = 0x5DEECE66D1CE4E5B, 0x27BB2EE687B0B0FD  # odd, so that they have inverses modulo 2**64
-CHUNK = 1 << 19
+CHUNK = 1 << 16  # bytes hashed at a time, whose arrays stay in the cache; a longer text is one chunk
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
 MARK = _U((1 << 40) - 1)  # instead of a context: a crowd of them
@@ -108,13 +110,19 @@ def _less(data: np.ndarray, poly: PolyHash, a: np.ndarray, b: np.ndarray, limit:
 def sorted_classes(data: np.ndarray, poly: PolyHash, starts: np.ndarray, groups: np.ndarray, limit: int) -> np.ndarray:
     """Class number of each suffix: equal iff group and the first ``limit`` bytes are equal.
 
-    A bottom-up mergesort of all groups at once; the rank of a suffix in the run beside its own is found by
-    binary search with hash-compared suffixes.
+    Suffixes are dealt by group and leading bytes; then a bottom-up mergesort of all that agree there at once: the rank
+    of a suffix in the run beside its own is found by binary search with hash-compared suffixes.
     """
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64)
-    order = np.argsort(groups, kind="stable")
+    lead = [np.zeros(n, np.uint64) for _ in range(-(-min(limit, LEAD) // 8))]
+    for i in range(min(limit, LEAD)):
+        lead[i // 8] = lead[i // 8] << _U(8) | data[starts + i]
+    order = np.lexsort((*lead[::-1], groups))
+    differ = np.r_[False, np.any([x[order[1:]] != x[order[:-1]] for x in (groups, *lead)], axis=0)]
+    groups = np.empty(n, np.int64)
+    groups[order] = np.cumsum(differ)
     g = groups[order]
     first = np.r_[True, g[1:] != g[:-1]]
     begin = np.flatnonzero(first)
@@ -175,13 +183,16 @@ class Block:
         self.second = pick(10).astype(np.uint64)
         # the smallest document of each (anchor, context); ids may repeat
         key = mix(self.anchor, 1) + self.context
-        by = np.lexsort((self.doc, self.second, key))
+        by = np.argsort(key)
         second = self.second[by]
+        if ((key[by][1:] == key[by][:-1]) & (second[1:] != second[:-1])).any():
+            by = np.lexsort((self.second, key))
+            second = self.second[by]
         new = np.r_[True, (key[by][1:] != key[by][:-1]) | (second[1:] != second[:-1])] if len(by) else np.zeros(0, bool)
         number = np.cumsum(new) - 1
         self.entry = np.empty(len(by), np.int64)
         self.entry[by] = number
-        self.entry_run = by[new]
+        self.entry_run = np.minimum.reduceat(by, np.flatnonzero(new)) if len(by) else by  # runs are in the order of documents
         self.key = key[by][new]
         # what the block sends: its entries, but one mark for an anchor with a crowd of them
         anchors, which, times = np.unique(self.anchor[self.entry_run], return_inverse=True, return_counts=True)
@@ -249,74 +260,96 @@ class Block:
         return d + lo, s0 - begin[d], s1 - begin[d], a - s0, grams[a], context, left.astype(np.uint8), right.astype(np.uint8), second
 
 
-def _pack(x: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def _low_bytes(x: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bytes of integers, a row each."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
 
 
-def _unpack(blob: bytes, width: int) -> np.ndarray:
-    raw = np.frombuffer(blob, np.uint8).reshape(-1, width)
+def _numbers(raw: np.ndarray, width: int) -> np.ndarray:
+    """Integers of ``width`` bytes each."""
+    raw = raw.reshape(-1, width)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :width] = raw
     return wide.view("<u8").ravel()
 
 
-_SENT = "block int, bucket int, a binary, b binary, ranks binary, sides binary"
-_BACK = "block int, bucket int, flags binary"
+def _binary(items: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A value for each stretch of items between the cuts: their bytes one after the other."""
+    items = np.ascontiguousarray(items)
+    size = items.nbytes // max(1, len(items))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * size).astype(np.int32)), pa.py_buffer(items)])
 
 
-def _parts(keys: np.ndarray, count: int) -> list[tuple[int, np.ndarray]]:
-    """Each bucket of ``keys`` that is not empty, with the places of its keys."""
-    buckets = (keys % _U(count)).astype(np.int64)
-    order = np.argsort(buckets, kind="stable")
-    cut = np.searchsorted(buckets[order], np.arange(count + 1))
-    return [(k, order[cut[k] : cut[k + 1]]) for k in range(count) if cut[k] < cut[k + 1]]
+def _joined(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all values of a column one after the other; no value becomes an object."""
+    parts = [np.zeros(0, np.uint8)]
+    for c in column.chunks:
+        _, offsets, data = c.buffers()
+        if len(c) and data is not None:
+            ends = np.frombuffer(offsets, np.int32)[c.offset : c.offset + len(c) + 1]
+            parts.append(np.frombuffer(data, np.uint8)[ends[0] : ends[-1]])
+    return np.concatenate(parts)
+
+
+def _sizes(column: pa.ChunkedArray) -> np.ndarray:
+    """Bytes of each value; none for null."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane, which compresses well."""
-    return x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _deal(keys: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in the order of their buckets, the buckets that are not empty, and where each of them begins, with the end."""
+    buckets = (keys % _U(count)).astype(np.int64)
+    order = np.argsort(buckets, kind="stable")
+    first = np.flatnonzero(np.diff(buckets[order], prepend=-1))
+    return order, buckets[order][first], np.r_[first, len(order)]
 
 
-def _from_planes(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+def _spread(rank: np.ndarray, cuts: np.ndarray) -> dict[str, pa.Array]:
+    """Ranks as three low and five high bytes: the high ones are mostly the same and compress well."""
+    wide = rank.view(np.uint64)
+    return {"low": _binary(_low_bytes(wide, 3), cuts), "high": _binary(_low_bytes(wide >> _U(24), 5), cuts)}
 
 
-def _steps(x: np.ndarray) -> bytes:
-    """Byte planes of the differences of integers that mostly go up by one."""
-    return _planes(np.diff(x, prepend=0))
+def _ranks(table: pa.Table) -> np.ndarray:
+    return (_numbers(_joined(table.column("high")), 5) << _U(24) | _numbers(_joined(table.column("low")), 3)).view(np.int64)
 
 
-def _from_steps(blob: bytes) -> np.ndarray:
-    return np.cumsum(_from_planes(blob))
+def _rows(schema: pa.Schema, n: int, **columns) -> pa.Table:
+    """Rows of a schema; a column is an array, one value for all rows, or null."""
+    arrays = []
+    for f in schema:
+        x = columns.get(f.name)
+        arrays.append(x if isinstance(x, pa.Array | pa.ChunkedArray) else pa.array(x, f.type) if isinstance(x, np.ndarray | list) else pa.repeat(pa.scalar(x, f.type), n))
+    return pa.Table.from_arrays(arrays, schema=schema)
 
 
-def _flags_of(back: pa.Table, keys: np.ndarray, count: int) -> np.ndarray:
-    """Flags of the keys that a block has sent, in their order."""
-    flags, parts = np.zeros(len(keys), np.uint8), dict(_parts(keys, count))
-    for k, blob in zip(back.column("bucket").to_pylist(), back.column("flags").to_pylist(), strict=True):
-        flags[parts[k]] = np.frombuffer(blob, np.uint8)
-    return flags
+SENT = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("a", "b", "low", "high", "sides"))])
+_SENT = "block int, bucket int, a binary, b binary, low binary, high binary, sides binary"
+BACK = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
+_BACK = "block int, bucket int, flags binary"
 
 
-def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+def _answer(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Table:
+    """Flags for each row of a bucket, so many each."""
+    return _rows(BACK, table.num_rows, block=table.column("block"), bucket=table.column("bucket"), flags=_binary(flags, np.r_[0, np.cumsum(sizes)]))
 
 
-SENT = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ranks", pa.binary()), ("sides", pa.binary())])
-BACK = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
+def _answers(back: pa.Table) -> np.ndarray:
+    """All flags that came back for a block, in the order of the buckets."""
+    return _joined(back.take(pa.array(np.argsort(back.column("bucket").to_numpy(), kind="stable"))).column("flags"))
 
 
 def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
     """For each entry of a bucket: 1 if a smaller document has it; 2 if its first half occurs with another second half."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in (("block", "bucket", "a", "b", "ranks", "sides") if open_too else ("block", "bucket", "a", "b", "ranks"))), strict=True))
-        a = np.concatenate([_unpack(r[2], widths[0]) for r in rows])
-        # entries have a second part of their key behind the first
-        parts = [(r[3][: len(r[4]) // 8 * widths[1]], r[3][len(r[4]) // 8 * widths[1] :]) for r in rows]
-        b = np.concatenate([_unpack(x, widths[1]) for x, _ in parts])
-        b2 = np.concatenate([_unpack(x, 5) for _, x in parts]) if open_too else np.zeros(len(b), np.uint64)
-        rank = np.concatenate([_from_planes(r[4]) for r in rows])
+        a = _numbers(_joined(table.column("a")), widths[0])
+        if open_too:  # entries have a second part of their key behind the first
+            both = _joined(table.column("b")).reshape(-1, 2 * widths[1])
+            b, b2 = _numbers(both[:, : widths[1]], widths[1]), _numbers(both[:, widths[1] :], widths[1])
+        else:
+            b, b2 = _numbers(_joined(table.column("b")), widths[1]), np.zeros(len(a), np.uint64)
+        rank = _ranks(table)
         order = np.lexsort((rank, b2, b, a) if open_too else (rank, b, a))
         x, y, y2 = a[order], b[order], b2[order]
         new_a = np.r_[True, x[1:] != x[:-1]]
@@ -328,9 +361,9 @@ def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
             # of contexts around one anchor, those that may share a string: equal on one side of it; the
             # smallest entry of each sends its strings on
             group = (np.cumsum(new_a) - 1)[new]
-            sides = np.concatenate([np.frombuffer(r[5], np.uint8).reshape(2, -1) for r in rows], axis=1)[:, order][:, new]
+            sides = _joined(table.column("sides")).reshape(-1, 2)[order][new]
             may = np.zeros(len(group), bool)
-            for side in sides:
+            for side in sides.T:
                 _, where, times = np.unique(group * 256 + side, return_inverse=True, return_counts=True)
                 may |= (times[where] > 1) & (side != NONE)
             flag |= (may[number] & (flag == 0)).astype(np.uint8) * 2
@@ -340,12 +373,7 @@ def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
             flag[crowded[group][number] & (flag != 1)] = 3
         flags = np.empty(len(order), np.uint8)
         flags[order] = flag
-        out, at = [], 0
-        for r in rows:
-            n = len(r[4]) // 8
-            out.append((r[0], r[1], flags[at : at + n].tobytes()))
-            at += n
-        return _table(out, BACK)
+        return _answer(table, flags, _sizes(table.column("a")) // widths[0])
 
     return run
 
@@ -353,28 +381,44 @@ def _meet(widths: tuple[int, int], open_too: bool, hot: int = 0):
 def _entries(length: int, count: int, crowd: int):
     def run(table: pa.Table) -> pa.Table:
         b, number = Block(table, length, crowd), table.column("block")[0].as_py()
-        return _table([(number, k, _pack(b.sent_anchor[p] // _U(count), 5), _pack(b.sent_key[p], 5) + _pack(b.sent_more[p], 5), _planes(b.sent_rank[p]), b.sent_sides[:, p].tobytes()) for k, p in _parts(b.sent_anchor, count)], SENT)
+        order, buckets, cuts = _deal(b.sent_anchor, count)
+        keys = np.hstack([_low_bytes(b.sent_key[order], 5), _low_bytes(b.sent_more[order], 5)])
+        return _rows(SENT, len(buckets), block=number, bucket=buckets, a=_binary(_low_bytes(b.sent_anchor[order] // _U(count), 5), cuts), b=_binary(keys, cuts), sides=_binary(b.sent_sides[:, order].T, cuts), **_spread(b.sent_rank[order], cuts))
 
     return run
 
 
-PENDING = pa.schema(
-    [("kind", pa.string()), ("block", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("ranks", pa.binary())]
-    + [("doc_id", pa.int64()), ("text", pa.binary()), ("spans", pa.binary()), ("starts", pa.binary()), ("classes", pa.binary())]
-    + [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-)
-_PENDING = "kind string, block int, bucket int, a binary, b binary, ranks binary, doc_id long, text binary, spans binary, starts binary, classes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-
-
-def _cut(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, int, str]:
-    """Bytes, removed bytes, maximal removed runs and digest of what is kept, given removed spans."""
-    edge = np.zeros(len(text) + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, ends, -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-    kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if runs else text
-    return len(text), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()
+DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+PENDING = pa.schema([("kind", pa.string()), ("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("a", "b", "low", "high", "text", "spans", "runs", "classes")), *DONE])
+_PENDING = "kind string, block int, bucket int, a binary, b binary, low binary, high binary, text binary, spans binary, runs binary, classes binary, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _union(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and end of each maximal run of the bytes in spans."""
+    if not len(doc):
+        return doc, start, end
+    by = np.lexsort((start, doc))
+    doc, start, end = doc[by], start[by], end[by]
+    beyond = doc * (int(end.max()) + 1)  # the spans of a document reach no later one
+    reach = np.maximum.accumulate(end + beyond) - beyond
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > reach[:-1])])
+    return doc[first], start[first], reach[np.r_[first[1:], len(doc)] - 1]
+
+
+def _cut(ids: list, texts: list[bytes], doc: np.ndarray, start: np.ndarray, end: np.ndarray, which: list[int]) -> dict[str, list]:
+    """Id, bytes, removed bytes, maximal removed runs and digest of what is kept of some texts, given the runs of all in order."""
+    cuts = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+    out: dict[str, list] = {f.name: [] for f in DONE}
+    for d in which:
+        text, at, gone, digest = memoryview(texts[d]), 0, 0, hashlib.sha256()
+        lo, hi = cuts[d], cuts[d + 1]
+        for s, e in zip(start[lo:hi].tolist(), end[lo:hi].tolist(), strict=True):
+            digest.update(text[at:s])
+            at, gone = e, gone + e - s
+        digest.update(text[at:])
+        for column, value in zip(out.values(), (ids[d], len(text), gone, hi - lo, digest.hexdigest()), strict=True):
+            column.append(value)
+    return out
 
 
 def _windows(width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -404,12 +448,9 @@ def _decide(length: int):
     """For each string of the contexts of a bucket: whether a smaller document has it."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "a", "b", "ranks", "text")), strict=True))
-        anchor = np.concatenate([_unpack(r[2], 5) for r in rows])
-        shape = np.concatenate([np.frombuffer(r[3], np.uint8).reshape(2, -1) for r in rows], axis=1).astype(np.int64)
-        rank = np.concatenate([_from_planes(r[4]) for r in rows])
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        offset, width = shape[0], shape[1] + 1
+        anchor, rank, data = _numbers(_joined(table.column("a")), 5), _ranks(table), _joined(table.column("text"))
+        shape = _joined(table.column("b")).reshape(-1, 2).astype(np.int64)
+        offset, width = shape[:, 0], shape[:, 1] + 1
         of, step = _windows(width)
         ends = np.cumsum(width + length - 1)
         at = (ends - (width + length - 1))[of] + step
@@ -417,14 +458,8 @@ def _decide(length: int):
         classes = _classes(data, at, groups, length)
         least = np.full(classes.max() + 1, NO_ID)
         np.minimum.at(least, classes, rank[of])
-        flags = (rank[of] > least[classes]).astype(np.uint8)
-        out, lo, hi = [], 0, 0
-        for r in rows:
-            n = len(r[3]) // 2
-            size = int(width[lo : lo + n].sum())
-            out.append((r[0], r[1], flags[hi : hi + size].tobytes()))
-            lo, hi = lo + n, hi + size
-        return _table(out, BACK)
+        strings = np.r_[0, np.cumsum(width)][np.r_[0, np.cumsum(_sizes(table.column("a")) // 5)]]
+        return _answer(table, (rank[of] > least[classes]).astype(np.uint8), np.diff(strings))
 
     return run
 
@@ -432,90 +467,90 @@ def _decide(length: int):
 def _resolve(length: int, count: int, crowd: int):
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _table([], PENDING)
+            return PENDING.empty_table()
         number = table.column("block")[0].as_py()
         block = Block(table, length, crowd)
-        flags = _flags_of(back, block.sent_anchor, count)[block.sent]
+        flags = np.zeros(len(block.sent_anchor), np.uint8)
+        flags[_deal(block.sent_anchor, count)[0]] = _answers(back)
+        flags = flags[block.sent]
         first = block.ranks[block.doc[block.entry_run]]
         gone = (flags[block.entry] == 1) | (block.ranks[block.doc] > first[block.entry])
-        still = np.flatnonzero((flags[block.entry] > 1) & ~gone)
-        lone = still[np.isin(still, block.entry_run)]  # other runs of an entry have the same strings
+        is_open = (flags[block.entry] > 1) & ~gone
+        lone = block.entry_run[is_open[block.entry_run]]  # other runs of an entry have the same strings
         hot = flags[block.entry[lone]] == 3
-        lone = np.r_[lone[~hot], lone[hot]]
-        n_open = int((~hot).sum())
+        # questions: the strings of open runs in the order of their buckets, then those of hot runs
+        order, buckets, cuts = _deal(block.anchor[lone[~hot]], count)
+        lone, n_open = np.r_[lone[~hot][order], lone[hot]], len(order)
         width = (block.s1 - block.s0 + 1)[lone]
-        text = lambda r: block.texts[block.doc[r]][block.s0[r] : block.s1[r] + length]
-        rows, pad = [], (None,) * 4
+        size = width + length - 1
         anchor, ranks = block.anchor[lone], block.ranks[block.doc[lone]]
-        begin = np.cumsum(width) - width
-        # questions: the strings of open runs, then the classes of strings of hot runs
-        n_strings = int(width[:n_open].sum())
-        question = np.arange(int(width.sum()))
-        for k, p in _parts(anchor[:n_open], count):
-            shape = np.stack([block.offset[lone[p]], width[p] - 1]).astype(np.uint8).tobytes()
-            of, step = _windows(width[p])
-            rows.append(("open", number, k, _pack(anchor[p] // _U(count), 5), shape, _planes(ranks[p]), None, b"".join(text(r) for r in lone[p]), None, None, _steps(begin[p][of] + step), *pad))
+        begin = np.cumsum([0, *map(len, block.texts)])
+        data = np.frombuffer(b"".join(block.texts), np.uint8)
+        text = lambda p: data[np.repeat((begin[block.doc] + block.s0)[lone[p]], size[p]) + _windows(size[p])[1]]
+        out = []
+        if n_open:
+            p = slice(0, n_open)
+            shape = np.stack([block.offset[lone[p]], width[p] - 1], axis=1).astype(np.uint8)
+            out.append(_rows(PENDING, len(buckets), kind="open", block=number, bucket=buckets, a=_binary(_low_bytes(anchor[p] // _U(count), 5), cuts), b=_binary(shape, cuts), text=_binary(text(p), np.r_[0, np.cumsum(size[p])][cuts]), **_spread(ranks[p], cuts)))
         if n_open < len(lone):
-            part = lone[n_open:]
-            of, step = _windows(width[n_open:])
-            fine = mix(anchor[n_open:][of] + mix((block.offset[part][of] - step).astype(np.uint64), 11), 13)
-            data = np.frombuffer(b"".join(map(text, part)), np.uint8)
-            ends = np.cumsum(width[n_open:] + length - 1)
-            at = (ends - (width[n_open:] + length - 1))[of] + step
-            classes = _classes(data, at, np.unique(fine, return_inverse=True)[1], length)
-            by = np.lexsort((ranks[n_open:][of], classes))
+            p = slice(n_open, len(lone))
+            of, step = _windows(width[p])
+            fine = mix(anchor[p][of] + mix((block.offset[lone[p]][of] - step).astype(np.uint64), 11), 13)
+            strings, at = text(p), (np.cumsum(size[p]) - size[p])[of] + step
+            classes = _classes(strings, at, np.unique(fine, return_inverse=True)[1], length)
+            by = np.lexsort((ranks[p][of], classes))
             head = by[np.r_[True, classes[by][1:] != classes[by][:-1]]]  # of class 0, 1, ...
-            one, two = (PolyHash(data, base).of(at[head], at[head] + length) for base in (BASE, OTHER))
+            one, two = (PolyHash(strings, base).of(at[head], at[head] + length) for base in (BASE, OTHER))
             a, b = mix(one, 17), mix(two, 23) ^ mix(fine[head], 29)
-            rows += [("hot", number, k, _pack(a[p] // _U(count), 8), _pack(b[p], 8), _planes(ranks[n_open:][of[head[p]]]), None, None, None, None, _steps(n_strings + p), *pad) for k, p in _parts(a, count)]
-            question[n_strings:] = n_strings + classes
+            order, buckets, cuts = _deal(a, count)
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order))
+            least = ranks[p][of[head[order]]]
+            out.append(_rows(PENDING, len(buckets), kind="hot", block=number, bucket=buckets, a=_binary(_low_bytes(a[order] // _U(count), 8), cuts), b=_binary(_low_bytes(b[order], 8), cuts), **_spread(least, cuts)))
+            out.append(_rows(PENDING, 1, kind="classes", block=number, classes=[place[classes].astype("<i4").tobytes()]))
         first_of = np.full(len(flags), -1)
-        first_of[block.entry[lone]] = begin
-        by_doc = np.argsort(block.doc, kind="stable")
-        cut = np.searchsorted(block.doc[by_doc], np.arange(len(block.ids) + 1))
-        is_open = np.zeros(len(block.doc), bool)
-        is_open[still] = True
-        for d, (i, body) in enumerate(zip(block.ids, block.texts, strict=True)):
-            mine = by_doc[cut[d] : cut[d + 1]]
-            out, more = mine[gone[mine]], mine[is_open[mine]]
-            s, e = block.s0[out], block.s1[out] + length
-            if len(more):
-                of, step = _windows(block.s1[more] - block.s0[more] + 1)
-                own = question[first_of[block.entry[more]][of] + step]
-                rows.append(("doc", number, None, None, None, None, i, body, _planes(np.r_[s, e]), _steps(block.s0[more][of] + step), _steps(own), *pad))
-            else:
-                rows.append(("done", number, None, None, None, None, i, None, None, None, None, *_cut(body, s, e)))
-        return _table(rows, PENDING)
+        first_of[block.entry[lone]] = np.cumsum(width) - width
+        out_of = np.flatnonzero(gone)
+        spans = _union(block.doc[out_of], block.s0[out_of], block.s1[out_of] + length)
+        more = np.flatnonzero(is_open)
+        more = more[np.argsort(block.doc[more], kind="stable")]
+        waits = np.zeros(len(block.ids), bool)
+        waits[block.doc[more]] = True
+        done = np.flatnonzero(~waits).tolist()
+        out.append(_rows(PENDING, len(done), kind="done", block=number, **_cut(block.ids, block.texts, *spans, done)))
+        if len(more):
+            which = np.flatnonzero(waits)
+            doc, start, end = (x[waits[spans[0]]] for x in spans)
+            edges = lambda docs: np.r_[np.searchsorted(docs, which), len(docs)]
+            runs = np.stack([block.s0[more], block.s1[more] - block.s0[more] + 1, first_of[block.entry[more]]], axis=1).astype("<i4")
+            out.append(_rows(PENDING, len(which), kind="doc", block=number, doc_id=[block.ids[d] for d in which], text=pa.array([block.texts[d] for d in which], pa.binary()), spans=_binary(np.stack([start, end], axis=1).astype("<i4"), edges(doc)), runs=_binary(runs, edges(block.doc[more]))))
+        return pa.concat_tables(out)
 
     return run
 
 
-DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-
-
 def _finish(length: int):
     """Cuts the documents with open strings, given the answers to their block's questions."""
 
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
-        lists = {c: table.column(c).to_pylist() for c in table.column_names}
-        flags = {(kind, k): f for kind, k, f in zip(*(back.column(c).to_pylist() for c in ("kind", "bucket", "flags")), strict=True)}
-        asked = [(kind, k, _from_steps(c)) for kind, k, c in zip(lists["kind"], lists["bucket"], lists["classes"], strict=True) if kind != "doc"]
-        seen = np.zeros(max((int(p[-1]) + 1 for _, _, p in asked), default=0), bool)
-        for kind, k, p in asked:
-            seen[p] = np.frombuffer(flags[kind, k], np.uint8).astype(bool)
-        # a class of hot strings may have a smaller document in this very block
+        of_kind = lambda t, kind: t.filter(pc.equal(t.column("kind"), kind))
+        docs, hot = of_kind(table, "doc"), of_kind(table, "hot")
+        seen, least = _answers(of_kind(back, "open")), np.zeros(0, np.int64)
         least = np.full(len(seen), NO_ID)
-        for i, (kind, p) in enumerate((a[0], a[2]) for a in asked):
-            if kind == "hot":
-                least[p] = _from_planes([r for x, r in zip(lists["kind"], lists["ranks"], strict=True) if x != "doc"][i])
-        rows = []
-        for i, kind in enumerate(lists["kind"]):
-            if kind == "doc":
-                doc, pos, own = lists["doc_id"][i], _from_steps(lists["starts"][i]), _from_steps(lists["classes"][i])
-                old = _from_planes(lists["spans"][i]).reshape(2, -1)
-                hit = pos[seen[own] | (least[own] < (NO_ID if doc is None else doc))]
-                rows.append((doc, *_cut(lists["text"][i], np.r_[old[0], hit], np.r_[old[1], hit + length])))
-        return _table(rows, DONE)
+        if hot.num_rows:  # a class of hot strings may have a smaller document in this very block
+            classes = _joined(of_kind(table, "classes").column("classes")).view("<i4")
+            ranks = _ranks(hot.take(pa.array(np.argsort(hot.column("bucket").to_numpy(), kind="stable"))))
+            seen, least = np.r_[seen, _answers(of_kind(back, "hot"))[classes]], np.r_[least, ranks[classes]]
+        ids, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
+        mine = np.array([NO_ID if i is None else i for i in ids], np.int64)
+        old, runs = (_joined(docs.column(c)).view("<i4").reshape(-1, n).astype(np.int64) for c, n in (("spans", 2), ("runs", 3)))
+        old_of, run_of = (np.repeat(np.arange(len(ids)), _sizes(docs.column(c)) // (4 * n)) for c, n in (("spans", 2), ("runs", 3)))
+        of, step = _windows(runs[:, 1])
+        question = runs[:, 2][of] + step
+        hit = np.flatnonzero((seen[question] > 0) | (least[question] < mine[run_of][of]))
+        start = (runs[:, 0][of] + step)[hit]
+        spans = _union(np.r_[old_of, run_of[of[hit]]], np.r_[old[:, 0], start], np.r_[old[:, 1], start + length])
+        return _rows(DONE, len(ids), **_cut(ids, texts, *spans, range(len(ids))))
 
     return run
 
@@ -530,16 +565,16 @@ def drop_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     blocks = max(1, math.ceil(input_bytes(texts) / block_bytes))
-    count = max(64, 2 * blocks)
+    count = max(64, blocks)
     blocked = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     back = blocked.groupBy("block").applyInArrow(_entries(length, count, crowd), _SENT).groupBy("bucket").applyInArrow(_meet((5, 5), True, hot), _BACK)
     met = blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_resolve(length, count, crowd), _PENDING)
     met = scratch.save(met)
     answer = [
-        met.where(f"kind = '{kind}'").select("block", "bucket", "a", "b", "ranks", "text").groupBy("bucket").applyInArrow(task, _BACK).withColumn("kind", F.lit(kind))
+        met.where(f"kind = '{kind}'").select("block", "bucket", "a", "b", "low", "high", "text").groupBy("bucket").applyInArrow(task, _BACK).withColumn("kind", F.lit(kind))
         for kind, task in (("open", _decide(length)), ("hot", _meet((8, 8), False)))
     ]
-    waiting = met.where("kind <> 'done'").select("kind", "block", "bucket", "ranks", "doc_id", F.when(F.col("kind") == "doc", F.col("text")).alias("text"), "spans", "starts", "classes")
+    waiting = met.where("kind in ('doc', 'hot', 'classes')").select("kind", "block", "bucket", "low", "high", "doc_id", "text", "spans", "runs", "classes")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     cut = waiting.groupBy("block").cogroup(answer[0].union(answer[1]).groupBy("block")).applyInArrow(_finish(length), schema)
     return met.where("kind = 'done'").select(*DONE.names).union(cut)
