@@ -514,6 +514,35 @@ def test_the_most_widespread_item_is_found(spark):
     assert decontaminate.drop_leaks(frame(spark, data), index).count() == 800
 
 
+def test_sums_by_key_are_plain_sums():
+    r = np.random.default_rng(3)
+    for n, most in ((1, 1), (700, 40), (5_000, 40), (5_000, 3)):
+        keys, ids = np.minimum(r.zipf(1.5, n), most) - 1, r.integers(0, 30, n)
+        rows = np.vstack([r.standard_normal((30, 7)), np.zeros((1, 7))])
+        want = np.zeros((most, 7))
+        np.add.at(want, keys, rows[ids])
+        assert np.allclose(decontaminate.sums_by(keys, rows, ids, most, width=4), want)
+
+
+def test_the_space_is_fitted_on_all_documents_and_items(spark):
+    """Its singular values are those of the passages of all 6,000 documents and all items, null ids and one id on many rows included."""
+    r, size = random.Random(12), decontaminate.BLOCK
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(4, 9))) for _ in range(50)]
+    prose = lambda n: " ".join(r.choice(words[: r.randrange(5, 50)]) for _ in range(n))
+    data = [(None if i % 9 == 0 else min(i, 5_000), prose(r.randrange(1, 3 * size))) for i in range(6_000)] + [(None, None), (7, "")]
+    items = [(k, prose(20)) for k in range(40)]
+    index = decontaminate.build_index(frame(spark, data), spark.createDataFrame(items, "item_id long, text string"), dimensions=40, block_items=10)
+    lists = [[decontaminate.zlib.crc32(w.encode()) % decontaminate.FEATURES for w in (t or "").split()] for _, t in data + items]
+    counts = np.bincount([f for x in lists[: len(data)] for f in x], minlength=decontaminate.FEATURES)
+    share = np.maximum(counts, 1) / counts.sum()
+    idf = np.log((1 + counts.sum()) / (1 + counts)) ** 2 * np.minimum(1, decontaminate.FREQUENT / share) ** 2 + 1e-9
+    used = np.flatnonzero(counts)
+    passages = [x[k : k + size] for x in lists for k in range(0, len(x), size)]
+    a = np.array([np.bincount(p, minlength=decontaminate.FEATURES)[used] * idf[used] / (np.sqrt((idf[p] ** 2).sum()) + 1e-6) for p in passages])
+    got = 1 / np.linalg.norm(index.space.projection[used] / idf[used, None], axis=0)
+    assert np.allclose(got[:30], np.linalg.svd(a, compute_uv=False)[:30], rtol=1e-3)
+
+
 def test_short_items_blocks_and_long_texts(spark, monkeypatch):
     r = random.Random(21)
     words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9))) for _ in range(1500)]
