@@ -54,6 +54,15 @@ def test_benchmark_passages_go(spark, stages):
     assert not leaks & set(after) and len(set(before) - leaks - set(after)) <= 0.01 * len(before)
 
 
+def test_benchmark_stage_fits_on_all_documents(spark, monkeypatch):
+    """All 4,500 documents and all items come to the fit, those without an id and those of one id included."""
+    docs = spark.range(4_500).select(F.when(F.col("id") % 5 > 0, F.col("id") % 900).alias("doc_id"), F.concat(F.lit("plain words of text "), F.col("id")).alias("text"))
+    fit, given = P.decontaminate.fit_space, []
+    monkeypatch.setattr(P.decontaminate, "fit_space", lambda *frames, **more: given.append([x.count() for x in frames]) or fit(*frames, **more))
+    assert P.drop_benchmark(spark, docs, DATA).count() == 4_500
+    assert given == [[4_500, spark.read.parquet(f"{DATA}/benchmark.parquet").count()]]
+
+
 def test_personal_data_is_replaced(stages):
     text = " ".join(r["text"] or "" for r in stages["pii"].collect())
     assert not re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
