@@ -535,7 +535,7 @@ def _finish(length: int):
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
         of_kind = lambda t, kind: t.filter(pc.equal(t.column("kind"), kind))
         docs, hot = of_kind(table, "doc"), of_kind(table, "hot")
-        seen, least = _answers(of_kind(back, "open")), np.zeros(0, np.int64)
+        seen = _answers(of_kind(back, "open"))
         least = np.full(len(seen), NO_ID)
         if hot.num_rows:  # a class of hot strings may have a smaller document in this very block
             classes = _joined(of_kind(table, "classes").column("classes")).view("<i4")
